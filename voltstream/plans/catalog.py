@@ -230,6 +230,127 @@ def q_upsert_orders(spark, sf_dir):
     return upsert(target, source, ["o_orderkey"], stamp_column="updated_at", stamp=F.lit("2024-02-02 00:00:00"))
 
 
+# ---------------------------------------------------------------------------
+# landing, streaming, CSV and tables (write to a fresh folder under the
+# shared ``spark.checkpoint.dir``; every run takes a new folder)
+# ---------------------------------------------------------------------------
+
+LOAD_SPLIT = "2024-01-16"
+
+
+def _ocpp_lines(spark, sf_dir):
+    ensure_utc(spark)
+    return fixtures.ocpp_from_events(fixtures.table(spark, sf_dir, "events"))
+
+
+def q_since_mark(spark, sf_dir):
+    """Two landing runs: the source as of 16 Jan (empty mark → full load), then the whole source."""
+    from voltstream.operators.incremental import land_increment
+    from voltstream.session import run_dir
+    from voltstream.sources.csv import read_ocpp_csv
+
+    lines = _ocpp_lines(spark, sf_dir)
+    base = run_dir(spark, "landing")
+    landing, marks = f"{base}/landing", f"{base}/_marks"
+    early = lines.filter(F.col("request_date") < F.lit(LOAD_SPLIT).cast("timestamp"))
+    land_increment(spark, early, landing, marks, load_id="1")
+    land_increment(spark, lines, landing, marks, load_id="2")
+    landed = read_ocpp_csv(spark, f"{landing}/load=*/dt=*/")
+    path = F.col("_metadata.file_path")
+    return landed.select(
+        "id",
+        F.regexp_extract(path, r"/load=([^/]+)/", 1).cast("int").alias("load"),
+        F.regexp_extract(path, r"/dt=([^/]+)/", 1).alias("dt"),
+        _ts("request_date").alias("request_date"),
+    )
+
+
+def q_stream_csv_bronze(spark, sf_dir):
+    """Land two loads as CSV, stream each into bronze parquet (availableNow), read back."""
+    from voltstream.operators.incremental import land_increment
+    from voltstream.session import run_dir
+    from voltstream.streaming.ingest import append_stream, stream_ocpp_csv
+
+    lines = _ocpp_lines(spark, sf_dir)
+    base = run_dir(spark, "bronze-stream")
+    landing, marks = f"{base}/landing", f"{base}/_marks"
+    bronze_path, ckpt = f"{base}/bronze", f"{base}/_checkpoints/bronze"
+    early = lines.filter(F.col("request_date") < F.lit(LOAD_SPLIT).cast("timestamp"))
+    land_increment(spark, early, landing, marks, load_id="1")
+    append_stream(stream_ocpp_csv(spark, f"{landing}/load=*/dt=*/"), bronze_path, ckpt)
+    land_increment(spark, lines, landing, marks, load_id="2")
+    append_stream(stream_ocpp_csv(spark, f"{landing}/load=*/dt=*/"), bronze_path, ckpt)
+    b = spark.read.parquet(bronze_path)
+    parsed = silver_ops.parse_frames(b)
+    return parsed.select(
+        "id", "request_uuid", _ts("request_date").alias("request_date"), "entity_id", "service_provider_id",
+        "serial_number", "identity_key",
+        F.col("_frame_type").alias("frame_type"), "OCPP_MESSAGE_UNIQUE_ID", "OCPP_ACTION",
+        F.regexp_extract("source_file", r"/load=([^/]+)/", 1).cast("int").alias("load"),
+        F.col("_rescued_data").isNull().alias("clean"),
+    )
+
+
+def q_stream_master_csv(spark, sf_dir):
+    """Master snapshot as CSV in the landing zone, streamed into the master table."""
+    from voltstream.session import run_dir
+    from voltstream.sources.csv import write_snapshot_csv
+    from voltstream.streaming.ingest import append_stream, stream_master_csv
+
+    ensure_utc(spark)
+    base = run_dir(spark, "master-stream")
+    write_snapshot_csv(fixtures.master_from_tables(spark, sf_dir), f"{base}/landing/master_data")
+    append_stream(stream_master_csv(spark, f"{base}/landing/master_data"), f"{base}/master", f"{base}/_checkpoints/master")
+    return spark.read.parquet(f"{base}/master").drop("_rescued_data")
+
+
+def q_csv_multiline(spark, sf_dir):
+    """Whole documents (newlines, quotes) through the quoted multi-line CSV writer and reader."""
+    from voltstream.session import run_dir
+    from voltstream.sources.csv import read_text_csv, write_csv
+
+    base = run_dir(spark, "csv-docs")
+    write_csv(fixtures.table(spark, sf_dir, "documents").select("doc_id", "text"), base)
+    return read_text_csv(spark, base, "doc_id BIGINT, text STRING")
+
+
+def q_table_roundtrip(spark, sf_dir):
+    """Create a silver table from DDL, append two loads, read it back by name."""
+    from voltstream.session import run_dir
+    from voltstream.sources.tables import append_table, ensure_table, read_table
+
+    s = _silver(spark, sf_dir)
+    path = run_dir(spark, "silver-table")
+    name = "silver_" + path.rsplit("-", 1)[-1]
+    ensure_table(spark, name, schemas.SILVER_DDL, path)
+    created = F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED")
+    split = F.lit(LOAD_SPLIT).cast("timestamp")
+    append_table(s.filter(created < split), path)
+    append_table(s.filter(created >= split), path)
+    spark.catalog.refreshTable(name)
+    t = read_table(spark, name)
+    return t.select("SOURCE_ID", "OCPP_ACTION", _ts("UNIFIED_TIMESTAMP").alias("UNIFIED_TIMESTAMP"))
+
+
+def q_gold_snapshots(spark, sf_dir):
+    """Gold as snapshot table: first load, then MERGE of the newer rows into snapshot 2."""
+    from voltstream.session import run_dir
+    from voltstream.sources.tables import read_snapshot, write_snapshot
+
+    s1 = _silver(spark, sf_dir)
+    base = run_dir(spark, "gold")
+    created = F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED")
+    first = medallion.first_gold(s1.filter(created < F.lit(GOLD_SPLIT_TARGET_BEFORE).cast("timestamp")),
+                                 stamp=medallion.fixed_stamp())
+    write_snapshot(first, base)
+    inc_stamp = F.lit("2024-02-02 00:00:00").cast("timestamp")
+    inc = s1.filter(created >= F.lit(GOLD_SPLIT_SOURCE_FROM).cast("timestamp")).withColumn("STAGE_LOAD_TIMESTAMP", inc_stamp)
+    write_snapshot(medallion.merge_into_gold(read_snapshot(spark, base), inc, stamp=inc_stamp), base)
+    g = read_snapshot(spark, base)
+    return g.select("SOURCE_ID", "OCPP_ACTION", _ts("STAGE_LOAD_TIMESTAMP").alias("STAGE_LOAD_TIMESTAMP"),
+                    _ts("STAGE_PROCESSED_TIMESTAMP").alias("STAGE_PROCESSED_TIMESTAMP"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "charger_heartbeats": q_charger_heartbeats,
@@ -251,6 +372,12 @@ def queries() -> dict[str, QueryFn]:
         "vendor_errors": q_vendor_errors,
         "gold_upsert": q_gold_upsert,
         "upsert_orders": q_upsert_orders,
+        "since_mark": q_since_mark,
+        "stream_csv_bronze": q_stream_csv_bronze,
+        "stream_master_csv": q_stream_master_csv,
+        "csv_multiline": q_csv_multiline,
+        "table_roundtrip": q_table_roundtrip,
+        "gold_snapshots": q_gold_snapshots,
     }
 
 
@@ -453,4 +580,41 @@ SELECT COALESCE(tgt.o_orderkey, src.o_orderkey) AS o_orderkey,
        CASE WHEN src.o_orderkey IS NOT NULL THEN src.o_orderstatus ELSE tgt.o_orderstatus END AS o_orderstatus,
        CASE WHEN src.o_orderkey IS NOT NULL THEN '2024-02-02 00:00:00' END AS updated_at
 FROM tgt FULL OUTER JOIN src ON tgt.o_orderkey = src.o_orderkey"""
+    o["gold_snapshots"] = o["gold_upsert"]
+    lines = f"""
+lines AS (
+  SELECT 2 * eid AS id, 'REQ-' || CAST(eid AS VARCHAR) AS request_uuid, t AS created, '2' AS frame_type, action
+  FROM ev
+  UNION ALL
+  SELECT 2 * eid + 1, 'RES-' || CAST(eid AS VARCHAR), t + INTERVAL 1 SECOND, '3', ''
+  FROM ev WHERE has_res)"""
+    o["since_mark"] = _with(f""",{lines}
+SELECT id, CASE WHEN created < TIMESTAMP '{LOAD_SPLIT}' THEN 1 ELSE 2 END AS load,
+       strftime(created, '%Y-%m-%d') AS dt, {_t('created')} AS request_date
+FROM lines""")
+    o["stream_csv_bronze"] = _with(f""",{lines}
+SELECT l.id, l.request_uuid, {_t('l.created')} AS request_date, e.uid AS entity_id, e.uid % 3 + 1 AS service_provider_id,
+       'SN-' || lpad(CAST(e.uid AS VARCHAR), 6, '0') AS serial_number, e.station AS identity_key,
+       l.frame_type, e.mid AS OCPP_MESSAGE_UNIQUE_ID, l.action AS OCPP_ACTION,
+       CASE WHEN l.created < TIMESTAMP '{LOAD_SPLIT}' THEN 1 ELSE 2 END AS load, TRUE AS clean
+FROM lines l JOIN ev e ON e.eid = l.id // 2""")
+    o["stream_master_csv"] = """
+SELECT 'CS-' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS OCPP_CHARGE_STATION_ID,
+       'CS-' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') || '-' || CAST(conn AS VARCHAR) AS OCPP_CONNECTOR_ID,
+       CAST(conn AS VARCHAR) AS CONNECTOR_ID,
+       'EVSE-' || CAST(c_custkey AS VARCHAR) || '-' || CAST(conn AS VARCHAR) AS SOURCE_EVSE_ID,
+       n_name AS COUNTRY_CODE, 'SITE-' || CAST(c_custkey AS VARCHAR) AS SITE_ID, c_name AS SITE_NAME,
+       'PUBLIC' AS LOCATION_TYPE, 'PARKING' AS LOCATION_SUB_TYPE, 'UTC' AS TIMEZONE, 'ACTIVE' AS LOCATION_STATUS,
+       'OP-' || CAST(c_nationkey AS VARCHAR) AS OPERATOR, c_mktsegment AS OWNING_COMPANY,
+       'OCPI-' || CAST(c_custkey AS VARCHAR) || '-' || CAST(conn AS VARCHAR) AS OCPI_CONNECTOR_ID,
+       CASE WHEN conn = 2 THEN 'CCS' ELSE 'TYPE2' END AS CONNECTOR_TYPE,
+       CASE WHEN conn = 2 THEN 'DC' ELSE 'AC' END AS POWER_TYPE,
+       CASE WHEN conn = 2 THEN '50' ELSE '22' END AS POWER_KW, '400' AS VOLTAGE,
+       CASE WHEN conn = 2 THEN '125' ELSE '32' END AS AMPERAGE,
+       c_mktsegment AS MANUFACTURER, 'M' || CAST(c_custkey % 7 AS VARCHAR) AS MODEL
+FROM customer JOIN nation ON c_nationkey = n_nationkey CROSS JOIN (VALUES (1), (2)) AS c(conn)
+WHERE c_custkey % 13 <> 0"""
+    o["csv_multiline"] = "SELECT doc_id, text FROM documents"
+    o["table_roundtrip"] = _with(f"""
+SELECT source_id AS SOURCE_ID, action AS OCPP_ACTION, {_t('unified')} AS UNIFIED_TIMESTAMP FROM sv""")
     return o
