@@ -58,10 +58,13 @@ def upsert(
     if stamp_column is not None and stamp is None:
         stamp = F.current_timestamp()
 
-    src = source.select(*[c for c in source.columns if c in cols])
+    order = list(order) if order else [c for c in source.columns if c in cols and c not in keys]
+    keep = [c for c in source.columns if c in cols or c in order]
+    src = source.select(*keep)
     if mode == "fixed":
-        src = latest_by_key(src, keys, list(order) if order else [c for c in src.columns if c not in keys])
-    else:
+        src = latest_by_key(src, keys, order)
+    src = src.select(*[c for c in src.columns if c in cols])
+    if mode == "faithful":
         _check_unambiguous(target, src, keys)
 
     def value_for_insert(c: str) -> Column:

@@ -91,12 +91,12 @@ def parse_frames(bronze: DataFrame, mode: str = "fixed") -> DataFrame:
             "OCPP_RESPONSE_MESSAGE": F.when(ftype == frames.CALL_RESULT, frame),
             "SOURCE_CONNECTOR_ID": frames.connector_id(raw),
             "SOURCE_MESSAGE_TIMESTAMP_CREATED": created,
-            # the gateway writes one time only; updated equals created
-            "SOURCE_MESSAGE_TIMESTAMP_UPDATED": created,
             "_request_body": frames.request_body(raw, frame, mode),
             "_response_body": frames.response_body(frame),
         }
     )
+    # the gateway writes one time only; updated equals created (computed once)
+    out = out.withColumn("SOURCE_MESSAGE_TIMESTAMP_UPDATED", F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED"))
     return out.drop("_frame")
 
 

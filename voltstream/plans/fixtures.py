@@ -55,13 +55,25 @@ def _q(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    The driver's tables are single-row-group files (one split); a real source
+    table has many files and is left as is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def ocpp_from_events(events: DataFrame) -> DataFrame:
     """Bronze reader rows (request and result lines) rendered from ``events``.
 
     One scan: each event yields an array of its one or two lines, inlined.
     """
     eid = F.col("event_id")
-    ev = events.filter(F.col("event_type").isin(*EVENT_TYPES)).select(
+    ev = spread(events).filter(F.col("event_type").isin(*EVENT_TYPES)).select(
         "event_id",
         "user_id",
         "event_type",
