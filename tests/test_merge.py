@@ -71,3 +71,31 @@ def test_latest_by_key_hot_key(spark):
     rows = {r.k: r.seq for r in out.filter(F.col("k").isNotNull()).collect()}
     assert rows["hot"] == 19998
     assert out.filter(F.col("k").isNull()).count() == df.filter(F.col("k").isNull()).count()
+
+
+def test_merge_partitions_rewrites_touched_days_only(spark, tmp_base):
+    import datetime as dt
+
+    from voltstream.operators.merge import merge_partitions
+
+    path = f"{tmp_base}/t"
+    rows = [(f"k{i}", i, dt.datetime(2024, 1, 1 + i % 5), i) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, v int, ts timestamp, seq int")
+    part = F.to_date("ts")
+    merge_partitions(path, df, ["k"], "dt", part, f"{tmp_base}/s1", stamp_column=None, order=["seq"])
+
+    def files(day):
+        t = spark.read.parquet(path).filter(F.col("dt") == F.lit(day).cast("date"))
+        return sorted(r[0] for r in t.select(F.col("_metadata.file_path")).distinct().collect())
+
+    before = files("2024-01-02")
+    # update k0 (day 1) with a different day in the source: the row keeps its partition; add k99 on day 5
+    inc = spark.createDataFrame([("k0", 1000, dt.datetime(2024, 1, 3), 1), ("k99", 99, dt.datetime(2024, 1, 5), 1)],
+                                "k string, v int, ts timestamp, seq int")
+    info = merge_partitions(path, inc, ["k"], "dt", part, f"{tmp_base}/s2", order=["seq"])
+    assert sorted(str(d) for d in info["touched"]) == ["2024-01-01", "2024-01-03", "2024-01-05"]
+    assert files("2024-01-02") == before  # untouched day: same files
+    t = spark.read.parquet(path)
+    assert t.count() == 51
+    k0 = t.filter("k = 'k0'").first()
+    assert (k0.v, str(k0.dt)) == (1000, "2024-01-01")

@@ -42,6 +42,7 @@ def upsert(
     stamp: Column | None = None,
     order: Sequence[str] | None = None,
     mode: str = "fixed",
+    sticky: Sequence[str] = (),
 ) -> DataFrame:
     """New contents of ``target`` after merging ``source`` into it by ``keys``.
 
@@ -50,7 +51,8 @@ def upsert(
     ``stamp`` (default ``current_timestamp()``) on every updated or inserted row.
     ``order`` picks the surviving source row per key in ``fixed`` mode
     (greatest wins; default: all source columns, i.e. an arbitrary but
-    deterministic choice).
+    deterministic choice). ``sticky`` columns keep the target's value on a
+    match (e.g. the partition column, so a row never moves partition).
     """
     check_mode(mode)
     keys = list(keys)
@@ -87,6 +89,8 @@ def upsert(
     for c in cols:
         if c in keys:
             e = F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}"))
+        elif c in sticky and c != stamp_column:
+            e = F.when(F.col("t._t_present").isNotNull(), F.col(f"t.{c}")).otherwise(value_for_insert(c))
         elif c == stamp_column or c in src.columns:
             e = F.when(from_source, value_for_insert(c)).otherwise(F.col(f"t.{c}"))
         else:
@@ -118,3 +122,57 @@ def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
         F.count(F.when(F.col("_t"), 1)).alias("updated"),
         F.count(F.when(F.col("_t").isNull(), 1)).alias("inserted"),
     )
+
+
+def merge_partitions(
+    table_path: str,
+    increment: DataFrame,
+    keys: Sequence[str],
+    partition_col: str,
+    partition_value: Column,
+    stage_path: str,
+    stamp_column: str | None = None,
+    stamp: Column | None = None,
+    order: Sequence[str] | None = None,
+) -> dict:
+    """Upsert ``increment`` into a partitioned parquet table, rewriting only touched partitions.
+
+    1. The increment gets its partition value; a row that already exists keeps
+       its partition (``sticky``), so partitions never lose rows.
+    2. Touched partitions = partitions of new rows ∪ partitions holding a
+       matched key (a semi-join on the key columns of the table only).
+    3. ``upsert`` over the pruned target is staged under ``stage_path``, then
+       the staged partitions replace the touched ones with a dynamic
+       partition overwrite (untouched partitions are not read or written).
+
+    If the job dies during step 3's replacement, re-running the final copy from
+    ``stage_path`` completes it. Returns counts and the touched partitions.
+    """
+    keys = list(keys)
+    spark = increment.sparkSession
+    inc = increment.withColumn(partition_col, partition_value)
+    try:
+        table = spark.read.parquet(table_path)
+    except Exception:  # noqa: BLE001 - first load: no table yet
+        table = None
+    if table is None:
+        first = latest_by_key(inc, keys, list(order) if order else [c for c in inc.columns if c not in keys])
+        if stamp_column is not None:
+            first = first.withColumn(stamp_column, stamp if stamp is not None else F.current_timestamp())
+        first.write.mode("errorifexists").partitionBy(partition_col).parquet(table_path)
+        return {"touched": None, "first_load": True}
+
+    inc_keys = inc.select(*keys).filter(all_not_null(keys)).distinct()
+    matched_parts = table.select(*keys, partition_col).join(inc_keys, keys, "left_semi").select(partition_col)
+    touched_df = inc.select(partition_col).union(matched_parts).distinct()
+    # one value per touched partition (days), bounded by the time span, not by rows
+    touched = [r[0] for r in touched_df.collect()]
+    target = table.filter(F.col(partition_col).isin(touched))
+    if any(t is None for t in touched):
+        target = table.filter(F.col(partition_col).isin([t for t in touched if t is not None]) | F.col(partition_col).isNull())
+    merged = upsert(target, inc.select(*[c for c in inc.columns if c in table.columns or c in (order or [])]),
+                    keys, stamp_column=stamp_column, stamp=stamp, order=order, sticky=[partition_col])
+    merged.write.mode("errorifexists").partitionBy(partition_col).parquet(stage_path)
+    (spark.read.parquet(stage_path).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(table_path))
+    return {"touched": touched, "first_load": False}

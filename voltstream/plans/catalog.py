@@ -351,6 +351,23 @@ def q_gold_snapshots(spark, sf_dir):
                     _ts("STAGE_PROCESSED_TIMESTAMP").alias("STAGE_PROCESSED_TIMESTAMP"))
 
 
+def q_gold_partitioned_upsert(spark, sf_dir):
+    """Gold partitioned by day: first load, then MERGE rewriting only the touched days."""
+    from voltstream.session import run_dir
+
+    s1 = _silver(spark, sf_dir)
+    base = run_dir(spark, "gold-parts")
+    created = F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED")
+    medallion.merge_into_gold_table(f"{base}/gold", s1.filter(created < F.lit(GOLD_SPLIT_TARGET_BEFORE).cast("timestamp")),
+                                    f"{base}/_stage1", stamp=medallion.fixed_stamp())
+    inc_stamp = F.lit("2024-02-02 00:00:00").cast("timestamp")
+    inc = s1.filter(created >= F.lit(GOLD_SPLIT_SOURCE_FROM).cast("timestamp")).withColumn("STAGE_LOAD_TIMESTAMP", inc_stamp)
+    medallion.merge_into_gold_table(f"{base}/gold", inc, f"{base}/_stage2", stamp=inc_stamp)
+    g = spark.read.parquet(f"{base}/gold")
+    return g.select("SOURCE_ID", "OCPP_ACTION", _ts("STAGE_LOAD_TIMESTAMP").alias("STAGE_LOAD_TIMESTAMP"),
+                    _ts("STAGE_PROCESSED_TIMESTAMP").alias("STAGE_PROCESSED_TIMESTAMP"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "charger_heartbeats": q_charger_heartbeats,
@@ -378,6 +395,7 @@ def queries() -> dict[str, QueryFn]:
         "csv_multiline": q_csv_multiline,
         "table_roundtrip": q_table_roundtrip,
         "gold_snapshots": q_gold_snapshots,
+        "gold_partitioned_upsert": q_gold_partitioned_upsert,
     }
 
 
@@ -581,6 +599,7 @@ SELECT COALESCE(tgt.o_orderkey, src.o_orderkey) AS o_orderkey,
        CASE WHEN src.o_orderkey IS NOT NULL THEN '2024-02-02 00:00:00' END AS updated_at
 FROM tgt FULL OUTER JOIN src ON tgt.o_orderkey = src.o_orderkey"""
     o["gold_snapshots"] = o["gold_upsert"]
+    o["gold_partitioned_upsert"] = o["gold_upsert"]
     lines = f"""
 lines AS (
   SELECT 2 * eid AS id, 'REQ-' || CAST(eid AS VARCHAR) AS request_uuid, t AS created, '2' AS frame_type, action

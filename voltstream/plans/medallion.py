@@ -52,3 +52,21 @@ def merge_into_gold(gold: DataFrame, silver_df: DataFrame, stamp: Column | None
         gold, silver_df, schemas.GOLD_KEY, stamp_column="STAGE_PROCESSED_TIMESTAMP", stamp=stamp,
         order=SILVER_ORDER, mode=mode,
     )
+
+
+#: gold partition column: the gateway day of the message (immutable per key)
+GOLD_PARTITION = "dt"
+
+
+def gold_partition_value() -> Column:
+    return F.to_date(F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED"))
+
+
+def merge_into_gold_table(gold_path: str, silver_df: DataFrame, stage_path: str, stamp: Column | None = None) -> dict:
+    """MERGE a silver increment into the day-partitioned gold table, rewriting touched days only."""
+    from voltstream.operators.merge import merge_partitions
+
+    return merge_partitions(
+        gold_path, silver_df, schemas.GOLD_KEY, GOLD_PARTITION, gold_partition_value(), stage_path,
+        stamp_column="STAGE_PROCESSED_TIMESTAMP", stamp=stamp, order=SILVER_ORDER,
+    )
