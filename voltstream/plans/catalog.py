@@ -368,6 +368,33 @@ def q_gold_partitioned_upsert(spark, sf_dir):
                     _ts("STAGE_PROCESSED_TIMESTAMP").alias("STAGE_PROCESSED_TIMESTAMP"))
 
 
+# ---------------------------------------------------------------------------
+# faithful mode: the original results, defects included
+# ---------------------------------------------------------------------------
+
+
+def q_silver_faithful(spark, sf_dir):
+    """Per-action profile of faithful silver: master fan-out, unpaired Start/Stop results, D5/D19 effects."""
+    s = _silver(spark, sf_dir, mode="faithful")
+    c = lambda cond, name: F.count(F.when(cond, 1)).alias(name)
+    return s.groupBy("OCPP_ACTION").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("SOURCE_ID").alias("n_sources"),
+        F.count("UNIFIED_TIMESTAMP").alias("n_unified"),
+        c(F.col("UNIFIED_TIMESTAMP_SOURCE") == "payload", "n_payload_source"),
+        F.count("ID_TAG_STATUS").alias("n_id_tag_status"),
+        F.count("TRANSACTION_ID").alias("n_transaction_id"),
+        F.count("OCPP_ERROR_CODE").alias("n_error_code"),
+        F.count("OCPP_REQUEST_MESSAGE").alias("n_request_message"),
+        F.count("OCPP_RESPONSE_MESSAGE").alias("n_response_message"),
+    )
+
+
+def q_charger_heartbeats_faithful(spark, sf_dir):
+    ensure_utc(spark)
+    return views.charger_heartbeats(medallion.gold_from_tables(spark, sf_dir, mode="faithful", stamp=medallion.fixed_stamp()))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "charger_heartbeats": q_charger_heartbeats,
@@ -396,6 +423,8 @@ def queries() -> dict[str, QueryFn]:
         "table_roundtrip": q_table_roundtrip,
         "gold_snapshots": q_gold_snapshots,
         "gold_partitioned_upsert": q_gold_partitioned_upsert,
+        "silver_faithful": q_silver_faithful,
+        "charger_heartbeats_faithful": q_charger_heartbeats_faithful,
     }
 
 
@@ -600,6 +629,26 @@ SELECT COALESCE(tgt.o_orderkey, src.o_orderkey) AS o_orderkey,
 FROM tgt FULL OUTER JOIN src ON tgt.o_orderkey = src.o_orderkey"""
     o["gold_snapshots"] = o["gold_upsert"]
     o["gold_partitioned_upsert"] = o["gold_upsert"]
+    # faithful: every row twice (two connectors per station); Heartbeat result time read as text, so an
+    # unparsable time still counts as 'payload' and leaves the unified time NULL; bodies with a newline
+    # are not read; Start/Stop results never read
+    o["silver_faithful"] = _with("""
+SELECT action AS OCPP_ACTION, 2 * COUNT(*) AS n_rows, COUNT(*) AS n_sources,
+       2 * COUNT(*) FILTER (WHERE NOT (action = 'Heartbeat' AND has_res AND eid % 97 = 0)) AS n_unified,
+       2 * COUNT(*) FILTER (WHERE CASE action WHEN 'Heartbeat' THEN has_res
+                                              WHEN 'StatusNotification' THEN body_time_ok AND eid % 11 <> 0
+                                              ELSE body_time_ok END) AS n_payload_source,
+       0 AS n_id_tag_status,
+       2 * COUNT(*) FILTER (WHERE action = 'StopTransaction') AS n_transaction_id,
+       2 * COUNT(*) FILTER (WHERE action = 'StatusNotification' AND eid % 11 <> 0) AS n_error_code,
+       2 * COUNT(*) FILTER (WHERE action = 'Heartbeat') AS n_request_message,
+       2 * COUNT(*) FILTER (WHERE action = 'Heartbeat' AND has_res) AS n_response_message
+FROM sv GROUP BY action""")
+    o["charger_heartbeats_faithful"] = _with("""
+SELECT station AS CHARGE_STATION_ID,
+       CAST(CASE WHEN has_res AND eid % 97 = 0 THEN NULL WHEN has_res THEN t + INTERVAL 1 SECOND ELSE t END AS DATE) AS date,
+       2 * COUNT(*) AS heartbeat_count, MAX(0) AS was_down
+FROM sv WHERE action = 'Heartbeat' GROUP BY 1, 2""")
     lines = f"""
 lines AS (
   SELECT 2 * eid AS id, 'REQ-' || CAST(eid AS VARCHAR) AS request_uuid, t AS created, '2' AS frame_type, action
