@@ -48,3 +48,13 @@ def all_not_null(cols: Sequence[str]) -> Column:
     for c in cols:
         cond = cond & F.col(c).isNotNull()
     return cond
+
+
+def null_key_salt(keys: Sequence[str], negative: bool = False) -> Column:
+    """0 for rows with a full key; a per-row unique id for rows with a NULL key part.
+
+    Added to grouping / join keys, it keeps NULL-key rows apart (they never
+    merge or match) and spreads them over all partitions.
+    """
+    uid = F.monotonically_increasing_id()
+    return F.when(any_null(keys), -1 - uid if negative else uid).otherwise(F.lit(0).cast("bigint"))

@@ -8,10 +8,12 @@
 * no delete clause, as in the original MERGE
 
 Plan: one full outer equi-join on the key with explicit presence flags
-(not value nullness). Rows with a NULL key part can never match, so they
-bypass the join (a NULL key would otherwise hash every such row into one
-task): target ones are kept, source ones inserted. The source is reduced to
-the latest row per key first (``fixed``), with a partial aggregate.
+(not value nullness), in one pass over each side. Rows with a NULL key part
+can never match; a per-row salt added to the join key spreads them over all
+tasks (a NULL key would otherwise hash every such row into one task), and
+they come out unmatched: target ones kept, source ones inserted. The source
+is reduced to the latest row per key first (``fixed``), with a partial
+aggregate.
 
 ``faithful`` reproduces MERGE behaviour without de-duplication: it raises
 when several source rows match one target row, and inserts duplicate
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from voltstream.functions.frames import check_mode
 from voltstream.operators.dedup import latest_by_key
-from voltstream.operators.joins import all_not_null, any_null
+from voltstream.operators.joins import all_not_null, null_key_salt
 
 
 class AmbiguousMergeError(ValueError):
@@ -76,12 +78,11 @@ def upsert(
             return F.col(f"s.{c}").cast(target.schema[c].dataType)
         return F.lit(None).cast(target.schema[c].dataType)
 
-    t = target.filter(all_not_null(keys)).withColumn("_t_present", F.lit(True)).alias("t")
-    s = src.filter(all_not_null(keys)).withColumn("_s_present", F.lit(True)).alias("s")
-    cond = None
+    t = target.withColumns({"_t_present": F.lit(True), "_nk": null_key_salt(keys)}).alias("t")
+    s = src.withColumns({"_s_present": F.lit(True), "_nk": null_key_salt(keys, negative=True)}).alias("s")
+    cond = F.col("t._nk") == F.col("s._nk")
     for k in keys:
-        eq = F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = eq if cond is None else cond & eq
+        cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
     joined = t.join(s, cond, "full_outer")
     from_source = F.col("s._s_present").isNotNull()
 
@@ -96,12 +97,7 @@ def upsert(
         else:
             e = F.col(f"t.{c}")
         out.append(e.alias(c))
-    merged = joined.select(*out)
-
-    # NULL keys never match: keep target ones, insert source ones
-    t_null = target.filter(any_null(keys))
-    s_null = src.filter(any_null(keys)).alias("s").select(*[value_for_insert(c).alias(c) for c in cols])
-    return merged.unionByName(t_null).unionByName(s_null)
+    return joined.select(*out)
 
 
 def _check_unambiguous(target: DataFrame, src: DataFrame, keys: list[str]) -> None:

@@ -111,18 +111,27 @@ def requests(parsed: DataFrame, actions=ACTIONS) -> DataFrame:
 
 
 def responses(parsed: DataFrame) -> DataFrame:
-    """Call-result frames (FL3): key, frame text, body and ordering columns."""
+    """Call-result frames (FL3): key, frame text and ordering columns."""
     return parsed.filter(F.col("OCPP_RESPONSE_MESSAGE").isNotNull()).select(
         *_KEY,
         "OCPP_RESPONSE_MESSAGE",
-        "_response_body",
         F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED").alias("_res_created"),
         F.col("id").alias("_res_id"),
     )
 
 
+def parse_request_payload(reqs: DataFrame) -> DataFrame:
+    """Request body → typed ``_req`` struct (one merged schema); the body text is dropped.
+
+    Done before the pairing shuffle, so the shuffle carries typed fields
+    instead of JSON text.
+    """
+    body = F.nullif(F.col("_request_body"), F.lit(""))
+    return reqs.withColumn("_req", F.from_json(body, schemas.REQUEST_PAYLOAD_DDL)).drop("_request_body")
+
+
 def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> DataFrame:
-    """Attach each request's result frame (JN1).
+    """Attach each request's result frame (JN1) as ``OCPP_RESPONSE_MESSAGE``.
 
     fixed: key (station, message id), earliest result wins (by gateway time,
     then bronze id), all actions. faithful: Heartbeat requests only, message
@@ -132,29 +141,22 @@ def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> D
     res = responses(parsed)
     reqs = reqs.drop("OCPP_RESPONSE_MESSAGE", "_response_body")
     if mode == "fixed":
-        res = earliest_by_key(res, _KEY, ["_res_created", "_res_id"]).drop("_res_created", "_res_id")
+        res = earliest_by_key(res, _KEY, ["_res_created", "_res_id"], values=["OCPP_RESPONSE_MESSAGE"])
         return reqs.join(res, _KEY, "left")
-    res = res.select("OCPP_MESSAGE_UNIQUE_ID", "OCPP_RESPONSE_MESSAGE", "_response_body")
+    res = res.select("OCPP_MESSAGE_UNIQUE_ID", "OCPP_RESPONSE_MESSAGE")
     heartbeats = reqs.filter(F.col("OCPP_ACTION") == HEARTBEAT).join(res, "OCPP_MESSAGE_UNIQUE_ID", "left")
-    others = (
-        reqs.filter(F.col("OCPP_ACTION") != HEARTBEAT)
-        .withColumn("OCPP_RESPONSE_MESSAGE", F.lit(None).cast("string"))
-        .withColumn("_response_body", F.lit(None).cast("string"))
-    )
+    others = reqs.filter(F.col("OCPP_ACTION") != HEARTBEAT).withColumn("OCPP_RESPONSE_MESSAGE", F.lit(None).cast("string"))
     return heartbeats.unionByName(others)
 
 
 def parse_payloads(paired: DataFrame, mode: str = "fixed") -> DataFrame:
-    """Typed per-action payload columns from one merged ``from_json`` per side."""
+    """Typed per-action payload columns from the parsed request and result bodies."""
     frames.check_mode(mode)
     act = F.col("OCPP_ACTION")
     is_hb, is_start, is_stop, is_status = (act == F.lit(a) for a in ACTIONS)
-    df = paired.withColumns(
-        {
-            "_req": F.from_json(F.nullif(F.col("_request_body"), F.lit("")), schemas.REQUEST_PAYLOAD_DDL),
-            "_res": F.from_json(F.nullif(F.col("_response_body"), F.lit("")), schemas.RESPONSE_PAYLOAD_DDL),
-        }
-    )
+    df = paired if "_req" in paired.columns else parse_request_payload(paired)
+    res_body = F.nullif(frames.response_body(F.col("OCPP_RESPONSE_MESSAGE")), F.lit(""))
+    df = df.withColumn("_res", F.from_json(res_body, schemas.RESPONSE_PAYLOAD_DDL))
     req, res = F.col("_req"), F.col("_res")
 
     if mode == "fixed":
@@ -198,7 +200,7 @@ def parse_payloads(paired: DataFrame, mode: str = "fixed") -> DataFrame:
         cols["UNIFIED_TIMESTAMP"] = F.when(has_payload, payload_ts).otherwise(F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED"))
     else:
         cols["UNIFIED_TIMESTAMP"] = F.coalesce(payload_ts, F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED"))
-    return df.withColumns(cols).drop("_req", "_res", "_request_body", "_response_body")
+    return df.withColumns(cols).drop("_req", "_res")
 
 
 def station_master(master: DataFrame, mode: str = "fixed") -> DataFrame:
@@ -281,7 +283,7 @@ def to_silver(
 ) -> DataFrame:
     """bronze + master → silver (44 columns), the whole parse in one plan."""
     parsed = parse_frames(bronze, mode)
-    reqs = enrich_with_master(requests(parsed), master, mode, max_broadcast_rows)
+    reqs = parse_request_payload(enrich_with_master(requests(parsed), master, mode, max_broadcast_rows))
     paired = pair_responses(reqs, parsed, mode)
     return conform(parse_payloads(paired, mode), defaults, stage_time)
 
