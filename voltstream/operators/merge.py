@@ -168,7 +168,7 @@ def merge_partitions(
         target = table.filter(F.col(partition_col).isin([t for t in touched if t is not None]) | F.col(partition_col).isNull())
     merged = upsert(target, inc.select(*[c for c in inc.columns if c in table.columns or c in (order or [])]),
                     keys, stamp_column=stamp_column, stamp=stamp, order=order, sticky=[partition_col])
-    merged.write.mode("errorifexists").partitionBy(partition_col).parquet(stage_path)
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage_path)
     (spark.read.parquet(stage_path).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(table_path))
     return {"touched": touched, "first_load": False}

@@ -395,6 +395,35 @@ def q_charger_heartbeats_faithful(spark, sf_dir):
     return views.charger_heartbeats(medallion.gold_from_tables(spark, sf_dir, mode="faithful", stamp=medallion.fixed_stamp()))
 
 
+def q_stream_gold(spark, sf_dir):
+    """Two landing runs streamed into day-partitioned gold (stream-stream pairing, foreachBatch MERGE).
+
+    No SQL oracle: which unpaired requests are already released depends on
+    watermark progress; tests compare every emitted row with the batch plan.
+    """
+    from voltstream.operators.incremental import land_increment
+    from voltstream.session import run_dir
+    from voltstream.streaming.gold_stream import run_gold_stream
+
+    lines = _ocpp_lines(spark, sf_dir)
+    master = fixtures.master_from_tables(spark, sf_dir)
+    base = run_dir(spark, "gold-stream")
+    landing, marks = f"{base}/landing", f"{base}/_marks"
+    glob = f"{landing}/load=*/dt=*/"
+    early = lines.filter(F.col("request_date") < F.lit(LOAD_SPLIT).cast("timestamp"))
+    land_increment(spark, early, landing, marks, load_id="1")
+    run_gold_stream(spark, glob, master, f"{base}/gold", f"{base}/_ckpt", f"{base}/_stage", stamp=medallion.fixed_stamp())
+    land_increment(spark, lines, landing, marks, load_id="2")
+    run_gold_stream(spark, glob, master, f"{base}/gold", f"{base}/_ckpt", f"{base}/_stage", stamp=medallion.fixed_stamp())
+    g = spark.read.parquet(f"{base}/gold")
+    return g.select("SOURCE_ID", "OCPP_ACTION", "CHARGE_STATION_ID", _ts("UNIFIED_TIMESTAMP").alias("UNIFIED_TIMESTAMP"),
+                    "UNIFIED_TIMESTAMP_SOURCE", "ID_TAG_STATUS", "TRANSACTION_ID")
+
+
+#: queries without a SQL oracle (stateful streaming; checked against the batch plan in tests)
+NO_ORACLE = ("stream_gold",)
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "charger_heartbeats": q_charger_heartbeats,
@@ -425,6 +454,7 @@ def queries() -> dict[str, QueryFn]:
         "gold_partitioned_upsert": q_gold_partitioned_upsert,
         "silver_faithful": q_silver_faithful,
         "charger_heartbeats_faithful": q_charger_heartbeats_faithful,
+        "stream_gold": q_stream_gold,
     }
 
 
