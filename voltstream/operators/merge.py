@@ -130,13 +130,18 @@ def merge_partitions(
     stamp_column: str | None = None,
     stamp: Column | None = None,
     order: Sequence[str] | None = None,
+    locate: str = "scan",
 ) -> dict:
     """Upsert ``increment`` into a partitioned parquet table, rewriting only touched partitions.
 
     1. The increment gets its partition value; a row that already exists keeps
        its partition (``sticky``), so partitions never lose rows.
-    2. Touched partitions = partitions of new rows ∪ partitions holding a
-       matched key (a semi-join on the key columns of the table only).
+    2. Touched partitions = partitions of the increment ∪ (``locate="scan"``)
+       partitions holding a matched key, found with a semi-join on the key
+       columns of the table only. With ``locate="same_partition"`` the
+       partition value must be a fixed function of the key's row (e.g. the
+       day of an immutable event time); then no table-wide key scan is needed
+       and the merge reads and writes only the increment's partitions.
     3. ``upsert`` over the pruned target is staged under ``stage_path``, then
        the staged partitions replace the touched ones with a dynamic
        partition overwrite (untouched partitions are not read or written).
@@ -158,9 +163,14 @@ def merge_partitions(
         first.write.mode("errorifexists").partitionBy(partition_col).parquet(table_path)
         return {"touched": None, "first_load": True}
 
-    inc_keys = inc.select(*keys).filter(all_not_null(keys)).distinct()
-    matched_parts = table.select(*keys, partition_col).join(inc_keys, keys, "left_semi").select(partition_col)
-    touched_df = inc.select(partition_col).union(matched_parts).distinct()
+    touched_df = inc.select(partition_col)
+    if locate == "scan":
+        inc_keys = inc.select(*keys).filter(all_not_null(keys)).distinct()
+        matched_parts = table.select(*keys, partition_col).join(inc_keys, keys, "left_semi").select(partition_col)
+        touched_df = touched_df.union(matched_parts)
+    elif locate != "same_partition":
+        raise ValueError("locate must be 'scan' or 'same_partition'")
+    touched_df = touched_df.distinct()
     # one value per touched partition (days), bounded by the time span, not by rows
     touched = [r[0] for r in touched_df.collect()]
     target = table.filter(F.col(partition_col).isin(touched))

@@ -63,11 +63,18 @@ def gold_partition_value() -> Column:
     return F.to_date(F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED"))
 
 
-def merge_into_gold_table(gold_path: str, silver_df: DataFrame, stage_path: str, stamp: Column | None = None) -> dict:
-    """MERGE a silver increment into the day-partitioned gold table, rewriting touched days only."""
+def merge_into_gold_table(
+    gold_path: str, silver_df: DataFrame, stage_path: str, stamp: Column | None = None, locate: str = "same_partition"
+) -> dict:
+    """MERGE a silver increment into the day-partitioned gold table, rewriting touched days only.
+
+    A gold row's day is the day of its gateway time, which is part of the
+    immutable log line behind its key, so by default only the increment's
+    days are read and rewritten (no table-wide key scan).
+    """
     from voltstream.operators.merge import merge_partitions
 
     return merge_partitions(
         gold_path, silver_df, schemas.GOLD_KEY, GOLD_PARTITION, gold_partition_value(), stage_path,
-        stamp_column="STAGE_PROCESSED_TIMESTAMP", stamp=stamp, order=SILVER_ORDER,
+        stamp_column="STAGE_PROCESSED_TIMESTAMP", stamp=stamp, order=SILVER_ORDER, locate=locate,
     )
