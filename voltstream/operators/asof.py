@@ -7,9 +7,10 @@ A key may hold a large share of all rows, so no step groups a whole key into
 one task:
 
 1. Within-bucket pass: rows are windowed per (key, time bucket); the bucket
-   width bounds what one window partition holds.
-2. Carry-in: per (key, bucket) the latest left row is reduced with a partial
-   aggregate (hot keys collapse map-side). A window over these bucket
+   width bounds what one window partition holds. The same pass yields each
+   bucket's latest left row.
+2. Carry-in: one summary row per (key, bucket), aggregated on the window's
+   partitioning (no second shuffle of the rows). A window over these bucket
    summaries per key — at most one row per bucket, so bounded by time span /
    width, not by data volume — gives each bucket the latest left row of all
    earlier buckets.
@@ -79,17 +80,31 @@ def asof_pair(
     )
     both = lrows.unionByName(rrows)
 
-    # 1. latest left row earlier in the same bucket
-    w = Window.partitionBy(*keys, "_b").orderBy("_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = both.withColumn("_in", F.last("_l", ignorenulls=True).over(w)).filter(F.col("_r").isNotNull())
-
-    # 2. one summary row per (key, bucket) seen on either side, holding the
-    #    bucket's latest left row; then the latest left row of earlier buckets
-    summary = both.groupBy(*keys, "_b").agg(
-        F.max_by("_l", F.when(F.col("_l").isNotNull(), F.col("_ord"))).alias("_bl")
+    # 1. one window pass per (key, bucket): the latest left row up to each row,
+    #    and the bucket's latest left row overall (same partitioning and order,
+    #    so one shuffle of the full rows serves both)
+    w = Window.partitionBy(*keys, "_b").orderBy("_ord")
+    scanned = both.withColumns({
+        "_in": F.last("_l", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_bl": F.last("_l", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    })
+    within = scanned.filter(F.col("_r").isNotNull()).drop("_bl")
+
+    # 2. one summary row per (key, bucket) — grouped on the window's own
+    #    partitioning, so no further shuffle of the full rows — then the latest
+    #    left row of all earlier buckets, per key (bounded by span / width)
+    summary = scanned.groupBy(*keys, "_b").agg(
+        F.first("_bl", ignorenulls=True).alias("_bl"),
+        F.max(F.col("_r").isNotNull()).alias("_has_right"),
     )
     wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("_prev", F.last("_bl", ignorenulls=True).over(wk)).select(*keys, "_b", "_prev")
+    summary = (
+        summary.withColumn("_prev", F.last("_bl", ignorenulls=True).over(wk))
+        # only buckets with right rows need their carry-in; this also makes both
+        # branches read the same columns, so they share one shuffle of the rows
+        .filter(F.col("_has_right"))
+        .select(*keys, "_b", "_prev")
+    )
 
     # 3. in-bucket match, else the carry-in
     out = within.join(summary, [*keys, "_b"], "left").withColumn("_m", F.coalesce("_in", "_prev"))
