@@ -11,6 +11,8 @@ later steps reading the written table — and times each step:
   gold_first_load   silver → latest row per key + stamp → day-partitioned gold
   view_*            the six views (+ all-pairs totals) over the written gold
   gold_upsert       MERGE of a one-week silver increment; only touched days rewritten
+  compare_silver_*  silver to a noop sink: single pass vs one branch per action
+                    (reference points; not in the total)
   compare_gold_upsert_full_rewrite  the same MERGE as a whole-table snapshot
                     rewrite (reference point; not in the total)
 
@@ -34,7 +36,7 @@ from voltstream.operators.incremental import land_increment  # noqa: E402
 from voltstream.plans import fixtures, medallion, views  # noqa: E402
 from voltstream.session import ensure_utc, local_session, run_dir  # noqa: E402
 from voltstream.sources.tables import read_snapshot, write_snapshot  # noqa: E402
-from voltstream.operators.silver import to_silver  # noqa: E402
+from voltstream.operators.silver import to_silver, to_silver_by_action  # noqa: E402
 from voltstream.sources.csv import write_snapshot_csv  # noqa: E402
 from voltstream.streaming.ingest import append_stream, stream_master_csv, stream_ocpp_csv  # noqa: E402
 
@@ -93,6 +95,10 @@ def main() -> None:
     q["silver_build"], _ = timed(lambda: silver_df.write.mode("overwrite").parquet(silver_path))
     silver = spark.read.parquet(silver_path)
     n_silver = silver.count()
+    # reference point: the same rows built one action branch at a time
+    q["compare_silver_branch_per_action"], _ = timed(
+        lambda: noop(to_silver_by_action(bronze, master, stage_time=stamp)))
+    q["compare_silver_single_pass_noop"], _ = timed(lambda: noop(silver_df))
 
     # 4. gold (partitioned by day): first load, views, then MERGE of an increment
     gold_path = f"{base}/gold"

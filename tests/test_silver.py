@@ -89,3 +89,10 @@ def test_master_broadcast_only_within_bound(spark, master):
     assert "Broadcast" in plan_small
     plan_big = silver.enrich_with_master(parsed, master, max_broadcast_rows=0)
     assert plan_big.count() == 5
+
+
+def test_branch_per_action_plan_gives_same_rows(spark, master):
+    b = bronze_rows(spark, logs())
+    a = silver.to_silver(b, master, stage_time=None).drop("STAGE_LOAD_TIMESTAMP")
+    c = silver.to_silver_by_action(b, master, stage_time=None).drop("STAGE_LOAD_TIMESTAMP")
+    assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
