@@ -66,3 +66,40 @@ def test_silver_plan_single_scan_per_branch(spark):
     scans = re.findall(r"^\(\d+\) Scan parquet", p, flags=re.M)
     assert len(scans) <= 4  # events (requests, results), customer, nation
     assert "CartesianProduct" not in p
+
+
+def test_no_single_partition_exchange_in_main_plans(spark, tmp_base):
+    """No step funnels all rows through one task (global sort / single-partition exchange)."""
+    gold = gold_table(spark, tmp_base)
+    s = medallion.silver_from_tables(spark, SF_SMALL, stage_time=medallion.fixed_stamp())
+    plans = [plan_text(s), plan_text(medallion.first_gold(s))] + [plan_text(fn(gold)) for fn in views.VIEWS.values()]
+    for p in plans:
+        assert "SinglePartition" not in p
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_master_read_csv_batch(spark, tmp_base):
+    from voltstream.plans import fixtures
+    from voltstream.sources.csv import read_master_csv, write_snapshot_csv
+
+    m = fixtures.master_from_tables(spark, SF_SMALL)
+    write_snapshot_csv(m, f"{tmp_base}/master")
+    got = read_master_csv(spark, f"{tmp_base}/master")
+    assert got.columns == m.columns
+    assert got.exceptAll(m).count() == 0 and m.exceptAll(got).count() == 0
+
+
+def test_gold_merge_idempotent(spark, tmp_base):
+    """Merging the same silver increment twice leaves gold unchanged apart from the stamp."""
+    s = medallion.silver_from_tables(spark, SF_SMALL, stage_time=medallion.fixed_stamp())
+    path = f"{tmp_base}/gold"
+    medallion.merge_into_gold_table(path, s, f"{tmp_base}/s0", stamp=medallion.fixed_stamp())
+    first = [tuple(r) for r in spark.read.parquet(path).drop("STAGE_PROCESSED_TIMESTAMP").collect()]
+    inc = s.filter(F.col("OCPP_ACTION") == "Heartbeat")
+    medallion.merge_into_gold_table(path, inc, f"{tmp_base}/s1", stamp=F.lit("2030-01-01").cast("timestamp"))
+    medallion.merge_into_gold_table(path, inc, f"{tmp_base}/s2", stamp=F.lit("2030-01-01").cast("timestamp"))
+    g = spark.read.parquet(path)
+    again = [tuple(r) for r in g.drop("STAGE_PROCESSED_TIMESTAMP").collect()]
+    assert sorted(map(str, first)) == sorted(map(str, again))
+    n_hb = inc.count()
+    assert g.filter(F.col("STAGE_PROCESSED_TIMESTAMP") == F.lit("2030-01-01").cast("timestamp")).count() == n_hb
