@@ -18,17 +18,15 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
-
 from voltstream.functions.frames import check_mode
 from voltstream.sources.csv import write_csv
+from voltstream.sources.tables import read_parquet_if_exists
 
 
 def read_high_water_mark(spark: SparkSession, mark_path: str):
     """Greatest stored ``last_load_time`` (SC7); None when the table is absent or empty."""
-    try:
-        marks = spark.read.parquet(mark_path)
-    except AnalysisException:
+    marks = read_parquet_if_exists(spark, mark_path)
+    if marks is None:
         return None
     return marks.agg(F.max("last_load_time")).first()[0]
 

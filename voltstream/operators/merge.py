@@ -152,10 +152,9 @@ def merge_partitions(
     keys = list(keys)
     spark = increment.sparkSession
     inc = increment.withColumn(partition_col, partition_value)
-    try:
-        table = spark.read.parquet(table_path)
-    except Exception:  # noqa: BLE001 - first load: no table yet
-        table = None
+    from voltstream.sources.tables import read_parquet_if_exists
+
+    table = read_parquet_if_exists(spark, table_path)
     if table is None:
         first = latest_by_key(inc, keys, list(order) if order else [c for c in inc.columns if c not in keys])
         if stamp_column is not None:

@@ -12,6 +12,9 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.logger import PySparkLogger
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -19,6 +22,33 @@ from pyspark.sql.utils import AnalysisException
 from voltstream import schemas
 
 MANIFEST = "_manifest"
+_ERROR_LOGGERS = ("DataFrameQueryContextLogger", "SQLQueryContextLogger")
+
+
+@contextlib.contextmanager
+def _quiet_probe():
+    """Silence PySpark's error-context loggers while an expected miss is probed."""
+    loggers = [PySparkLogger.getLogger(n) for n in _ERROR_LOGGERS]
+    before = [lg.disabled for lg in loggers]
+    for lg in loggers:
+        lg.disabled = True
+    try:
+        yield
+    finally:
+        for lg, old in zip(loggers, before):
+            lg.disabled = old
+
+
+def read_parquet_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``, or None when nothing has been written there yet.
+
+    Works on any file system Spark can read (no driver-local path checks).
+    """
+    with _quiet_probe():
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:
+            return None
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str, path: str | None = None) -> None:
@@ -42,10 +72,7 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
 
 
 def _manifest(spark: SparkSession, base: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{base}/{MANIFEST}")
-    except AnalysisException:
-        return None
+    return read_parquet_if_exists(spark, f"{base}/{MANIFEST}")
 
 
 def latest_snapshot(spark: SparkSession, base: str) -> int | None:
