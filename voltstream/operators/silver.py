@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from voltstream import schemas
 from voltstream.functions import frames
 from voltstream.operators.dedup import earliest_by_key
-from voltstream.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+from voltstream.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, null_key_salt
 
 # ---------------------------------------------------------------------------
 # The four actions kept in silver, and the constant
@@ -120,6 +120,12 @@ def responses(parsed: DataFrame) -> DataFrame:
     )
 
 
+def _pair_key() -> Column:
+    """(station, message id) as one unambiguous text key; NULL when a part is NULL."""
+    station, mid = F.col("identity_key"), F.col("OCPP_MESSAGE_UNIQUE_ID")
+    return F.concat(F.length(station).cast("string"), F.lit(":"), station, mid)
+
+
 def parse_request_payload(reqs: DataFrame) -> DataFrame:
     """Request body → typed ``_req`` struct (one merged schema); the body text is dropped.
 
@@ -142,7 +148,13 @@ def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> D
     reqs = reqs.drop("OCPP_RESPONSE_MESSAGE", "_response_body")
     if mode == "fixed":
         res = earliest_by_key(res, _KEY, ["_res_created", "_res_id"], values=["OCPP_RESPONSE_MESSAGE"])
-        return reqs.join(res, _KEY, "left")
+        # Join on one derived pair key (+ a salt that spreads NULL-key requests)
+        # rather than on the aggregate's grouping columns: the join then gets
+        # its own shuffle on both sides, which lets AQE split a hot key's
+        # request partition (a join fed straight by the aggregate cannot be split).
+        left = reqs.withColumns({"_pk": _pair_key(), "_nk": null_key_salt(_KEY)})
+        right = res.select(_pair_key().alias("_pk"), F.lit(0).cast("bigint").alias("_nk"), "OCPP_RESPONSE_MESSAGE")
+        return left.join(right, ["_pk", "_nk"], "left").drop("_pk", "_nk")
     res = res.select("OCPP_MESSAGE_UNIQUE_ID", "OCPP_RESPONSE_MESSAGE")
     heartbeats = reqs.filter(F.col("OCPP_ACTION") == HEARTBEAT).join(res, "OCPP_MESSAGE_UNIQUE_ID", "left")
     others = reqs.filter(F.col("OCPP_ACTION") != HEARTBEAT).withColumn("OCPP_RESPONSE_MESSAGE", F.lit(None).cast("string"))
@@ -221,10 +233,21 @@ def station_master(master: DataFrame, mode: str = "fixed") -> DataFrame:
 def enrich_with_master(
     df: DataFrame, master: DataFrame, mode: str = "fixed", max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
 ) -> DataFrame:
-    """Inner join on station id (JN2); the master side is broadcast when its size allows."""
-    side, _ = bounded_broadcast(station_master(master, mode), max_broadcast_rows)
-    joined = df.join(side, F.col("identity_key") == F.col("OCPP_CHARGE_STATION_ID"), "inner")
-    return joined.drop("OCPP_CHARGE_STATION_ID")
+    """Inner join on station id (JN2); the master side is broadcast when its size allows.
+
+    Beyond the bound it is a shuffle join on a derived station key, so both
+    sides get their own shuffle and AQE can split a hot station's partition
+    (a join fed straight by the station-grain aggregate could not be split);
+    a per-row salt spreads messages without a station.
+    """
+    side, broadcast = bounded_broadcast(station_master(master, mode), max_broadcast_rows)
+    if broadcast:
+        joined = df.join(side, F.col("identity_key") == F.col("OCPP_CHARGE_STATION_ID"), "inner")
+        return joined.drop("OCPP_CHARGE_STATION_ID")
+    key = lambda c: F.concat(F.length(F.col(c)).cast("string"), F.lit(":"), F.col(c))
+    left = df.withColumns({"_sk": key("identity_key"), "_nk": null_key_salt(["identity_key"])})
+    right = side.select(key("OCPP_CHARGE_STATION_ID").alias("_sk"), F.lit(0).cast("bigint").alias("_nk"), *MASTER_KEEP)
+    return left.join(right, ["_sk", "_nk"], "inner").drop("_sk", "_nk")
 
 
 def conform(
