@@ -668,7 +668,7 @@ SELECT action AS OCPP_ACTION, 2 * COUNT(*) AS n_rows, COUNT(*) AS n_sources,
        2 * COUNT(*) FILTER (WHERE CASE action WHEN 'Heartbeat' THEN has_res
                                               WHEN 'StatusNotification' THEN body_time_ok AND eid % 11 <> 0
                                               ELSE body_time_ok END) AS n_payload_source,
-       0 AS n_id_tag_status,
+       CAST(0 AS BIGINT) AS n_id_tag_status,
        2 * COUNT(*) FILTER (WHERE action = 'StopTransaction') AS n_transaction_id,
        2 * COUNT(*) FILTER (WHERE action = 'StatusNotification' AND eid % 11 <> 0) AS n_error_code,
        2 * COUNT(*) FILTER (WHERE action = 'Heartbeat') AS n_request_message,
