@@ -34,3 +34,31 @@ def test_gold_stream_matches_batch_for_settled_rows(spark, tmp_base):
     settled = missing.filter(F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED") < F.lit(last) - F.expr("INTERVAL 2 HOURS"))
     assert settled.count() == 0
     assert streamed.select("SOURCE_ID").distinct().count() == streamed.count()
+
+
+def test_stream_silver_with_master_shuffle_fallback(spark, tmp_base):
+    """The size-checked master join falls back to a shuffle join inside a stream too."""
+    from voltstream.sources.csv import write_csv
+    from voltstream.streaming.gold_stream import stream_silver
+    from voltstream.streaming.ingest import stream_ocpp_csv
+
+    lines = fixtures.ocpp_from_events(fixtures.table(spark, SF_SMALL, "events"))
+    write_csv(lines, f"{tmp_base}/landing/load=1/dt=2024-01-01")
+    master = fixtures.master_from_tables(spark, SF_SMALL)
+    from voltstream.operators import silver as silver_ops
+
+    orig = silver_ops.enrich_with_master
+
+    def small_bound(df, m, mode="fixed", max_broadcast_rows=0):
+        return orig(df, m, mode, 0)
+
+    silver_ops.enrich_with_master = small_bound
+    try:
+        s = stream_silver(stream_ocpp_csv(spark, f"{tmp_base}/landing/load=*/dt=*/"), master)
+    finally:
+        silver_ops.enrich_with_master = orig
+    q = s.writeStream.format("memory").queryName("silver_fallback").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = spark.table("silver_fallback")
+    assert got.count() > 0
+    assert got.select("SOURCE_ID").distinct().count() == got.count()

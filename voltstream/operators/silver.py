@@ -152,7 +152,7 @@ def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> D
         # rather than on the aggregate's grouping columns: the join then gets
         # its own shuffle on both sides, which lets AQE split a hot key's
         # request partition (a join fed straight by the aggregate cannot be split).
-        left = reqs.withColumns({"_pk": _pair_key(), "_nk": null_key_salt(_KEY)})
+        left = reqs.withColumns({"_pk": _pair_key(), "_nk": null_key_salt(_KEY, spread_by=F.col("id"))})
         right = res.select(_pair_key().alias("_pk"), F.lit(0).cast("bigint").alias("_nk"), "OCPP_RESPONSE_MESSAGE")
         return left.join(right, ["_pk", "_nk"], "left").drop("_pk", "_nk")
     res = res.select("OCPP_MESSAGE_UNIQUE_ID", "OCPP_RESPONSE_MESSAGE")
@@ -245,7 +245,7 @@ def enrich_with_master(
         joined = df.join(side, F.col("identity_key") == F.col("OCPP_CHARGE_STATION_ID"), "inner")
         return joined.drop("OCPP_CHARGE_STATION_ID")
     key = lambda c: F.concat(F.length(F.col(c)).cast("string"), F.lit(":"), F.col(c))
-    left = df.withColumns({"_sk": key("identity_key"), "_nk": null_key_salt(["identity_key"])})
+    left = df.withColumns({"_sk": key("identity_key"), "_nk": null_key_salt(["identity_key"], spread_by=F.col("id"))})
     right = side.select(key("OCPP_CHARGE_STATION_ID").alias("_sk"), F.lit(0).cast("bigint").alias("_nk"), *MASTER_KEEP)
     return left.join(right, ["_sk", "_nk"], "inner").drop("_sk", "_nk")
 
