@@ -99,3 +99,18 @@ def test_merge_partitions_rewrites_touched_days_only(spark, tmp_base):
     assert t.count() == 51
     k0 = t.filter("k = 'k0'").first()
     assert (k0.v, str(k0.dt)) == (1000, "2024-01-01")
+
+
+def test_snapshot_survives_orphaned_attempt(spark, tmp_base):
+    from voltstream.sources.tables import latest_snapshot, read_snapshot, write_snapshot
+
+    base = f"{tmp_base}/snap"
+    a = spark.createDataFrame([("a", 1)], "k string, v int")
+    assert write_snapshot(a, base) == 1
+    # a job that died after writing its files but before the manifest entry
+    spark.createDataFrame([("zzz", 9)], "k string, v int").write.parquet(f"{base}/snap=2-deadbeef0000")
+    b = spark.createDataFrame([("b", 2)], "k string, v int")
+    assert write_snapshot(b, base) == 2
+    assert latest_snapshot(spark, base) == 2
+    assert [tuple(r) for r in read_snapshot(spark, base).collect()] == [("b", 2)]
+    assert [tuple(r) for r in read_snapshot(spark, base, snap=1).collect()] == [("a", 1)]
