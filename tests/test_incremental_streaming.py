@@ -72,3 +72,24 @@ def test_stream_master(spark, tmp_base):
     got = spark.read.parquet(f"{tmp_base}/master")
     assert got.columns == m.columns
     assert got.exceptAll(m).count() == 0 and m.exceptAll(got).count() == 0
+
+
+def test_malformed_rows_are_rescued(spark, tmp_base):
+    """Bad lines keep their whole text in ``_rescued_data``; good lines parse; nothing raises."""
+    from voltstream.operators import bronze
+
+    path = f"{tmp_base}/bad"
+    text = (
+        "id,request_uuid,request_date,entity_id,service_provider_id,raw_log,serial_number,identity_key\n"
+        '1,u1,2024-01-01T00:00:07.179Z,7,1,"01-Jan-2024 00:00:07.179 [2,""1"",""Heartbeat"",{}]@@EOM@@",SN,CS1\n'
+        'x9,u2,not-a-date,7,1,"line with\nnewline",SN,CS1\n'
+        "3,u3,2024-01-01T00:00:08.000Z,7,1,short\n"
+    )
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    got = read_ocpp_csv(spark, path).cache()
+    rows = {r.request_uuid: r for r in got.collect()}
+    assert rows["u1"]._rescued_data is None and rows["u1"].raw_log.endswith("@@EOM@@") and '"1"' in rows["u1"].raw_log
+    assert rows["u2"]._rescued_data is not None and rows["u2"].id is None  # non-numeric id, bad date
+    assert rows["u3"]._rescued_data is not None  # too few columns
+    conformed = bronze.conform(bronze.add_ingest_metadata(got, source_file=F.lit("f"))).collect()
+    assert len(conformed) == 3
