@@ -85,3 +85,15 @@ def test_modes_validated(spark):
     with pytest.raises(ValueError):
         silver.parse_frames(bronze_rows(spark, []), "other")
     assert F is not None
+
+
+def test_log_time_zone_d17(spark):
+    import datetime as dt
+
+    from tests.conftest import bronze_rows
+
+    b = bronze_rows(spark, [(1, "CS1", '15-Jan-2024 10:00:00.000 [2,"1","Heartbeat",{}]@@EOM@@')])
+    utc = silver.parse_frames(b).first()["SOURCE_MESSAGE_TIMESTAMP_CREATED"]
+    lux = silver.parse_frames(b, log_tz="Europe/Luxembourg").first()["SOURCE_MESSAGE_TIMESTAMP_CREATED"]
+    assert utc == dt.datetime(2024, 1, 15, 10, 0)
+    assert lux == dt.datetime(2024, 1, 15, 9, 0)  # CET is UTC+1 in January

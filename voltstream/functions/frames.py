@@ -111,9 +111,15 @@ def created_text(raw_log: Column) -> Column:
     return F.regexp_extract(raw_log, CREATED_PATTERN, 1)
 
 
-def parse_created(text: Column) -> Column:
-    """Gateway time text → TIMESTAMP; NULL (not an error) when unparsable, ANSI or not."""
-    return F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit(CREATED_FORMAT))
+def parse_created(text: Column, log_tz: str | None = None) -> Column:
+    """Gateway time text → TIMESTAMP; NULL (not an error) when unparsable, ANSI or not.
+
+    The text carries no zone. By default it is read in the session zone (the
+    entry points pin UTC). ``log_tz`` names the gateway's zone instead (with
+    the session zone at UTC): the wall-clock time is converted from it.
+    """
+    ts = F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit(CREATED_FORMAT))
+    return ts if log_tz is None else F.to_utc_timestamp(ts, log_tz)
 
 
 def connector_id(raw_log: Column) -> Column:

@@ -68,7 +68,7 @@ MASTER_KEEP = ("MANUFACTURER", "MODEL", "COUNTRY_CODE")
 _KEY = ["identity_key", "OCPP_MESSAGE_UNIQUE_ID"]
 
 
-def parse_frames(bronze: DataFrame, mode: str = "fixed") -> DataFrame:
+def parse_frames(bronze: DataFrame, mode: str = "fixed", log_tz: str | None = None) -> DataFrame:
     """Add frame fields to bronze rows (one projection, no filter, no shuffle).
 
     Adds ``OCPP_MESSAGE_UNIQUE_ID``, ``OCPP_ACTION``, ``OCPP_REQUEST_MESSAGE``,
@@ -81,7 +81,7 @@ def parse_frames(bronze: DataFrame, mode: str = "fixed") -> DataFrame:
     with_frame = bronze.withColumn("_frame", frames.frame_text(raw, mode))
     frame = F.col("_frame")
     ftype = frames.frame_type(frame, mode)
-    created = frames.parse_created(frames.created_text(raw))
+    created = frames.parse_created(frames.created_text(raw), log_tz)
     out = with_frame.withColumns(
         {
             "_frame_type": ftype,
@@ -311,9 +311,10 @@ def to_silver(
     defaults: Mapping[str, object] | None = None,
     stage_time: Column | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    log_tz: str | None = None,
 ) -> DataFrame:
     """bronze + master → silver (44 columns), the whole parse in one plan."""
-    parsed = parse_frames(bronze, mode)
+    parsed = parse_frames(bronze, mode, log_tz)
     reqs = parse_request_payload(enrich_with_master(requests(parsed), master, mode, max_broadcast_rows))
     paired = pair_responses(reqs, parsed, mode)
     return conform(parse_payloads(paired, mode), defaults, stage_time)
