@@ -58,3 +58,35 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one run."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for a run over ``input_bytes`` of bronze on ``total_cores`` cores.
+
+    * scans: ``maxPartitionBytes`` of 256 MB keeps a split (and its decoded
+      rows) well inside a task's memory share;
+    * shuffles: the initial partition count covers the largest shuffle (about
+      the size of the input: requests + results, parsed) at
+      ``target_partition_bytes`` each, never below 2 × cores; AQE then
+      coalesces to the advisory size and splits skewed partitions;
+    * broadcasts stay explicit (size-checked in code), so the automatic
+      threshold is left at its default.
+    """
+    shuffle_parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Set runtime SQL settings on a session (static ones belong in the launch config)."""
+    for k, v in settings.items():
+        spark.conf.set(k, v)
