@@ -47,6 +47,14 @@ def timed(fn):
     return time.perf_counter() - t0, out
 
 
+def _sf_number(sf_dir: str):
+    text = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        return float(text)
+    except ValueError:
+        return text
+
+
 def noop(df):
     df.write.format("noop").mode("overwrite").save()
 
@@ -129,7 +137,7 @@ def main() -> None:
         "value": round(total, 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in q.items()},
-        "sf": os.path.basename(sf_dir).replace("sf", ""),
+        "sf": _sf_number(sf_dir),
         "silver_rows": n_silver,
         "silver_rows_per_sec": round(n_silver / q["silver_build"], 1) if q["silver_build"] else None,
         "cpus": cpus,
