@@ -90,7 +90,8 @@ def main() -> None:
     bronze_path, master_path = f"{base}/bronze", f"{base}/master"
 
     def ingest():
-        append_stream(stream_ocpp_csv(spark, f"{landing}/load=*/dt=*/"), bronze_path, f"{base}/_ckpt/bronze")
+        append_stream(stream_ocpp_csv(spark, f"{landing}/load=*/dt=*/"), bronze_path, f"{base}/_ckpt/bronze",
+                      partition_by=["frame_kind"])
         append_stream(stream_master_csv(spark, f"{landing}/master_data"), master_path, f"{base}/_ckpt/master")
 
     q["stream_bronze"], _ = timed(ingest)

@@ -93,3 +93,22 @@ def test_malformed_rows_are_rescued(spark, tmp_base):
     assert rows["u3"]._rescued_data is not None  # too few columns
     conformed = bronze.conform(bronze.add_ingest_metadata(got, source_file=F.lit("f"))).collect()
     assert len(conformed) == 3
+
+
+def test_silver_branches_prune_bronze_by_frame_kind(spark, tmp_base):
+    """On bronze partitioned by frame kind, the request and result branches read disjoint parts."""
+    from voltstream.operators.silver import to_silver
+    from voltstream.plans.inspect import plan_text
+
+    lines = fixtures.ocpp_from_events(fixtures.table(spark, SF_SMALL, "events"))
+    land_increment(spark, lines, f"{tmp_base}/landing", f"{tmp_base}/marks", load_id="1")
+    append_stream(stream_ocpp_csv(spark, f"{tmp_base}/landing/load=*/dt=*/"), f"{tmp_base}/bronze", f"{tmp_base}/ckpt",
+                  partition_by=["frame_kind"])
+    b = spark.read.parquet(f"{tmp_base}/bronze")
+    s = to_silver(b, fixtures.master_from_tables(spark, SF_SMALL))
+    filters = [line for line in plan_text(s).splitlines() if line.startswith("PartitionFilters")]
+    assert any("(frame_kind" in f and "= 2)" in f for f in filters)
+    assert any("(frame_kind" in f and "= 3)" in f for f in filters)
+    unpartitioned = to_silver(b.drop("frame_kind"), fixtures.master_from_tables(spark, SF_SMALL))
+    a, c = s.drop("STAGE_LOAD_TIMESTAMP"), unpartitioned.drop("STAGE_LOAD_TIMESTAMP")
+    assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0

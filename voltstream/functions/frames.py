@@ -106,6 +106,20 @@ def response_body(frame: Column) -> Column:
     return F.regexp_extract(frame, RESPONSE_BODY_PATTERN, 1)
 
 
+#: type code of the first frame opening in a line (bronze partition column)
+FRAME_KIND_PATTERN = r'\[([234]),"'
+
+
+def frame_kind(raw_log: Column) -> Column:
+    """Type code ('2', '3', '4', or '') of the first ``[2,"``/``[3,"``/``[4,"`` in a line.
+
+    A cheap bronze partition value: every call frame (either mode) lies in
+    kind '2' and every result frame in kind '3', so silver's two branches
+    prune to disjoint parts of bronze.
+    """
+    return F.regexp_extract(raw_log, FRAME_KIND_PATTERN, 1)
+
+
 def created_text(raw_log: Column) -> Column:
     """Gateway time text of the line ('' when absent)."""
     return F.regexp_extract(raw_log, CREATED_PATTERN, 1)

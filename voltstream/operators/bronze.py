@@ -37,6 +37,17 @@ def add_ingest_metadata(df: DataFrame, source_file: Column | None = None, ingest
     return df.withColumns({"ingest_load_timestamp": ingest_time, "source_file": source_file})
 
 
+#: bronze partition column (an addition to the 11-column layout)
+FRAME_KIND = "frame_kind"
+
+
+def add_frame_kind(df: DataFrame) -> DataFrame:
+    """Add the frame-kind partition column (see ``frames.frame_kind``)."""
+    from voltstream.functions.frames import frame_kind
+
+    return df.withColumn(FRAME_KIND, frame_kind(F.col("raw_log")))
+
+
 def conform(df: DataFrame) -> DataFrame:
     """The 11 bronze columns in table order; casts never fail (``try_cast``)."""
     out = []

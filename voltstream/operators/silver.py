@@ -105,22 +105,30 @@ def by_action(parsed: DataFrame, action: str) -> DataFrame:
     return parsed.filter(F.col("OCPP_ACTION") == F.lit(action))
 
 
+def _kind_is(df: DataFrame, kind: str) -> Column:
+    """Cheap necessary condition for a frame kind: the bronze partition column
+    when present (partition pruning: the branch reads only its part of
+    bronze), else a substring test that spares the patterns."""
+    if "frame_kind" in df.columns:
+        return F.col("frame_kind") == F.lit(kind)
+    return F.col("raw_log").contains(f'[{kind},"')
+
+
 def requests(parsed: DataFrame, actions=ACTIONS) -> DataFrame:
     """Call frames of the silver actions.
 
-    Every call frame contains ``[2,"`` (both modes), so that cheap substring
-    test runs first and spares the patterns on every result line.
+    Every call frame lies in frame kind '2' (both modes), so that cheap test
+    runs first: on a bronze table partitioned by kind it prunes the scan.
     """
-    return parsed.filter(F.col("raw_log").contains('[2,"')).filter(F.col("OCPP_ACTION").isin(list(actions)))
+    return parsed.filter(_kind_is(parsed, "2")).filter(F.col("OCPP_ACTION").isin(list(actions)))
 
 
 def responses(parsed: DataFrame) -> DataFrame:
     """Call-result frames (FL3): key, frame text and ordering columns.
 
-    Every result frame contains ``[3,"``; that substring test runs first.
+    Every result frame lies in frame kind '3'; that cheap test runs first.
     """
-    has_result = F.col("raw_log").contains('[3,"')
-    return parsed.filter(has_result).filter(F.col("OCPP_RESPONSE_MESSAGE").isNotNull()).select(
+    return parsed.filter(_kind_is(parsed, "3")).filter(F.col("OCPP_RESPONSE_MESSAGE").isNotNull()).select(
         *_KEY,
         "OCPP_RESPONSE_MESSAGE",
         F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED").alias("_res_created"),

@@ -277,9 +277,9 @@ def q_stream_csv_bronze(spark, sf_dir):
     bronze_path, ckpt = f"{base}/bronze", f"{base}/_checkpoints/bronze"
     early = lines.filter(F.col("request_date") < F.lit(LOAD_SPLIT).cast("timestamp"))
     land_increment(spark, early, landing, marks, load_id="1")
-    append_stream(stream_ocpp_csv(spark, f"{landing}/load=*/dt=*/"), bronze_path, ckpt)
+    append_stream(stream_ocpp_csv(spark, f"{landing}/load=*/dt=*/"), bronze_path, ckpt, partition_by=["frame_kind"])
     land_increment(spark, lines, landing, marks, load_id="2")
-    append_stream(stream_ocpp_csv(spark, f"{landing}/load=*/dt=*/"), bronze_path, ckpt)
+    append_stream(stream_ocpp_csv(spark, f"{landing}/load=*/dt=*/"), bronze_path, ckpt, partition_by=["frame_kind"])
     b = spark.read.parquet(bronze_path)
     parsed = silver_ops.parse_frames(b)
     return parsed.select(

@@ -20,12 +20,19 @@ from voltstream.operators import bronze
 from voltstream.sources.csv import MASTER_CSV_OPTIONS, OCPP_CSV_OPTIONS
 
 
-def stream_ocpp_csv(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming bronze rows from OCPP CSV files (SC3, PJ1, PJ2, ST3, ST5)."""
+def stream_ocpp_csv(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, with_frame_kind: bool = True
+) -> DataFrame:
+    """Streaming bronze rows from OCPP CSV files (SC3, PJ1, PJ2, ST3, ST5).
+
+    ``with_frame_kind`` adds the ``frame_kind`` column to partition bronze by
+    (see ``append_stream(partition_by=...)``).
+    """
     r = spark.readStream.options(**OCPP_CSV_OPTIONS).schema(schemas.ddl(schemas.BRONZE_INPUT_DDL))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return bronze.conform(bronze.add_ingest_metadata(r.csv(path)))
+    out = bronze.conform(bronze.add_ingest_metadata(r.csv(path)))
+    return bronze.add_frame_kind(out) if with_frame_kind else out
 
 
 def stream_master_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -40,9 +47,12 @@ def append_stream(
     fmt: str = "parquet",
     available_now: bool = True,
     timeout: float | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Append a stream to a file table with a checkpoint (SK5); waits when ``available_now``."""
     w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if available_now:
         w = w.trigger(availableNow=True)
     q = w.start(path)
