@@ -62,3 +62,23 @@ def test_stream_silver_with_master_shuffle_fallback(spark, tmp_base):
     got = spark.table("silver_fallback")
     assert got.count() > 0
     assert got.select("SOURCE_ID").distinct().count() == got.count()
+
+
+def test_silver_increment_pairs_across_load_boundary(spark, tmp_base):
+    """A request landed in load 1 and its result in load 2 end up paired in gold."""
+    from tests.conftest import bronze_rows, master_rows
+    from voltstream.plans.medallion import merge_into_gold_table, silver_increment
+
+    b = bronze_rows(spark, [
+        (1, "CS1", '15-Jan-2024 23:59:59.500 [2,"9","Heartbeat",{}]@@EOM@@'),
+        (2, "CS1", '16-Jan-2024 00:00:00.500 [3,"9",{"currentTime":"2024-01-16T00:00:00.500Z"}]@@EOM@@'),
+    ]).withColumn("request_date", F.when(F.col("id") == 1, F.lit("2024-01-15 23:59:59.5")).otherwise(
+        F.lit("2024-01-16 00:00:00.5")).cast("timestamp")).withColumn(
+        "source_file", F.when(F.col("id") == 1, F.lit("/load=1/x.csv")).otherwise(F.lit("/load=2/x.csv")))
+    master = master_rows(spark, [("CS1", 1, "ACME")])
+    path = f"{tmp_base}/gold"
+    for load in ("1", "2"):
+        inc = silver_increment(b, F.col("source_file").contains(f"/load={load}/"), master)
+        merge_into_gold_table(path, inc, f"{tmp_base}/stage{load}")
+    row = spark.read.parquet(path).first()
+    assert row["UNIFIED_TIMESTAMP_SOURCE"] == "payload" and row["OCPP_RESPONSE_MESSAGE"] is not None

@@ -420,6 +420,31 @@ def q_stream_gold(spark, sf_dir):
                     "UNIFIED_TIMESTAMP_SOURCE", "ID_TAG_STATUS", "TRANSACTION_ID")
 
 
+def q_heartbeats_end_to_end(spark, sf_dir):
+    """The deployed path end to end: two landings → partitioned bronze stream → silver →
+    day-partitioned gold (first load, then a MERGE of the second landing) → heartbeat view."""
+    from voltstream.operators.incremental import land_increment
+    from voltstream.session import run_dir
+    from voltstream.sources.csv import write_snapshot_csv
+    from voltstream.streaming.ingest import append_stream, stream_master_csv, stream_ocpp_csv
+
+    lines = _ocpp_lines(spark, sf_dir)
+    base = run_dir(spark, "end-to-end")
+    landing, marks, stamp = f"{base}/landing", f"{base}/_marks", medallion.fixed_stamp()
+    write_snapshot_csv(fixtures.master_from_tables(spark, sf_dir), f"{landing}/master_data")
+    append_stream(stream_master_csv(spark, f"{landing}/master_data"), f"{base}/master", f"{base}/_ckpt/master")
+    master = spark.read.parquet(f"{base}/master")
+    early = lines.filter(F.col("request_date") < F.lit(LOAD_SPLIT).cast("timestamp"))
+    for load, src in (("1", early), ("2", lines)):
+        land_increment(spark, src, landing, marks, load_id=load)
+        append_stream(stream_ocpp_csv(spark, f"{landing}/load=*/dt=*/"), f"{base}/bronze", f"{base}/_ckpt/bronze",
+                      partition_by=["frame_kind"])
+        bronze = spark.read.parquet(f"{base}/bronze")
+        inc = medallion.silver_increment(bronze, F.col("source_file").contains(f"/load={load}/"), master, stage_time=stamp)
+        medallion.merge_into_gold_table(f"{base}/gold", inc, f"{base}/_stage{load}", stamp=stamp)
+    return views.charger_heartbeats(spark.read.parquet(f"{base}/gold"))
+
+
 #: queries without a SQL oracle (stateful streaming; checked against the batch plan in tests)
 NO_ORACLE = ("stream_gold",)
 
@@ -455,6 +480,7 @@ def queries() -> dict[str, QueryFn]:
         "silver_faithful": q_silver_faithful,
         "charger_heartbeats_faithful": q_charger_heartbeats_faithful,
         "stream_gold": q_stream_gold,
+        "heartbeats_end_to_end": q_heartbeats_end_to_end,
     }
 
 
@@ -659,6 +685,7 @@ SELECT COALESCE(tgt.o_orderkey, src.o_orderkey) AS o_orderkey,
 FROM tgt FULL OUTER JOIN src ON tgt.o_orderkey = src.o_orderkey"""
     o["gold_snapshots"] = o["gold_upsert"]
     o["gold_partitioned_upsert"] = o["gold_upsert"]
+    o["heartbeats_end_to_end"] = o["charger_heartbeats"]
     # faithful: every row twice (two connectors per station); Heartbeat result time read as text, so an
     # unparsable time still counts as 'payload' and leaves the unified time NULL; bodies with a newline
     # are not read; Start/Stop results never read

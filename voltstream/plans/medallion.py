@@ -78,3 +78,28 @@ def merge_into_gold_table(
         gold_path, silver_df, schemas.GOLD_KEY, GOLD_PARTITION, gold_partition_value(), stage_path,
         stamp_column="STAGE_PROCESSED_TIMESTAMP", stamp=stamp, order=SILVER_ORDER, locate=locate,
     )
+
+
+def silver_increment(
+    bronze: DataFrame,
+    is_new: Column,
+    master: DataFrame,
+    pair_within: str = "10 minutes",
+    stage_time: Column | None = None,
+    mode: str = "fixed",
+) -> DataFrame:
+    """Silver rows for a new bronze load, with results paired across the load boundary.
+
+    A request landed in an earlier load whose result arrives in this one would
+    otherwise never be paired. The increment therefore also takes the earlier
+    rows within ``pair_within`` before the new load's earliest ``request_date``
+    (one scalar, collected). Re-merging those rows into gold is idempotent;
+    the boundary requests gain their result.
+    """
+    new = bronze.filter(is_new)
+    first = new.agg(F.min("request_date")).first()[0]
+    if first is None:
+        return silver.to_silver(new, master, mode=mode, stage_time=stage_time)
+    start = F.lit(first).cast("timestamp") - F.expr(f"INTERVAL {pair_within}")
+    window_rows = bronze.filter(~is_new & (F.col("request_date") >= start))
+    return silver.to_silver(new.unionByName(window_rows), master, mode=mode, stage_time=stage_time)
