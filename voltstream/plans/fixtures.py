@@ -61,10 +61,12 @@ def spread(df: DataFrame) -> DataFrame:
     The driver's tables are single-row-group files (one split); a real source
     table has many files and is left as is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): keep the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def ocpp_from_events(events: DataFrame) -> DataFrame:

@@ -40,18 +40,27 @@ def shared_dir(spark: SparkSession) -> str:
     when it is unset, as in local tests, a private folder is created and
     registered so that ``DataFrame.checkpoint()`` and our written tables use it.
     """
-    base = spark.sparkContext.getConf().get(_CKPT_KEY, None)
+    base = None
+    try:
+        base = spark.conf.get(_CKPT_KEY, None)
+    except Exception:  # noqa: BLE001 - key unknown to this session
+        base = None
     if not base:
         try:
-            base = spark.conf.get(_CKPT_KEY)
-        except Exception:  # noqa: BLE001 - unset key
+            base = spark.sparkContext.getConf().get(_CKPT_KEY, None)
+        except Exception:  # noqa: BLE001 - no SparkContext access (remote session)
             base = None
     if not base:
         base = tempfile.mkdtemp(prefix="voltstream-ckpt-")
-        spark.conf.set(_CKPT_KEY, base)
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.conf.set(_CKPT_KEY, base)
+        except Exception:  # noqa: BLE001 - not settable at runtime; the folder is still used
+            pass
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(base)
+    except Exception:  # noqa: BLE001 - remote session: DataFrame.checkpoint uses the server's setting
+        pass
     return base.rstrip("/")
 
 
