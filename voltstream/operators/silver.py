@@ -15,9 +15,10 @@ Plan shape (``fixed`` mode, the default)::
 * The master side is reduced to one row per station and broadcast only when
   its row count is within the bound; otherwise it is a shuffle join.
 
-``faithful`` mode reproduces the original result instead: only Heartbeat
-requests are paired, on the message id alone, with every result; Start /
-Stop results are never read; master rows join per connector.
+``faithful`` mode reproduces the original per-row values instead: only
+Heartbeat requests are paired, on the message id alone; Start / Stop results
+are never read. The original's row multiplication (every matching result,
+every connector row) is not reproduced: it would emit all pairs per group.
 """
 
 from __future__ import annotations
@@ -156,8 +157,10 @@ def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> D
     """Attach each request's result frame (JN1) as ``OCPP_RESPONSE_MESSAGE``.
 
     fixed: key (station, message id), earliest result wins (by gateway time,
-    then bronze id), all actions. faithful: Heartbeat requests only, message
-    id only, every matching result (rows fan out).
+    then bronze id), all actions. faithful: Heartbeat requests only, keyed on
+    the message id alone, so a result of another station can pair (the
+    original mis-pairing); the original's fan-out to *every* matching result
+    is not reproduced, as that would emit all pairs per message id.
     """
     frames.check_mode(mode)
     res = responses(parsed)
@@ -171,7 +174,9 @@ def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> D
         left = reqs.withColumns({"_pk": _pair_key(), "_nk": null_key_salt(_KEY, spread_by=F.col("id"))})
         right = res.select(_pair_key().alias("_pk"), F.lit(0).cast("bigint").alias("_nk"), "OCPP_RESPONSE_MESSAGE")
         return left.join(right, ["_pk", "_nk"], "left").drop("_pk", "_nk")
-    res = res.select("OCPP_MESSAGE_UNIQUE_ID", "OCPP_RESPONSE_MESSAGE")
+    # faithful: Heartbeat requests only, keyed on the message id alone (results of
+    # other stations can pair); the earliest such result, so rows never multiply
+    res = earliest_by_key(res, ["OCPP_MESSAGE_UNIQUE_ID"], ["_res_created", "_res_id"], values=["OCPP_RESPONSE_MESSAGE"])
     heartbeats = reqs.filter(F.col("OCPP_ACTION") == HEARTBEAT).join(res, "OCPP_MESSAGE_UNIQUE_ID", "left")
     others = reqs.filter(F.col("OCPP_ACTION") != HEARTBEAT).withColumn("OCPP_RESPONSE_MESSAGE", F.lit(None).cast("string"))
     return heartbeats.unionByName(others)
@@ -232,15 +237,15 @@ def parse_payloads(paired: DataFrame, mode: str = "fixed") -> DataFrame:
 
 
 def station_master(master: DataFrame, mode: str = "fixed") -> DataFrame:
-    """Master rows used for enrichment.
+    """Master rows used for enrichment: one per station (the lowest connector's row).
 
-    fixed: one row per station (the lowest connector's row), so the join
-    cannot multiply messages. faithful: one row per connector.
+    Both modes use station grain. The original joined one row per connector
+    (and per master reload), multiplying messages; that fan-out is not
+    reproduced in ``faithful`` mode, as it would emit all message × connector
+    pairs per station and grow with every reload.
     """
     frames.check_mode(mode)
     m = master.select("OCPP_CHARGE_STATION_ID", "OCPP_CONNECTOR_ID", "CONNECTOR_ID", *MASTER_KEEP)
-    if mode == "faithful":
-        return m.select("OCPP_CHARGE_STATION_ID", *MASTER_KEEP)
     return earliest_by_key(m, ["OCPP_CHARGE_STATION_ID"], ["CONNECTOR_ID", "OCPP_CONNECTOR_ID"]).select(
         "OCPP_CHARGE_STATION_ID", *MASTER_KEEP
     )

@@ -374,7 +374,7 @@ def q_gold_partitioned_upsert(spark, sf_dir):
 
 
 def q_silver_faithful(spark, sf_dir):
-    """Per-action profile of faithful silver: master fan-out, unpaired Start/Stop results, D5/D19 effects."""
+    """Per-action profile of faithful silver: unpaired Start/Stop results, text-read Heartbeat times, D19 effects."""
     s = _silver(spark, sf_dir, mode="faithful")
     c = lambda cond, name: F.count(F.when(cond, 1)).alias(name)
     return s.groupBy("OCPP_ACTION").agg(
@@ -686,25 +686,24 @@ FROM tgt FULL OUTER JOIN src ON tgt.o_orderkey = src.o_orderkey"""
     o["gold_snapshots"] = o["gold_upsert"]
     o["gold_partitioned_upsert"] = o["gold_upsert"]
     o["heartbeats_end_to_end"] = o["charger_heartbeats"]
-    # faithful: every row twice (two connectors per station); Heartbeat result time read as text, so an
-    # unparsable time still counts as 'payload' and leaves the unified time NULL; bodies with a newline
-    # are not read; Start/Stop results never read
+    # faithful: Heartbeat result time read as text, so an unparsable time still counts as 'payload' and
+    # leaves the unified time NULL; bodies with a newline are not read; Start/Stop results never read
     o["silver_faithful"] = _with("""
-SELECT action AS OCPP_ACTION, 2 * COUNT(*) AS n_rows, COUNT(*) AS n_sources,
-       2 * COUNT(*) FILTER (WHERE NOT (action = 'Heartbeat' AND has_res AND eid % 97 = 0)) AS n_unified,
-       2 * COUNT(*) FILTER (WHERE CASE action WHEN 'Heartbeat' THEN has_res
-                                              WHEN 'StatusNotification' THEN body_time_ok AND eid % 11 <> 0
-                                              ELSE body_time_ok END) AS n_payload_source,
+SELECT action AS OCPP_ACTION, COUNT(*) AS n_rows, COUNT(*) AS n_sources,
+       COUNT(*) FILTER (WHERE NOT (action = 'Heartbeat' AND has_res AND eid % 97 = 0)) AS n_unified,
+       COUNT(*) FILTER (WHERE CASE action WHEN 'Heartbeat' THEN has_res
+                                          WHEN 'StatusNotification' THEN body_time_ok AND eid % 11 <> 0
+                                          ELSE body_time_ok END) AS n_payload_source,
        CAST(0 AS BIGINT) AS n_id_tag_status,
-       2 * COUNT(*) FILTER (WHERE action = 'StopTransaction') AS n_transaction_id,
-       2 * COUNT(*) FILTER (WHERE action = 'StatusNotification' AND eid % 11 <> 0) AS n_error_code,
-       2 * COUNT(*) FILTER (WHERE action = 'Heartbeat') AS n_request_message,
-       2 * COUNT(*) FILTER (WHERE action = 'Heartbeat' AND has_res) AS n_response_message
+       COUNT(*) FILTER (WHERE action = 'StopTransaction') AS n_transaction_id,
+       COUNT(*) FILTER (WHERE action = 'StatusNotification' AND eid % 11 <> 0) AS n_error_code,
+       COUNT(*) FILTER (WHERE action = 'Heartbeat') AS n_request_message,
+       COUNT(*) FILTER (WHERE action = 'Heartbeat' AND has_res) AS n_response_message
 FROM sv GROUP BY action""")
     o["charger_heartbeats_faithful"] = _with("""
 SELECT station AS CHARGE_STATION_ID,
        CAST(CASE WHEN has_res AND eid % 97 = 0 THEN NULL WHEN has_res THEN t + INTERVAL 1 SECOND ELSE t END AS DATE) AS date,
-       2 * COUNT(*) AS heartbeat_count, MAX(0) AS was_down
+       COUNT(*) AS heartbeat_count, MAX(0) AS was_down
 FROM sv WHERE action = 'Heartbeat' GROUP BY 1, 2""")
     lines = f"""
 lines AS (
