@@ -449,6 +449,18 @@ def q_heartbeats_end_to_end(spark, sf_dir):
 NO_ORACLE = ("stream_gold",)
 
 
+def q_charging_session_duration_faithful(spark, sf_dir):
+    """VW4 on faithful gold: Start rows carry no transaction id (D4), so sessions hold stops only."""
+    ensure_utc(spark)
+    g = medallion.gold_from_tables(spark, sf_dir, mode="faithful", stamp=medallion.fixed_stamp())
+    v = views.charging_session_duration(g)
+    return v.select(
+        "TRANSACTION_ID", "CHARGE_STATION_ID",
+        _ts("session_start").alias("session_start"), _ts("session_end").alias("session_end"),
+        (F.unix_millis("session_end") - F.unix_millis("session_start")).cast("bigint").alias("session_duration_ms"),
+    )
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "charger_heartbeats": q_charger_heartbeats,
@@ -481,6 +493,7 @@ def queries() -> dict[str, QueryFn]:
         "charger_heartbeats_faithful": q_charger_heartbeats_faithful,
         "stream_gold": q_stream_gold,
         "heartbeats_end_to_end": q_heartbeats_end_to_end,
+        "charging_session_duration_faithful": q_charging_session_duration_faithful,
     }
 
 
@@ -686,6 +699,11 @@ FROM tgt FULL OUTER JOIN src ON tgt.o_orderkey = src.o_orderkey"""
     o["gold_snapshots"] = o["gold_upsert"]
     o["gold_partitioned_upsert"] = o["gold_upsert"]
     o["heartbeats_end_to_end"] = o["charger_heartbeats"]
+    o["charging_session_duration_faithful"] = _with(f"""
+SELECT txid AS TRANSACTION_ID, station AS CHARGE_STATION_ID, {_t('MIN(unified)')} AS session_start,
+       {_t('MAX(unified)')} AS session_end, date_diff('millisecond', MIN(unified), MAX(unified)) AS session_duration_ms
+FROM sv WHERE action = 'StopTransaction'
+GROUP BY txid, station""")
     # faithful: Heartbeat result time read as text, so an unparsable time still counts as 'payload' and
     # leaves the unified time NULL; bodies with a newline are not read; Start/Stop results never read
     o["silver_faithful"] = _with("""
