@@ -28,6 +28,10 @@ newline in body        StatusNotification bodies with ``event_id % 11 = 0``
 master                 customer × connectors {1, 2} ⋈ nation, leaving out
                        ``c_custkey % 13 = 0`` (so the inner join drops rows)
 =====================  ======================================================
+
+The modulo rules only shape the derived data (which event has a result
+frame, a payload time, a newline; which stations the master file lacks).
+Every event is rendered and processed; nothing is sampled away.
 """
 
 from __future__ import annotations
