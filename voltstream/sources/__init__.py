@@ -1 +1 @@
-"""voltstream.sources"""
+"""Readers and writers: raw OCPP / master CSV, parquet tables, snapshot tables."""
