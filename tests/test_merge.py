@@ -114,3 +114,12 @@ def test_snapshot_survives_orphaned_attempt(spark, tmp_base):
     assert latest_snapshot(spark, base) == 2
     assert [tuple(r) for r in read_snapshot(spark, base).collect()] == [("b", 2)]
     assert [tuple(r) for r in read_snapshot(spark, base, snap=1).collect()] == [("a", 1)]
+
+
+def test_composite_key_with_one_null_part(spark):
+    """(a, NULL) never matches (a, NULL): kept on the target side, inserted from the source."""
+    t = spark.createDataFrame([("a", None, 1, "old"), ("a", "x", 2, "old")], "k1 string, k2 string, v int, stamp string")
+    s = spark.createDataFrame([("a", None, 10, 1), ("a", "x", 20, 1)], "k1 string, k2 string, v int, seq int")
+    out = upsert(t, s, ["k1", "k2"], stamp_column="stamp", stamp=F.lit("new"), order=["seq"])
+    rows = sorted(((r.k1, r.k2 or "", r.v, r.stamp) for r in out.collect()))
+    assert rows == [("a", "", 1, "old"), ("a", "", 10, "new"), ("a", "x", 20, "new")]
