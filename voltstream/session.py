@@ -33,11 +33,20 @@ def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _master(spark: SparkSession) -> str:
+    """The session's master; a session without SparkContext access counts as a cluster."""
+    try:
+        return spark.sparkContext.master
+    except Exception:  # noqa: BLE001 - remote session
+        return "remote"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set (a shared file system path). Only
-    when it is unset, as in local tests, a private folder is created and
+    On a cluster this must be set (a shared file system path); an unset value
+    raises there, since executors would not see a driver-local folder. Only a
+    ``local`` / ``local[n]`` master without the setting gets a private folder,
     registered so that ``DataFrame.checkpoint()`` and our written tables use it.
     """
     base = None
@@ -51,6 +60,9 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext access (remote session)
             base = None
     if not base:
+        master = _master(spark)
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"{_CKPT_KEY} must name a shared folder on master {master!r}")
         base = tempfile.mkdtemp(prefix="voltstream-ckpt-")
         try:
             spark.conf.set(_CKPT_KEY, base)
