@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltstream.session import run_dir
@@ -35,15 +35,23 @@ def worker_memo(name: str) -> dict:
     return home.__dict__.setdefault(name, {})
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a slice holds about ``max_bytes`` of text; NULL texts become empty."""
+def row_key(id_col: str, text_col: str) -> Column:
+    """``<id>:<hash of the text>``, 'n' for a NULL id: tells rows apart by content where ids repeat or are missing."""
+    return F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("n")), F.lit(":"), F.hex(F.xxhash64(F.col(text_col).cast("string"))))
+
+
+def filled(batch: pa.RecordBatch, text: str | int) -> pa.Array:
+    """The text column with NULL as empty."""
+    return pc.fill_null(batch.column(text), "")
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], text: str | int, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a slice holds about ``max_bytes`` of text; a longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        at = batch.schema.get_field_index(text)
-        batch = batch.set_column(at, text, pc.fill_null(batch.column(at), ""))
-        size = np.cumsum(pc.binary_length(batch.column(at)).to_numpy(zero_copy_only=False))
-        part = (np.maximum(size - 1, 0) // max_bytes)
+        size = np.cumsum(pc.binary_length(filled(batch, text)).to_numpy(zero_copy_only=False).astype(np.int64))
+        part = np.maximum(size - 1, 0) // max_bytes
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
             yield batch.slice(int(a), int(b - a))

@@ -39,6 +39,7 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.lib = Tokenizer.from_file(path)
+        self.size = self.lib.get_vocab_size(with_added_tokens=True)
         self.memo = worker_memo(f"ids {path}")
 
     def _ids(self, piece: str) -> bytes:

@@ -2,13 +2,14 @@
 
 Layout of an output folder: per shard (one Spark partition of a total order)
 
-* ``<shard>.ids``      little-endian uint32 token ids, document after document
+* ``<shard>.ids``      little-endian token ids, document after document; uint16 if the vocabulary and the
+  end id fit, else uint32 (``id_type`` in the manifest)
 * ``<shard>.docs``     little-endian int64 document ids
 * ``<shard>.counts``   little-endian int64, ids of each document
 * ``<shard>-<attempt>.offsets``  little-endian int64, one more than documents: document i of the shard owns
   the global token positions offsets[i] .. offsets[i + 1] - 1; minus offsets[0] they index ``<shard>.ids``
 
-and a manifest table: shard, name, n_docs, n_ids, base, offsets (that file's name). ``base``, the ids of all earlier
+and a manifest table: shard, name, id_type, n_docs, n_ids, base, offsets (that file's name). ``base``, the ids of all earlier
 shards, is a prefix sum over the manifest's counts, one row per partition. Files carry a name unique
 to the task attempt and only attempts that Spark committed reach the manifest, so a rerun after a lost
 executor leaves at worst unlisted files. Folders are reached through ``pyarrow.fs`` (local or shared
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import stage, text_slices
+from voltstream.llm.common import filled, stage, text_slices
 from voltstream.llm.encode import WordEncoder, default_path
 from voltstream.session import run_dir
 
@@ -77,20 +78,21 @@ def write_token_files(spark: SparkSession, docs: DataFrame, folder: str, id_col:
         system, path = _folder(folder)
         system.create_dir(path, recursive=True)
         encoder, n_docs, n_ids, out = WordEncoder(tokenizer), 0, 0, []
+        id_type = "<u2" if max(encoder.size - 1, end_id) < 1 << 16 else "<u4"
         for part in text_slices(batches, "text"):
             if not out:
                 out = [system.open_output_stream(f"{path}/{name}.{kind}") for kind in ("ids", "docs", "counts")]
-            ids, counts = encoder.ids(part.column("text"), end_id)
+            ids, counts = encoder.ids(filled(part, "text"), end_id)
             doc = part.column("id").fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
-            for f, x in zip(out, (ids.astype("<u4"), doc.astype("<i8"), counts.astype("<i8"))):
+            for f, x in zip(out, (ids.astype(id_type), doc.astype("<i8"), counts.astype("<i8"))):
                 f.write(x.tobytes())
             n_docs, n_ids = n_docs + len(counts), n_ids + len(ids)
         for f in out:
             f.close()
         if out:
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "name": [name], "n_docs": [n_docs], "n_ids": [n_ids]})
+            yield pa.RecordBatch.from_pydict({"shard": [shard], "name": [name], "id_type": [id_type], "n_docs": [n_docs], "n_ids": [n_ids]})
 
-    written = stage(spark, rows.mapInArrow(write, "shard long, name string, n_docs long, n_ids long"), "token-shards")
+    written = stage(spark, rows.mapInArrow(write, "shard long, name string, id_type string, n_docs long, n_ids long"), "token-shards")
     # one row per partition: small whatever the corpus
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     based = written.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long"))
@@ -107,7 +109,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, folder: str, id_col:
                     f.write(at.astype("<i8").tobytes())
             yield batch.append_column("offsets", pa.array(names))
 
-    return stage(spark, based.mapInArrow(offsets, "shard long, name string, n_docs long, n_ids long, base long, offsets string"), "manifest")
+    return stage(spark, based.mapInArrow(offsets, "shard long, name string, id_type string, n_docs long, n_ids long, base long, offsets string"), "manifest")
 
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
@@ -116,12 +118,12 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                files = (f"{row['name']}.ids", "<u4"), (f"{row['name']}.docs", "<i8"), (row["offsets"], "<i8")
+                files = (f"{row['name']}.ids", row["id_type"]), (f"{row['name']}.docs", "<i8"), (row["offsets"], "<i8")
                 ids, doc, at = (_mapped(folder, name, dtype) for name, dtype in files)
                 start, end = at[:-1] - at[0], at[1:] - at[0]
                 step = np.flatnonzero(np.diff(end // READ_IDS)) + 1
                 for a, b in zip([0, *step], [*step, len(doc)]):
-                    crc = [zlib.crc32(ids[x:y].tobytes()) for x, y in zip(start[a:b], end[a:b])]
+                    crc = [zlib.crc32(ids[x:y].astype("<u4").tobytes()) for x, y in zip(start[a:b], end[a:b])]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(doc[a:b], mask=doc[a:b] == _NULL_ID), pa.array(at[a:b]), pa.array(at[a + 1:b + 1] - at[a:b]), pa.array(crc, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
