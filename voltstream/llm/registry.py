@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltstream.llm.decontaminate import op7_decontaminate
+from voltstream.llm.mix import op6_mix_sources
+from voltstream.llm.simhash import op9_simhash
 from voltstream.llm.token_files import op3_token_files
+from voltstream.llm.toxicity import op8_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_files": op3_token_files,
+        "op6_mix_sources": op6_mix_sources,
+        "op7_decontaminate": op7_decontaminate,
+        "op8_toxicity": op8_toxicity,
+        "op9_simhash": op9_simhash,
     }
 
 
