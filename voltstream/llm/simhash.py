@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import components, filled, local_roots, segment_sums, stage, text_slices, u64
+from voltstream.llm.common import components, filled, local_roots, row_key, segment_sums, stage, text_slices, u64
 
 #: Fingerprints the shard tree is fitted on; more only make shards more even.
 SAMPLE = 16_384
@@ -61,15 +61,16 @@ def fingerprint(hashes: list[np.ndarray]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; fp holds the 64 bits as a signed long."""
+    """(doc_id, text_hash, fp) of every row; fp holds the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text", 1 << 20):
             fp = fingerprint([shingle_hashes(t, shingle) for t in filled(part, "text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(u64(fp))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(u64(fp))], ["doc_id", "text_hash", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 class VantageTree:
@@ -160,28 +161,37 @@ def fingerprint_links(spark: SparkSession, fps: DataFrame, distance: int = 2, sh
 
 def simhash_classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     distance: int = 2, shard: int = SHARD) -> DataFrame:
-    """One row per document: doc_id, fp, component_id (smallest id reachable over links)."""
+    """One row per document: doc_id, text_hash, fp, root (smallest fp of the component), component_id (smallest id in it)."""
     marked = stage(spark, fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = stage(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     roots = components(spark, fingerprint_links(spark, distinct.select("fp"), distance, shard))
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = stage(spark, rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
     # tables of their own on both sides: a hot class can be split in either join
-    classes = stage(spark, rooted.join(least, "root").select("fp", "component_id"), "classes")
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = stage(spark, rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
+    return marked.join(classes, "fp")
 
 
-def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash_classes(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the smallest id (NULL last), then the smallest xxhash64(text).
 
+    Of rows that repeat this id and text, the one of smallest hash over all columns stays.
+    """
+    found = stage(spark, simhash_classes(spark, docs, id_col, text_col, **options).select("doc_id", "text_hash", "root"), "classes")
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("n")), F.lit(":"), F.hex("text_hash"))  # as row_key
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("best")).select("best.*")
+    kept = stage(spark, best.select(key.alias("_kept")), "kept")
+    again = stage(spark, found.groupBy("doc_id", "text_hash").count().where("count > 1").select(key.alias("_again")), "again")
+    rows = docs.join(kept, row_key(id_col, text_col) == F.col("_kept"), "left_semi")
+    if again.isEmpty():
+        return rows
+    once = rows.join(again, row_key(id_col, text_col) == F.col("_again"), "left_anti")
+    more = rows.join(again, row_key(id_col, text_col) == F.col("_again"), "left_semi")
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    first = more.groupBy(row_key(id_col, text_col)).agg(F.min_by(whole, F.struct(F.xxhash64(whole), F.hash(whole))).alias("row"))
+    return once.union(first.select("row.*"))
 
-def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without all but one row of each near-duplicate group: that of the smallest id (of equal ids, the smallest text).
 
-    Rows with a NULL id stay, as their group cannot be told from an id.
-    """
-    found = simhash_classes(spark, docs, id_col, **options)
-    kept = stage(spark, found.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    rows = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
-    return rows.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_classes(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

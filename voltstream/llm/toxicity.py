@@ -1,9 +1,13 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word enters as two learned vectors: its own (words of the training vocabulary; others share one) and the mean
-of its hashed character trigrams. Two GRUs read a window of ``WIDTH`` words forwards and backwards, attention
-pools their states into one vector, a logistic unit gives the window's score. A document's score is the highest
-over all windows, which start every ``STRIDE`` words and overlap, so every word of the whole text is read.
+A word enters as learned vectors: its own, the mean of its hashed character trigrams, and the mean of its hashed
+beginnings of 3 to 8 bytes. Only words and pieces whose document counts differ between the classes by ``TELLING``
+standard deviations have vectors of their own, the others share one. Two GRUs read a window of ``WIDTH`` words
+forwards and backwards, attention pools their states into one vector, a logistic unit gives the window's score.
+A document's evidence is the highest over all windows, which start every ``STRIDE`` words and overlap, so every
+word of the whole text is read. Its score is a logistic function of that and of the logarithm of the number of
+windows (more windows reach a height by chance), fitted on a fifth of the training documents that the network
+doesn't see, weighted to the classes' shares among all labels.
 
 Training (driver, numpy, Adam): labels belong to documents, not windows, so the network learns from one window
 of each document at a time - first the one whose words are most telling by document counts, then, twice, the one
@@ -29,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import Words, filled, text_slices
+from voltstream.llm.common import Words, filled, ranges, text_slices
 
 WIDTH, STRIDE = 32, 24
-HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION, CHAR_ROWS = 8, 12, 8, 8, 2048
-VOCABULARY = 8192
+HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION, CHAR_ROWS = 8, 12, 8, 8, 1 << 15
+BEGINNINGS = range(3, 9)
+TELLING, LEAST_DOCS = 4.5, 5
 THRESHOLD = 0.3
 _EDGES = " \t.,;:!?\"'()[]{}<>*_~`#$%&|/\\-"
 
@@ -46,32 +51,40 @@ def _normal(word: str) -> str:
     return word.strip(_EDGES).lower()
 
 
-def _trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed character (byte) trigrams of ^word$, and where each word's begin (one more than words)."""
+def _pieces(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Rows of the character table, as (rows, where each word's begin): trigrams of ^word$, beginnings."""
     raw = [b"\x02" + w.encode("utf-8", "surrogatepass") + b"\x03" for w in words]
     size = np.fromiter(map(len, raw), np.int64, len(raw))
-    b = np.frombuffer(b"".join(raw) + b"\0\0", np.uint8).astype(np.int64)
-    code = (b[:-2] * 7919 + b[1:-1] * 263 + b[2:] * 31) % CHAR_ROWS
+    b = np.frombuffer(b"".join(raw) + bytes(BEGINNINGS.stop), np.uint8).astype(np.int64)
     end = np.cumsum(size)
+    code = (b[:-2] * 7919 + b[1:-1] * 263 + b[2:] * 31)[: int(size.sum())] % CHAR_ROWS
     inside = np.ones(len(code), bool)
     inside[end - 1] = inside[end - 2] = False
-    count = np.maximum(size - 2, 0)
-    code, short = code[inside], np.flatnonzero(count == 0)
-    if len(short):  # an empty word has one trigram of its own
-        code = np.insert(code, np.cumsum(count)[short], 0)
-        count[short] = 1
-    return code, np.concatenate([[0], np.cumsum(count)])
+    count = size - 2
+    trigrams = code[inside]
+    short = np.flatnonzero(count == 0)  # an empty word has one trigram of its own
+    trigrams, count = np.insert(trigrams, np.cumsum(count)[short], 0), np.maximum(count, 1)
+    rows, has, h = [], [], np.zeros(len(raw), np.int64)
+    for k in range(BEGINNINGS.stop):
+        h = (h * 263 + b[end - size + k]) % 1_000_003
+        if k in BEGINNINGS:
+            rows.append((h * 31 + k) % CHAR_ROWS)
+            has.append(size - 2 >= k)
+    has[0][:] = True  # every word has one
+    rows, has = np.stack(rows, axis=1), np.stack(has, axis=1)
+    return [(trigrams, np.concatenate([[0], np.cumsum(count)])), (rows[has], np.concatenate([[0], np.cumsum(has.sum(axis=1))]))]
 
 
 class Texts:
     """Windows over the words of some texts."""
 
-    def __init__(self, texts: pa.Array, vocabulary: dict[str, int]):
+    def __init__(self, texts: pa.Array, vocabulary: dict[str, int], known: np.ndarray | None = None):
         words = Words(texts)
         normal = [_normal(w) for w in words.unique]
         self.code, self.words = words.code, normal
         self.word = np.fromiter((vocabulary.get(w, 0) for w in normal), np.int64, len(normal))
-        self.trigram, self.trigram_at = _trigrams(normal)
+        self.pieces = [(rows if known is None else known[rows], at) for rows, at in _pieces(normal)]
+        self.word_start = words.start
         n = np.diff(words.start)
         per = np.where(n > 0, 1 + np.maximum(0, -(-(n - WIDTH) // STRIDE)), 0)
         self.doc = np.repeat(np.arange(len(n)), per)
@@ -89,21 +102,27 @@ class Texts:
 class Network:
     """Parameters in ``p``; window scores, and gradients for training."""
 
-    def __init__(self, vocabulary: dict[str, int], seed: int = 7):
+    def __init__(self, vocabulary: dict[str, int], known: np.ndarray, seed: int = 7):
         rng = np.random.default_rng(seed)
         f = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
-        size = WORD_DIM + CHAR_DIM
-        self.vocabulary, self.prior = vocabulary, 0.0
+        size = WORD_DIM + 2 * CHAR_DIM
+        self.vocabulary, self.known, self.prior = vocabulary, known, 0.0
+        self.scale = np.array([1.0, 0.0, 0.0])
         self.p = {"word": 0.1 * rng.standard_normal((len(vocabulary) + 1, WORD_DIM)).astype(np.float32),
-                  "char": 0.3 * rng.standard_normal((CHAR_ROWS, CHAR_DIM)).astype(np.float32),
+                  "char": 0.3 * rng.standard_normal((int(known.max()) + 1, CHAR_DIM)).astype(np.float32),
                   "a": f(2 * HIDDEN, ATTENTION), "a0": np.zeros(ATTENTION, np.float32), "v": f(ATTENTION), "o": f(2 * HIDDEN), "o0": np.zeros(1, np.float32)}
         for way in "fb":
             self.p |= {f"w{way}": f(size, 3 * HIDDEN), f"u{way}": f(HIDDEN, 3 * HIDDEN), f"c{way}": np.zeros(3 * HIDDEN, np.float32)}
 
     def inputs(self, texts: Texts) -> np.ndarray:
         """The input vector of each distinct word."""
-        sums = np.add.reduceat(self.p["char"][texts.trigram], texts.trigram_at[:-1], axis=0) if len(texts.words) else np.empty((0, CHAR_DIM), np.float32)
-        return np.concatenate([self.p["word"][texts.word], sums / np.diff(texts.trigram_at)[:, None].astype(np.float32)], axis=1)
+        if not texts.words:
+            return np.empty((0, WORD_DIM + 2 * CHAR_DIM), np.float32)
+        return self.vectors(texts.word, texts.pieces)
+
+    def vectors(self, word: np.ndarray, pieces: list) -> np.ndarray:
+        means = [np.add.reduceat(self.p["char"][rows], at[:-1], axis=0) / np.diff(at)[:, None].astype(np.float32) for rows, at in pieces]
+        return np.concatenate([self.p["word"][word], *means], axis=1)
 
     def window_scores(self, texts: Texts, batch: int = 1024) -> np.ndarray:
         x = self.inputs(texts)
@@ -133,19 +152,41 @@ class Network:
             out[at] = _sigmoid(pooled @ self.p["o"] + self.p["o0"])
         return out
 
+    def evidence(self, found: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Of the texts with words: (which, one row each of highest window logit, log of windows, 1)."""
+        per = np.diff(found.start)
+        full = np.flatnonzero(per)
+        if not len(full):
+            return full, np.empty((0, 3))
+        best = np.clip(np.maximum.reduceat(self.window_scores(found), found.start[full]).astype(np.float64), 1e-6, 1 - 1e-6)
+        return full, np.stack([np.log(best / (1 - best)), np.log(per[full]), np.ones(len(full))], axis=1)
+
     def scores(self, texts: pa.Array) -> np.ndarray:
         """The score of each text."""
         out = np.full(len(texts), self.prior)
         if self.p and len(texts):
-            found = Texts(texts, self.vocabulary)
-            full = np.flatnonzero(np.diff(found.start))
-            if len(full):
-                out[full] = np.maximum.reduceat(self.window_scores(found), found.start[full])
+            full, evidence = self.evidence(Texts(texts, self.vocabulary, self.known))
+            out[full] = _sigmoid(evidence @ self.scale)
         return out
 
-    def gradients(self, x, word, trigram, trigram_at, codes, length, label) -> tuple[dict, float]:
-        """Gradients of the mean log loss over some windows; ``x``: inputs of the distinct words, which ``codes`` index."""
-        p, n = self.p, len(codes)
+    def calibrate(self, texts: pa.Array, label: np.ndarray, share: float) -> None:
+        """Fit the logistic function of a document's evidence (Newton's method, slightly drawn to plain logits)."""
+        full, x = self.evidence(Texts(texts, self.vocabulary, self.known))
+        y = label[full]
+        if not len(y) or y.min() == y.max():
+            return
+        weight = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
+        plain = self.scale.copy()
+        for _ in range(50):
+            p = _sigmoid(x @ self.scale)
+            slope = x.T @ (weight * (p - y)) + (self.scale - plain)
+            bend = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(3)
+            step = np.linalg.solve(bend, slope)
+            self.scale -= step * min(1, 2 / max(np.abs(step).max(), 1e-9))
+
+    def gradients(self, word, pieces, codes, length, label) -> tuple[dict, float]:
+        """Gradients of the mean log loss over some windows; ``codes`` index the distinct words."""
+        p, n, x = self.p, len(codes), self.vectors(word, pieces)
         mask = (np.arange(WIDTH)[None, :] < length[:, None]).astype(np.float32)
         xs = x[codes]
         states, memory = np.zeros((n, WIDTH, 2 * HIDDEN), np.float32), {}
@@ -198,29 +239,39 @@ class Network:
         np.add.at(d_x, codes.ravel(), d_xs.reshape(-1, d_xs.shape[-1]))
         grad["word"], grad["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
         np.add.at(grad["word"], word, d_x[:, :WORD_DIM])
-        size = np.diff(trigram_at)
-        np.add.at(grad["char"], trigram, np.repeat(d_x[:, WORD_DIM:] / size[:, None], size, axis=0))
+        for k, (rows, at) in enumerate(pieces):
+            size, side = np.diff(at), slice(WORD_DIM + k * CHAR_DIM, WORD_DIM + (k + 1) * CHAR_DIM)
+            np.add.at(grad["char"], rows, np.repeat(d_x[:, side] / size[:, None].astype(np.float32), size, axis=0))
         return grad, float(loss)
 
 
-def _vocabulary(texts: Texts, label: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
-    """Words of two documents or more, and for each distinct word how telling of label 1 it is."""
-    doc_of = np.repeat(np.arange(len(texts.start) - 1), np.diff(texts.word_start))
-    seen = np.unique(np.stack([doc_of, texts.normal_code[texts.code]]), axis=1)
-    total = np.bincount(seen[1], minlength=texts.n_normal)
-    ones = np.bincount(seen[1], weights=label[seen[0]], minlength=texts.n_normal)
-    tell = np.log((ones + 0.5) / (label.sum() + 1)) - np.log((total - ones + 0.5) / (len(label) - label.sum() + 1))
-    often = sorted((w for w in np.flatnonzero(total >= 2) if texts.normal[w]), key=lambda w: (-total[w], texts.normal[w]))[:VOCABULARY]
-    return {texts.normal[w]: i + 1 for i, w in enumerate(often)}, np.where(total >= 2, tell, 0.0)[texts.normal_code]
-
-
-class _Sample(Texts):
-    def __init__(self, texts: pa.Array):
-        super().__init__(texts, {})
-        known = {w: i for i, w in enumerate(dict.fromkeys(self.words))}
-        self.normal, self.n_normal = list(known), len(known)
-        self.normal_code = np.fromiter((known[w] for w in self.words), np.int64, len(self.words))
-        self.word_start = Words(texts).start
+def _telling(doc: np.ndarray, feature: np.ndarray, label: np.ndarray, n: int) -> np.ndarray:
+    """For each of n features, by how many standard deviations its documents have label 1 more often than usual."""
+    seen = np.unique(doc * n + feature)
+    doc, feature = seen // n, seen % n
+    total, ones, rate = np.bincount(feature, minlength=n), np.bincount(feature, weights=label[doc], minlength=n), label.mean()
+    z = (ones - total * rate) / np.sqrt(np.maximum(total, 1) * rate * (1 - rate))
+    return np.where(total >= LEAST_DOCS, z, 0.0)
+
+
+def _features(sample: Texts, n_docs: np.ndarray, label: np.ndarray) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    """The telling words, the telling rows of the character table (numbered from 1), and how telling each distinct word is."""
+    number = {w: i for i, w in enumerate(dict.fromkeys(sample.words))}
+    word = np.fromiter((number[w] for w in sample.words), np.int64, len(sample.words))
+    doc = np.repeat(np.arange(len(n_docs)), n_docs)
+    by_word = _telling(doc, word[sample.code], label, len(number))
+    vocabulary = {w: 0 for w, i in number.items() if w and abs(by_word[i]) >= TELLING}
+    by_piece = np.zeros(CHAR_ROWS)
+    best = by_word[word]
+    for rows, at in sample.pieces:
+        size = np.diff(at)[sample.code]
+        z = _telling(np.repeat(doc, size), rows[ranges(at[:-1][sample.code], size)], label, CHAR_ROWS)
+        by_piece = np.where(np.abs(z) > np.abs(by_piece), z, by_piece)
+        best = np.maximum(best, np.maximum.reduceat(z[rows], at[:-1]))
+    known = np.zeros(CHAR_ROWS, np.int64)
+    often = np.flatnonzero(np.abs(by_piece) >= TELLING)
+    known[often] = 1 + np.arange(len(often))
+    return {w: i + 1 for i, w in enumerate(sorted(vocabulary))}, known, best
 
 
 def _highest(texts: Texts, value: np.ndarray) -> np.ndarray:
@@ -229,19 +280,25 @@ def _highest(texts: Texts, value: np.ndarray) -> np.ndarray:
     return order[np.concatenate([[True], np.diff(texts.doc[order]) > 0])] if len(order) else order
 
 
-def train(texts: list[str], label: list[int], steps: int = 150, batch: int = 128, rate: float = 0.01, seed: int = 7) -> Network:
-    """Fit the network to texts with labels 0 / 1."""
+def train(texts: list[str], label: list[int], share: float | None = None, steps: int = 150, batch: int = 128, rate: float = 0.01, seed: int = 7) -> Network:
+    """Fit the network to texts with labels 0 / 1; ``share``: of label 1 among all rows, if the texts are chosen by class."""
     label = np.array(label, np.float32)
-    net = Network({}, seed)
-    net.prior = float(label.mean()) if len(label) else 0.0
-    sample = _Sample(pa.array(texts, pa.string()))
+    prior = (float(label.mean()) if len(label) else 0.0) if share is None else share
+    aside = np.zeros(len(label), bool)
+    for y in (0, 1):
+        aside[np.flatnonzero(label == y)[::5]] = True
+    rest_texts, rest_label = pa.array([t for t, x in zip(texts, aside) if x], pa.string()), label[aside]
+    texts, label = [t for t, x in zip(texts, aside) if not x], label[~aside]
+    sample = Texts(pa.array(texts, pa.string()), {})
     if not len(sample.doc) or label[sample.doc].min() == label[sample.doc].max():
-        net.p = {}
+        net = Network({}, np.zeros(CHAR_ROWS, np.int64), seed)
+        net.p, net.prior = {}, prior
         return net
-    vocabulary, tell = _vocabulary(sample, label)
-    prior, net = net.prior, Network(vocabulary, seed)
+    vocabulary, known, tell = _features(sample, np.diff(sample.word_start), label)
+    net = Network(vocabulary, known, seed)
     net.prior = prior
     sample.word = np.fromiter((vocabulary.get(w, 0) for w in sample.words), np.int64, len(sample.words))
+    sample.pieces = [(known[rows], at) for rows, at in sample.pieces]
     rng = np.random.default_rng(seed)
     value = np.concatenate([tell[sample.codes(at)].max(axis=1) for at in np.array_split(np.arange(len(sample.doc)), 1 + len(sample.doc) // 4096)])
     first, second = {k: np.zeros_like(x) for k, x in net.p.items()}, {k: np.zeros_like(x) for k, x in net.p.items()}
@@ -252,22 +309,23 @@ def train(texts: list[str], label: list[int], steps: int = 150, batch: int = 128
         clean = np.flatnonzero(label[sample.doc] == 0)
         zeros = np.concatenate([best[label[sample.doc[best]] == 0], rng.choice(clean, min(len(clean), len(best)), replace=False)])
         for _ in range(steps):
-            at = np.concatenate([rng.choice(ones, batch // 3), rng.choice(zeros, batch - batch // 3)])
+            at = np.concatenate([rng.choice(ones, batch // 4), rng.choice(zeros, batch - batch // 4)])
             used, codes = np.unique(sample.codes(at), return_inverse=True)
             codes = codes.reshape(len(at), WIDTH)
             word = np.where(rng.random(len(used)) < 0.1, 0, sample.word[used])  # some known words as unknown ones
-            size = np.diff(sample.trigram_at)[used]
-            trigram = np.concatenate([sample.trigram[a:b] for a, b in zip(sample.trigram_at[used], sample.trigram_at[used + 1])])
-            trigram_at = np.concatenate([[0], np.cumsum(size)])
-            x = np.concatenate([net.p["word"][word], np.add.reduceat(net.p["char"][trigram], trigram_at[:-1], axis=0) / size[:, None]], axis=1).astype(np.float32)
-            grad, loss = net.gradients(x, word, trigram, trigram_at, codes, sample.length[at], label[sample.doc[at]])
+            pieces = []
+            for rows, start in sample.pieces:
+                size = np.diff(start)[used]
+                pieces.append((rows[ranges(start[used], size)], np.concatenate([[0], np.cumsum(size)])))
+            grad, loss = net.gradients(word, pieces, codes, sample.length[at], label[sample.doc[at]])
             done += 1
             for k, g in grad.items():
                 first[k] += 0.1 * (g - first[k])
                 second[k] += 0.01 * (g * g - second[k])
-                net.p[k] -= (rate * (first[k] / (1 - 0.9 ** done)) / (np.sqrt(second[k] / (1 - 0.99 ** done)) + 1e-6)).astype(np.float32)
+                net.p[k] -= (rate / (1 + phase) * (first[k] / (1 - 0.9 ** done)) / (np.sqrt(second[k] / (1 - 0.99 ** done)) + 1e-6)).astype(np.float32)
         if phase < 2:
             value = net.window_scores(sample)
+    net.calibrate(rest_texts, rest_label, min(max(prior, 0.01), 0.99))
     return net
 
 
@@ -284,9 +342,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).where(F.length("t") <= train_chars)
     rows = rows.join(F.broadcast(picked), "i").select("i", "t", "y").dropDuplicates(["i"]).collect()
     rows = sorted(rows, key=lambda r: r.i)
-    net = train([r.t for r in rows], [int(r.y > 0) for r in rows])
-    net.prior = min(max(float(share), 0.0), 1.0)
-    return net
+    return train([r.t for r in rows], [int(r.y > 0) for r in rows], min(max(float(share), 0.0), 1.0))
 
 
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
