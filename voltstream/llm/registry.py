@@ -7,19 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from voltstream.llm.decontaminate import op7_decontaminate
+from voltstream.llm.language import op5_language
 from voltstream.llm.mix import op6_mix_sources
+from voltstream.llm.projection_forest import op4_embedding_neighbours
+from voltstream.llm.quality import op2_quality
 from voltstream.llm.simhash import op9_simhash
+from voltstream.llm.suffix_dedup import op10_suffix_dedup
+from voltstream.llm.token_counts import op1_token_counts
 from voltstream.llm.token_files import op3_token_files
 from voltstream.llm.toxicity import op8_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_counts": op1_token_counts,
+        "op2_quality": op2_quality,
         "op3_token_files": op3_token_files,
+        "op4_embedding_neighbours": op4_embedding_neighbours,
+        "op5_language": op5_language,
         "op6_mix_sources": op6_mix_sources,
         "op7_decontaminate": op7_decontaminate,
         "op8_toxicity": op8_toxicity,
         "op9_simhash": op9_simhash,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
