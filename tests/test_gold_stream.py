@@ -1,84 +1,67 @@
-"""Streaming bronze → gold (stream-stream pairing + foreachBatch merge) against the batch plan."""
+"""Per-load and streamed gold against the batch plan."""
 
 from pyspark.sql import functions as F
 
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, bronze_rows, master_rows
+from voltstream import schemas
+from voltstream.operators import bronze as bronze_ops
 from voltstream.operators.incremental import land_increment
-from voltstream.plans import fixtures, medallion
+from voltstream.operators.silver import to_silver
+from voltstream.plans import catalog_loads, fixtures, medallion
+from voltstream.plans.inspect import plan_text
 from voltstream.streaming.gold_stream import run_gold_stream
 
+SAME = [c for c in schemas.SILVER_COLUMNS if c not in ("INGEST_LOAD_TIMESTAMP", "STAGE_LOAD_TIMESTAMP")]
 
-def test_gold_stream_matches_batch_for_settled_rows(spark, tmp_base):
-    stamp = medallion.fixed_stamp()
-    lines = fixtures.ocpp_from_events(fixtures.table(spark, SF_SMALL, "events"))
-    master = fixtures.master_from_tables(spark, SF_SMALL)
-    landing, marks = f"{tmp_base}/landing", f"{tmp_base}/marks"
-    gold, ckpt, stage = f"{tmp_base}/gold", f"{tmp_base}/ckpt", f"{tmp_base}/stage"
-    glob = f"{landing}/load=*/dt=*/"
-    early = lines.filter(F.col("request_date") < F.lit("2024-01-16").cast("timestamp"))
-    land_increment(spark, early, landing, marks, load_id="1")
-    run_gold_stream(spark, glob, master, gold, ckpt, stage, stamp=stamp)
-    first = spark.read.parquet(gold).count()
-    land_increment(spark, lines, landing, marks, load_id="2")
-    run_gold_stream(spark, glob, master, gold, ckpt, stage, stamp=stamp)
-    streamed = spark.read.parquet(gold).drop("dt")
 
-    batch = medallion.gold_from_tables(spark, SF_SMALL, stamp=stamp)
-    assert 0 < first < streamed.count() <= batch.count()
-    # every streamed row equals the batch row; rows still waiting for their result window are the only gap
-    cols = [c for c in batch.columns if c not in ("STAGE_LOAD_TIMESTAMP", "INGEST_LOAD_TIMESTAMP", "STAGE_PROCESSED_TIMESTAMP")]
-    assert streamed.select(*cols).exceptAll(batch.select(*cols)).count() == 0
-    missing = batch.select(*cols).exceptAll(streamed.select(*cols))
-    last = batch.agg(F.max("SOURCE_MESSAGE_TIMESTAMP_CREATED")).first()[0]
-    # an unpaired request is released once the watermark (1 hour) passes its 10-minute window
-    settled = missing.filter(F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED") < F.lit(last) - F.expr("INTERVAL 2 HOURS"))
-    assert settled.count() == 0
-    assert streamed.select("SOURCE_ID").distinct().count() == streamed.count()
+def equal(a, b):
+    a, b = a.select(*SAME), b.select(*SAME)
+    return a.count() == b.count() and a.exceptAll(b).count() == 0
+
 
+def keyed(df, load):
+    return bronze_ops.add_frame_keys(df, load=load)
 
-def test_stream_silver_with_master_shuffle_fallback(spark, tmp_base):
-    """The size-checked master join falls back to a shuffle join inside a stream too."""
-    from voltstream.sources.csv import write_csv
-    from voltstream.streaming.gold_stream import stream_silver
-    from voltstream.streaming.ingest import stream_ocpp_csv
 
+def test_stream_equals_batch_after_every_run(spark, tmp_base):
+    stamp = medallion.fixed_stamp()
     lines = fixtures.ocpp_from_events(fixtures.table(spark, SF_SMALL, "events"))
-    write_csv(lines, f"{tmp_base}/landing/load=1/dt=2024-01-01")
     master = fixtures.master_from_tables(spark, SF_SMALL)
-    from voltstream.operators import silver as silver_ops
-
-    orig = silver_ops.enrich_with_master
-
-    def small_bound(df, m, mode="fixed", max_broadcast_rows=0):
-        return orig(df, m, mode, 0)
+    landing, marks = f"{tmp_base}/landing", f"{tmp_base}/marks"
+    early = lines.filter(F.col("request_date") < F.lit("2024-01-16").cast("timestamp"))
+    for load, rows in (("1", early), ("2", lines)):
+        land_increment(spark, rows, landing, marks, load_id=load)
+        run_gold_stream(spark, f"{landing}/load=*/dt=*/", master, f"{tmp_base}/bronze", f"{tmp_base}/gold", f"{tmp_base}/ckpt", f"{tmp_base}/stage", stamp=stamp)
+        bronze = bronze_ops.conform(bronze_ops.add_ingest_metadata(rows, source_file=F.lit("f")))
+        assert equal(spark.read.parquet(f"{tmp_base}/gold"), to_silver(bronze, master, stage_time=stamp))
 
-    silver_ops.enrich_with_master = small_bound
-    try:
-        s = stream_silver(stream_ocpp_csv(spark, f"{tmp_base}/landing/load=*/dt=*/"), master)
-    finally:
-        silver_ops.enrich_with_master = orig
-    q = s.writeStream.format("memory").queryName("silver_fallback").trigger(availableNow=True).start()
-    q.awaitTermination()
-    got = spark.table("silver_fallback")
-    assert got.count() > 0
-    assert got.select("SOURCE_ID").distinct().count() == got.count()
 
+def test_late_offline_upload_and_late_results(spark, tmp_base):
+    """Request hours late with its result in the same file; a result in a load of its own, much later; a late request."""
+    master = master_rows(spark, [("CS1", 1, "ACME")])
+    loads = {
+        "1": [(1, "CS1", '15-Jan-2024 10:00:00.000 [2,"9","StartTransaction",{"idTag":"T"}]@@EOM@@'),
+              (2, "CS1", '15-Jan-2024 10:00:00.000 [2,"1","Heartbeat",{}]@@EOM@@')],
+        "2": [(3, "CS1", '15-Jan-2024 07:00:00.000 [2,"5","Heartbeat",{}]@@EOM@@'),
+              (4, "CS1", '15-Jan-2024 07:00:01.000 [3,"5",{"currentTime":"2024-01-15T07:00:01Z"}]@@EOM@@')],
+        "3": [(5, "CS1", '15-Jan-2024 10:20:00.000 [3,"9",{"transactionId":"5"}]@@EOM@@')],
+        "4": [(6, "CS1", '15-Jan-2024 10:10:00.000 [2,"9","StartTransaction",{"idTag":"U"}]@@EOM@@')],
+    }
+    bronze, gold = None, f"{tmp_base}/gold"
+    for load, rows in loads.items():
+        part = keyed(bronze_rows(spark, rows), F.lit(load))
+        bronze = part if bronze is None else bronze.unionByName(part)
+        medallion.merge_into_gold_table(gold, medallion.silver_increment(bronze, load, master), f"{tmp_base}/stage")
+        assert equal(spark.read.parquet(gold), to_silver(bronze, master)), load
+    by = {r.SOURCE_ID: r for r in spark.read.parquet(gold).collect()}
+    assert by["6"].TRANSACTION_ID == 5 and by["1"].TRANSACTION_ID is None and by["3"].UNIFIED_TIMESTAMP_SOURCE == "payload"
 
-def test_silver_increment_pairs_across_load_boundary(spark, tmp_base):
-    """A request landed in load 1 and its result in load 2 end up paired in gold."""
-    from tests.conftest import bronze_rows, master_rows
-    from voltstream.plans.medallion import merge_into_gold_table, silver_increment
 
-    b = bronze_rows(spark, [
-        (1, "CS1", '15-Jan-2024 23:59:59.500 [2,"9","Heartbeat",{}]@@EOM@@'),
-        (2, "CS1", '16-Jan-2024 00:00:00.500 [3,"9",{"currentTime":"2024-01-16T00:00:00.500Z"}]@@EOM@@'),
-    ]).withColumn("request_date", F.when(F.col("id") == 1, F.lit("2024-01-15 23:59:59.5")).otherwise(
-        F.lit("2024-01-16 00:00:00.5")).cast("timestamp")).withColumn(
-        "source_file", F.when(F.col("id") == 1, F.lit("/load=1/x.csv")).otherwise(F.lit("/load=2/x.csv")))
-    master = master_rows(spark, [("CS1", 1, "ACME")])
-    path = f"{tmp_base}/gold"
-    for load in ("1", "2"):
-        inc = silver_increment(b, F.col("source_file").contains(f"/load={load}/"), master)
-        merge_into_gold_table(path, inc, f"{tmp_base}/stage{load}")
-    row = spark.read.parquet(path).first()
-    assert row["UNIFIED_TIMESTAMP_SOURCE"] == "payload" and row["OCPP_RESPONSE_MESSAGE"] is not None
+def test_whole_rows_are_read_only_from_loads_with_partners(spark, tmp_base):
+    catalog_loads._as_bronze(catalog_loads.reused_id_lines(spark, SF_SMALL)).withColumn(
+        "identity_key", F.when(F.col("load") == "0", F.concat(F.lit("other-"), F.col("identity_key"))).otherwise(F.col("identity_key"))
+    ).write.partitionBy(*bronze_ops.PARTITIONS).parquet(f"{tmp_base}/bronze")
+    bronze = spark.read.schema(spark.read.parquet(f"{tmp_base}/bronze").schema).parquet(f"{tmp_base}/bronze")
+    plan = plan_text(medallion.silver_increment(bronze.withColumn("load", F.col("load").cast("string")), "1", fixtures.master_from_tables(spark, SF_SMALL)))
+    scans = [s for s in plan.split("Scan parquet")[1:] if "raw_log" in s.split("ReadSchema")[-1].splitlines()[0]]
+    assert scans and all("load" in line for s in scans for line in s.splitlines() if line.startswith("PartitionFilters"))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltstream.operators.dedup import latest_by_key
-from voltstream.operators.merge import AmbiguousMergeError, merge_counts, upsert
+from voltstream.operators.merge import AmbiguousMergeError, upsert
 
 SCHEMA = "k string, v int, stamp string"
 SRC = "k string, v int, seq int"
@@ -54,13 +54,6 @@ def test_idempotent(spark):
     assert sorted(once.collect()) == sorted(twice.collect())
 
 
-def test_merge_counts(spark):
-    t = spark.createDataFrame([("a", 1, "old")], SCHEMA)
-    s = spark.createDataFrame([("a", 2, 1), ("b", 3, 1)], SRC)
-    r = merge_counts(t, s, ["k"]).first()
-    assert (r.updated, r.inserted) == (1, 1)
-
-
 def test_latest_by_key_hot_key(spark):
     """One key holding most rows is reduced map-side; NULL keys pass through unmerged."""
     df = spark.range(0, 20000).select(
@@ -101,19 +94,78 @@ def test_merge_partitions_rewrites_touched_days_only(spark, tmp_base):
     assert (k0.v, str(k0.dt)) == (1000, "2024-01-01")
 
 
-def test_snapshot_survives_orphaned_attempt(spark, tmp_base):
-    from voltstream.sources.tables import latest_snapshot, read_snapshot, write_snapshot
+ROWS = "k string, v int, day string, seq int"
+
+
+def merge(spark, base, rows, **options):
+    from voltstream.operators.merge import merge_partitions
+
+    return merge_partitions(f"{base}/t", spark.createDataFrame(rows, ROWS), ["k"], "dt", F.col("day"), f"{base}/s", order=["seq"], **options)
+
+
+def contents(spark, base):
+    return sorted((r.k or "", r.v, r.dt) for r in spark.read.parquet(f"{base}/t").collect())
+
+
+def test_merge_of_an_empty_increment(spark, tmp_base):
+    assert merge(spark, tmp_base, []) == {"touched": [], "first_load": True, "quarantined": 0}
+    merge(spark, tmp_base, [("a", 1, "d1", 1)])
+    assert merge(spark, tmp_base, [])["touched"] == []
+    assert contents(spark, tmp_base) == [("a", 1, "d1")]
+
+
+def test_half_done_swap_is_finished_before_the_next_read(spark, tmp_base, monkeypatch):
+    from voltstream.operators import merge as m
+
+    merge(spark, tmp_base, [("a", 1, "d1", 1), ("b", 2, "d2", 1)])
+    monkeypatch.setattr(m, "_swap_in", lambda *a: (_ for _ in ()).throw(RuntimeError("died between stage and swap")))
+    with pytest.raises(RuntimeError):
+        merge(spark, tmp_base, [("a", 10, "d1", 2)])
+    monkeypatch.undo()
+    spark.createDataFrame([], "k string, v int, day string, seq int, dt string").write.mode("overwrite").parquet(f"{tmp_base}/t/dt=d1")  # the day that the swap had begun to delete
+    merge(spark, tmp_base, [("c", 3, "d2", 1)])
+    assert contents(spark, tmp_base) == [("a", 10, "d1"), ("b", 2, "d2"), ("c", 3, "d2")]
+    assert m.recover(spark, f"{tmp_base}/t") == 0
+
+
+def test_died_first_load_does_not_wedge_the_table(spark, tmp_base, monkeypatch):
+    from voltstream.operators import merge as m
+
+    monkeypatch.setattr(m, "_swap_in", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+    with pytest.raises(RuntimeError):
+        merge(spark, tmp_base, [("a", 1, "d1", 1)])
+    monkeypatch.undo()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{tmp_base}/t/_temporary/0")
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop)
+    merge(spark, tmp_base, [("b", 2, "d1", 1)])
+    assert contents(spark, tmp_base) == [("a", 1, "d1"), ("b", 2, "d1")]
+
+
+def test_rows_without_a_key_go_to_quarantine_once_each_merge(spark, tmp_base):
+    rows = [("a", 1, "d1", 1), (None, 7, "d1", 1)]
+    for _ in range(2):
+        info = merge(spark, tmp_base, rows, quarantine_path=f"{tmp_base}/q")
+        assert info["quarantined"] == 1
+    assert contents(spark, tmp_base) == [("a", 1, "d1")] and spark.read.parquet(f"{tmp_base}/q").count() == 2
+
+
+def test_small_increment_does_not_shuffle_the_target(spark, tmp_base):
+    from voltstream.plans.inspect import plan_text
+
+    t = spark.range(100000).select(F.col("id").cast("string").alias("k"), F.col("id").cast("int").alias("v"), F.lit("old").alias("stamp"))
+    spark.createDataFrame([("5", 1, 1)], SRC).write.parquet(f"{tmp_base}/s")
+    s = spark.read.parquet(f"{tmp_base}/s")
+    plan = plan_text(upsert(t, s, ["k"], stamp_column="stamp", stamp=F.lit("n"), order=["seq"]))
+    assert "LeftAnti" in plan and "FullOuter" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_unreadable_table_is_no_empty_table(spark, tmp_base):
+    from voltstream.sources.tables import read_parquet_if_exists
 
-    base = f"{tmp_base}/snap"
-    a = spark.createDataFrame([("a", 1)], "k string, v int")
-    assert write_snapshot(a, base) == 1
-    # a job that died after writing its files but before the manifest entry
-    spark.createDataFrame([("zzz", 9)], "k string, v int").write.parquet(f"{base}/snap=2-deadbeef0000")
-    b = spark.createDataFrame([("b", 2)], "k string, v int")
-    assert write_snapshot(b, base) == 2
-    assert latest_snapshot(spark, base) == 2
-    assert [tuple(r) for r in read_snapshot(spark, base).collect()] == [("b", 2)]
-    assert [tuple(r) for r in read_snapshot(spark, base, snap=1).collect()] == [("a", 1)]
+    assert read_parquet_if_exists(spark, f"{tmp_base}/none") is None
+    spark.createDataFrame([("no parquet",)], "value string").write.text(f"{tmp_base}/bad")
+    with pytest.raises(Exception, match="not a Parquet file"):
+        read_parquet_if_exists(spark, f"{tmp_base}/bad").count()
 
 
 def test_composite_key_with_one_null_part(spark):

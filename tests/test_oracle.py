@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
+from voltstream.plans import catalog
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -32,9 +33,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    from voltstream.plans.catalog import NO_ORACLE
-
-    assert set(entry.queries()) - set(NO_ORACLE) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -43,7 +43,7 @@ def test_entry(spark):
     assert df.columns == ["CHARGE_STATION_ID", "date", "heartbeat_count", "was_down"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]

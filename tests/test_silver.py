@@ -84,13 +84,28 @@ def test_vendor_errors(spark, master):
     assert [r["SOURCE_ID"] for r in silver.vendor_errors(s).collect()] == ["8"]
 
 
-def test_master_broadcast_only_within_bound(spark, master):
+def test_master_join_runs_no_job_while_planning(spark, master):
+    """Building the plan is lazy; Spark decides on a broadcast when it runs."""
     b = bronze_rows(spark, logs())
-    parsed = silver.requests(silver.parse_frames(b))
-    plan_small = plan_text(silver.enrich_with_master(parsed, master))
-    assert "Broadcast" in plan_small
-    plan_big = silver.enrich_with_master(parsed, master, max_broadcast_rows=0)
-    assert plan_big.count() == 5
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    plan = silver.enrich_with_master(silver.requests(silver.parse_frames(b)), master)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert plan.count() == 5
+
+
+def test_latest_call_owns_a_result(spark, master):
+    """Ids that start over: a result belongs to the latest call at or before it, a call takes its earliest result."""
+    line = lambda t, text: f"{t} {text}@@EOM@@"
+    hb = '[2,"9","Heartbeat",{}]'
+    res = lambda n: f'[3,"9",{{"currentTime":"2024-03-01T00:00:{n:02d}Z"}}]'
+    b = bronze_rows(spark, [
+        (1, "CS1", line("15-Jan-2024 10:00:00.000", hb)), (2, "CS1", line("15-Jan-2024 12:00:00.000", res(2))),
+        (3, "CS1", line("15-Jan-2024 11:00:00.000", res(3))), (4, "CS1", line("15-Feb-2024 10:00:00.000", hb)),
+        (5, "CS1", line("16-Feb-2024 10:00:00.000", res(5))), (6, "CS1", line("14-Jan-2024 10:00:00.000", res(6))),
+        (7, "CS1", line("17-Feb-2024 10:00:00.000", '[2,"9","BootNotification",{}]')), (8, "CS1", line("17-Feb-2024 10:00:01.000", res(8))),
+        (9, "CS1", line("15-Feb-2024 10:00:00.000", res(9)))])
+    got = {r.SOURCE_ID: r.OCPP_RESPONSE_MESSAGE for r in silver.to_silver(b, master).collect()}
+    assert set(got) == {"1", "4"} and ":03Z" in got["1"] and ":09Z" in got["4"]
 
 
 def test_branch_per_action_plan_gives_same_rows(spark, master):

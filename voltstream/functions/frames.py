@@ -106,18 +106,32 @@ def response_body(frame: Column) -> Column:
     return F.regexp_extract(frame, RESPONSE_BODY_PATTERN, 1)
 
 
-#: type code of the first frame opening in a line (bronze partition column)
+#: one frame with the text before it (usually its time)
+SEGMENT_PATTERN = r'(?s)(.*?\[[234],".*?\]@@EOM@@)'
+#: type code of a frame opening
 FRAME_KIND_PATTERN = r'\[([234]),"'
 
 
+def frame_segments(raw_log: Column) -> Column:
+    """The line cut after each end-of-message marker that closes a frame; a line without a frame is one segment."""
+    found = F.regexp_extract_all(raw_log, F.lit(SEGMENT_PATTERN), F.lit(1))
+    return F.when(F.size(found) > 0, found).otherwise(F.array(raw_log))
+
+
 def frame_kind(raw_log: Column) -> Column:
-    """Type code ('2', '3', '4', or '') of the first ``[2,"``/``[3,"``/``[4,"`` in a line.
+    """The type codes of a line's frames, each once, in ascending order: '2', '3', '4', '23', ... or ''.
 
-    A cheap bronze partition value: every call frame (either mode) lies in
-    kind '2' and every result frame in kind '3', so silver's two branches
-    prune to disjoint parts of bronze.
+    A cheap bronze partition value: every call frame (either mode) lies in a
+    kind with a '2' and every result frame in one with a '3', so silver's two
+    branches prune to the parts of bronze that they need.
     """
-    return F.regexp_extract(raw_log, FRAME_KIND_PATTERN, 1)
+    codes = F.array_sort(F.array_distinct(F.regexp_extract_all(raw_log, F.lit(FRAME_KIND_PATTERN), F.lit(1))))
+    return F.coalesce(F.array_join(codes, ""), F.lit(""))
+
+
+def message_ids(raw_log: Column) -> Column:
+    """The message ids of all frames of a line (array)."""
+    return F.regexp_extract_all(raw_log, F.lit(r'\[[234],"([^"]+)"'), F.lit(1))
 
 
 def created_text(raw_log: Column) -> Column:

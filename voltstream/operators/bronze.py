@@ -8,21 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: bronze column → type (fixed values: the bronze layout)
-BRONZE_TYPES = [
-    ("id", "bigint"),
-    ("request_uuid", "string"),
-    ("request_date", "timestamp"),
-    ("entity_id", "bigint"),
-    ("service_provider_id", "bigint"),
-    ("raw_log", "string"),
-    ("serial_number", "string"),
-    ("identity_key", "string"),
-    ("source_file", "string"),
-    ("ingest_load_timestamp", "timestamp"),
-    ("_rescued_data", "string"),
-]
-
+from voltstream import schemas
 
 def add_ingest_metadata(df: DataFrame, source_file: Column | None = None, ingest_time: Column | None = None) -> DataFrame:
     """Stamp each row with the load time and its source file.
@@ -37,21 +23,28 @@ def add_ingest_metadata(df: DataFrame, source_file: Column | None = None, ingest
     return df.withColumns({"ingest_load_timestamp": ingest_time, "source_file": source_file})
 
 
-#: bronze partition column (an addition to the 11-column layout)
-FRAME_KIND = "frame_kind"
+#: bronze partition columns (additions to the 11-column layout)
+LOAD, FRAME_KIND = "load", "frame_kind"
+PARTITIONS = [LOAD, FRAME_KIND]
 
 
-def add_frame_kind(df: DataFrame) -> DataFrame:
-    """Add the frame-kind partition column (see ``frames.frame_kind``)."""
-    from voltstream.functions.frames import frame_kind
+def add_frame_keys(df: DataFrame, load: Column | None = None) -> DataFrame:
+    """Add what later steps look rows up by, parsed once at ingest: the partition
+    columns ``load`` (default: from the landing path) and ``frame_kind`` (see
+    ``frames.frame_kind``), and the array ``message_ids`` of the line's frames."""
+    from voltstream.functions import frames
 
-    return df.withColumn(FRAME_KIND, frame_kind(F.col("raw_log")))
+    raw = F.col("raw_log")
+    if load is None:
+        load = F.regexp_extract("source_file", r"/load=([^/]+)/", 1)
+    return df.withColumns({"message_ids": frames.message_ids(raw), LOAD: load, FRAME_KIND: frames.frame_kind(raw)})
 
 
 def conform(df: DataFrame) -> DataFrame:
     """The 11 bronze columns in table order; casts never fail (``try_cast``)."""
     out = []
-    for name, typ in BRONZE_TYPES:
+    for part in schemas.ddl(schemas.BRONZE_DDL).split(","):
+        name, typ = part.split()
         if name in df.columns:
             out.append(F.col(name).try_cast(typ).alias(name))
         else:

@@ -5,6 +5,7 @@ writes them to a new ``load=<id>/dt=<date>/`` folder of the landing zone (one
 Spark-committed write, many files, no driver-side renames) and appends the
 new mark. Row count and the new maximum are gathered *during* the write with
 ``DataFrame.observe``, so the increment is computed once, not three times.
+An empty increment writes nothing to the landing zone.
 
 If the job dies after the write but before the mark is appended, the next
 run lands the same rows again; downstream steps are keyed upserts, so the
@@ -19,7 +20,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from voltstream.functions.frames import check_mode
-from voltstream.sources.csv import write_csv
+from voltstream.sources.csv import CORRUPT_COLUMN, write_csv
 from voltstream.sources.tables import read_parquet_if_exists
 
 
@@ -67,21 +68,57 @@ def land_increment(
     load_id: str | None = None,
     column: str = "request_date",
     mode: str = "fixed",
+    overlap: str | None = None,
+    landed_ids: str | None = None,
 ) -> dict:
     """Land the rows newer than the mark as CSV and advance the mark (FL8, SK2-SK4).
 
-    Returns ``{"load_id", "rows", "mark"}``; nothing is landed and the mark is
-    unchanged when no row is new.
+    Without ``landed_ids`` a row is new if it is newer than the mark. With it
+    (a path) the ids of landed rows are kept there, and a row is new if its id
+    isn't among them and it is not older than the mark by more than
+    ``overlap`` (without ``overlap``: any age): ties at the mark and late rows
+    are landed, and no row twice. Rows without a time or id can't be told to
+    be new by either; they land if their hash over all columns isn't known.
+
+    Malformed rows (``_rescued_data`` set) are kept whole in
+    ``rejected/load=<id>`` beside the landing folders, as parquet with their text.
+
+    Returns ``{"load_id", "rows", "rejected", "mark"}``. When no row is new
+    nothing is written and the mark is unchanged.
     """
     mark = read_high_water_mark(spark, mark_path)
-    inc = since(source, mark, column, mode)
     load_id = load_id or new_load_id()
-    obs = Observation(f"land_{load_id.replace('-', '_')}")
-    observed = inc.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(column).alias("mark"))
-    out = observed.withColumn("dt", F.to_date(F.col(column)))
-    write_csv(out, f"{landing_path}/load={load_id}", mode="errorifexists", partition_by=["dt"])
-    metrics = obs.get
-    rows, new_mark = metrics.get("rows", 0), metrics.get("mark")
-    if rows and new_mark is not None:
+    known = None
+    if landed_ids is None:
+        inc = since(source, mark, column, mode)
+    else:
+        inc = source if mark is None or overlap is None else source.filter(
+            (F.col(column) >= F.lit(mark).cast("timestamp") - F.expr(f"INTERVAL {overlap}")) | F.col(column).isNull())
+        row_id = F.when(F.col("id").isNotNull() & F.col(column).isNotNull(), F.col("id").cast("string")).otherwise(
+            F.concat(F.lit("row-"), F.sha2(F.to_json(F.struct(*[F.col(c) for c in source.columns])), 256)))
+        inc = inc.withColumn("_row_id", row_id)
+        known = read_parquet_if_exists(spark, landed_ids)
+        if known is not None:
+            inc = inc.join(known.select("_row_id"), "_row_id", "left_anti")
+    # computed once: written to a staging folder, then read for each of its uses
+    staged = f"{mark_path.rstrip('/')}__increment/{load_id}-{uuid.uuid4().hex[:8]}"
+    obs = Observation(f"land_{load_id.replace('-', '_')}_{uuid.uuid4().hex[:8]}")
+    inc.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(column).alias("mark")).write.parquet(staged)
+    rows, new_mark = obs.get.get("rows", 0), obs.get.get("mark")
+    if not rows:
+        return {"load_id": load_id, "rows": 0, "rejected": 0, "mark": None}
+    out = spark.read.schema(inc.schema).parquet(staged)
+    rejected = 0
+    if CORRUPT_COLUMN in out.columns:
+        bad = out.filter(F.col(CORRUPT_COLUMN).isNotNull())
+        rejected = bad.count()
+        if rejected:
+            bad.drop("_row_id").write.parquet(f"{landing_path}/rejected/load={load_id}")
+        out = out.filter(F.col(CORRUPT_COLUMN).isNull())
+    if rows > rejected:
+        write_csv(out.drop("_row_id").withColumn("dt", F.to_date(F.col(column))), f"{landing_path}/load={load_id}", mode="errorifexists", partition_by=["dt"])
+    if landed_ids is not None:
+        spark.read.schema(inc.schema).parquet(staged).select("_row_id", F.lit(load_id).alias("load_id")).write.mode("append").parquet(landed_ids)
+    if new_mark is not None:
         append_high_water_mark(spark, mark_path, new_mark)
-    return {"load_id": load_id, "rows": rows, "mark": new_mark}
+    return {"load_id": load_id, "rows": rows - rejected, "rejected": rejected, "mark": new_mark}

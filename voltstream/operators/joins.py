@@ -1,41 +1,12 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Join key helpers. Whether a side is broadcast is left to Spark's byte threshold and AQE."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: default row bound for a broadcast side (station-grain master data is far below it)
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Mark ``small`` for broadcast only when its row count is at most ``max_rows``.
-
-    The count runs one job over the small side only. Beyond the bound the
-    frame is returned unmarked, so Spark plans a shuffle join (with AQE's
-    skew-join splitting) instead of shipping an unbounded table to every task.
-    """
-    n = small.count()
-    if n <= max_rows:
-        return F.broadcast(small), True
-    return small, False
-
-
-def join_dimension(
-    big: DataFrame,
-    small: DataFrame,
-    on: str | Sequence[str] | Column,
-    how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """Fact ⋈ dimension: broadcast the dimension when its checked size allows."""
-    side, _ = bounded_broadcast(small, max_rows)
-    return big.join(side, on, how)
-
-
 def any_null(cols: Sequence[str]) -> Column:
     cond = F.lit(False)
     for c in cols:

@@ -7,13 +7,13 @@
 * target-only keys  → kept unchanged
 * no delete clause, as in the original MERGE
 
-Plan: one full outer equi-join on the key with explicit presence flags
-(not value nullness), in one pass over each side. Rows with a NULL key part
-can never match; a per-row salt added to the join key spreads them over all
-tasks (a NULL key would otherwise hash every such row into one task), and
-they come out unmatched: target ones kept, source ones inserted. The source
-is reduced to the latest row per key first (``fixed``), with a partial
-aggregate.
+Plan: the source is reduced to the latest row per key first (``fixed``), with
+a partial aggregate. Where it brings every column of the target, the result is
+``target left-anti source keys`` ∪ ``source``: only the source's narrow keys
+move, Spark may broadcast them or split a skewed side, and with a small
+increment the target isn't shuffled. Otherwise (columns to keep from the
+target) it is one full outer equi-join with presence flags. Rows with a NULL
+key part can never match: target ones are kept, source ones inserted.
 
 ``faithful`` reproduces MERGE behaviour without de-duplication: it raises
 when several source rows match one target row, and inserts duplicate
@@ -22,14 +22,15 @@ unmatched source keys as separate rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltstream.functions.frames import check_mode
 from voltstream.operators.dedup import latest_by_key
-from voltstream.operators.joins import all_not_null, null_key_salt
+from voltstream.operators.joins import all_not_null, any_null, null_key_salt
 
 
 class AmbiguousMergeError(ValueError):
@@ -71,6 +72,15 @@ def upsert(
     if mode == "faithful":
         _check_unambiguous(target, src, keys)
 
+    if all(c in src.columns or c == stamp_column or c in keys for c in cols) and not sticky:
+        types = {f.name: f.dataType for f in target.schema}
+        new = src.select(*[(stamp if c == stamp_column else F.col(c)).cast(types[c]).alias(c) for c in cols])
+        found = src.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        cond = F.lit(True)
+        for i, k in enumerate(keys):
+            cond = cond & (target[k] == F.col(f"_k{i}"))
+        return target.join(found, cond, "left_anti").select(*cols).union(new)
+
     def value_for_insert(c: str) -> Column:
         if c == stamp_column:
             return stamp.cast(target.schema[c].dataType)
@@ -108,16 +118,35 @@ def _check_unambiguous(target: DataFrame, src: DataFrame, keys: list[str]) -> No
         raise AmbiguousMergeError("several source rows match the same target row")
 
 
-def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows that an upsert would update and insert (one small aggregate)."""
-    keys = list(keys)
-    t = target.filter(all_not_null(keys)).select(*keys).withColumn("_t", F.lit(True))
-    s = source.select(*keys)
-    j = s.join(t, keys, "left")
-    return j.agg(
-        F.count(F.when(F.col("_t"), 1)).alias("updated"),
-        F.count(F.when(F.col("_t").isNull(), 1)).alias("inserted"),
-    )
+def _log(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}__swaps"
+
+
+def _note(spark: SparkSession, table_path: str, staged: str, partition_col: str, done: bool) -> None:
+    row = spark.range(1).select(F.lit(staged).alias("staged"), F.lit(partition_col).alias("partition_col"), F.lit(done).alias("done"),
+                                F.current_timestamp().alias("at"))
+    row.coalesce(1).write.mode("append").parquet(_log(table_path))
+
+
+def _swap_in(spark: SparkSession, table_path: str, staged: str, partition_col: str) -> None:
+    """Replace the partitions that ``staged`` has; the others are not touched."""
+    (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(table_path))
+    _note(spark, table_path, staged, partition_col, True)
+
+
+def recover(spark: SparkSession, table_path: str) -> int:
+    """Finish swaps that died half-way, before anything reads the table. Returns how many."""
+    from voltstream.sources.tables import read_parquet_if_exists
+
+    notes = read_parquet_if_exists(spark, _log(table_path))
+    if notes is None:
+        return 0
+    # one row per merge, a handful open at most
+    open_ = notes.groupBy("staged", "partition_col").agg(F.max("done").alias("done"), F.min("at").alias("at")).where("not done").orderBy("at").collect()
+    for r in open_:
+        _swap_in(spark, table_path, r["staged"], r["partition_col"])
+    return len(open_)
 
 
 def merge_partitions(
@@ -131,54 +160,67 @@ def merge_partitions(
     stamp: Column | None = None,
     order: Sequence[str] | None = None,
     locate: str = "scan",
+    quarantine_path: str | None = None,
 ) -> dict:
     """Upsert ``increment`` into a partitioned parquet table, rewriting only touched partitions.
 
-    1. The increment gets its partition value; a row that already exists keeps
-       its partition (``sticky``), so partitions never lose rows.
-    2. Touched partitions = partitions of the increment ∪ (``locate="scan"``)
-       partitions holding a matched key, found with a semi-join on the key
-       columns of the table only. With ``locate="same_partition"`` the
-       partition value must be a fixed function of the key's row (e.g. the
-       day of an immutable event time); then no table-wide key scan is needed
-       and the merge reads and writes only the increment's partitions.
-    3. ``upsert`` over the pruned target is staged under ``stage_path``, then
-       the staged partitions replace the touched ones with a dynamic
-       partition overwrite (untouched partitions are not read or written).
-
-    If the job dies during step 3's replacement, re-running the final copy from
-    ``stage_path`` completes it. Returns counts and the touched partitions.
+    0. A swap that died half-way is finished first (``recover``).
+    1. The increment is written once under ``stage_path``; rows with a NULL key
+       part go to ``quarantine_path`` if given (they match nothing, so each
+       repeated merge would insert them again).
+    2. A row that already exists keeps its partition. ``locate="scan"`` finds
+       it with a join on the key columns of the table only. With
+       ``locate="same_partition"`` the partition value must be a fixed
+       function of the key's row (e.g. the day of an immutable event time);
+       then only the increment's partitions are read and written.
+    3. ``upsert`` over the pruned target is staged in a fresh folder, noted as
+       staged, then swapped in with a dynamic partition overwrite and noted as
+       done. If the job dies in between, the staged copy is complete and the
+       next merge (or ``recover``) swaps it in again; nothing overwrites it.
+
+    An empty increment changes nothing. Returns the touched partitions, if
+    this was the first load, and how many rows were quarantined.
     """
+    from voltstream.sources.tables import read_parquet_if_exists
+
     keys = list(keys)
     spark = increment.sparkSession
-    inc = increment.withColumn(partition_col, partition_value)
-    from voltstream.sources.tables import read_parquet_if_exists
+    recover(spark, table_path)
+    attempt = f"{stage_path.rstrip('/')}/{uuid.uuid4().hex[:12]}"
+    increment.withColumn(partition_col, partition_value).write.parquet(f"{attempt}/increment")
+    inc = spark.read.schema(increment.withColumn(partition_col, partition_value).schema).parquet(f"{attempt}/increment")
+    quarantined = 0
+    if quarantine_path is not None:
+        bad = inc.filter(any_null(keys))
+        quarantined = bad.count()
+        if quarantined:
+            bad.write.mode("append").parquet(quarantine_path)
+        inc = inc.filter(all_not_null(keys))
 
     table = read_parquet_if_exists(spark, table_path)
-    if table is None:
-        first = latest_by_key(inc, keys, list(order) if order else [c for c in inc.columns if c not in keys])
-        if stamp_column is not None:
-            first = first.withColumn(stamp_column, stamp if stamp is not None else F.current_timestamp())
-        # rebalance by partition value: few, right-sized files per day; AQE splits a hot day
-        first.hint("rebalance", partition_col).write.mode("errorifexists").partitionBy(partition_col).parquet(table_path)
-        return {"touched": None, "first_load": True}
-
-    touched_df = inc.select(partition_col)
-    if locate == "scan":
-        inc_keys = inc.select(*keys).filter(all_not_null(keys)).distinct()
-        matched_parts = table.select(*keys, partition_col).join(inc_keys, keys, "left_semi").select(partition_col)
-        touched_df = touched_df.union(matched_parts)
-    elif locate != "same_partition":
+    first_load = table is None
+    inc_parts = inc.select(partition_col)
+    if table is not None and locate == "scan":
+        old = table.select(*keys, F.col(partition_col).alias("_old_part"))
+        located = inc.join(old, keys, "left")
+        inc_parts = inc_parts.union(located.filter(F.col("_old_part").isNotNull()).select("_old_part"))
+        inc = located.withColumn(partition_col, F.coalesce("_old_part", partition_col)).drop("_old_part")
+    elif locate not in ("scan", "same_partition"):
         raise ValueError("locate must be 'scan' or 'same_partition'")
-    touched_df = touched_df.distinct()
     # one value per touched partition (days), bounded by the time span, not by rows
-    touched = [r[0] for r in touched_df.collect()]
-    target = table.filter(F.col(partition_col).isin(touched))
-    if any(t is None for t in touched):
-        target = table.filter(F.col(partition_col).isin([t for t in touched if t is not None]) | F.col(partition_col).isNull())
-    merged = upsert(target, inc.select(*[c for c in inc.columns if c in table.columns or c in (order or [])]),
-                    keys, stamp_column=stamp_column, stamp=stamp, order=order, sticky=[partition_col])
-    merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage_path)
-    (spark.read.parquet(stage_path).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(table_path))
-    return {"touched": touched, "first_load": False}
+    touched = [r[0] for r in inc_parts.distinct().collect()]
+    if not touched:
+        return {"touched": [], "first_load": first_load, "quarantined": quarantined}
+    if table is None:
+        merged = latest_by_key(inc, keys, list(order) if order else [c for c in inc.columns if c not in keys])
+        if stamp_column is not None:
+            merged = merged.withColumn(stamp_column, stamp if stamp is not None else F.current_timestamp())
+    else:
+        target = table.filter(F.col(partition_col).isin([t for t in touched if t is not None]) | (F.lit(None in touched) & F.col(partition_col).isNull()))
+        merged = upsert(target, inc.select(*[c for c in inc.columns if c in table.columns or c in (order or [])]),
+                        keys, stamp_column=stamp_column, stamp=stamp, order=order)
+    # rebalance by partition value: few, right-sized files per day; AQE splits a hot day
+    merged.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(f"{attempt}/merged")
+    _note(spark, table_path, f"{attempt}/merged", partition_col, False)
+    _swap_in(spark, table_path, f"{attempt}/merged", partition_col)
+    return {"touched": None if first_load else touched, "first_load": first_load, "quarantined": quarantined}

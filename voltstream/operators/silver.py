@@ -2,18 +2,20 @@
 
 Plan shape (``fixed`` mode, the default)::
 
-    bronze ──parse_frames (one projection)──┬─ requests ──⋈ master (broadcast, size-checked)──┐
-                                            └─ results ──earliest per (station, id)            ├─⟕ (station, id)─ payloads ─ conform
-                                               (partial aggregate before the shuffle) ─────────┘
+    bronze ──parse_frames (one projection)──┬─ requests ──⋈ master (station grain) ────────────┐
+                                            └─ results ──as-of the latest call of their         ├─⟕ (id)─ payloads ─ conform
+                                               (station, message id), earliest per call ────────┘
 
 * Every regular expression and both ``from_json`` calls run once per row in
   one projection; actions are told apart with ``when`` instead of one scan
   per action.
-* Results are reduced to one row per key before the shuffle, so the left
-  outer join never fans out and a hot key cannot multiply rows; AQE's skew
-  join splits an oversized request partition.
-* The master side is reduced to one row per station and broadcast only when
-  its row count is within the bound; otherwise it is a shuffle join.
+* A result belongs to the latest call at or before it with the same station
+  and message id, and a call takes the earliest of its results. The as-of
+  pairing works in (key, time bucket) windows over narrow rows, then every
+  call has one result at most, so the left outer join on the row id never
+  fans out, also where charge points start their message ids over.
+* The master side is reduced to one row per station; Spark's size threshold
+  and AQE choose between broadcast and shuffle join.
 
 ``faithful`` mode reproduces the original per-row values instead: only
 Heartbeat requests are paired, on the message id alone; Start / Stop results
@@ -30,8 +32,9 @@ from pyspark.sql import functions as F
 
 from voltstream import schemas
 from voltstream.functions import frames
-from voltstream.operators.dedup import earliest_by_key
-from voltstream.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, null_key_salt
+from voltstream.operators.asof import asof_pair
+from voltstream.operators.dedup import earliest_by_key, latest_by_key
+from voltstream.operators.joins import null_key_salt
 
 # ---------------------------------------------------------------------------
 # The four actions kept in silver, and the constant
@@ -70,19 +73,30 @@ _KEY = ["identity_key", "OCPP_MESSAGE_UNIQUE_ID"]
 
 
 def parse_frames(bronze: DataFrame, mode: str = "fixed", log_tz: str | None = None) -> DataFrame:
-    """Add frame fields to bronze rows (one projection, no filter, no shuffle).
+    """Add frame fields to bronze rows: one row per frame (fixed) or per line (faithful), no shuffle.
 
-    Adds ``OCPP_MESSAGE_UNIQUE_ID``, ``OCPP_ACTION``, ``OCPP_REQUEST_MESSAGE``,
-    ``OCPP_RESPONSE_MESSAGE``, ``SOURCE_CONNECTOR_ID``,
-    ``SOURCE_MESSAGE_TIMESTAMP_CREATED`` / ``_UPDATED`` (TIMESTAMP) and the
-    helper columns ``_frame_type``, ``_request_body``, ``_response_body``.
+    Adds ``_frame_no`` (0 for a line's first frame), ``OCPP_MESSAGE_UNIQUE_ID``,
+    ``OCPP_ACTION``, ``OCPP_REQUEST_MESSAGE``, ``OCPP_RESPONSE_MESSAGE``,
+    ``SOURCE_CONNECTOR_ID``, ``SOURCE_MESSAGE_TIMESTAMP_CREATED`` / ``_UPDATED``
+    (TIMESTAMP) and the helper columns ``_frame_type``, ``_request_body``,
+    ``_response_body``. A line without a frame stays as one row.
     """
     frames.check_mode(mode)
-    raw = F.col("raw_log")
+    line = F.col("raw_log")
+    if mode == "fixed":
+        kept = [c for c in bronze.columns if c != "raw_log"]
+        # a frame without a time of its own takes the line's first one
+        bronze = bronze.select(*kept, frames.created_text(line).alias("_line_time"),
+                               F.posexplode(frames.frame_segments(line)).alias("_frame_no", "raw_log"))
+        raw = F.col("raw_log")
+        created_text = F.coalesce(F.nullif(frames.created_text(raw), F.lit("")), F.col("_line_time"))
+    else:
+        bronze, raw = bronze.withColumn("_frame_no", F.lit(0)), line
+        created_text = frames.created_text(raw)
     with_frame = bronze.withColumn("_frame", frames.frame_text(raw, mode))
     frame = F.col("_frame")
     ftype = frames.frame_type(frame, mode)
-    created = frames.parse_created(frames.created_text(raw), log_tz)
+    created = frames.parse_created(created_text, log_tz)
     out = with_frame.withColumns(
         {
             "_frame_type": ftype,
@@ -98,7 +112,7 @@ def parse_frames(bronze: DataFrame, mode: str = "fixed", log_tz: str | None = No
     )
     # the gateway writes one time only; updated equals created (computed once)
     out = out.withColumn("SOURCE_MESSAGE_TIMESTAMP_UPDATED", F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED"))
-    return out.drop("_frame")
+    return out.drop("_frame", "_line_time")
 
 
 def by_action(parsed: DataFrame, action: str) -> DataFrame:
@@ -111,15 +125,16 @@ def _kind_is(df: DataFrame, kind: str) -> Column:
     when present (partition pruning: the branch reads only its part of
     bronze), else a substring test that spares the patterns."""
     if "frame_kind" in df.columns:
-        return F.col("frame_kind") == F.lit(kind)
+        return F.col("frame_kind").contains(kind)
     return F.col("raw_log").contains(f'[{kind},"')
 
 
 def requests(parsed: DataFrame, actions=ACTIONS) -> DataFrame:
     """Call frames of the silver actions.
 
-    Every call frame lies in frame kind '2' (both modes), so that cheap test
-    runs first: on a bronze table partitioned by kind it prunes the scan.
+    A line's frame kind names the types of all its frames, so every call frame
+    (either mode) lies in a kind with a '2'. That cheap test runs first: on a
+    bronze table partitioned by kind it prunes the scan.
     """
     return parsed.filter(_kind_is(parsed, "2")).filter(F.col("OCPP_ACTION").isin(list(actions)))
 
@@ -127,7 +142,7 @@ def requests(parsed: DataFrame, actions=ACTIONS) -> DataFrame:
 def responses(parsed: DataFrame) -> DataFrame:
     """Call-result frames (FL3): key, frame text and ordering columns.
 
-    Every result frame lies in frame kind '3'; that cheap test runs first.
+    Every result frame lies in a frame kind with a '3'; that cheap test runs first.
     """
     return parsed.filter(_kind_is(parsed, "3")).filter(F.col("OCPP_RESPONSE_MESSAGE").isNotNull()).select(
         *_KEY,
@@ -137,10 +152,10 @@ def responses(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _pair_key() -> Column:
-    """(station, message id) as one unambiguous text key; NULL when a part is NULL."""
-    station, mid = F.col("identity_key"), F.col("OCPP_MESSAGE_UNIQUE_ID")
-    return F.concat(F.length(station).cast("string"), F.lit(":"), station, mid)
+def calls(parsed: DataFrame) -> DataFrame:
+    """Call frames of any action (also those not kept in silver): what results can belong to."""
+    return parsed.filter(_kind_is(parsed, "2")).filter(F.col("_frame_type") == frames.CALL).select(
+        *_KEY, F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED").alias("_call_created"), F.struct("id", "_frame_no").alias("_call"))
 
 
 def parse_request_payload(reqs: DataFrame) -> DataFrame:
@@ -156,9 +171,11 @@ def parse_request_payload(reqs: DataFrame) -> DataFrame:
 def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> DataFrame:
     """Attach each request's result frame (JN1) as ``OCPP_RESPONSE_MESSAGE``.
 
-    fixed: key (station, message id), earliest result wins (by gateway time,
-    then bronze id), all actions. faithful: Heartbeat requests only, keyed on
-    the message id alone, so a result of another station can pair (the
+    fixed: a result belongs to the latest call at or before it (gateway time)
+    with the same (station, message id); a call takes the earliest of its
+    results (by gateway time, then bronze id). Frames without a gateway time
+    never pair. faithful: Heartbeat requests only, keyed on the message id
+    alone, earliest result, so a result of another station can pair (the
     original mis-pairing); the original's fan-out to *every* matching result
     is not reproduced, as that would emit all pairs per message id.
     """
@@ -166,20 +183,18 @@ def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> D
     res = responses(parsed)
     reqs = reqs.drop("OCPP_RESPONSE_MESSAGE", "_response_body")
     if mode == "fixed":
-        res = earliest_by_key(res, _KEY, ["_res_created", "_res_id"], values=["OCPP_RESPONSE_MESSAGE"])
-        # Join on one derived pair key (+ a salt that spreads NULL-key requests)
-        # rather than on the aggregate's grouping columns: the join then gets
-        # its own shuffle on both sides, which lets AQE split a hot key's
-        # request partition (a join fed straight by the aggregate cannot be split).
-        left = reqs.withColumns({"_pk": _pair_key(), "_nk": null_key_salt(_KEY, spread_by=F.col("id"))})
-        right = res.select(_pair_key().alias("_pk"), F.lit(0).cast("bigint").alias("_nk"), "OCPP_RESPONSE_MESSAGE")
-        return left.join(right, ["_pk", "_nk"], "left").drop("_pk", "_nk")
-    # faithful: Heartbeat requests only, keyed on the message id alone (results of
-    # other stations can pair); the earliest such result, so rows never multiply
+        owned = asof_pair(calls(parsed), res, _KEY, "_call_created", "_res_created", "_call")
+        best = earliest_by_key(owned, ["_call"], ["_res_created", "_res_id"], values=["OCPP_RESPONSE_MESSAGE"])
+        best = best.select(F.col("_call.id").alias("_c_id"), F.col("_call._frame_no").alias("_c_no"), "OCPP_RESPONSE_MESSAGE")
+        return reqs.join(best, (reqs["id"] == best["_c_id"]) & (reqs["_frame_no"] == best["_c_no"]), "left").drop("_c_id", "_c_no")
+    # One result per message id, joined on a derived key (NULL and salted for rows that don't pair): the join gets a
+    # shuffle of its own on both sides, so AQE can split an id that many stations use.
+    mid = F.concat(F.lit("m"), F.col("OCPP_MESSAGE_UNIQUE_ID"))
     res = earliest_by_key(res, ["OCPP_MESSAGE_UNIQUE_ID"], ["_res_created", "_res_id"], values=["OCPP_RESPONSE_MESSAGE"])
-    heartbeats = reqs.filter(F.col("OCPP_ACTION") == HEARTBEAT).join(res, "OCPP_MESSAGE_UNIQUE_ID", "left")
-    others = reqs.filter(F.col("OCPP_ACTION") != HEARTBEAT).withColumn("OCPP_RESPONSE_MESSAGE", F.lit(None).cast("string"))
-    return heartbeats.unionByName(others)
+    left = reqs.withColumn("_pk", F.when(F.col("OCPP_ACTION") == HEARTBEAT, mid))
+    left = left.withColumn("_nk", null_key_salt(["_pk"], spread_by=F.col("id")))
+    right = res.select(mid.alias("_pk"), F.lit(0).cast("bigint").alias("_nk"), "OCPP_RESPONSE_MESSAGE")
+    return left.join(right, ["_pk", "_nk"], "left").drop("_pk", "_nk")
 
 
 def parse_payloads(paired: DataFrame, mode: str = "fixed") -> DataFrame:
@@ -237,37 +252,39 @@ def parse_payloads(paired: DataFrame, mode: str = "fixed") -> DataFrame:
 
 
 def station_master(master: DataFrame, mode: str = "fixed") -> DataFrame:
-    """Master rows used for enrichment: one per station (the lowest connector's row).
+    """Master rows used for enrichment: one per station (newest load, then the lowest connector's row).
 
     Both modes use station grain. The original joined one row per connector
     (and per master reload), multiplying messages; that fan-out is not
     reproduced in ``faithful`` mode, as it would emit all message × connector
-    pairs per station and grow with every reload.
+    pairs per station and grow with every reload. Master rows may carry their
+    load time in ``MASTER_LOAD_TIME`` (as the master stream stamps it).
+    Connectors are ordered by number, those that are no number last, by text.
     """
     frames.check_mode(mode)
-    m = master.select("OCPP_CHARGE_STATION_ID", "OCPP_CONNECTOR_ID", "CONNECTOR_ID", *MASTER_KEEP)
-    return earliest_by_key(m, ["OCPP_CHARGE_STATION_ID"], ["CONNECTOR_ID", "OCPP_CONNECTOR_ID"]).select(
-        "OCPP_CHARGE_STATION_ID", *MASTER_KEEP
-    )
-
-
-def enrich_with_master(
-    df: DataFrame, master: DataFrame, mode: str = "fixed", max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-) -> DataFrame:
-    """Inner join on station id (JN2); the master side is broadcast when its size allows.
-
-    Beyond the bound it is a shuffle join on a derived station key, so both
+    load = F.col(schemas.MASTER_LOAD) if schemas.MASTER_LOAD in master.columns else F.lit(None).cast("timestamp")
+    number = -F.coalesce(F.col("CONNECTOR_ID").try_cast("bigint"), F.lit(2**62))
+    m = master.select("OCPP_CHARGE_STATION_ID", *MASTER_KEEP, load.alias("_load"), number.alias("_number"),
+                      F.col("CONNECTOR_ID").alias("_text"), F.col("OCPP_CONNECTOR_ID").alias("_ocpp"))
+    # greatest (load, -number), then least (text, id, kept values): two partial aggregates
+    rows = m.groupBy("OCPP_CHARGE_STATION_ID", F.struct("_load", "_number").alias("_rank")).agg(
+        F.min(F.struct("_text", "_ocpp", *MASTER_KEEP)).alias("_w"))
+    best = rows.groupBy("OCPP_CHARGE_STATION_ID").agg(F.max_by("_w", "_rank").alias("_w"))
+    return best.filter(F.col("OCPP_CHARGE_STATION_ID").isNotNull()).select(
+        "OCPP_CHARGE_STATION_ID", *[F.col(f"_w.{c}").alias(c) for c in MASTER_KEEP])
+
+
+def enrich_with_master(df: DataFrame, master: DataFrame, mode: str = "fixed") -> DataFrame:
+    """Inner join on station id (JN2).
+
+    The join is on a derived station key, so that in a shuffle join both
     sides get their own shuffle and AQE can split a hot station's partition
     (a join fed straight by the station-grain aggregate could not be split);
     a per-row salt spreads messages without a station.
     """
-    side, broadcast = bounded_broadcast(station_master(master, mode), max_broadcast_rows)
-    if broadcast:
-        joined = df.join(side, F.col("identity_key") == F.col("OCPP_CHARGE_STATION_ID"), "inner")
-        return joined.drop("OCPP_CHARGE_STATION_ID")
     key = lambda c: F.concat(F.length(F.col(c)).cast("string"), F.lit(":"), F.col(c))
     left = df.withColumns({"_sk": key("identity_key"), "_nk": null_key_salt(["identity_key"], spread_by=F.col("id"))})
-    right = side.select(key("OCPP_CHARGE_STATION_ID").alias("_sk"), F.lit(0).cast("bigint").alias("_nk"), *MASTER_KEEP)
+    right = station_master(master, mode).select(key("OCPP_CHARGE_STATION_ID").alias("_sk"), F.lit(0).cast("bigint").alias("_nk"), *MASTER_KEEP)
     return left.join(right, ["_sk", "_nk"], "inner").drop("_sk", "_nk")
 
 
@@ -282,7 +299,8 @@ def conform(
         stage_time = F.current_timestamp()
     created = F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED")
     exprs: dict[str, Column] = {
-        "SOURCE_ID": F.col("id").cast("string"),
+        # further frames of a line get their number into the key
+        "SOURCE_ID": F.concat(F.col("id").cast("string"), F.when(F.col("_frame_no") > 0, F.concat(F.lit("#"), F.col("_frame_no").cast("string"))).otherwise(F.lit(""))),
         "SOURCE_MESSAGE_ID": F.concat_ws("_", F.col("entity_id").cast("string"), F.col("request_uuid")),
         "CHARGE_STATION_ID": F.col("identity_key"),
         "SERIAL_NUMBER": F.col("serial_number"),
@@ -323,12 +341,11 @@ def to_silver(
     mode: str = "fixed",
     defaults: Mapping[str, object] | None = None,
     stage_time: Column | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     log_tz: str | None = None,
 ) -> DataFrame:
     """bronze + master → silver (44 columns), the whole parse in one plan."""
     parsed = parse_frames(bronze, mode, log_tz)
-    reqs = parse_request_payload(enrich_with_master(requests(parsed), master, mode, max_broadcast_rows))
+    reqs = parse_request_payload(enrich_with_master(requests(parsed), master, mode))
     paired = pair_responses(reqs, parsed, mode)
     return conform(parse_payloads(paired, mode), defaults, stage_time)
 
@@ -338,7 +355,6 @@ def to_silver_by_action(
     master: DataFrame,
     defaults: Mapping[str, object] | None = None,
     stage_time: Column | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Comparison plan only (bench): the same silver rows built one action at a time.
 
@@ -349,7 +365,7 @@ def to_silver_by_action(
     parts = []
     for act in ACTIONS:
         parsed = parse_frames(bronze)
-        reqs = parse_request_payload(enrich_with_master(by_action(parsed, act), master, "fixed", max_broadcast_rows))
+        reqs = parse_request_payload(enrich_with_master(by_action(parsed, act), master))
         parts.append(parse_payloads(pair_responses(reqs, parse_frames(bronze))))
     out = parts[0]
     for p in parts[1:]:

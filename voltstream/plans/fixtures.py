@@ -25,12 +25,12 @@ status notification    click: NoError / '0' / Available;
                        error: Error (k even) or OtherError / k / Faulted
 result status          Blocked if ``k % 4 = 0`` else Accepted
 newline in body        StatusNotification bodies with ``event_id % 11 = 0``
-master                 customer × connectors {1, 2} ⋈ nation, leaving out
-                       ``c_custkey % 13 = 0`` (so the inner join drops rows)
+master                 customer × connectors {1, 2} ⋈ nation (user 0 is no
+                       customer, so the inner join drops that station)
 =====================  ======================================================
 
 The modulo rules only shape the derived data (which event has a result
-frame, a payload time, a newline; which stations the master file lacks).
+frame, a payload time, a newline).
 Every event is rendered and processed; nothing is sampled away.
 """
 
@@ -40,7 +40,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltstream.functions.frames import CREATED_FORMAT
-from voltstream.operators.joins import join_dimension
 
 EVENT_TYPES = ("view", "purchase", "signup", "click", "error")
 ISO_MS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
@@ -59,27 +58,13 @@ def _q(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    The driver's tables are single-row-group files (one split); a real source
-    table has many files and is left as is.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): keep the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def ocpp_from_events(events: DataFrame) -> DataFrame:
     """Bronze reader rows (request and result lines) rendered from ``events``.
 
     One scan: each event yields an array of its one or two lines, inlined.
     """
     eid = F.col("event_id")
-    ev = spread(events).filter(F.col("event_type").isin(*EVENT_TYPES)).select(
+    ev = events.filter(F.col("event_type").isin(*EVENT_TYPES)).select(
         "event_id",
         "user_id",
         "event_type",
@@ -174,11 +159,11 @@ def ocpp_from_events(events: DataFrame) -> DataFrame:
 
 def master_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Station master rows (22 text columns, one per connector) from customer ⋈ nation."""
-    c = customer.filter(F.col("c_custkey") % 13 != 0).select(
+    c = customer.select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.explode(F.array(F.lit(1), F.lit(2))).alias("conn")
     )
     n = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    j = join_dimension(c, n, "c_nationkey", "inner")
+    j = c.join(n, "c_nationkey", "inner")
     key, conn = F.col("c_custkey"), F.col("conn")
     station = F.concat(F.lit("CS-"), F.lpad(_s(key), 6, "0"))
     dc = conn == 2

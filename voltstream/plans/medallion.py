@@ -1,8 +1,9 @@
 """End-to-end plans: bronze → silver → gold, on the driver's tables.
 
-All steps stay lazy DataFrames; nothing is collected. ``gold_from_tables``
-is what a first MERGE into an empty gold table yields: the latest silver row
-per (SOURCE, SOURCE_ID), stamped.
+The ``*_from_tables`` plans stay lazy. ``gold_from_tables`` is what a first
+MERGE into an empty gold table yields: the latest silver row per (SOURCE,
+SOURCE_ID), stamped. The per-load steps write: a merge stages and swaps, and
+``silver_increment`` collects the loads that hold partners of the new rows.
 """
 
 from __future__ import annotations
@@ -70,36 +71,46 @@ def merge_into_gold_table(
 
     A gold row's day is the day of its gateway time, which is part of the
     immutable log line behind its key, so by default only the increment's
-    days are read and rewritten (no table-wide key scan).
+    days are read and rewritten (no table-wide key scan). Rows without a key
+    go to ``<gold_path>__quarantine``.
     """
     from voltstream.operators.merge import merge_partitions
 
     return merge_partitions(
         gold_path, silver_df, schemas.GOLD_KEY, GOLD_PARTITION, gold_partition_value(), stage_path,
         stamp_column="STAGE_PROCESSED_TIMESTAMP", stamp=stamp, order=SILVER_ORDER, locate=locate,
+        quarantine_path=f"{gold_path.rstrip('/')}__quarantine",
     )
 
 
 def silver_increment(
     bronze: DataFrame,
-    is_new: Column,
+    load: str,
     master: DataFrame,
-    pair_within: str = "10 minutes",
     stage_time: Column | None = None,
     mode: str = "fixed",
 ) -> DataFrame:
-    """Silver rows for a new bronze load, with results paired across the load boundary.
-
-    A request landed in an earlier load whose result arrives in this one would
-    otherwise never be paired. The increment therefore also takes the earlier
-    rows within ``pair_within`` before the new load's earliest ``request_date``
-    (one scalar, collected). Re-merging those rows into gold is idempotent;
-    the boundary requests gain their result.
+    """Silver rows that a new bronze load adds or changes, paired as in a full build.
+
+    A new line can change any request of its (station, message id): a late
+    result fills one in, a late request takes a result from another. So the
+    increment is the new load's lines and all earlier lines with the same
+    (station, message id), whenever they came; re-merging those into gold is
+    idempotent. There is no time window: a result landed months later pairs.
+
+    ``bronze`` has the columns of ``bronze.add_frame_keys`` and is partitioned
+    by load and kind. Partners are looked up in the narrow key columns
+    (``identity_key``, ``message_ids``, ``id``, the partition columns); whole
+    rows are read only from the loads that hold some (a list of loads is
+    collected), so for the usual load that is the load itself and the one before.
     """
-    new = bronze.filter(is_new)
-    first = new.agg(F.min("request_date")).first()[0]
-    if first is None:
-        return silver.to_silver(new, master, mode=mode, stage_time=stage_time)
-    start = F.lit(first).cast("timestamp") - F.expr(f"INTERVAL {pair_within}")
-    window_rows = bronze.filter(~is_new & (F.col("request_date") >= start))
-    return silver.to_silver(new.unionByName(window_rows), master, mode=mode, stage_time=stage_time)
+    key = ["identity_key", "_mid"]
+    narrow = bronze.select("load", "id", "identity_key", F.explode("message_ids").alias("_mid")).filter(F.col("identity_key").isNotNull())
+    keys = narrow.filter(F.col("load") == load).select(*key).distinct()
+    partners = narrow.filter(F.col("load") != load).join(keys, key, "left_semi").select(F.col("load").alias("_load"), F.col("id").alias("_id")).distinct()
+    loads = [r[0] for r in partners.select("_load").distinct().collect()]
+    rows = bronze.filter(F.col("load") == load)
+    if loads:
+        rows = rows.unionByName(bronze.filter(F.col("load").isin(loads)).join(
+            partners, (F.col("load") == F.col("_load")) & (F.col("id") == F.col("_id")), "left_semi"))
+    return silver.to_silver(rows, master, mode=mode, stage_time=stage_time)

@@ -18,9 +18,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltstream import schemas
+from voltstream.functions import frames
 from voltstream.operators.asof import asof_pair
 
 # ---------------------------------------------------------------------------
@@ -160,6 +162,61 @@ VIEWS = {
 }
 
 
+def meter_readings(gold: DataFrame) -> DataFrame:
+    """One row per sampled meter value of a stop's ``transactionData`` (FN20).
+
+    Read from the request text that gold keeps; SOURCE_ID, station, transaction
+    and tag with the reading's and sample's place, time, value (NULL if it is
+    no number), measurand, unit and context.
+    """
+    stops = gold.filter(F.col("OCPP_ACTION") == "StopTransaction")
+    body = F.from_json(frames.request_body(F.col("OCPP_REQUEST_MESSAGE"), F.col("OCPP_REQUEST_MESSAGE")),
+                       f"transactionData ARRAY<STRUCT<{schemas.ddl(schemas.TRANSACTION_DATA_FIELDS)}>>")
+    kept = ["SOURCE_ID", "CHARGE_STATION_ID", "TRANSACTION_ID", "ID_TAG", "UNIFIED_TIMESTAMP"]
+    readings = stops.select(*kept, F.posexplode(body["transactionData"]).alias("reading_no", "_reading"))
+    samples = readings.select(*kept, "reading_no", F.col("_reading.timestamp").alias("reading_time"), F.posexplode("_reading.sampledValue").alias("sample_no", "_sample"))
+    return samples.select(*kept, "reading_no", "reading_time", "sample_no", F.col("_sample.value").try_cast("double").alias("value"),
+                          *[F.col(f"_sample.{c}").alias(c) for c in ("measurand", "unit", "context")])
+
+
+def energy_from_readings(gold: DataFrame) -> DataFrame:
+    """Transactions, readings and meter values per station and day, from real readings (beside VW5 / VW6, whose
+    meter column is constant)."""
+    return meter_readings(gold).groupBy("CHARGE_STATION_ID", F.to_date("UNIFIED_TIMESTAMP").alias("date")).agg(
+        F.count_distinct("SOURCE_ID").alias("transactions"), F.count("value").alias("readings"),
+        F.max("value").alias("highest_reading"), F.sum("value").alias("total_reading"))
+
+
+#: the linear views as SQL over a gold table (``ev_transaction_units`` is a DataFrame plan, see ``register_views``)
+VIEW_SQL = {
+    "charger_heartbeats": f"""
+SELECT CHARGE_STATION_ID, DATE(UNIFIED_TIMESTAMP) AS date, COUNT(*) AS heartbeat_count,
+       MAX(CASE WHEN STATUS = '{DOWN_STATUS}' THEN 1 ELSE 0 END) AS was_down
+FROM {{gold}} WHERE OCPP_ACTION = 'Heartbeat' GROUP BY CHARGE_STATION_ID, DATE(UNIFIED_TIMESTAMP)""",
+    "charging_session_errors": f"""
+SELECT MANUFACTURER, COUNT(*) AS error_count, OCPP_ERROR_CODE, VENDOR_ERROR_CODE
+FROM {{gold}} WHERE OCPP_ACTION = 'StatusNotification' AND (OCPP_ERROR_CODE = '{ERROR_CODES[0]}' OR VENDOR_ERROR_CODE <> '{NO_VENDOR_ERROR}')
+GROUP BY MANUFACTURER, OCPP_ERROR_CODE, VENDOR_ERROR_CODE""",
+    "charging_session_duration": """
+SELECT TRANSACTION_ID, CHARGE_STATION_ID, MIN(UNIFIED_TIMESTAMP) AS session_start, MAX(UNIFIED_TIMESTAMP) AS session_end,
+       MAX(UNIFIED_TIMESTAMP) - MIN(UNIFIED_TIMESTAMP) AS session_duration
+FROM {gold} WHERE TRANSACTION_ID IS NOT NULL GROUP BY TRANSACTION_ID, CHARGE_STATION_ID""",
+    "energy_consumption_by_charger": """
+SELECT CHARGE_STATION_ID, SUM(METERVALUE_ENERGY_KWH) AS total_energy_consumed FROM {gold} GROUP BY CHARGE_STATION_ID""",
+    "daily_energy_consumption": """
+SELECT CHARGE_STATION_ID, DATE(UNIFIED_TIMESTAMP) AS date, SUM(METERVALUE_ENERGY_KWH) AS total_energy_consumed
+FROM {gold} GROUP BY CHARGE_STATION_ID, DATE(UNIFIED_TIMESTAMP)""",
+}
+
+
+def create_views(spark: SparkSession, gold_table: str, suffix: str = "") -> list[str]:
+    """``CREATE OR REPLACE VIEW`` for the linear views over a catalog table; they outlive the DataFrames (and, with a
+    persistent catalog, the session) and are queried by name."""
+    for name, sql in VIEW_SQL.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {name}{suffix} AS {sql.format(gold=gold_table)}")
+    return [f"{name}{suffix}" for name in VIEW_SQL]
+
+
 def register_views(gold: DataFrame) -> dict[str, DataFrame]:
     """Publish the six views as temporary views named as in ``VIEW_NAMES``."""
     out = {}

@@ -121,8 +121,8 @@ GOLD_DDL = SILVER_DDL.rstrip() + ",\nSTAGE_PROCESSED_TIMESTAMP TIMESTAMP\n"
 #: logical key of silver / gold rows
 GOLD_KEY = ("SOURCE", "SOURCE_ID")
 
-#: high-water-mark control table
-MARK_DDL = "last_load_time TIMESTAMP"
+#: load time that the master stream adds to master rows (beside the 22 published columns)
+MASTER_LOAD = "MASTER_LOAD_TIME"
 
 # ---------------------------------------------------------------------------
 # OCPP payload fields read from request and response bodies.
@@ -130,21 +130,6 @@ MARK_DDL = "last_load_time TIMESTAMP"
 # subset of the merged request schema; responses likewise.
 # ---------------------------------------------------------------------------
 
-STATUS_NOTIFICATION_REQ_DDL = (
-    "timestamp TIMESTAMP, connectorId STRING, vendorId STRING, info STRING, "
-    "errorCode STRING, status STRING, vendorErrorCode STRING"
-)
-HEARTBEAT_REQ_DDL = "timestamp TIMESTAMP"
-HEARTBEAT_RES_DDL = "currentTime TIMESTAMP"
-START_TRANSACTION_REQ_DDL = "connectorId STRING, idTag STRING, meterStart STRING, timestamp TIMESTAMP"
-START_TRANSACTION_RES_DDL = "idTagInfo STRUCT<status: STRING>, transactionId STRING"
-STOP_TRANSACTION_REQ_DDL = (
-    "idTag STRING, meterStop STRING, timestamp TIMESTAMP, transactionId STRING, "
-    "reason STRING, transactionData ARRAY<STRING>"
-)
-STOP_TRANSACTION_RES_DDL = "idTagInfo STRUCT<status: STRING>"
-TRANSACTION_DATA_DDL = "timestamp TIMESTAMP, sampledValue ARRAY<STRING>"
-
 #: one struct covering every request field, so each body is parsed once
 REQUEST_PAYLOAD_DDL = (
     "timestamp TIMESTAMP, connectorId STRING, vendorId STRING, info STRING, "
@@ -152,6 +137,8 @@ REQUEST_PAYLOAD_DDL = (
     "meterStart STRING, meterStop STRING, transactionId STRING, reason STRING, "
     "transactionData ARRAY<STRING>"
 )
+#: one struct of a stop's meter readings (an element of transactionData)
+TRANSACTION_DATA_FIELDS = "timestamp: TIMESTAMP, sampledValue: ARRAY<STRUCT<value: STRING, measurand: STRING, unit: STRING, context: STRING>>"
 #: one struct covering every response field
 RESPONSE_PAYLOAD_DDL = "currentTime TIMESTAMP, idTagInfo STRUCT<status: STRING>, transactionId STRING"
 

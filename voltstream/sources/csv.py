@@ -61,8 +61,17 @@ def read_text_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    """CSV with header and ``""`` escapes; one file per task (no single-file funnel)."""
-    w = df.drop(CORRUPT_COLUMN).write.mode(mode).options(**WRITE_OPTIONS)
+    """CSV with header and ``""`` escapes; right-sized files (no single-file funnel).
+
+    A multi-line CSV file is one split for its readers, so rows are rebalanced
+    by the partition columns: not a file per task and day, and a large day in
+    several files. The rescued text of malformed rows has no place in a row's
+    CSV; see ``operators.incremental.land_increment`` for where it is kept.
+    """
+    rows = df.drop(CORRUPT_COLUMN)
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
+    w = rows.write.mode(mode).options(**WRITE_OPTIONS)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

@@ -1,30 +1,15 @@
-"""Tables without a transactional table format.
-
-* ``ensure_table`` / ``read_table`` / ``append_table``: catalog or path tables
-  in parquet (SK7, SK8, SC5, SC6).
-* Snapshot tables: every rewrite (e.g. an upsert result) goes to a new
-  ``snap=<n>-<attempt>`` folder; a small append-only ``_manifest`` lists
-  committed snapshots (number and folder) and readers take the highest one.
-  A snapshot is listed only after Spark has committed its files, so readers
-  never see a partial write, the previous snapshot stays readable while the
-  next one is written (a table cannot be overwritten while it is being
-  read), and a job that dies between the write and the manifest entry leaves
-  only an unlisted folder that is never read.
-"""
+"""Catalog and path tables in parquet (SK7, SK8, SC5, SC6), without a transactional table format."""
 
 from __future__ import annotations
 
 import contextlib
-import uuid
 
 from pyspark.logger import PySparkLogger
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from voltstream import schemas
 
-MANIFEST = "_manifest"
 _ERROR_LOGGERS = ("DataFrameQueryContextLogger", "SQLQueryContextLogger")
 
 
@@ -45,13 +30,18 @@ def _quiet_probe():
 def read_parquet_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The parquet table at ``path``, or None when nothing has been written there yet.
 
-    Works on any file system Spark can read (no driver-local path checks).
+    Works on any file system Spark can read (no driver-local path checks). A
+    missing folder and one without any data file (a first write that died) are
+    "nothing written"; any other error is raised, so that an unreadable table
+    never passes for an empty one.
     """
     with _quiet_probe():
         try:
             return spark.read.parquet(path)
-        except AnalysisException:
-            return None
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
 
 
 def ensure_table(spark: SparkSession, name: str, ddl: str, path: str | None = None) -> None:
@@ -72,50 +62,3 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-
-
-def _manifest(spark: SparkSession, base: str) -> DataFrame | None:
-    return read_parquet_if_exists(spark, f"{base}/{MANIFEST}")
-
-
-def _committed(spark: SparkSession, base: str, snap: int | None = None):
-    """(number, folder) of the newest committed snapshot (or of ``snap``), or None."""
-    m = _manifest(spark, base)
-    if m is None:
-        return None
-    if snap is not None:
-        m = m.filter(F.col("snap") == snap)
-    row = m.agg(F.max_by(F.struct("snap", "path"), "snap").alias("w")).first()["w"]
-    return None if row is None else (row["snap"], row["path"])
-
-
-def latest_snapshot(spark: SparkSession, base: str) -> int | None:
-    """Number of the newest committed snapshot (one tiny aggregate), or None."""
-    c = _committed(spark, base)
-    return None if c is None else c[0]
-
-
-def write_snapshot(df: DataFrame, base: str, partition_by: list[str] | None = None) -> int:
-    """Write ``df`` as the next snapshot of the table at ``base``; returns its number."""
-    spark = df.sparkSession
-    last = latest_snapshot(spark, base)
-    n = 1 if last is None else last + 1
-    path = f"{base}/snap={n}-{uuid.uuid4().hex[:12]}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    entry = spark.range(1).select(
-        F.lit(n).cast("bigint").alias("snap"), F.lit(path).alias("path"), F.current_timestamp().alias("committed_at"))
-    entry.write.mode("append").parquet(f"{base}/{MANIFEST}")
-    return n
-
-
-def read_snapshot(spark: SparkSession, base: str, snap: int | None = None, schema: str | None = None) -> DataFrame:
-    """The given (default: newest) snapshot; an empty frame of ``schema`` when none exists."""
-    c = _committed(spark, base, snap)
-    if c is None:
-        if schema is None:
-            raise FileNotFoundError(f"no snapshot at {base}")
-        return spark.createDataFrame([], schemas.ddl(schema))
-    return spark.read.parquet(c[1])

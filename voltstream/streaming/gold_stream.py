@@ -1,98 +1,48 @@
 """Incremental bronze → silver → gold with Structured Streaming.
 
-Instead of re-reading all bronze and appending to silver on every run, the
-landed files are streamed once:
-
-* requests and results are paired with a **stream-stream left outer join**
-  on (station, message id) with an event-time bound (a result at most
-  ``match_within`` after its request); watermarks on both sides keep the
-  join state bounded by time, spread over tasks by key;
-* duplicate results are dropped with ``dropDuplicatesWithinWatermark`` (the
-  first result per key wins), so the join cannot fan out;
-* an unpaired request is emitted once its window has passed the watermark
-  (requests without a gateway time cannot be time-bounded and pass unpaired);
-* each micro-batch is merged into the day-partitioned gold table with
-  ``foreachBatch`` (rewriting only touched days); a re-run batch re-merges
-  the same rows, which is idempotent apart from the stamp.
+The landed files are streamed once. Each micro-batch is written to the bronze
+table as a load of its own (a partition overwrite, so that a repeated batch
+replaces itself) and ``medallion.silver_increment`` of that load is merged
+into day-partitioned gold: a request is in gold as soon as its batch is, and
+its result fills it in whenever it lands, hours or months later. There is no
+watermark and no time bound, and no pairing state beside bronze itself; the
+result equals the batch plan after every batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from voltstream.operators import silver
+from voltstream.operators import bronze
 from voltstream.streaming.ingest import foreach_batch_stream, stream_ocpp_csv
 
-CREATED = "SOURCE_MESSAGE_TIMESTAMP_CREATED"
-
-
-def stream_silver(
-    bronze_stream: DataFrame,
-    master: DataFrame,
-    watermark: str = "1 hour",
-    match_within: str = "10 minutes",
-    defaults: Mapping[str, object] | None = None,
-    stage_time: Column | None = None,
-) -> DataFrame:
-    """Streaming silver rows (44 columns, fixed mode) from a streaming bronze frame."""
-    parsed = silver.parse_frames(bronze_stream)
-    reqs = silver.parse_request_payload(silver.enrich_with_master(silver.requests(parsed), master))
-    reqs = reqs.drop("OCPP_RESPONSE_MESSAGE", "_response_body")
-    timed = reqs.filter(F.col(CREATED).isNotNull()).withWatermark(CREATED, watermark)
-    untimed = reqs.filter(F.col(CREATED).isNull()).withColumn("OCPP_RESPONSE_MESSAGE", F.lit(None).cast("string"))
-
-    res = (
-        silver.responses(parsed)
-        .filter(F.col("_res_created").isNotNull())
-        .select(
-            F.col("identity_key").alias("_r_station"),
-            F.col("OCPP_MESSAGE_UNIQUE_ID").alias("_r_id"),
-            "OCPP_RESPONSE_MESSAGE",
-            "_res_created",
-        )
-        .withWatermark("_res_created", watermark)
-        .dropDuplicatesWithinWatermark(["_r_station", "_r_id"])
-    )
-    cond = (
-        (F.col("identity_key") == F.col("_r_station"))
-        & (F.col("OCPP_MESSAGE_UNIQUE_ID") == F.col("_r_id"))
-        & (F.col("_res_created") >= F.col(CREATED))
-        & (F.col("_res_created") <= F.col(CREATED) + F.expr(f"INTERVAL {match_within}"))
-    )
-    paired = timed.join(res, cond, "leftOuter").drop("_r_station", "_r_id", "_res_created")
-    both = paired.unionByName(untimed)
-    return silver.conform(silver.parse_payloads(both), defaults, stage_time)
-
 
 def run_gold_stream(
     spark: SparkSession,
     landing_glob: str,
     master: DataFrame,
+    bronze_path: str,
     gold_path: str,
     checkpoint: str,
     stage_root: str,
-    watermark: str = "1 hour",
-    match_within: str = "10 minutes",
     stamp: Column | None = None,
     available_now: bool = True,
     timeout: float | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Stream landed OCPP CSV into the gold table (bronze and silver stay in flight)."""
-    from voltstream.plans.medallion import merge_into_gold_table
+    """Stream landed OCPP CSV into the bronze and gold tables."""
+    from voltstream.plans.medallion import merge_into_gold_table, silver_increment
 
-    silver_stream = stream_silver(stream_ocpp_csv(spark, landing_glob), master, watermark, match_within, stage_time=stamp)
+    lines = stream_ocpp_csv(spark, landing_glob, max_files_per_trigger, with_keys=False)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        # the batch is read several times by the merge (touched days, upsert); keep it once
-        batch.persist()
-        try:
-            if not batch.isEmpty():
-                merge_into_gold_table(gold_path, batch, f"{stage_root}/batch={batch_id}", stamp=stamp)
-        finally:
-            batch.unpersist()
-
-    return foreach_batch_stream(silver_stream, checkpoint, merge_batch, available_now=available_now, timeout=timeout)
+        load = f"batch-{batch_id:09d}"
+        rows = bronze.add_frame_keys(batch, load=F.lit(load))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*bronze.PARTITIONS).parquet(bronze_path))
+        session = batch.sparkSession
+        increment = silver_increment(session.read.parquet(bronze_path), load, master, stage_time=stamp)
+        merge_into_gold_table(gold_path, increment, f"{stage_root}/{load}", stamp=stamp)
+
+    return foreach_batch_stream(lines, checkpoint, merge_batch, available_now=available_now, timeout=timeout)

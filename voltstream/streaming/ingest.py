@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from voltstream import schemas
@@ -21,23 +22,25 @@ from voltstream.sources.csv import MASTER_CSV_OPTIONS, OCPP_CSV_OPTIONS
 
 
 def stream_ocpp_csv(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, with_frame_kind: bool = True
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, with_keys: bool = True
 ) -> DataFrame:
     """Streaming bronze rows from OCPP CSV files (SC3, PJ1, PJ2, ST3, ST5).
 
-    ``with_frame_kind`` adds the ``frame_kind`` column to partition bronze by
-    (see ``append_stream(partition_by=...)``).
+    ``with_keys`` adds ``load``, ``frame_kind`` (to partition bronze by, see
+    ``append_stream(partition_by=bronze.PARTITIONS)``) and ``message_ids``.
     """
     r = spark.readStream.options(**OCPP_CSV_OPTIONS).schema(schemas.ddl(schemas.BRONZE_INPUT_DDL))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     out = bronze.conform(bronze.add_ingest_metadata(r.csv(path)))
-    return bronze.add_frame_kind(out) if with_frame_kind else out
+    return bronze.add_frame_keys(out) if with_keys else out
 
 
 def stream_master_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Streaming master rows (SC4) with the fixed all-text master schema."""
-    return spark.readStream.options(**MASTER_CSV_OPTIONS).schema(schemas.ddl(schemas.MASTER_DDL)).csv(path)
+    """Streaming master rows (SC4): the fixed all-text columns and ``MASTER_LOAD_TIME``, the file's time,
+    so that a reload can be told from what it replaces."""
+    rows = spark.readStream.options(**MASTER_CSV_OPTIONS).schema(schemas.ddl(schemas.MASTER_DDL)).csv(path)
+    return rows.withColumn(schemas.MASTER_LOAD, F.col("_metadata.file_modification_time"))
 
 
 def append_stream(
