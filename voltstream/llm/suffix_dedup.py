@@ -7,21 +7,21 @@ A suffix array over the corpus would hold a row for each byte. Here only *anchor
    strings share anchors: there is about one for every 35 bytes. The strings of one anchor occurrence form a
    stretch: offsets lo .. hi from string start to anchor, bytes anchor - hi .. anchor - lo + LENGTH.
 2. Anchors seen once are done (counted with map-side sums); only stretches with a repeated anchor go on.
-3. Equal stretches (128-bit digests of their bytes) collapse: all but the first are removed whole. Tasks collapse
-   their own first, so copies never pile up on one key.
-4. Different stretches of one anchor share strings in part. Groups of up to ``GROUP`` go to hash-compared suffix
-   sorting: prefix polynomial hashes give a substring's hash in O(1), binary search on them the common extension of
-   two suffixes, so a comparison takes O(log LENGTH) in a mergesort of the anchored suffixes. The LCP array gives
-   the right extension of any two of a group, a hash search the left one, both the strings that they share; the
-   later one's go. Matches are verified on the bytes; after a collision the extensions are measured on the bytes.
-5. Larger groups (a passage pasted in very many contexts) are dealt anew by content: offsets are halved and a
-   stretch's half is keyed by the bytes that all strings of that half contain. Halves with a key of their own share
-   nothing, equal halves collapse as in 3, groups that are small by now go to 4, others are halved again, 7 times
-   at most; a single offset's key is the string itself.
-6. Removed stretches are joined to the documents by document.
-
-Up to ``AMONG`` repeated anchors (8 bytes each) are sent to the tasks that cut out stretches; with more of them the
-anchors' positions are joined to the anchors, then to the documents, with the same result.
+3. Tasks collapse their own equal stretches (128-bit digests of their bytes): all but the first are removed whole, so
+   copies never pile up on one key. The rest meets by anchor.
+4. Anchors with up to ``GROUP`` stretches go to hash-compared suffix sorting: prefix polynomial hashes give a
+   substring's hash in O(1), binary search on them the common extension of two suffixes, so a comparison takes
+   O(log LENGTH) in a mergesort of the anchored suffixes. The LCP array gives the right extension of any two of a
+   group, a hash search the left one, both the strings that they share; the later one's go. Matches are verified on
+   the bytes; after a collision the extensions are measured on the bytes.
+5. Anchors with more stretches (a passage pasted in very many contexts) are collapsed by digest over all tasks, then
+   dealt anew by content: offsets are halved and a stretch's half is keyed by the bytes that all strings of that
+   half contain. Halves with a key of their own share nothing, groups that are small by now go to 4, others are
+   collapsed and halved again, 7 times at most; a single offset's key is the string itself.
+6. Removed ranges are joined to the documents by document.
+
+Up to ``AMONG`` repeated anchors (4 bytes of each) are sent to the tasks that cut out stretches; with more of them
+the anchors' positions are joined to the anchors, then to the documents, with the same result.
 
 Order is (doc_id, hash of the text); NULL ids come last, and of fully repeated rows one counts as earlier. Cases: NULL
 texts are empty; texts under LENGTH bytes lose nothing; matches never cross documents; empty tables give empty
@@ -38,14 +38,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import filled, ranges, stage, text_slices, worker_memo
+from voltstream.llm.common import filled, ranges, small_batches, stage, text_slices, worker_memo
 
 LENGTH, GRAM = 100, 32
 #: Bytes hashed at once.
-PIECE = 1 << 20
-#: Repeated anchors that are sent to every task (8 bytes each).
+PIECE = 1 << 18
+#: Stretches sorted at once.
+CHUNK = 1 << 14
+#: Repeated anchors that are sent to every task (4 bytes of each; another anchor with these 4 bytes does no harm).
 AMONG = 4 << 20
-#: Different stretches of an anchor that are compared within a task.
+#: Stretches of an anchor that are compared within a task.
 GROUP = 256
 
 _BASE = 0x5DEECE66D2B79F91
@@ -165,8 +167,22 @@ def _digest(body: bytes, lo: int, hi: int) -> bytes:
     return hashlib.blake2b(body, digest_size=16, salt=bytes((lo, hi))).digest()
 
 
+def _merged_ranges(ord_: list[int], begin: list[int], end: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of a document that touch or overlap, as one."""
+    o, b, e = (np.array(x, np.int64) for x in (ord_, begin, end))
+    order = np.lexsort((b, o))
+    o, b, e = o[order], b[order], e[order]
+    first = np.concatenate([[True], np.diff(o) != 0])
+    number = np.cumsum(first) - 1
+    wide = int(e.max(initial=0)) + 1
+    reach = np.maximum.accumulate(e + number * wide) - number * wide  # the furthest end so far in the document
+    new = np.flatnonzero(first | (b > np.concatenate([[0], reach[:-1]])))
+    last = np.concatenate([new[1:], [len(o)]]) - 1
+    return o[new], b[new], reach[last]
+
+
 def _collapsed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Stretches (key, ord, p, lo, hi, body); of equal ones the first, the others marked as removed by a NULL key."""
+    """Stretches (key, ord, p, lo, hi, body); of equal ones the first, the others' ranges as rows with a NULL key."""
     best: dict[bytes, int] = {}
     digests, gone = [], []
     for i, (_, ord_, p, lo, hi, body) in enumerate(rows):
@@ -179,25 +195,30 @@ def _collapsed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
                 gone.append(j)
             else:
                 gone.append(i)
-    kept = sorted(best.values())
-    for at, keep in ((kept, True), (gone, False)):
-        if at:
-            column = lambda k, kind: pa.array([rows[i][k] for i in at], kind)
-            none = pa.nulls(len(at), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [column(0, pa.int64()) if keep else pa.nulls(len(at), pa.int64()), pa.array([digests[i] for i in at], pa.binary()) if keep else none,
-                 column(1, pa.int64()), column(2, pa.int64()), column(3, pa.int32()), column(4, pa.int32()), column(5, pa.binary()) if keep else none],
-                ["key", "digest", "ord", "p", "lo", "hi", "body"])
+    at = sorted(best.values())
+    if at:
+        column = lambda k, kind: pa.array([rows[i][k] for i in at], kind)
+        yield pa.RecordBatch.from_arrays(
+            [column(0, pa.int64()), pa.array([digests[i] for i in at], pa.binary()), *[column(k, t) for k, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.int32()), (4, pa.int32()), (5, pa.binary()))]],
+            ["key", "digest", "ord", "p", "lo", "hi", "body"])
+    if gone:
+        r = [rows[i] for i in gone]
+        o, b, e = _merged_ranges([x[1] for x in r], [x[2] - x[4] for x in r], [x[2] - x[3] + LENGTH for x in r])
+        n = len(o)  # p - hi is the begin, p - lo + LENGTH the end
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(o), pa.array(b), pa.array((LENGTH - (e - b)).astype(np.int32)), pa.array(np.zeros(n, np.int32)), pa.nulls(n, pa.binary())],
+            ["key", "digest", "ord", "p", "lo", "hi", "body"])
 
 
 def _cut(docs: DataFrame, among: np.ndarray) -> DataFrame:
-    """The stretches with an anchor in ``among`` (sorted)."""
+    """The stretches with an anchor whose upper 4 bytes are in ``among`` (sorted)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", 2 << 20):
             ords, rows = part.column("ord").to_numpy(), []
             for text, key, p, lo, hi, first, data in _found(filled(part, "text")) if len(among) else ():
-                hit = np.flatnonzero(among[np.minimum(np.searchsorted(among, key), len(among) - 1)] == key)
+                upper = (key >> np.uint64(32)).astype(np.uint32)
+                hit = np.flatnonzero(among[np.minimum(np.searchsorted(among, upper), len(among) - 1)] == upper)
                 last = first + hi - lo + LENGTH
                 for k, o, x, a, b, f, e in zip(*(v[hit].tolist() for v in (key.view(np.int64), ords[text], p, lo, hi, first, last))):
                     rows.append((k, o, x, a, b, data[f:e].tobytes()))
@@ -324,24 +345,36 @@ def _compared(groups: DataFrame) -> DataFrame:
 
     def solve(table: pa.Table) -> pa.RecordBatch:
         key, ord_, p, lo, hi = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "ord", "p", "lo", "hi"))
-        row, first, last = shared_strings(key, ord_, p, lo, hi, table.column("body").to_pylist())
-        return pa.RecordBatch.from_arrays([pa.array(ord_[row]), pa.array(p[row] - last), pa.array(p[row] - first + LENGTH)], ["ord", "begin", "end"])
+        # equal stretches: all but the first go whole
+        _, same = np.unique(table.column("digest").combine_chunks().cast(pa.binary(16)).to_numpy(zero_copy_only=False).astype("S16"), return_inverse=True)
+        order = np.lexsort((p, ord_, same))
+        again = np.zeros(len(key), bool)
+        again[order[1:]] = same[order[1:]] == same[order[:-1]]
+        left = np.flatnonzero(~again)
+        left = left[np.isin(key[left], key[left][1:][np.diff(key[left]) == 0])]  # anchors with different stretches
+        row, first, last = shared_strings(key[left], ord_[left], p[left], lo[left], hi[left], table.column("body").take(pa.array(left)).to_pylist())
+        gone, row = np.flatnonzero(again), left[row]
+        o, b, e = _merged_ranges(np.concatenate([ord_[gone], ord_[row]]), np.concatenate([p[gone] - hi[gone], p[row] - last]), np.concatenate([p[gone] - lo[gone], p[row] - first]) + LENGTH)
+        return pa.RecordBatch.from_arrays([pa.array(o), pa.array(b), pa.array(e)], ["ord", "begin", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) >= 1 << 16:
+            size += batch.num_rows
+            if size >= CHUNK:
                 table = pa.Table.from_batches(held)
                 key = table.column("key").to_numpy()
                 whole = int(np.searchsorted(key, key[-1]))  # the last key's group may go on
                 if whole:
                     yield solve(table.slice(0, whole))
                 held = table.slice(whole).to_batches()
-        if held and sum(b.num_rows for b in held):
+                size -= whole
+        if size:
             yield solve(pa.Table.from_batches(held))
 
-    rows = groups.select("key", "ord", "p", "lo", "hi", "body").repartition("key").sortWithinPartitions("key")
+    rows = groups.select("key", "digest", "ord", "p", "lo", "hi", "body").repartition("key").sortWithinPartitions("key")
     return rows.mapInArrow(run, _REMOVED)
 
 
@@ -365,20 +398,21 @@ def _halves(groups: DataFrame, cell: int) -> DataFrame:
 def _resolve(spark: SparkSession, cut: DataFrame, cell: int, group: int) -> list[DataFrame]:
     """Removed ranges of stretches whose strings meet only under equal keys."""
     cut = stage(spark, cut, "stretches")
-    whole = F.col("p") - F.col("hi"), F.col("p") - F.col("lo") + LENGTH
-    removed = [cut.where("key is null").select("ord", whole[0].alias("begin"), whole[1].alias("end"))]
+    whole = [F.col("ord"), (F.col("p") - F.col("hi")).alias("begin"), (F.col("p") - F.col("lo") + LENGTH).alias("end")]
+    removed = [cut.where("key is null").select(*whole)]
     rows = cut.where("key is not null")
-    firsts = stage(spark, rows.groupBy("key", "digest").agg(F.min(F.struct("ord", "p", "lo", "hi")).alias("f")).select("key", "f.ord", "f.p", "f.lo", "f.hi"), "firsts")
-    sizes = stage(spark, firsts.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    large = stage(spark, rows.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("n")).where(F.col("n") > group).select("_key"), "large")
+    if large.isEmpty():
+        return [*removed, _compared(rows)]
+    of_large = F.col("key") == F.col("_key")
+    removed.append(_compared(rows.join(large, of_large, "left_anti")))
     same = ["key", "ord", "p", "lo"]  # a stretch is told by these
-    removed.append(rows.select("key", "ord", "p", "lo", "hi").join(firsts.select(*same), same, "left_anti").select("ord", whole[0].alias("begin"), whole[1].alias("end")))
-    open_ = firsts.select(*same).join(sizes, F.col("key") == F.col("_key")).select(*same, "n")
-    groups = stage(spark, rows.join(open_, same), "groups")
-    removed.append(_compared(groups.where(F.col("n") <= group)))
-    large = groups.where(F.col("n") > group)
-    if cell > 1 and not large.isEmpty():
+    big = rows.join(large, of_large, "left_semi")
+    firsts = stage(spark, big.groupBy("key", "digest").agg(F.min(F.struct("ord", "p", "lo")).alias("f")).select("key", "f.*"), "firsts")
+    removed.append(big.select("key", "ord", "p", "lo", "hi").join(firsts, same, "left_anti").select(*whole))
+    if cell > 1:
         smaller = -(-cell // 2)
-        removed += _resolve(spark, _halves(large, smaller), smaller, group)
+        removed += _resolve(spark, _halves(rows.join(firsts, same, "left_semi"), smaller), smaller, group)
     return removed
 
 
@@ -386,8 +420,8 @@ def repeated_ranges(spark: SparkSession, docs: DataFrame, among: int = AMONG, gr
     """(ord, begin, end) of byte ranges to remove from ``docs(ord, text)``; ``ord`` is unique and orders documents."""
     repeated = stage(spark, _anchor_counts(docs).where("n > 1").select("key"), "repeated")
     if repeated.count() <= among:
-        keys = np.sort(repeated.toArrow().column("key").to_numpy().view(np.uint64))
-        cut = _cut(docs, keys)
+        upper = repeated.select(F.shiftrightunsigned("key", 32).alias("u")).distinct().toArrow().column("u").to_numpy()
+        cut = _cut(docs, np.sort(upper.astype(np.uint32)))
     else:
         cut = _cut_joined(docs, repeated)
     out, *more = _resolve(spark, cut, _CELLS, group)
@@ -410,9 +444,11 @@ def ordered_documents(spark: SparkSession, docs: DataFrame, id_col: str, text_co
 def without_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", among: int = AMONG, group: int = GROUP) -> DataFrame:
     """One row per document: doc_id, kept (the remaining bytes), spans (array of removed begin / end), n_bytes."""
     rows = ordered_documents(spark, docs, id_col, text_col)
-    spans = repeated_ranges(spark, rows.select("ord", "text"), among, group)
-    # the ranges of a document are bounded by its length
-    by_doc = stage(spark, spans.groupBy("ord").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("spans")).withColumnRenamed("ord", "_ord"), "spans")
+    with small_batches(spark):
+        spans = repeated_ranges(spark, rows.select("ord", "text"), among, group)
+        # the ranges of a document are bounded by its length
+        by_doc = spans.groupBy(F.col("ord").alias("_ord")).agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+        by_doc = stage(spark, by_doc, "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
