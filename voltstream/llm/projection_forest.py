@@ -3,7 +3,8 @@
 Equal vectors collapse first (a partial aggregate), so copies never meet in a task; what follows works on distinct
 vectors with their number of copies. Every tree splits recursively at the median projection on a random direction;
 vectors within ``spill`` of the cut go to both sides. Trees are fitted on a bounded sample (``SAMPLE`` vectors), every
-vector is dealt. In each leaf all pairs are compared by cosine in double precision. A vector carries its leaves, and
+vector is dealt. In each leaf all pairs are compared by cosine, in single precision first, near the threshold and above it in double
+precision. A vector carries its leaves, and
 a pair counts only in the smallest leaf that both are in, so links need not be listed or made distinct: a leaf
 gives link counts and a spanning forest of its links, which ``common.components`` joins up.
 
@@ -93,17 +94,21 @@ def _compare(table: pa.Table, threshold: float) -> pa.Table:
     rep, copies, chunk = (table.column(c).to_numpy() for c in ("rep", "copies", "chunk"))
     own, cross = table.column("leaf")[0].as_py(), table.column("other")[0].as_py() != table.column("part")[0].as_py()
     x = unit(_matrix(table.column("v")))
-    lists = table.column("leaves").to_pylist()
-    known = {leaf: k for k, leaf in enumerate(sorted({leaf for found in lists for leaf in found if leaf < own}))}
+    rough = x.astype(np.float32)
+    lists = table.column("leaves").combine_chunks()
+    of, leaf = np.repeat(np.arange(len(x)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+    of, leaf = of[leaf < own], leaf[leaf < own]
+    known, number = np.unique(leaf, return_inverse=True)
     earlier = np.zeros((len(x), len(known) + 1), bool)  # the leaves before this one that each vector is in
-    for i, found in enumerate(lists):
-        earlier[i, [known[leaf] for leaf in found if leaf < own]] = True
+    earlier[of, number] = True
     weight, left, right = np.zeros(len(x), np.int64), [], []
     for k in range(0, len(x), 256):
-        i, j = np.nonzero(x[k:k + 256] @ x[k:].T >= threshold)
+        i, j = np.nonzero(rough[k:k + 256] @ rough[k:].T >= threshold - 1e-4)
         i, j = i + k, j + k
         keep = (i < j) & ((chunk[i] != chunk[j]) | (not cross))
         i, j = i[keep], j[keep]
+        exact = np.concatenate([np.einsum("ij,ij->i", x[i[s:s + 8192]], x[j[s:s + 8192]]) for s in range(0, len(i), 8192)] or [np.empty(0)])
+        i, j = i[exact >= threshold], j[exact >= threshold]
         for s in range(0, len(i), 1 << 14):
             a, b = i[s:s + (1 << 14)], j[s:s + (1 << 14)]
             here = ~(earlier[a] & earlier[b]).any(axis=1)
@@ -122,11 +127,12 @@ def _compare(table: pa.Table, threshold: float) -> pa.Table:
 
 
 def near_vectors(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95,
-                 trees: int = 8, leaf: int = LEAF, large: int = LARGE, sample: int = SAMPLE, spill: float = 0.5, seed: int = 11) -> DataFrame:
+                 trees: int = 4, leaf: int = LEAF, large: int = LARGE, sample: int = SAMPLE, spill: float = 0.5, seed: int = 11) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     v = F.col("v")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("v"))
+    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x).cast("double") != float("inf")))
     rows = rows.withColumn("good", F.coalesce((F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0), F.lit(False)))
     good = rows.where("good").select("vec_id", v)
     reps = good.groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies")).withColumn("rep", F.monotonically_increasing_id())
@@ -159,7 +165,7 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id"
                 lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(x) + 1)).astype(np.int32)), pa.array(leaf.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("rep"), part.column("copies"), part.column("v"), lists], ["rep", "copies", "v", "leaves"])
 
-    dealt = stage(spark, reps.select("rep", "copies", "v").mapInArrow(deal, "rep long, copies long, v array<double>, leaves array<int>"), "dealt")
+    dealt = stage(spark, reps.select("rep", "copies", "v").mapInArrow(deal, f"rep long, copies long, v {kind}, leaves array<int>"), "dealt")
     sizes = dealt.select(F.explode("leaves").alias("_leaf")).groupBy("_leaf").agg(F.count("*").alias("n"))
     # leaves beyond ``large`` are few and huge; they are looked up, not joined on by all rows
     huge = {r["_leaf"]: -(-r.n // (large // 2)) for r in sizes.where(F.col("n") > large).collect()}

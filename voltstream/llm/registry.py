@@ -33,5 +33,44 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_OP4 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x <> 0)) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+),
+reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+),
+n AS (SELECT x, COUNT(*) AS n_links FROM link GROUP BY x),
+c AS (SELECT x, MIN(y) AS component_id FROM reach GROUP BY x)
+SELECT vec_id, COALESCE(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN n ON n.x = vec_id JOIN c ON c.x = vec_id"""
+
+_OP10 = """
+WITH d AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS s FROM d, range(0, CAST(length(h) // 2 - 99 AS BIGINT)) AS r(i)),
+gone AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS n FROM w) WHERE n > 1),
+run AS (
+  SELECT doc_id, i, SUM(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM gone)
+),
+span AS (SELECT doc_id, MIN(i) AS b, MAX(i) + 100 AS e FROM run GROUP BY doc_id, run),
+gap AS (SELECT doc_id, b, e, COALESCE(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS from_ FROM span),
+cut AS (
+  SELECT doc_id, COUNT(*) AS n_spans, SUM(e - b) AS n_removed, MAX(e) AS last,
+         string_agg(substr(h, 2 * from_ + 1, 2 * (b - from_)), '' ORDER BY b) AS kept
+  FROM gap JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
+       sha256(unhex(COALESCE(kept, '') || substr(h, 2 * COALESCE(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others use tokenizers, trained models or XXH64, which SQL has not; tests hold them against brute force."""
+    return {"op4_embedding_neighbours": _OP4, "op10_suffix_dedup": _OP10}
