@@ -79,6 +79,14 @@ def test_repeated_and_null_ids_and_empty(spark):
     assert b and without_repeats(spark, docs.where("doc_id > 5")).collect() == []
 
 
+def test_ranges_are_merged():
+    from voltstream.llm.suffix_dedup import _merged_ranges
+
+    merged = lambda *r: list(zip(*(x.tolist() for x in _merged_ranges(*map(list, zip(*r))))))
+    assert merged((1, 5, 9), (0, 0, 50), (0, 10, 20), (1, 9, 12), (1, 14, 15), (0, 50, 51)) == [(0, 0, 51), (1, 5, 12), (1, 14, 15)]
+    assert [len(x) for x in _merged_ranges([], [], [])] == [0, 0, 0]
+
+
 def test_collisions_are_found_out(spark, monkeypatch):
     """With hashes that say that everything is equal, bytes decide."""
     import numpy as np

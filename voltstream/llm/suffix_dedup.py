@@ -15,9 +15,9 @@ A suffix array over the corpus would hold a row for each byte. Here only *anchor
    group, a hash search the left one, both the strings that they share; the later one's go. Matches are verified on
    the bytes; after a collision the extensions are measured on the bytes.
 5. Anchors with more stretches (a passage pasted in very many contexts) are collapsed by digest over all tasks, then
-   dealt anew by content: offsets are halved and a stretch's half is keyed by the bytes that all strings of that
-   half contain. Halves with a key of their own share nothing, groups that are small by now go to 4, others are
-   collapsed and halved again, 7 times at most; a single offset's key is the string itself.
+   dealt anew by content: offsets are cut into quarters, and a stretch's quarter is keyed by the bytes that all strings
+   of that quarter contain. Quarters with a key of their own share nothing, groups that are small by now go to 4,
+   others are collapsed and cut again, 4 times at most; a single offset's key is the string itself.
 6. Removed ranges are joined to the documents by document.
 
 Up to ``AMONG`` repeated anchors (4 bytes of each) are sent to the tasks that cut out stretches; with more of them
@@ -170,6 +170,8 @@ def _digest(body: bytes, lo: int, hi: int) -> bytes:
 def _merged_ranges(ord_: list[int], begin: list[int], end: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ranges of a document that touch or overlap, as one."""
     o, b, e = (np.array(x, np.int64) for x in (ord_, begin, end))
+    if not len(o):
+        return o, b, e
     order = np.lexsort((b, o))
     o, b, e = o[order], b[order], e[order]
     first = np.concatenate([[True], np.diff(o) != 0])
@@ -378,7 +380,7 @@ def _compared(groups: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _REMOVED)
 
 
-def _halves(groups: DataFrame, cell: int) -> DataFrame:
+def _quarters(groups: DataFrame, cell: int) -> DataFrame:
     """Stretches within cells of ``cell`` offsets, keyed by the bytes that all strings of a cell contain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,8 +413,8 @@ def _resolve(spark: SparkSession, cut: DataFrame, cell: int, group: int) -> list
     firsts = stage(spark, big.groupBy("key", "digest").agg(F.min(F.struct("ord", "p", "lo")).alias("f")).select("key", "f.*"), "firsts")
     removed.append(big.select("key", "ord", "p", "lo", "hi").join(firsts, same, "left_anti").select(*whole))
     if cell > 1:
-        smaller = -(-cell // 2)
-        removed += _resolve(spark, _halves(rows.join(firsts, same, "left_semi"), smaller), smaller, group)
+        smaller = -(-cell // 4)
+        removed += _resolve(spark, _quarters(big.join(firsts, same, "left_semi"), smaller), smaller, group)
     return removed
 
 
