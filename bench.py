@@ -16,7 +16,7 @@ later steps reading the written table — and times each step:
   compare_gold_upsert_full_rewrite  the same MERGE as a whole-table
                     rewrite (reference point; not in the total)
 
-Every step is run five times after a warm-up; the median counts.
+Every step is run five times after a warm-up (reference points three times); the median counts.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8). Prints one JSON line. Small scale factors measure per-job
@@ -115,8 +115,8 @@ def main() -> None:
     silver = spark.read.parquet(f"{base}/0/silver")
     n_silver = silver.count()
     # reference point: the same rows built one action branch at a time
-    median("compare_silver_branch_per_action", lambda n: noop(to_silver_by_action(bronze, master, stage_time=stamp)))
-    median("compare_silver_single_pass_noop", lambda n: noop(silver_df))
+    median("compare_silver_branch_per_action", lambda n: noop(to_silver_by_action(bronze, master, stage_time=stamp)), 3)
+    median("compare_silver_single_pass_noop", lambda n: noop(silver_df), 3)
 
     # 4. gold (partitioned by day): first load, views, then MERGE of an increment
     created = F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED")
@@ -134,7 +134,7 @@ def main() -> None:
     median("gold_upsert", lambda n: medallion.merge_into_gold_table(f"{base}/{n}/gold", inc, f"{base}/{n}/_stage", stamp=inc_stamp))
     # the same MERGE as a whole-table rewrite (for comparison)
     median("compare_gold_upsert_full_rewrite",
-           lambda n: medallion.merge_into_gold(spark.read.parquet(f"{base}/{n}/gold").drop("dt"), inc, stamp=inc_stamp).write.parquet(f"{base}/{n}/rewritten"))
+           lambda n: medallion.merge_into_gold(spark.read.parquet(f"{base}/{n}/gold").drop("dt"), inc, stamp=inc_stamp).write.parquet(f"{base}/{n}/rewritten"), 3)
 
     total = sum(v for k, v in q.items() if not k.startswith("compare_"))
     print(json.dumps({
