@@ -1,7 +1,9 @@
+import inspect
+
 import numpy as np
 import pytest
 
-from voltstream.llm.projection_forest import near_vectors, op4_embedding_neighbours, unit
+from voltstream.llm.projection_forest import forest, near_vectors, op4_embedding_neighbours, unit
 
 SF = "/root/testdata/sf0.01"
 
@@ -49,6 +51,21 @@ def test_recall_with_small_leaves(spark, large):
     assert sum(got[i][0] for i in want) >= 0.99 * sum(n for n, _ in want.values())
 
 
+def test_recall_in_a_dense_topic():
+    """A third of the vectors in one topic (mutual cosine about 0.9), pairs right above the threshold: few are parted by all trees."""
+    rng = np.random.default_rng(5)
+    topic = unit(unit(rng.standard_normal((1, 64))) + 0.042 * rng.standard_normal((10_000, 64)))
+    x = np.concatenate([topic, unit(rng.standard_normal((20_000, 64)))])
+    away = rng.standard_normal(x.shape)
+    away = unit(away - (away * x).sum(axis=1, keepdims=True) * x)
+    y = 0.951 * x + np.sqrt(1 - 0.951 ** 2) * away
+    trees = inspect.signature(near_vectors).parameters["trees"].default
+    apart = np.arange(len(x))
+    for tree in forest(rng.permutation(np.concatenate([x, y]))[:8192], 2 * len(x), 0.95, trees, 64, 0.5, 11):
+        apart = apart[tree.parted(x[apart], y[apart])] if len(apart) else apart
+    assert len(apart) <= 0.001 * len(x)
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(5, [1.0, 0.0]), (3, [2.0, 0.0]), (9, [1.0, 0.0]), (9, [1.0, 0.0]), (None, [1.0, 0.01]), (1, None), (2, []), (4, [0.0, 0.0]), (6, [nan, 1.0]),
