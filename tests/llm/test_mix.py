@@ -65,6 +65,22 @@ def test_against_slot_by_slot_scheduling(spark):
         check(rows, found, 4, shares_to_counts(target, 64))
 
 
+def test_long_tail_against_target_weights(spark):
+    """A hot source and 200 of 3 documents: every source stays within a block of its target weight over the whole mix."""
+    size = {"hot": 40_000} | {f"t{i}": 3 for i in range(200)}
+    weights = {"hot": 5000 ** 0.9} | {f"t{i}": 1.0 for i in range(200)}
+    docs = spark.createDataFrame([(i, s) for s, n in size.items() for i in range(n)], "doc_id long, source string")
+    total = sum(map(Fraction, weights.values()))
+    for given in (None, weights):
+        found = mix(spark, docs, weights=given).select("slot", "source", "doc_id", "epoch").where("place = 0").orderBy("slot").collect()
+        assert [r.slot for r in found] == list(range(len(found)))
+        had = dict.fromkeys(size, 0)
+        for t, r in enumerate(found, 1):
+            had[r.source] += 1
+            assert t % 97 and t != len(found) or all(abs(n - Fraction(weights[s]) / total * t) < 1 for s, n in had.items())
+        assert had["hot"] >= 5000 and max(had[s] for s in size if s != "hot") <= 5000 ** 0.1 + 1
+
+
 def test_query_keeps_every_document(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "source").collect()]

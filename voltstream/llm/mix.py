@@ -6,15 +6,17 @@ floor((j - 1) / w) and due by slot ceil(j / w); in each slot the released block
 goes (ties: the source's name). As the weights sum to one, every deadline holds, so after any number t of
 slots a source has had more than w t - 1 and fewer than w t + 1 blocks.
 
-Weights are rounded to p / period (largest remainder, at least 1 / period), so releases, deadlines and with
-them the schedule repeat every ``period`` slots. Only one period is scheduled on the driver (``period`` slots,
-whatever the corpus size); block j of a source is placed from it by arithmetic. Document ranks come from one
-range partitioning by (source, order) and prefix sums over its partitions, so a hot source spreads over many.
+Weights are taken as exact fractions, so that holds against the weights as they are, however long the mix and
+however small a source. The schedule is one sequential pass over the slots of the whole mix, in a task of its own that
+holds one block of each source at a time and writes a row per block; it is joined with the
+documents on (source, block). A caller's ``period`` rounds weights to p / period (largest remainder, at least
+1 / period) instead. Document ranks come from one range partitioning by (source, order) and prefix sums over its
+partitions, so a hot source spreads over many.
 
 The mix ends with the slot in which the last source has been through all its documents. Until then a source
 that has run out starts over (its next epoch): no document is lost, weights hold to the end. Default targets
 are the sources' shares in blocks to the power ``temper``, which bounds a source's epochs by
-(largest share / its share) ** (1 - temper) or so; given weights bound them by their own choice.
+(largest share / its share) ** (1 - temper), and the block that a slot more or less makes; given weights bound them by their own choice.
 
 Cases: NULL is a source of its own; NULL and empty texts and NULL ids are documents like others; repeated
 rows are scheduled each; an empty table gives an empty mix; a source without a given weight, or with
@@ -25,14 +27,17 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltstream.llm.common import stage
 
-#: Least number of slots after which the schedule repeats.
-PERIOD = 1024
+#: Blocks of the schedule that are written at a time.
+BATCH = 1 << 16
 
 
 def shares_to_counts(weights: dict[str, float], period: int) -> dict[str, int]:
@@ -74,6 +79,57 @@ def pfair_period(counts: dict[str, int]) -> dict[str, list[int]]:
     return slots
 
 
+def exact_counts(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    denominator = math.lcm(*[x.denominator for x in exact.values()])
+    return {s: int(x * denominator) for s, x in exact.items()}
+
+
+def pfair_mix(counts: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str, int]]:
+    """(source, its block's number from 0) slot by slot, earliest deadline first among released blocks, until every
+    source has had ``blocks``; a source's share is its count of the sum of ``counts``."""
+    total, left = sum(counts.values()), len(counts)
+    waiting = [(0, s, 0) for s in sorted(counts)]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, str, int]] = []
+    slot = 0
+    while left:
+        while waiting and waiting[0][0] <= slot:
+            _, s, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(j + 1) * total // counts[s]), s, j))
+        deadline, s, j = heapq.heappop(ready)
+        assert slot < deadline, "a deadline was missed"
+        yield s, j
+        left -= j + 1 == blocks[s]
+        heapq.heappush(waiting, ((j + 1) * total // counts[s], s, j + 1))
+        slot += 1
+
+
+def _schedule(spark: SparkSession, counts: dict[str, int], blocks: dict[str, int]) -> DataFrame:
+    """A row per slot of the mix: _s, _at (block of the source), epoch, slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not sum(batch.num_rows for batch in batches):
+            return
+        found, slot = [], 0
+
+        def batch() -> pa.RecordBatch:
+            columns = [s for s, _ in found], [j % blocks[s] for s, j in found], [j // blocks[s] for s, j in found], range(slot - len(found), slot)
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["_s", "_at", "epoch", "slot"])
+
+        for pair in pfair_mix(counts, blocks):
+            found.append(pair)
+            slot += 1
+            if len(found) == BATCH:
+                yield batch()
+                found = []
+        if found:
+            yield batch()
+
+    return stage(spark, spark.range(0, 1, 1, 1).mapInArrow(run, "_s string, _at long, epoch long, slot long"), "schedule")
+
+
 def _source_key(col: Column) -> Column:
     return F.when(col.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), col.cast("string")))
 
@@ -91,10 +147,11 @@ def _ranked(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 
 def mix(spark: SparkSession, rows: DataFrame, source_col: str = "source", order_cols: tuple = ("doc_id",), weights: dict | None = None,
-        block: int = 8, temper: float = 0.9, seed: int = 42, period: int = PERIOD) -> DataFrame:
+        block: int = 8, temper: float = 0.9, seed: int = 42, period: int | None = None) -> DataFrame:
     """``rows``, one per occurrence in the mix, with ``slot``, ``place`` (in the block) and ``epoch``.
 
-    ``weights``: target weight by source; else tempered shares. Random order within a source is
+    ``weights``: target weight by source; else tempered shares. ``period``: weights are rounded to multiples
+    of 1 / period (with more sources, 1 / four times their number), else exact. Random order within a source is
     xxhash64 of ``order_cols`` and ``seed``, then ``order_cols``.
     """
     order = F.struct(F.xxhash64(F.lit(seed), *[F.col(c) for c in order_cols]).alias("h"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)])
@@ -110,23 +167,12 @@ def mix(spark: SparkSession, rows: DataFrame, source_col: str = "source", order_
     if not target:
         none = rows.where(F.lit(False))
         return none.withColumns({"slot": F.lit(0).cast("long"), "place": F.lit(0).cast("long"), "epoch": F.lit(0).cast("long")})
-    counts = shares_to_counts(target, max(period, 4 * len(target)))
-    period, slots = sum(counts.values()), pfair_period(counts)
-    end = 1 + max((blocks[s] - 1) // p * period + slots[s][(blocks[s] - 1) % p] for s, p in counts.items())
-    taken = {s: end // period * p + sum(x < end % period for x in slots[s]) for s, p in counts.items()}
-    sources = spark.createDataFrame([(s, counts[s], blocks[s], taken[s]) for s in counts], "_s string, _p long, _blocks long, _taken long")
-    places = spark.createDataFrame([(s, i, x) for s in counts for i, x in enumerate(slots[s])], "_s2 string, _i long, _slot long")
-
-    # both tables are bounded by the period, not by the corpus
-    known = ranked.join(F.broadcast(sources), ranked._source == F.col("_s"))
-    first = F.floor(F.col("_rank") / block).cast("long")
-    each = known.withColumn("_b", first).where("_b < _taken").withColumn(
-        "epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_taken") - 1 - F.col("_b")) / F.col("_blocks")).cast("long"))))
-    each = each.withColumn("_j", F.col("epoch") * F.col("_blocks") + F.col("_b")).withColumn("_i1", F.col("_j") % F.col("_p"))
-    placed = each.join(F.broadcast(places), (F.col("_source") == F.col("_s2")) & (F.col("_i1") == F.col("_i")))
+    counts = exact_counts(target) if period is None else shares_to_counts(target, max(period, 4 * len(target)))
+    schedule = _schedule(spark, counts, {s: blocks[s] for s in counts})
+    known = ranked.withColumn("_b", F.floor(F.col("_rank") / block).cast("long"))
+    placed = known.join(schedule.select("_s", "_at", F.col("epoch").alias("_epoch"), F.col("slot").alias("_slot")), (F.col("_source") == F.col("_s")) & (F.col("_b") == F.col("_at")))
     return placed.select(
-        *[ranked[c] for c in rows.columns], (F.floor(F.col("_j") / F.col("_p")).cast("long") * period + F.col("_slot")).alias("slot"),
-        (F.col("_rank") % block).cast("long").alias("place"), "epoch")
+        *[ranked[c] for c in rows.columns], F.col("_slot").alias("slot"), (F.col("_rank") % block).cast("long").alias("place"), F.col("_epoch").alias("epoch"))
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
