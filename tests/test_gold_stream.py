@@ -57,6 +57,25 @@ def test_late_offline_upload_and_late_results(spark, tmp_base):
     assert by["6"].TRANSACTION_ID == 5 and by["1"].TRANSACTION_ID is None and by["3"].UNIFIED_TIMESTAMP_SOURCE == "payload"
 
 
+def test_frames_that_share_a_line_with_a_partner_stay_paired(spark, tmp_base):
+    """A line with two calls, the result of the second, then the result of the first; results without a bronze id."""
+    master = master_rows(spark, [("CS1", 1, "ACME")])
+    loads = {
+        "1": [(1, "CS1", '15-Jan-2024 10:00:00.000 [2,"A","StartTransaction",{"idTag":"T"}]@@EOM@@[2,"B","StartTransaction",{"idTag":"U"}]@@EOM@@')],
+        "2": [(2, "CS1", '15-Jan-2024 10:00:01.000 [3,"B",{"transactionId":"7"}]@@EOM@@')],
+        "3": [(3, "CS1", '15-Jan-2024 10:00:02.000 [3,"A",{"transactionId":"8"}]@@EOM@@')],
+        "4": [(None, "CS1", '15-Jan-2024 11:00:01.000 [3,"C",{"transactionId":"9"}]@@EOM@@')],
+        "5": [(5, "CS1", '15-Jan-2024 11:00:00.000 [2,"C","StartTransaction",{"idTag":"V"}]@@EOM@@')],
+    }
+    bronze, gold = None, f"{tmp_base}/gold"
+    for load, rows in loads.items():
+        part = keyed(bronze_rows(spark, rows), F.lit(load))
+        bronze = part if bronze is None else bronze.unionByName(part)
+        medallion.merge_into_gold_table(gold, medallion.silver_increment(bronze, load, master), f"{tmp_base}/stage")
+        assert equal(spark.read.parquet(gold), to_silver(bronze, master)), load
+    assert {r.SOURCE_ID: r.TRANSACTION_ID for r in spark.read.parquet(gold).collect()} == {"1": 8, "1#1": 7, "5": 9}
+
+
 def test_whole_rows_are_read_only_from_loads_with_partners(spark, tmp_base):
     catalog_loads._as_bronze(catalog_loads.reused_id_lines(spark, SF_SMALL)).withColumn(
         "identity_key", F.when(F.col("load") == "0", F.concat(F.lit("other-"), F.col("identity_key"))).otherwise(F.col("identity_key"))

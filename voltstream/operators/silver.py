@@ -25,7 +25,7 @@ every connector row) is not reproduced: it would emit all pairs per group.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -342,10 +342,15 @@ def to_silver(
     defaults: Mapping[str, object] | None = None,
     stage_time: Column | None = None,
     log_tz: str | None = None,
+    wanted: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """bronze + master → silver (44 columns), the whole parse in one plan."""
+    """bronze + master → silver (44 columns), the whole parse in one plan.
+
+    ``wanted`` picks the request frames that become rows; all frames take part in the pairing.
+    """
     parsed = parse_frames(bronze, mode, log_tz)
-    reqs = parse_request_payload(enrich_with_master(requests(parsed), master, mode))
+    reqs = requests(parsed) if wanted is None else wanted(requests(parsed))
+    reqs = parse_request_payload(enrich_with_master(reqs, master, mode))
     paired = pair_responses(reqs, parsed, mode)
     return conform(parse_payloads(paired, mode), defaults, stage_time)
 

@@ -94,9 +94,12 @@ def silver_increment(
 
     A new line can change any request of its (station, message id): a late
     result fills one in, a late request takes a result from another. So the
-    increment is the new load's lines and all earlier lines with the same
+    increment is the new load's requests and all earlier requests with the same
     (station, message id), whenever they came; re-merging those into gold is
     idempotent. There is no time window: a result landed months later pairs.
+    An earlier line is read whole, but its requests with other message ids
+    are left out: their results are not among the lines read, and gold has
+    them paired already.
 
     ``bronze`` has the columns of ``bronze.add_frame_keys`` and is partitioned
     by load and kind. Partners are looked up in the narrow key columns
@@ -107,10 +110,19 @@ def silver_increment(
     key = ["identity_key", "_mid"]
     narrow = bronze.select("load", "id", "identity_key", F.explode("message_ids").alias("_mid")).filter(F.col("identity_key").isNotNull())
     keys = narrow.filter(F.col("load") == load).select(*key).distinct()
-    partners = narrow.filter(F.col("load") != load).join(keys, key, "left_semi").select(F.col("load").alias("_load"), F.col("id").alias("_id")).distinct()
+    partners = narrow.filter(F.col("load") != load).join(keys, key, "left_semi").select(
+        F.col("load").alias("_load"), F.col("id").alias("_id"), F.col("identity_key").alias("_station")).distinct()
     loads = [r[0] for r in partners.select("_load").distinct().collect()]
     rows = bronze.filter(F.col("load") == load)
-    if loads:
-        rows = rows.unionByName(bronze.filter(F.col("load").isin(loads)).join(
-            partners, (F.col("load") == F.col("_load")) & (F.col("id") == F.col("_id")), "left_semi"))
-    return silver.to_silver(rows, master, mode=mode, stage_time=stage_time)
+    if not loads:
+        return silver.to_silver(rows, master, mode=mode, stage_time=stage_time)
+    # a line without an id stands for all such lines of its load and station
+    rows = rows.unionByName(bronze.filter(F.col("load").isin(loads)).join(
+        partners, (F.col("load") == F.col("_load")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("identity_key") == F.col("_station")), "left_semi"))
+
+    def wanted(reqs: DataFrame) -> DataFrame:
+        known = keys.select(F.col("identity_key").alias("_station"), "_mid", F.lit(True).alias("_known"))
+        reqs = reqs.join(known, (F.col("identity_key") == F.col("_station")) & (F.col("OCPP_MESSAGE_UNIQUE_ID") == F.col("_mid")), "left")
+        return reqs.filter((F.col("load") == load) | F.col("_known")).drop("_station", "_mid", "_known")
+
+    return silver.to_silver(rows, master, mode=mode, stage_time=stage_time, wanted=wanted)
