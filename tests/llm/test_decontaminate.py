@@ -21,6 +21,12 @@ def test_reparameterised_and_plain_copies(spark):
     assert set(run(spark, texts)) == {(0, 0), (1, 0), (2, 0), (4, 0), (9, 0)}
 
 
+def test_equal_numbers_may_be_independent(spark):
+    item = "A basket holds 2 apples and 2 pears while the other one holds 5 kg of plums and 5 kg of old bread for Tom"
+    texts = [item.replace("2 apples", "4 apples").replace("2 pears", "7 pears"), item.replace("5 kg of old", "6 lb of old"), item.replace("holds", "lacks")]
+    assert run(spark, texts, [item]) == {(0, 0): 1.0, (1, 0): 1.0}
+
+
 def test_numbers_units_and_short_items(spark):
     items = ["12 km", "", "x y z w", ITEM]
     assert set(run(spark, ["12 km", "it is 12 km from here to there", "99 km", "x y z w", "X y z w.", "x y z w v", ITEM], items)) == {(0, 0), (2, 0), (3, 2), (4, 2), (6, 3)}

@@ -9,7 +9,8 @@ Texts become token sequences in which numbers, names and units are typed placeho
 
 A *template window* is ``window`` tokens in a row (a shorter text: all of it). Windows are hash-joined on the
 template; matches of a document and an item are grouped by diagonal (document position minus item position)
-and a diagonal counts only if its slots are consistent: equal item values stand for equal document values.
+and a diagonal counts only if its names are consistent: equal item names stand for equal document names. Equal numbers
+or units of an item may be independent, so each of their slots stands for itself.
 The coverage of an item in a document is the share of its windows matched on consistent diagonals; from
 ``coverage`` on the document counts as holding the item, re-parameterised or not.
 
@@ -164,7 +165,7 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: st
 
     left = doc_windows.select(F.col("template").alias("t"), F.col("key").alias("doc"), F.col("position").alias("at"), F.col("slots").alias("doc_slots"))
     right = item_windows.select("template", F.col("key").alias("item"), "position", "n_windows", F.col("slots").alias("item_slots"))
-    pairs = F.arrays_zip("item_slots", "doc_slots")
+    pairs = F.filter(F.arrays_zip("item_slots", "doc_slots"), lambda p: p["item_slots"].startswith(_SLOT[_TITLE]))
     on_diagonal = (
         left.join(right, left.t == right.template)
         .groupBy("doc", "item", "n_windows", (F.col("at") - F.col("position")).alias("diagonal"))
