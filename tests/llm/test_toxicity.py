@@ -44,6 +44,20 @@ def test_scoring_in_batches_is_the_same():
     assert np.allclose(net.scores(pa.array(text)), np.concatenate([net.scores(pa.array([t])) for t in text]), atol=1e-6)
 
 
+def test_every_window_counts():
+    """A document's evidence is the highest over the windows from every word on, scored one by one."""
+    rng = np.random.default_rng(2)
+    text = [" ".join(rng.choice(["bad", "good", "fine", "words", "here", "so"], n)) for n in [1, 31, 32, 33, 0, 56, 57, 90, 32, 5, 70, 64]]
+    net = T.train([f"{t} {'bad bad' * (i % 2)}" for i, t in enumerate(text * 4)], [i % 2 for i in range(4 * len(text))], steps=5)
+    full, found = net.evidence(T.Texts(pa.array(text), net.vocabulary, net.known))
+    assert full.tolist() == [i for i, t in enumerate(text) if t]
+    for i, (logit, log_n, _) in zip(full, found):
+        words = text[i].split()
+        windows = T.Texts(pa.array([" ".join(words[k:k + T.WIDTH]) for k in range(max(1, len(words) - T.WIDTH + 1))]), net.vocabulary, net.known)
+        best = float(net.window_scores(windows).max())
+        assert abs(logit - np.log(best / (1 - best))) < 1e-3 and np.isclose(log_n, np.log(len(windows.doc)))
+
+
 def test_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     got = T.op8_toxicity(spark, sf)

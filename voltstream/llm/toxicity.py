@@ -4,13 +4,13 @@ A word enters as learned vectors: its own, the mean of its hashed character trig
 beginnings of 3 to 8 bytes. Only words and pieces whose document counts differ between the classes by ``TELLING``
 standard deviations have vectors of their own, the others share one. Two GRUs read a window of ``WIDTH`` words
 forwards and backwards, attention pools their states into one vector, a logistic unit gives the window's score.
-A document's evidence is the highest over all windows, which start every ``STRIDE`` words and overlap, so every
-word of the whole text is read. Its score is a logistic function of that and of the logarithm of the number of
+A document's evidence is the highest over all windows of ``WIDTH`` words (a shorter text: all of it), one from every
+word on, so it doesn't depend on where a passage falls. Its score is a logistic function of that and of the logarithm of the number of
 windows (more windows reach a height by chance), fitted on a fifth of the training documents that the network
 doesn't see, weighted to the classes' shares among all labels.
 
 Training (driver, numpy, Adam): labels belong to documents, not windows, so the network learns from one window
-of each document at a time - first the one whose words are most telling by document counts, then, twice, the one
+(of those that begin every ``STRIDE`` words) of each document at a time - first the one whose words are most telling by document counts, then, twice, the one
 that the network itself scores highest (with random ones of clean documents). Fitting uses a bounded sample of
 labelled rows: at most ``train_docs`` documents a class, those of smallest xxhash64(doc_id), with at most
 ``train_chars`` characters. Scoring covers every document.
@@ -124,13 +124,15 @@ class Network:
         means = [np.add.reduceat(self.p["char"][rows], at[:-1], axis=0) / np.diff(at)[:, None].astype(np.float32) for rows, at in pieces]
         return np.concatenate([self.p["word"][word], *means], axis=1)
 
-    def window_scores(self, texts: Texts, batch: int = 1024) -> np.ndarray:
+    def window_scores(self, texts: Texts, batch: int = 1024, only: np.ndarray | None = None) -> np.ndarray:
+        """The scores of the windows, or of those in ``only``."""
+        only = np.arange(len(texts.doc)) if only is None else only
         x = self.inputs(texts)
         gates = {way: x @ self.p[f"w{way}"] + self.p[f"c{way}"] for way in "fb"}
-        out = np.empty(len(texts.doc), np.float32)
-        order = np.argsort(-texts.length, kind="stable")
+        out = np.empty(len(only), np.float32)
+        order = np.argsort(-texts.length[only], kind="stable")
         for k in range(0, len(order), batch):
-            at = order[k:k + batch]
+            at = only[order[k:k + batch]]
             codes, length = texts.codes(at), texts.length[at]
             active = np.searchsorted(-length, -np.arange(WIDTH), side="left")  # windows longer than t come first
             states = np.zeros((WIDTH, len(at), 2 * HIDDEN), np.float32)
@@ -149,17 +151,52 @@ class Network:
             e[np.arange(WIDTH)[:, None] >= length] = -np.inf
             weight = np.exp(e - e.max(axis=0))
             pooled = np.einsum("tb,tbh->bh", weight / weight.sum(axis=0), states)
-            out[at] = _sigmoid(pooled @ self.p["o"] + self.p["o0"])
+            out[order[k:k + batch]] = _sigmoid(pooled @ self.p["o"] + self.p["o0"])
+        return out
+
+    def start_scores(self, texts: Texts, batch: int = 1024) -> np.ndarray:
+        """The score of the window of WIDTH words from each position on, over the words of all texts in a row.
+
+        Neighbouring windows share their inputs, so a step's are a stretch of the positions'; states are held
+        with one row per unit.
+        """
+        x = self.inputs(texts)
+        gates = {way: np.ascontiguousarray((x @ self.p[f"w{way}"] + self.p[f"c{way}"]).T) for way in "fb"}
+        u, a = {way: np.ascontiguousarray(self.p[f"u{way}"].T) for way in "fb"}, np.ascontiguousarray(self.p["a"].T)
+        out = np.empty(max(0, len(texts.code) - WIDTH + 1), np.float32)
+        for begin in range(0, len(out), batch):
+            n = min(batch, len(out) - begin)
+            code = texts.code[begin:begin + n + WIDTH - 1]
+            states = np.empty((WIDTH, 2 * HIDDEN, n), np.float32)
+            for way, steps, side in (("f", range(WIDTH), slice(0, HIDDEN)), ("b", range(WIDTH - 1, -1, -1), slice(HIDDEN, None))):
+                h, at = np.zeros((HIDDEN, n), np.float32), gates[way][:, code]
+                for t in steps:
+                    g, hu = at[:, t:t + n], u[way] @ h
+                    zr = _sigmoid(g[:2 * HIDDEN] + hu[:2 * HIDDEN])
+                    new = np.tanh(g[2 * HIDDEN:] + zr[HIDDEN:] * hu[2 * HIDDEN:])
+                    h = new + zr[:HIDDEN] * (h - new)
+                    states[t, side] = h
+            e = np.stack([self.p["v"] @ np.tanh(a @ states[t] + self.p["a0"][:, None]) for t in range(WIDTH)])
+            weight = np.exp(e - e.max(axis=0))
+            weight /= weight.sum(axis=0)
+            # the pooled vector enters one sum only, so states are reduced to it first
+            out[begin:begin + n] = _sigmoid((weight * np.stack([self.p["o"] @ states[t] for t in range(WIDTH)])).sum(axis=0) + self.p["o0"])
         return out
 
     def evidence(self, found: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Of the texts with words: (which, one row each of highest window logit, log of windows, 1)."""
-        per = np.diff(found.start)
-        full = np.flatnonzero(per)
+        words = np.diff(found.word_start)
+        full = np.flatnonzero(words)
         if not len(full):
             return full, np.empty((0, 3))
-        best = np.clip(np.maximum.reduceat(self.window_scores(found), found.start[full]).astype(np.float64), 1e-6, 1 - 1e-6)
-        return full, np.stack([np.log(best / (1 - best)), np.log(per[full]), np.ones(len(full))], axis=1)
+        best, long = np.empty(len(full)), words[full] >= WIDTH
+        best[~long] = self.window_scores(found, only=found.start[full[~long]])  # one window each
+        if long.any():
+            begin, end = found.word_start[full[long]], found.word_start[full[long] + 1] - WIDTH + 1
+            scores = np.append(self.start_scores(found), np.float32(0))  # the last end may lie behind the scores
+            best[long] = np.maximum.reduceat(scores, np.stack([begin, end], axis=1).ravel())[::2]
+        best = np.clip(best, 1e-6, 1 - 1e-6)
+        return full, np.stack([np.log(best / (1 - best)), np.log(np.maximum(words[full] - WIDTH + 1, 1)), np.ones(len(full))], axis=1)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """The score of each text."""
