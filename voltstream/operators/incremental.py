@@ -1,15 +1,20 @@
-"""Batch incremental loads by timestamp high-water mark (ST6).
-
-``land_increment`` filters the source to rows newer than the stored mark,
-writes them to a new ``load=<id>/dt=<date>/`` folder of the landing zone (one
-Spark-committed write, many files, no driver-side renames) and appends the
-new mark. Row count and the new maximum are gathered *during* the write with
-``DataFrame.observe``, so the increment is computed once, not three times.
-An empty increment writes nothing to the landing zone.
-
-If the job dies after the write but before the mark is appended, the next
-run lands the same rows again; downstream steps are keyed upserts, so the
-duplicates collapse there.
+"""Batch incremental loads (ST6): what the source has and the landing zone doesn't.
+
+``land_increment`` writes the source's new rows to a new
+``load=<id>/dt=<date>/`` folder of the landing zone (one Spark-committed
+write, many files, no driver-side renames), keeps their ids, and appends the
+new high-water mark. Row count and the new maximum are gathered *during* the
+write with ``DataFrame.observe``, so the increment is computed once, not
+three times. An empty increment writes nothing to the landing zone.
+
+A row is new if its id has not been landed for its day: ties at the mark,
+late rows and rows without a time are landed, each once. Landed ids are kept
+in day partitions (the row's own day), so with ``overlap`` only the days that
+can still bring rows are read, whatever the length of the history.
+
+If the job dies after the write but before the ids and the mark are appended,
+the next run lands the same rows again; downstream steps are keyed upserts,
+so the duplicates collapse there.
 """
 
 from __future__ import annotations
@@ -60,6 +65,35 @@ def new_load_id() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S") + "-" + uuid.uuid4().hex[:8]
 
 
+#: partition of the landed ids: the row's own day
+ID_DAY = "dt"
+
+
+def landed_id(columns: list[str], column: str) -> Column:
+    """What tells a source row: its id, or a hash over all columns where it has no id or no time."""
+    return F.when(F.col("id").isNotNull() & F.col(column).isNotNull(), F.col("id").cast("string")).otherwise(
+        F.concat(F.lit("row-"), F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256)))
+
+
+def not_landed(source: DataFrame, known: DataFrame | None, mark, column: str = "request_date", overlap: str | None = None) -> DataFrame:
+    """Rows of ``source`` whose id ``known(_row_id, dt)`` doesn't have, with ``_row_id`` and ``dt``.
+
+    With ``overlap``, rows older than the mark by more than that are no candidates, and only the days from there on
+    (and of rows without a time) are read from ``known``.
+    """
+    rows = source
+    bound = None if overlap is None or mark is None else F.lit(mark).cast("timestamp") - F.expr(f"INTERVAL {overlap}")
+    if bound is not None:
+        rows = rows.filter((F.col(column) >= bound) | F.col(column).isNull())
+    rows = rows.withColumns({"_row_id": landed_id(source.columns, column), ID_DAY: F.to_date(F.col(column))})
+    if known is None:
+        return rows
+    if bound is not None:
+        known = known.filter((F.col(ID_DAY) >= F.to_date(bound)) | F.col(ID_DAY).isNull())
+    known = known.select(F.col("_row_id").alias("_known"), F.col(ID_DAY).alias("_day"))
+    return rows.join(known, (F.col("_row_id") == F.col("_known")) & F.col(ID_DAY).eqNullSafe(F.col("_day")), "left_anti")
+
+
 def land_increment(
     spark: SparkSession,
     source: DataFrame,
@@ -71,54 +105,41 @@ def land_increment(
     overlap: str | None = None,
     landed_ids: str | None = None,
 ) -> dict:
-    """Land the rows newer than the mark as CSV and advance the mark (FL8, SK2-SK4).
+    """Land the source's new rows as CSV and advance the mark (FL8, SK2-SK4).
 
-    Without ``landed_ids`` a row is new if it is newer than the mark. With it
-    (a path) the ids of landed rows are kept there, and a row is new if its id
-    isn't among them and it is not older than the mark by more than
-    ``overlap`` (without ``overlap``: any age): ties at the mark and late rows
-    are landed, and no row twice. Rows without a time or id can't be told to
-    be new by either; they land if their hash over all columns isn't known.
+    fixed: a row is new if it has not been landed (see the module's text);
+    ids are kept at ``landed_ids``, by default beside the marks. ``overlap``
+    (e.g. ``"3 days"``) bounds how late a row may come; without it any age is
+    landed. A row whose time was corrected at the source counts as new.
+    faithful: rows strictly newer than the mark, no ids.
 
-    Malformed rows (``_rescued_data`` set) are kept whole in
-    ``rejected/load=<id>`` beside the landing folders, as parquet with their text.
+    Every row is landed, malformed ones too: fields that could not be read are
+    NULL, with their text in ``_rescued_data``.
 
-    Returns ``{"load_id", "rows", "rejected", "mark"}``. When no row is new
+    Returns ``{"load_id", "rows", "rescued", "mark"}``. When no row is new
     nothing is written and the mark is unchanged.
     """
     mark = read_high_water_mark(spark, mark_path)
     load_id = load_id or new_load_id()
-    known = None
-    if landed_ids is None:
-        inc = since(source, mark, column, mode)
+    landed_ids = landed_ids or f"{mark_path.rstrip('/')}__ids"
+    if check_mode(mode) == "fixed":
+        inc = not_landed(source, read_parquet_if_exists(spark, landed_ids), mark, column, overlap)
     else:
-        inc = source if mark is None or overlap is None else source.filter(
-            (F.col(column) >= F.lit(mark).cast("timestamp") - F.expr(f"INTERVAL {overlap}")) | F.col(column).isNull())
-        row_id = F.when(F.col("id").isNotNull() & F.col(column).isNotNull(), F.col("id").cast("string")).otherwise(
-            F.concat(F.lit("row-"), F.sha2(F.to_json(F.struct(*[F.col(c) for c in source.columns])), 256)))
-        inc = inc.withColumn("_row_id", row_id)
-        known = read_parquet_if_exists(spark, landed_ids)
-        if known is not None:
-            inc = inc.join(known.select("_row_id"), "_row_id", "left_anti")
+        inc = since(source, mark, column, mode).withColumn(ID_DAY, F.to_date(F.col(column)))
     # computed once: written to a staging folder, then read for each of its uses
     staged = f"{mark_path.rstrip('/')}__increment/{load_id}-{uuid.uuid4().hex[:8]}"
     obs = Observation(f"land_{load_id.replace('-', '_')}_{uuid.uuid4().hex[:8]}")
-    inc.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(column).alias("mark")).write.parquet(staged)
-    rows, new_mark = obs.get.get("rows", 0), obs.get.get("mark")
+    rescued = F.count(CORRUPT_COLUMN if CORRUPT_COLUMN in source.columns else F.lit(None))
+    inc.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(column).alias("mark"), rescued.alias("rescued")).write.parquet(staged)
+    found = obs.get
+    rows, new_mark = found.get("rows", 0), found.get("mark")
     if not rows:
-        return {"load_id": load_id, "rows": 0, "rejected": 0, "mark": None}
+        return {"load_id": load_id, "rows": 0, "rescued": 0, "mark": None}
     out = spark.read.schema(inc.schema).parquet(staged)
-    rejected = 0
-    if CORRUPT_COLUMN in out.columns:
-        bad = out.filter(F.col(CORRUPT_COLUMN).isNotNull())
-        rejected = bad.count()
-        if rejected:
-            bad.drop("_row_id").write.parquet(f"{landing_path}/rejected/load={load_id}")
-        out = out.filter(F.col(CORRUPT_COLUMN).isNull())
-    if rows > rejected:
-        write_csv(out.drop("_row_id").withColumn("dt", F.to_date(F.col(column))), f"{landing_path}/load={load_id}", mode="errorifexists", partition_by=["dt"])
-    if landed_ids is not None:
-        spark.read.schema(inc.schema).parquet(staged).select("_row_id", F.lit(load_id).alias("load_id")).write.mode("append").parquet(landed_ids)
+    write_csv(out.drop("_row_id"), f"{landing_path}/load={load_id}", mode="errorifexists", partition_by=[ID_DAY])
+    if mode == "fixed":
+        ids = out.select("_row_id", F.lit(load_id).alias("load_id"), ID_DAY)
+        ids.hint("rebalance", ID_DAY).write.mode("append").partitionBy(ID_DAY).parquet(landed_ids)
     if new_mark is not None:
         append_high_water_mark(spark, mark_path, new_mark)
-    return {"load_id": load_id, "rows": rows - rejected, "rejected": rejected, "mark": new_mark}
+    return {"load_id": load_id, "rows": rows, "rescued": found.get("rescued", 0), "mark": new_mark}

@@ -292,7 +292,7 @@ def q_stream_master_csv(spark, sf_dir):
     base = run_dir(spark, "master-stream")
     write_snapshot_csv(fixtures.master_from_tables(spark, sf_dir), f"{base}/landing/master_data")
     append_stream(stream_master_csv(spark, f"{base}/landing/master_data"), f"{base}/master", f"{base}/_checkpoints/master")
-    return spark.read.parquet(f"{base}/master").drop("_rescued_data", schemas.MASTER_LOAD)
+    return spark.read.parquet(f"{base}/master").select(*[c for c in schemas.MASTER_COLUMNS if c != "_rescued_data"])
 
 
 def q_csv_multiline(spark, sf_dir):

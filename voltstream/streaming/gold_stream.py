@@ -39,10 +39,13 @@ def run_gold_stream(
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         load = f"batch-{batch_id:09d}"
-        rows = bronze.add_frame_keys(batch, load=F.lit(load))
+        rows = lines.rows(batch)
+        if rows is None:
+            return
+        rows = bronze.add_frame_keys(rows, load=F.lit(load))
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*bronze.PARTITIONS).parquet(bronze_path))
         session = batch.sparkSession
         increment = silver_increment(session.read.parquet(bronze_path), load, master, stage_time=stamp)
         merge_into_gold_table(gold_path, increment, f"{stage_root}/{load}", stamp=stamp)
 
-    return foreach_batch_stream(lines, checkpoint, merge_batch, available_now=available_now, timeout=timeout)
+    return foreach_batch_stream(lines.files, checkpoint, merge_batch, available_now=available_now, timeout=timeout)
