@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 
 import numpy as np
 import pyarrow as pa
 
 from voltstream.llm.common import Words, ranges, worker_memo
 
-#: Entries of a worker's memo (about 200 bytes each). Once it is full, further words are encoded each time they come up.
-MEMO_ENTRIES = 500_000
+#: Entries of a generation of a worker's memo (about 200 bytes each); it holds two.
+GENERATION = 250_000
 
 # A word made of these runs alone (after lower-casing) normalises to them, and the file's split pattern cuts it
-# into the same runs: Latin-1 letters, single digits, other ASCII signs without the apostrophe.
-_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+# into the same runs: Latin-1 letters, single digits, other ASCII signs without the apostrophe. Any other character
+# is a run of its own here and marks the word as odd. Words are told apart by newlines.
+_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+|\n|[^\n]")
+_PLAIN = re.compile(r"[a-zß-öø-ÿ0-9!-&(-/:-@\[-`{-~\n]")
+#: Runs encoded in one call.
+_JOINED = 4096
 
 
 def default_path() -> str:
@@ -31,7 +34,7 @@ class WordEncoder:
     The file's normaliser and split pattern never join text across white
     space, so a text's ids are its words' ids in a row. Words of simple runs
     are put together from the runs' ids; any other word (and any with the
-    file's special tokens) goes to the library as it is.
+    file's special tokens) goes to the library as it is. Runs and such words are memoised in two generations.
     """
 
     def __init__(self, path: str):
@@ -40,45 +43,106 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.lib = Tokenizer.from_file(path)
         self.size = self.lib.get_vocab_size(with_added_tokens=True)
+        #: Numbers of the ids: 16 bits where the vocabulary fits.
+        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.memo = worker_memo(f"ids {path}")
-
-    def _ids(self, piece: str) -> bytes:
-        ids = self.memo.get(piece)
-        if ids is None:
-            ids = array("I", self.lib.encode(piece, add_special_tokens=False).ids).tobytes()
-            if len(self.memo) < MEMO_ENTRIES:
-                self.memo[piece] = ids
-        return ids
-
-    def word(self, word: str) -> bytes:
-        """The word's ids, four bytes each."""
-        ids = self.memo.get(word)
-        if ids is not None:
-            return ids
-        low = word.lower()
-        runs = _RUN.findall(low)
-        if "<|" in word or sum(map(len, runs)) != len(low):
-            return self._ids(word)
-        return self._ids(low) if len(runs) == 1 else b"".join([self._ids(run) for run in runs])
+        self.memo.setdefault("new", {})
+        self.memo.setdefault("old", {})
+
+    def _bytes(self, ids) -> bytes:
+        return np.asarray(ids, self.dtype).tobytes()
+
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """The ids of simple runs, which are words of the split pattern each: encoded in a row, parted by word number."""
+        out = []
+        for k in range(0, len(runs), _JOINED):
+            part = runs[k:k + _JOINED]
+            e = self.lib.encode(" ".join(part), add_special_tokens=False)
+            flat, n = self._bytes(e.ids), np.bincount(np.array(e.word_ids, np.int64), minlength=len(part)) * self.dtype.itemsize
+            if len(n) == len(part):
+                end = np.cumsum(n).tolist()
+                out += [flat[a:b] for a, b in zip([0, *end[:-1]], end)]
+            else:
+                out += [self._bytes(x.ids) for x in self.lib.encode_batch_fast(part, add_special_tokens=False)]
+        return out
+
+    def _pieces(self, runs: list[str], odd: list[str]) -> list[bytes]:
+        """The ids of runs and odd words, from the memo where it has them."""
+        new, old = self.memo["new"], self.memo["old"]
+        pieces = runs + odd
+        found = list(map(new.get, pieces))
+        unknown = []
+        for i, ids in enumerate(found):
+            if ids is None:
+                ids = old.get(pieces[i])
+                if ids is None:
+                    unknown.append(i)
+                else:
+                    found[i] = new[pieces[i]] = ids
+        first = [i for i in unknown if i < len(runs)]
+        rest = [pieces[i] for i in unknown[len(first):]]
+        made = self._runs([pieces[i] for i in first])
+        made += [self._bytes(e.ids) for e in self.lib.encode_batch_fast(rest, add_special_tokens=False)] if rest else []
+        for i, ids in zip(unknown, made):
+            found[i] = new[pieces[i]] = ids
+        if len(new) > GENERATION:  # what comes up again is taken over from the old generation
+            self.memo["new"], self.memo["old"] = {}, new
+        return found
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in a row, number of ids of each)."""
+        if not words:
+            return np.empty(0, self.dtype), np.empty(0, np.int64)
+        joined = "\n".join(words)
+        tokens = _RUN.findall(joined.lower())
+        unique = list(dict.fromkeys(tokens))
+        number = dict(zip(unique, range(len(unique))))
+        code = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
+        apart = code == number.get("\n", -1)
+        word = np.cumsum(apart)[~apart]
+        code = code[~apart]
+        strange = np.fromiter((len(u) == 1 and _PLAIN.match(u) is None for u in unique), bool, len(unique))
+        odd = np.zeros(len(words), bool)
+        odd[word[strange[code]]] = True
+        if "<|" in joined:
+            odd |= np.fromiter(("<|" in w for w in words), bool, len(words))
+        # an odd word is one piece, numbered after the runs
+        first = np.concatenate([[True], np.diff(word) != 0])
+        code[odd[word] & first] = len(unique) + np.arange(odd.sum())
+        keep = first | ~odd[word]
+        code, word = code[keep], word[keep]
+        used = np.unique(code)
+        n_runs = int(np.searchsorted(used, len(unique)))
+        found = self._pieces([unique[i] for i in used[:n_runs].tolist()], [words[i] for i in np.flatnonzero(odd).tolist()])
+        each = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        code = np.searchsorted(used, code)
+        flat, n = np.frombuffer(b"".join(found), self.dtype), each[code]
+        total = np.concatenate([[0], np.cumsum(n)])
+        start = np.searchsorted(word, np.arange(len(words) + 1))
+        return flat[ranges((np.cumsum(each) - each)[code], n)], total[start[1:]] - total[start[:-1]]
 
     def lengths(self, texts: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
         words = Words(texts)
-        each = np.fromiter((len(self.word(w)) // 4 for w in words.unique), dtype=np.int64, count=len(words.unique))
-        total = np.concatenate([[0], np.cumsum(each[words.code])])
+        total = np.concatenate([[0], np.cumsum(self.words(words.unique)[1][words.code])])
         return total[words.start[1:]] - total[words.start[:-1]]
 
     def ids(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids as uint32, number of ids of each text); ``end_id`` closes each text."""
+        """(all ids as ``dtype``, number of ids of each text); ``end_id`` closes each text."""
         words = Words(texts)
-        found = [self.word(w) for w in words.unique]
-        each = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        flat = np.frombuffer(b"".join(found), dtype=np.uint32)
+        flat, each = self.words(words.unique)
         n = each[words.code]
-        ids = flat[ranges((np.cumsum(each) - each)[words.code], n)]
         total = np.concatenate([[0], np.cumsum(n)])
         counts = total[words.start[1:]] - total[words.start[:-1]]
-        if end_id is not None:
-            ids = np.insert(ids, np.cumsum(counts), np.uint32(end_id))
-            counts = counts + 1
-        return ids, counts
+        ids = flat[ranges((np.cumsum(each) - each)[words.code], n)]
+        if end_id is None:
+            return ids, counts
+        if end_id > np.iinfo(self.dtype).max:
+            ids = ids.astype("<u4")
+        counts = counts + 1
+        end = np.cumsum(counts) - 1
+        own = np.ones(len(ids) + len(counts), bool)
+        own[end] = False
+        out = np.empty(len(own), ids.dtype)
+        out[own], out[end] = ids, end_id
+        return out, counts

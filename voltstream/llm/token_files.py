@@ -84,8 +84,8 @@ def write_token_files(spark: SparkSession, docs: DataFrame, folder: str, id_col:
                 out = [system.open_output_stream(f"{path}/{name}.{kind}") for kind in ("ids", "docs", "counts")]
             ids, counts = encoder.ids(filled(part, "text"), end_id)
             doc = part.column("id").fill_null(_NULL_ID).to_numpy(zero_copy_only=False)
-            for f, x in zip(out, (ids.astype(id_type), doc.astype("<i8"), counts.astype("<i8"))):
-                f.write(x.tobytes())
+            for f, x in zip(out, (ids.astype(id_type, copy=False), doc.astype("<i8", copy=False), counts.astype("<i8", copy=False))):
+                f.write(np.ascontiguousarray(x))
             n_docs, n_ids = n_docs + len(counts), n_ids + len(ids)
         for f in out:
             f.close()
