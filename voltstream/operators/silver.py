@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltstream import schemas
@@ -274,18 +274,54 @@ def station_master(master: DataFrame, mode: str = "fixed") -> DataFrame:
         "OCPP_CHARGE_STATION_ID", *[F.col(f"_w.{c}").alias(c) for c in MASTER_KEEP])
 
 
+def master_versions(master: DataFrame) -> DataFrame:
+    """Master rows as versions: one per station and span of time, ``valid_from`` <= t < ``valid_to``.
+
+    A load (``MASTER_LOAD_TIME``) holds from its time until the station's next one that differs; the first known
+    version also holds for all time before it (``valid_from`` NULL), the last one has no end (``valid_to`` NULL). Within
+    a load the lowest connector's row counts, as in ``station_master``. Rows without a load time are the oldest load.
+    A station has one row per load at most in the window, so it is bounded by the number of reloads.
+    """
+    load = F.col(schemas.MASTER_LOAD) if schemas.MASTER_LOAD in master.columns else F.lit(None).cast("timestamp")
+    number = F.coalesce(F.col("CONNECTOR_ID").try_cast("bigint"), F.lit(2**62))
+    rows = master.filter(F.col("OCPP_CHARGE_STATION_ID").isNotNull()).groupBy("OCPP_CHARGE_STATION_ID", load.alias("_load")).agg(
+        F.min(F.struct(number.alias("_number"), F.col("CONNECTOR_ID").alias("_text"), F.col("OCPP_CONNECTOR_ID").alias("_ocpp"), *MASTER_KEEP)).alias("_w"))
+    kept = F.struct(*[F.col(f"_w.{c}").alias(c) for c in MASTER_KEEP])
+    by_time = Window.partitionBy("OCPP_CHARGE_STATION_ID").orderBy(F.col("_load").asc_nulls_first())
+    told = rows.select("OCPP_CHARGE_STATION_ID", "_load", kept.alias("_v")).withColumns({"_before": F.lag("_v").over(by_time), "_nth": F.row_number().over(by_time)})
+    first = F.col("_nth") == 1
+    changes = told.filter(first | ~F.col("_v").eqNullSafe(F.col("_before"))).withColumns({
+        "valid_from": F.when(~first, F.col("_load")), "valid_to": F.lead("_load").over(by_time)})
+    return changes.select("OCPP_CHARGE_STATION_ID", *[F.col(f"_v.{c}").alias(c) for c in MASTER_KEEP], "valid_from", "valid_to")
+
+
+def message_time() -> Column:
+    """When a message was written: its gateway time, else the time of the request for the log."""
+    return F.coalesce(F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED"), F.col("request_date"))
+
+
 def enrich_with_master(df: DataFrame, master: DataFrame, mode: str = "fixed") -> DataFrame:
-    """Inner join on station id (JN2).
+    """Inner join on station id (JN2), with the master data valid at the message's time.
+
+    Where master rows carry ``MASTER_LOAD_TIME`` (as the master stream stamps it), a message takes the version valid
+    at its own time, so the result does not depend on when its load was built; messages without any time take the
+    first. Without load times, and in ``faithful`` mode, there is one version per station.
 
     The join is on a derived station key, so that in a shuffle join both
     sides get their own shuffle and AQE can split a hot station's partition
     (a join fed straight by the station-grain aggregate could not be split);
-    a per-row salt spreads messages without a station.
+    a per-row salt spreads messages without a station. A message meets its station's few versions and matches one.
     """
     key = lambda c: F.concat(F.length(F.col(c)).cast("string"), F.lit(":"), F.col(c))
     left = df.withColumns({"_sk": key("identity_key"), "_nk": null_key_salt(["identity_key"], spread_by=F.col("id"))})
-    right = station_master(master, mode).select(key("OCPP_CHARGE_STATION_ID").alias("_sk"), F.lit(0).cast("bigint").alias("_nk"), *MASTER_KEEP)
-    return left.join(right, ["_sk", "_nk"], "inner").drop("_sk", "_nk")
+    if mode == "faithful" or schemas.MASTER_LOAD not in master.columns:
+        right = station_master(master, mode).select(key("OCPP_CHARGE_STATION_ID").alias("_sk"), F.lit(0).cast("bigint").alias("_nk"), *MASTER_KEEP)
+        return left.join(right, ["_sk", "_nk"], "inner").drop("_sk", "_nk")
+    right = master_versions(master).select(key("OCPP_CHARGE_STATION_ID").alias("_rk"), F.lit(0).cast("bigint").alias("_rn"), *MASTER_KEEP, "valid_from", "valid_to")
+    at = left.withColumn("_at", message_time())
+    valid = (F.col("valid_from").isNull() | (F.col("_at") >= F.col("valid_from"))) & (F.col("valid_to").isNull() | (F.col("_at") < F.col("valid_to")))
+    valid = valid | (F.col("_at").isNull() & F.col("valid_from").isNull())
+    return at.join(right, (F.col("_sk") == F.col("_rk")) & (F.col("_nk") == F.col("_rn")) & valid, "inner").drop("_sk", "_nk", "_rk", "_rn", "_at", "valid_from", "valid_to")
 
 
 def conform(

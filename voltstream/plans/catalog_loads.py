@@ -14,9 +14,9 @@ from voltstream.operators import bronze as bronze_ops
 from voltstream.operators import silver as silver_ops
 from voltstream.operators.incremental import land_increment
 from voltstream.plans import fixtures, medallion, views
-from voltstream.session import run_dir
+from voltstream.session import ensure_utc, run_dir
 from voltstream.sources.csv import CORRUPT_COLUMN, read_ocpp_csv, write_csv, write_snapshot_csv
-from voltstream.streaming.ingest import append_stream, stream_master_csv
+from voltstream.streaming.ingest import append_stream, stream_master_csv, stream_ocpp_csv
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSS"
 LATE_FROM = "2024-01-10"
@@ -153,6 +153,49 @@ def q_master_reload(spark, sf_dir):
     return silver_ops.station_master(spark.read.parquet(f"{base}/master"))
 
 
+def _reordered(spark, sf_dir, base) -> str:
+    """The lines as four groups of CSV files: as usual, swapped and in other case, without some columns, with some more."""
+    lines = fixtures.ocpp_from_events(fixtures.table(spark, sf_dir, "events")).drop(CORRUPT_COLUMN)
+    names = lines.columns
+    part = [lines.where(F.col("id") % 4 == n) for n in range(4)]
+    write_csv(part[0], f"{base}/source/a")
+    write_csv(part[1].select(*[F.col(c).alias(c.upper()) for c in reversed(names)]), f"{base}/source/b")
+    write_csv(part[2].drop("serial_number", "service_provider_id").select("raw_log", "id", "identity_key", "request_date", "request_uuid", "entity_id"), f"{base}/source/c")
+    more = part[3].withColumns({"firmware": F.concat(F.lit("fw-"), F.col("id").cast("string")),
+                                "entity_id": F.when(F.col("id") % 5 == 0, F.lit("n/a")).otherwise(F.col("entity_id").cast("string"))})
+    write_csv(more.select("firmware", "request_uuid", "id", "request_date", "serial_number", "raw_log", "entity_id", "service_provider_id", "identity_key"), f"{base}/source/d")
+    return f"{base}/source/*/"
+
+
+def q_csv_headers_reordered(spark, sf_dir):
+    """Files with swapped, missing and added columns, read in batch and streamed into bronze: columns go by name."""
+    ensure_utc(spark)
+    base = run_dir(spark, "headers")
+    source = _reordered(spark, sf_dir, base)
+    append_stream(stream_ocpp_csv(spark, source, max_files_per_trigger=3, with_keys=False), f"{base}/bronze", f"{base}/_ckpt")
+    found = None
+    for how, rows in (("batch", read_ocpp_csv(spark, source)), ("stream", spark.read.parquet(f"{base}/bronze"))):
+        one = rows.select(F.lit(how).alias("how"), "id", "request_uuid", F.date_format("request_date", TS_TEXT).alias("request_date"), "entity_id", "service_provider_id",
+                          F.regexp_extract("raw_log", r'^\S+ \S+ \[[23],"(\d+)"', 1).alias("mid"), "serial_number", "identity_key",
+                          F.get_json_object(CORRUPT_COLUMN, "$.firmware").alias("firmware"), F.get_json_object(CORRUPT_COLUMN, "$.entity_id").alias("entity_text"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def q_land_by_default(spark, sf_dir):
+    """Three landing runs without any option over rows with ties at the mark, late rows and rows without a time."""
+    ensure_utc(spark)
+    base = run_dir(spark, "landed")
+    lines = fixtures.ocpp_from_events(fixtures.table(spark, sf_dir, "events"))
+    day = F.date_trunc("day", "request_date")  # many ties
+    lines = lines.withColumn("request_date", F.when(F.col("id") % 14 == 0, F.lit(None)).otherwise(day))
+    for n, rows in (("1", lines.where("id % 3 = 0")), ("2", lines.where("id % 3 <> 2")), ("3", lines)):
+        land_increment(spark, rows, f"{base}/landing", f"{base}/_marks", load_id=n)
+    landed = read_ocpp_csv(spark, f"{base}/landing/load=*/dt=*/")
+    path = F.col("_metadata.file_path")
+    return landed.select("id", F.regexp_extract(path, r"/load=([^/]+)/", 1).cast("int").alias("load"), F.date_format("request_date", TS_TEXT).alias("request_date"))
+
+
 def q_meter_readings(spark, sf_dir):
     gold = medallion.gold_from_tables(spark, sf_dir, stamp=medallion.fixed_stamp())
     return views.meter_readings(gold).select("SOURCE_ID", "CHARGE_STATION_ID", "TRANSACTION_ID", "reading_no", "sample_no", "value")
@@ -208,6 +251,8 @@ QUERIES = {
     "gold_merge_empty_load": q_gold_merge_empty_load,
     "land_late_rows": q_land_late_rows,
     "land_malformed": q_land_malformed,
+    "land_by_default": q_land_by_default,
+    "csv_headers_reordered": q_csv_headers_reordered,
     "parse_multi_frame": q_parse_multi_frame,
     "parse_multi_frame_plain": q_parse_multi_frame_plain,
     "master_reload": q_master_reload,
@@ -244,6 +289,20 @@ FROM lines""")
     o["land_malformed"] = with_events(""",
 lines AS (SELECT 2 * eid AS id FROM ev UNION ALL SELECT 2 * eid + 1 FROM ev WHERE has_res)
 SELECT CASE WHEN id % 9 = 0 THEN 'x' ELSE '' END || CAST(id AS VARCHAR) AS id, id % 9 <> 0 AS clean FROM lines""")
+    o["land_by_default"] = with_events(f""",
+lines AS (SELECT 2 * eid AS id, t AS created FROM ev
+          UNION ALL SELECT 2 * eid + 1, t + INTERVAL 1 SECOND FROM ev WHERE has_res)
+SELECT id, CASE id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS load, CASE WHEN id % 14 <> 0 THEN {ts_text("date_trunc('day', created)")} END AS request_date
+FROM lines""")
+    o["csv_headers_reordered"] = with_events(f""",
+lines AS (SELECT 2 * eid AS id, 'REQ-' || eid AS uuid, t AS created, eid, user_id FROM ev JOIN events ON event_id = eid
+          UNION ALL SELECT 2 * eid + 1, 'RES-' || eid, t + INTERVAL 1 SECOND, eid, user_id FROM ev JOIN events ON event_id = eid WHERE has_res)
+SELECT how, id, uuid AS request_uuid, {ts_text('created')} AS request_date,
+       CASE WHEN id % 4 <> 3 OR id % 5 <> 0 THEN user_id END AS entity_id, CASE WHEN id % 4 <> 2 THEN user_id % 3 + 1 END AS service_provider_id,
+       CAST(eid + 1000000 AS VARCHAR) AS mid, CASE WHEN id % 4 <> 2 THEN 'SN-' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS serial_number,
+       'CS-' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS identity_key,
+       CASE WHEN id % 4 = 3 THEN 'fw-' || id END AS firmware, CASE WHEN id % 4 = 3 AND id % 5 = 0 THEN 'n/a' END AS entity_text
+FROM lines, (VALUES ('batch'), ('stream')) AS h(how)""")
     o["parse_multi_frame"] = """
 WITH e AS (SELECT event_id AS eid FROM events JOIN customer ON c_custkey = user_id JOIN nation ON c_nationkey = n_nationkey)
 SELECT CAST(eid AS VARCHAR) || '#1' AS SOURCE_ID, 'Heartbeat' AS OCPP_ACTION, 'H' || CAST(eid AS VARCHAR) AS OCPP_MESSAGE_UNIQUE_ID,
