@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import sys
 import types
 from collections.abc import Iterator
@@ -83,15 +84,20 @@ class Words:
             lists = lists.combine_chunks()
         lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        self.unique: list[str] = coded.dictionary.to_pylist()
+        self.dictionary: pa.Array = coded.dictionary
         self.code = coded.indices.to_numpy(zero_copy_only=False)
         owner = np.repeat(np.arange(len(lengths)), lengths)
-        if "" in self.unique:  # leading or trailing white space
-            keep = self.code != self.unique.index("")
+        empty = pc.index(self.dictionary, pa.scalar("", self.dictionary.type)).as_py()
+        if empty >= 0:  # leading or trailing white space
+            keep = self.code != empty
             self.code, owner = self.code[keep], owner[keep]
         self.start = np.zeros(len(lengths) + 1, dtype=np.int64)
         np.cumsum(np.bincount(owner, minlength=len(lengths)), out=self.start[1:])
 
+    @functools.cached_property
+    def unique(self) -> list[str]:
+        return self.dictionary.to_pylist()
+
 
 def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The indexes start[k] .. start[k] + length[k] - 1 of all k, one after the other."""

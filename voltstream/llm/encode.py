@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from voltstream.llm.common import Words, ranges, worker_memo
 
 #: Entries of a generation of a worker's memo (about 200 bytes each); it holds two.
 GENERATION = 250_000
 
-# A word made of these runs alone (after lower-casing) normalises to them, and the file's split pattern cuts it
-# into the same runs: Latin-1 letters, single digits, other ASCII signs without the apostrophe. Any other character
-# is a run of its own here and marks the word as odd. Words are told apart by newlines.
-_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+|\n|[^\n]")
-_PLAIN = re.compile(r"[a-zß-öø-ÿ0-9!-&(-/:-@\[-`{-~\n]")
+# A word of ASCII signs and Latin-1 letters without the apostrophe normalises to lower case, and the file's split
+# pattern cuts it into these runs: letters, single digits, other signs.
+_ODD = r"[^!-&(-~À-ÖØ-öø-ÿ]|<\|"
+_RUN = r"([a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+)"
 #: Runs encoded in one call.
-_JOINED = 4096
+_JOINED = 512
+#: Mark of word-end tokens in the file.
+_END = "</w>"
 
 
 def default_path() -> str:
@@ -45,6 +46,9 @@ class WordEncoder:
         self.size = self.lib.get_vocab_size(with_added_tokens=True)
         #: Numbers of the ids: 16 bits where the vocabulary fits.
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        #: Ids that end a word.
+        self.ends = np.zeros(self.size, bool)
+        self.ends[[i for token, i in self.lib.get_vocab(with_added_tokens=True).items() if token.endswith(_END)]] = True
         self.memo = worker_memo(f"ids {path}")
         self.memo.setdefault("new", {})
         self.memo.setdefault("old", {})
@@ -53,14 +57,14 @@ class WordEncoder:
         return np.asarray(ids, self.dtype).tobytes()
 
     def _runs(self, runs: list[str]) -> list[bytes]:
-        """The ids of simple runs, which are words of the split pattern each: encoded in a row, parted by word number."""
-        out = []
+        """The ids of simple runs, which are words of the split pattern each: encoded in a row, cut after word-end ids."""
+        out, size = [], self.dtype.itemsize
         for k in range(0, len(runs), _JOINED):
             part = runs[k:k + _JOINED]
-            e = self.lib.encode(" ".join(part), add_special_tokens=False)
-            flat, n = self._bytes(e.ids), np.bincount(np.array(e.word_ids, np.int64), minlength=len(part)) * self.dtype.itemsize
-            if len(n) == len(part):
-                end = np.cumsum(n).tolist()
+            ids = np.array(self.lib.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            end = (size * (1 + np.flatnonzero(self.ends[ids]))).tolist()
+            if len(end) == len(part):
+                flat = ids.tobytes()
                 out += [flat[a:b] for a, b in zip([0, *end[:-1]], end)]
             else:
                 out += [self._bytes(x.ids) for x in self.lib.encode_batch_fast(part, add_special_tokens=False)]
@@ -73,7 +77,9 @@ class WordEncoder:
         found = list(map(new.get, pieces))
         unknown = []
         for i, ids in enumerate(found):
-            if ids is None:
+            if ids is None and not pieces[i]:
+                found[i] = b""
+            elif ids is None:
                 ids = old.get(pieces[i])
                 if ids is None:
                     unknown.append(i)
@@ -89,52 +95,44 @@ class WordEncoder:
             self.memo["new"], self.memo["old"] = {}, new
         return found
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words in a row, number of ids of each)."""
-        if not words:
-            return np.empty(0, self.dtype), np.empty(0, np.int64)
-        joined = "\n".join(words)
-        tokens = _RUN.findall(joined.lower())
-        unique = list(dict.fromkeys(tokens))
-        number = dict(zip(unique, range(len(unique))))
-        code = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
-        apart = code == number.get("\n", -1)
-        word = np.cumsum(apart)[~apart]
-        code = code[~apart]
-        strange = np.fromiter((len(u) == 1 and _PLAIN.match(u) is None for u in unique), bool, len(unique))
-        odd = np.zeros(len(words), bool)
-        odd[word[strange[code]]] = True
-        if "<|" in joined:
-            odd |= np.fromiter(("<|" in w for w in words), bool, len(words))
-        # an odd word is one piece, numbered after the runs
-        first = np.concatenate([[True], np.diff(word) != 0])
-        code[odd[word] & first] = len(unique) + np.arange(odd.sum())
-        keep = first | ~odd[word]
-        code, word = code[keep], word[keep]
-        used = np.unique(code)
-        n_runs = int(np.searchsorted(used, len(unique)))
-        found = self._pieces([unique[i] for i in used[:n_runs].tolist()], [words[i] for i in np.flatnonzero(odd).tolist()])
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each word's begin, how many it has)."""
+        odd = pc.match_substring_regex(words, _ODD)
+        plain = pc.utf8_lower(words.filter(pc.invert(odd)))
+        lists = pc.split_pattern(pc.replace_substring_regex(plain, _RUN, "\\1\n"), "\n")
+        if isinstance(lists, pa.ChunkedArray):
+            lists = lists.combine_chunks()
+        odd = odd.to_numpy(zero_copy_only=False).astype(bool)
+        coded = lists.flatten().dictionary_encode()
+        runs, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        found = self._pieces(runs, words.filter(pa.array(odd)).to_pylist())
         each = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
-        code = np.searchsorted(used, code)
-        flat, n = np.frombuffer(b"".join(found), self.dtype), each[code]
+        begin = np.cumsum(each) - each
+        pieces = np.frombuffer(b"".join(found), self.dtype)
+        # plain words' ids are put together from their runs' (an empty run after the last one has none)
+        n = each[code]
+        flat = pieces[ranges(begin[code], n)]
         total = np.concatenate([[0], np.cumsum(n)])
-        start = np.searchsorted(word, np.arange(len(words) + 1))
-        return flat[ranges((np.cumsum(each) - each)[code], n)], total[start[1:]] - total[start[:-1]]
+        at = lists.offsets.to_numpy().astype(np.int64) - (lists.offsets[0].as_py() if len(lists) else 0)
+        start, count = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        start[~odd], count[~odd] = total[at[:-1]], total[at[1:]] - total[at[:-1]]
+        start[odd], count[odd] = len(flat) + begin[len(runs):] - (begin[len(runs)] if odd.any() else 0), each[len(runs):]
+        return np.concatenate([flat, pieces[begin[len(runs)]:] if odd.any() else pieces[:0]]), start, count
 
     def lengths(self, texts: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
         words = Words(texts)
-        total = np.concatenate([[0], np.cumsum(self.words(words.unique)[1][words.code])])
+        total = np.concatenate([[0], np.cumsum(self.words(words.dictionary)[2][words.code])])
         return total[words.start[1:]] - total[words.start[:-1]]
 
     def ids(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(all ids as ``dtype``, number of ids of each text); ``end_id`` closes each text."""
         words = Words(texts)
-        flat, each = self.words(words.unique)
+        flat, start, each = self.words(words.dictionary)
         n = each[words.code]
         total = np.concatenate([[0], np.cumsum(n)])
         counts = total[words.start[1:]] - total[words.start[:-1]]
-        ids = flat[ranges((np.cumsum(each) - each)[words.code], n)]
+        ids = flat[ranges(start[words.code], n)]
         if end_id is None:
             return ids, counts
         if end_id > np.iinfo(self.dtype).max:
