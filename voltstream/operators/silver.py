@@ -121,11 +121,15 @@ def by_action(parsed: DataFrame, action: str) -> DataFrame:
 
 
 def _kind_is(df: DataFrame, kind: str) -> Column:
-    """Cheap necessary condition for a frame kind: the bronze partition column
-    when present (partition pruning: the branch reads only its part of
-    bronze), else a substring test that spares the patterns."""
+    """Cheap necessary condition for a frame kind: the partition column of stored frames or of bronze
+    when present (partition pruning: the branch reads only its part of the table), else a substring test
+    that spares the patterns."""
+    if "kind" in df.columns:
+        return F.col("kind") == kind
     if "frame_kind" in df.columns:
         return F.col("frame_kind").contains(kind)
+    if "raw_log" not in df.columns:
+        return F.lit(True)
     return F.col("raw_log").contains(f'[{kind},"')
 
 
@@ -147,8 +151,10 @@ def responses(parsed: DataFrame) -> DataFrame:
     return parsed.filter(_kind_is(parsed, "3")).filter(F.col("OCPP_RESPONSE_MESSAGE").isNotNull()).select(
         *_KEY,
         "OCPP_RESPONSE_MESSAGE",
+        *([F.col("_body_at").alias("_res_at")] if "_body_at" in parsed.columns else []),
         F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED").alias("_res_created"),
         F.col("id").alias("_res_id"),
+        F.col("_frame_no").alias("_res_no"),
     )
 
 
@@ -164,8 +170,11 @@ def parse_request_payload(reqs: DataFrame) -> DataFrame:
     Done before the pairing shuffle, so the shuffle carries typed fields
     instead of JSON text.
     """
-    body = F.nullif(F.col("_request_body"), F.lit(""))
-    return reqs.withColumn("_req", F.from_json(body, schemas.REQUEST_PAYLOAD_DDL)).drop("_request_body")
+    if "_body_at" in reqs.columns:  # stored frames know where their body begins
+        body = F.substr(F.col("OCPP_REQUEST_MESSAGE"), F.col("_body_at"))
+    else:
+        body = F.nullif(F.col("_request_body"), F.lit(""))
+    return reqs.withColumn("_req", F.from_json(body, schemas.REQUEST_PAYLOAD_DDL)).drop("_request_body", "_body_at")
 
 
 def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> DataFrame:
@@ -183,10 +192,9 @@ def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> D
     res = responses(parsed)
     reqs = reqs.drop("OCPP_RESPONSE_MESSAGE", "_response_body")
     if mode == "fixed":
-        owned = asof_pair(calls(parsed), res, _KEY, "_call_created", "_res_created", "_call")
-        best = earliest_by_key(owned, ["_call"], ["_res_created", "_res_id"], values=["OCPP_RESPONSE_MESSAGE"])
-        best = best.select(F.col("_call.id").alias("_c_id"), F.col("_call._frame_no").alias("_c_no"), "OCPP_RESPONSE_MESSAGE")
-        return reqs.join(best, (reqs["id"] == best["_c_id"]) & (reqs["_frame_no"] == best["_c_no"]), "left").drop("_c_id", "_c_no")
+        text = [c for c in ("OCPP_RESPONSE_MESSAGE", "_res_at") if c in res.columns]
+        best = answers(calls(parsed), res, text)
+        return with_answers(reqs, best.select(F.col("_call.id").alias("_c_id"), F.col("_call._frame_no").alias("_c_no"), *text))
     # One result per message id, joined on a derived key (NULL and salted for rows that don't pair): the join gets a
     # shuffle of its own on both sides, so AQE can split an id that many stations use.
     mid = F.concat(F.lit("m"), F.col("OCPP_MESSAGE_UNIQUE_ID"))
@@ -197,13 +205,27 @@ def pair_responses(reqs: DataFrame, parsed: DataFrame, mode: str = "fixed") -> D
     return left.join(right, ["_pk", "_nk"], "left").drop("_pk", "_nk")
 
 
+def answers(call_rows: DataFrame, result_rows: DataFrame, values: list[str]) -> DataFrame:
+    """``_call`` and ``values`` of the result that answers it: see ``pair_responses``."""
+    owned = asof_pair(call_rows, result_rows, _KEY, "_call_created", "_res_created", "_call")
+    return earliest_by_key(owned, ["_call"], ["_res_created", "_res_id", "_res_no"], values=values)
+
+
+def with_answers(reqs: DataFrame, best: DataFrame) -> DataFrame:
+    """Requests with the columns of ``best(_c_id, _c_no, ...)``, joined by line id and frame number."""
+    return reqs.join(best, (F.col("id") == F.col("_c_id")) & (F.col("_frame_no") == F.col("_c_no")), "left").drop("_c_id", "_c_no")
+
+
 def parse_payloads(paired: DataFrame, mode: str = "fixed") -> DataFrame:
     """Typed per-action payload columns from the parsed request and result bodies."""
     frames.check_mode(mode)
     act = F.col("OCPP_ACTION")
     is_hb, is_start, is_stop, is_status = (act == F.lit(a) for a in ACTIONS)
     df = paired if "_req" in paired.columns else parse_request_payload(paired)
-    res_body = F.nullif(frames.response_body(F.col("OCPP_RESPONSE_MESSAGE")), F.lit(""))
+    if "_res_at" in df.columns:
+        res_body = F.substr(F.col("OCPP_RESPONSE_MESSAGE"), F.col("_res_at"))
+    else:
+        res_body = F.nullif(frames.response_body(F.col("OCPP_RESPONSE_MESSAGE")), F.lit(""))
     df = df.withColumn("_res", F.from_json(res_body, schemas.RESPONSE_PAYLOAD_DDL))
     req, res = F.col("_req"), F.col("_res")
 
@@ -296,16 +318,15 @@ def master_versions(master: DataFrame) -> DataFrame:
 
 
 def message_time() -> Column:
-    """When a message was written: its gateway time, else the time of the request for the log."""
-    return F.coalesce(F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED"), F.col("request_date"))
+    """When a message was written: its gateway time."""
+    return F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED")
 
 
 def enrich_with_master(df: DataFrame, master: DataFrame, mode: str = "fixed") -> DataFrame:
     """Inner join on station id (JN2), with the master data valid at the message's time.
 
     Where master rows carry ``MASTER_LOAD_TIME`` (as the master stream stamps it), a message takes the version valid
-    at its own time, so the result does not depend on when its load was built; messages without any time take the
-    first. Without load times, and in ``faithful`` mode, there is one version per station.
+    at its own time, so the result does not depend on when its load was built; messages without a time take the first. Without load times, and in ``faithful`` mode, there is one version per station.
 
     The join is on a derived station key, so that in a shuffle join both
     sides get their own shuffle and AQE can split a hot station's partition
@@ -384,13 +405,36 @@ def to_silver(
 
     ``wanted`` picks the request frames that become rows; all frames take part in the pairing.
     """
-    parsed = parse_frames(bronze, mode, log_tz)
+    return silver_from_frames(parse_frames(bronze, mode, log_tz), master, mode, defaults, stage_time, wanted)
+
+
+def silver_from_frames(
+    parsed: DataFrame,
+    master: DataFrame,
+    mode: str = "fixed",
+    defaults: Mapping[str, object] | None = None,
+    stage_time: Column | None = None,
+    wanted: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """frames (of ``parse_frames``, or the stored table of ``plans.load_tables``) + master → silver (44 columns)."""
     reqs = requests(parsed) if wanted is None else wanted(requests(parsed))
     reqs = parse_request_payload(enrich_with_master(reqs, master, mode))
     paired = pair_responses(reqs, parsed, mode)
     return conform(parse_payloads(paired, mode), defaults, stage_time)
 
 
+def silver_of_calls(
+    reqs: DataFrame,
+    best: DataFrame,
+    master: DataFrame,
+    defaults: Mapping[str, object] | None = None,
+    stage_time: Column | None = None,
+) -> DataFrame:
+    """Silver rows of some call frames whose results are known: ``best(_c_id, _c_no, OCPP_RESPONSE_MESSAGE[, _res_at])``."""
+    reqs = parse_request_payload(enrich_with_master(reqs, master)).drop("OCPP_RESPONSE_MESSAGE", "_response_body")
+    return conform(parse_payloads(with_answers(reqs, best)), defaults, stage_time)
+
+
 def to_silver_by_action(
     bronze: DataFrame,
     master: DataFrame,

@@ -13,7 +13,8 @@ from voltstream.functions.frames import CREATED_FORMAT
 from voltstream.operators import bronze as bronze_ops
 from voltstream.operators import silver as silver_ops
 from voltstream.operators.incremental import land_increment
-from voltstream.plans import fixtures, medallion, views
+from voltstream.plans import fixtures, load_tables, master_reload, medallion, views
+from voltstream.plans.load_tables import LoadTables
 from voltstream.session import ensure_utc, run_dir
 from voltstream.sources.csv import CORRUPT_COLUMN, read_ocpp_csv, write_csv, write_snapshot_csv
 from voltstream.streaming.ingest import append_stream, stream_master_csv, stream_ocpp_csv
@@ -74,6 +75,120 @@ def q_pair_reused_ids_batch(spark, sf_dir):
     return silver.select("SOURCE_ID", "TRANSACTION_ID")
 
 
+def q_pair_reused_ids_tables(spark, sf_dir):
+    """The same three loads through the load tables: gold, and by how many loads each request was emitted."""
+    ensure_utc(spark)
+    base, stamp = run_dir(spark, "reused-tables"), medallion.fixed_stamp()
+    tables, master = LoadTables(f"{base}/bronze", buckets=16), fixtures.master_from_tables(spark, sf_dir)
+    rows, emitted = _as_bronze(reused_id_lines(spark, sf_dir)), None
+    for day, n in enumerate(("2", "0", "1"), 1):
+        lines = rows.where(F.col("load") == n).drop("message_ids", *bronze_ops.PARTITIONS)
+        load_tables.ingest_load(spark, tables, lines, n, f"2024-02-0{day}")
+        silver = load_tables.silver_of_load(spark, tables, n, f"2024-02-0{day}", master, stage_time=stamp)
+        silver.write.parquet(f"{base}/silver/{n}")
+        silver = spark.read.parquet(f"{base}/silver/{n}")
+        medallion.merge_into_gold_table(f"{base}/gold", silver, f"{base}/_stage", stamp=stamp)
+        emitted = silver.select("SOURCE_ID") if emitted is None else emitted.unionByName(silver.select("SOURCE_ID"))
+        load_tables.close_days(spark, tables, f"2024-02-0{day}")
+    times = emitted.groupBy("SOURCE_ID").agg(F.count(F.lit(1)).alias("n_emitted"))
+    return spark.read.parquet(f"{base}/gold").select("SOURCE_ID", "TRANSACTION_ID").join(times, "SOURCE_ID")
+
+
+def _split_lines(spark, sf_dir):
+    """Bronze rows of the events' lines in two loads, by day of the log."""
+    rows = fixtures.bronze_from_events(spark, sf_dir, ingest_time=medallion.fixed_stamp())
+    return rows, F.col("request_date") < F.lit("2024-01-16").cast("timestamp")
+
+
+def q_silver_from_stored_frames(spark, sf_dir):
+    """Two loads ingested as frames, the first one's day closed and swept; silver of all frames."""
+    ensure_utc(spark)
+    tables = LoadTables(run_dir(spark, "frames"), buckets=8)
+    rows, early = _split_lines(spark, sf_dir)
+    load_tables.ingest_load(spark, tables, rows.where(early), "a", "2024-02-01")
+    load_tables.ingest_load(spark, tables, rows.where(~early), "b", "2024-02-02")
+    load_tables.close_days(spark, tables, "2024-02-02")
+    load_tables.sweep(spark, tables)
+    return load_tables.silver_of_all(spark, tables, fixtures.master_from_tables(spark, sf_dir), stage_time=medallion.fixed_stamp()).select(
+        "SOURCE_ID", "OCPP_ACTION", "OCPP_MESSAGE_UNIQUE_ID", "SOURCE_CONNECTOR_ID", "STATUS", "ID_TAG", "ID_TAG_STATUS", "TRANSACTION_ID",
+        F.date_format("UNIFIED_TIMESTAMP", TS_TEXT).alias("UNIFIED_TIMESTAMP"))
+
+
+def q_quarantine_replay(spark, sf_dir):
+    """Lines broken in four ways, ingested and merged without them, then repaired and replayed: gold of all lines."""
+    ensure_utc(spark)
+    base, stamp = run_dir(spark, "replay-gold"), medallion.fixed_stamp()
+    tables, master = LoadTables(f"{base}/bronze", buckets=8), fixtures.master_from_tables(spark, sf_dir)
+    rows, early = _split_lines(spark, sf_dir)
+    how, raw = F.col("id") % 20, F.col("raw_log")
+    broken = rows.withColumns({
+        "serial_number": F.concat_ws("|", "serial_number", F.col("id").cast("string")),  # what the repair knows the line by
+        "raw_log": F.when(how.isin(3, 4), F.regexp_replace(raw, r"@@EOM@@$", "")).when(how.isin(5, 6), F.regexp_replace(raw, r"^\d\d-", "39-")).otherwise(raw),
+        CORRUPT_COLUMN: F.when(how.isin(7, 8), F.lit('{"_row":"some text"}')),
+        "id": F.when(~how.isin(1, 2), F.col("id"))})
+
+    def merge(load, day):
+        silver = load_tables.silver_of_load(spark, tables, load, day, master, stage_time=stamp)
+        medallion.merge_into_gold_table(f"{base}/gold", silver, f"{base}/_stage", stamp=stamp)
+
+    for load, day, part in (("a", "2024-02-01", broken.where(early)), ("b", "2024-02-02", broken.where(~early))):
+        load_tables.ingest_load(spark, tables, part, load, day)
+        merge(load, day)
+    good = rows.select(F.col("id").cast("string").alias("_id"), F.col("raw_log").alias("_log"))
+
+    def repair(held):
+        by = F.element_at(F.split("serial_number", r"\|"), 2)
+        return held.join(good, by == F.col("_id")).withColumns({"id": F.col("_id").cast("bigint"), "raw_log": F.col("_log"), CORRUPT_COLUMN: F.lit(None).cast("string")})
+
+    held = load_tables.read_quarantine(spark, tables)
+    why = held.select(F.element_at(F.split("serial_number", r"\|"), 2).alias("_line"), F.array_join("reasons", ",").alias("reason"))
+    why.write.parquet(f"{base}/why")
+    load_tables.close_days(spark, tables, "2024-02-03")
+    load_tables.replay(spark, tables, repair, "replay-1", "2024-02-03")
+    merge("replay-1", "2024-02-03")
+    left = load_tables.read_quarantine(spark, tables).count()
+    why = spark.read.parquet(f"{base}/why")
+    gold = spark.read.parquet(f"{base}/gold").select("SOURCE_ID", "OCPP_ACTION", "ID_TAG_STATUS", "TRANSACTION_ID", F.split("SERIAL_NUMBER", r"\|")[0].alias("SERIAL_NUMBER"))
+    return gold.join(why, F.col("SOURCE_ID") == F.col("_line"), "left").select(*gold.columns, "reason", F.lit(left).cast("bigint").alias("left_in_quarantine"))
+
+
+RELOAD_FROM = "2024-01-11"
+
+
+def _two_masters(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """A master load of the stations that 5 does not divide, and a reload from 11 Jan on: all stations, the even ones with new values."""
+    first, key = fixtures.master_from_tables(spark, sf_dir), F.substring("OCPP_CHARGE_STATION_ID", 4, 20).cast("int")
+    load = lambda t: F.lit(t).cast("timestamp")
+    again = first.withColumn("MANUFACTURER", F.when(key % 2 == 0, F.concat(F.lit("new-"), F.col("MANUFACTURER"))).otherwise(F.col("MANUFACTURER")))
+    return first.where(key % 5 != 0).withColumn(schemas.MASTER_LOAD, load("2023-12-01")), again.withColumn(schemas.MASTER_LOAD, load(RELOAD_FROM))
+
+
+def q_master_reload_per_load(spark, sf_dir):
+    """Two loads with a master reload in between, whose values hold from a time in the middle of the first load: per-load gold."""
+    ensure_utc(spark)
+    base, stamp = run_dir(spark, "reload"), medallion.fixed_stamp()
+    tables, (first, again) = LoadTables(f"{base}/bronze", buckets=8), _two_masters(spark, sf_dir)
+    both, gold = first.unionByName(again), f"{base}/gold"
+    rows, early = _split_lines(spark, sf_dir)
+
+    def load(name, day, part, master):
+        load_tables.ingest_load(spark, tables, part, name, day)
+        medallion.merge_into_gold_table(gold, load_tables.silver_of_load(spark, tables, name, day, master, stage_time=stamp), f"{base}/_stage", stamp=stamp)
+
+    load("a", "2024-02-01", rows.where(early), first)
+    master_reload.apply_reload(spark, gold, tables, first, both, f"{base}/_stage", stamp=stamp)
+    load("b", "2024-02-02", rows.where(~early), both)
+    return spark.read.parquet(gold).select("SOURCE_ID", "CHARGE_STATION_ID", "MANUFACTURER", "COUNTRY_CODE")
+
+
+def q_master_reload_batch(spark, sf_dir):
+    """The same master loads in one batch build."""
+    ensure_utc(spark)
+    first, again = _two_masters(spark, sf_dir)
+    rows = fixtures.bronze_from_events(spark, sf_dir, ingest_time=medallion.fixed_stamp())
+    return silver_ops.to_silver(rows, first.unionByName(again), stage_time=medallion.fixed_stamp()).select("SOURCE_ID", "CHARGE_STATION_ID", "MANUFACTURER", "COUNTRY_CODE")
+
+
 def q_gold_merge_empty_load(spark, sf_dir):
     """A load of results alone (no row for silver), a load of unknown stations, then a load with rows."""
     base, stamp = run_dir(spark, "empty-load"), medallion.fixed_stamp()
@@ -248,6 +363,11 @@ def q_tables_from_ddl(spark, sf_dir):
 QUERIES = {
     "pair_reused_ids": q_pair_reused_ids,
     "pair_reused_ids_batch": q_pair_reused_ids_batch,
+    "pair_reused_ids_tables": q_pair_reused_ids_tables,
+    "silver_from_stored_frames": q_silver_from_stored_frames,
+    "quarantine_replay": q_quarantine_replay,
+    "master_reload_per_load": q_master_reload_per_load,
+    "master_reload_batch": q_master_reload_batch,
     "gold_merge_empty_load": q_gold_merge_empty_load,
     "land_late_rows": q_land_late_rows,
     "land_malformed": q_land_malformed,
@@ -280,6 +400,41 @@ SELECT CAST(2 * c.event_id AS VARCHAR) AS SOURCE_ID, CAST(b.rid AS INTEGER) AS T
 FROM calls c JOIN customer ON c_custkey = c.user_id JOIN nation ON c_nationkey = n_nationkey
 LEFT JOIN best b ON b.event_id = c.event_id AND b.rn = 1"""
     o["pair_reused_ids_batch"] = o["pair_reused_ids"]
+    # after each load the answers of the frames seen by then; a request is emitted by its own load and when its answer changes
+    o["pair_reused_ids_tables"] = """
+WITH calls AS (SELECT event_id, user_id, event_id % 3 AS mid, date_trunc('millisecond', ts) AS t, event_id % 3 AS load FROM events),
+results AS (SELECT event_id AS rid, user_id, event_id % 3 AS mid, (event_id * 7 + 1) % 3 AS load,
+                   date_trunc('millisecond', ts) + to_hours(CAST(event_id % 7 * 10 AS BIGINT)) + INTERVAL 1 SECOND AS t
+            FROM events WHERE event_id % 5 <> 0),
+step AS (SELECT * FROM (VALUES (1, 2, 2, 2), (2, 2, 0, 0), (3, 2, 0, 1)) AS s(step, a, b, c)),
+owned AS (SELECT s.step, r.rid, r.t, c.event_id,
+                 row_number() OVER (PARTITION BY s.step, r.rid ORDER BY c.t DESC, c.event_id DESC) AS back
+          FROM step s JOIN results r ON r.load IN (s.a, s.b, s.c) JOIN calls c ON c.load IN (s.a, s.b, s.c) AND r.user_id = c.user_id AND r.mid = c.mid AND c.t <= r.t),
+best AS (SELECT step, event_id, rid, row_number() OVER (PARTITION BY step, event_id ORDER BY t, rid) AS rn FROM owned WHERE back = 1),
+told AS (SELECT c.event_id, s.step, c.load = s.c AS own, b.rid FROM calls c JOIN step s ON c.load IN (s.a, s.b, s.c) LEFT JOIN best b ON b.step = s.step AND b.event_id = c.event_id AND b.rn = 1),
+marked AS (SELECT *, lag(rid) OVER (PARTITION BY event_id ORDER BY step) AS was FROM told)
+SELECT CAST(2 * event_id AS VARCHAR) AS SOURCE_ID, CAST(MAX(CASE WHEN step = 3 THEN rid END) AS INTEGER) AS TRANSACTION_ID,
+       COUNT(*) FILTER (WHERE own OR rid IS DISTINCT FROM was) AS n_emitted
+FROM marked JOIN calls USING (event_id) JOIN customer ON c_custkey = user_id JOIN nation ON c_nationkey = n_nationkey GROUP BY event_id"""
+    o["silver_from_stored_frames"] = with_events(f"""
+SELECT source_id AS SOURCE_ID, action AS OCPP_ACTION, CAST(eid + 1000000 AS VARCHAR) AS OCPP_MESSAGE_UNIQUE_ID, conn AS SOURCE_CONNECTOR_ID,
+       CASE WHEN action = 'StatusNotification' THEN CASE WHEN et = 'error' THEN 'Faulted' ELSE 'Available' END END AS STATUS,
+       CASE WHEN action IN ('StartTransaction', 'StopTransaction') THEN tag END AS ID_TAG,
+       CASE WHEN action IN ('StartTransaction', 'StopTransaction') AND has_res THEN res_status END AS ID_TAG_STATUS,
+       CASE WHEN action = 'StopTransaction' OR (action = 'StartTransaction' AND has_res) THEN txid END AS TRANSACTION_ID,
+       {ts_text('unified')} AS UNIFIED_TIMESTAMP FROM sv""")
+    o["quarantine_replay"] = with_events("""
+SELECT source_id AS SOURCE_ID, action AS OCPP_ACTION,
+       CASE WHEN action IN ('StartTransaction', 'StopTransaction') AND has_res THEN res_status END AS ID_TAG_STATUS,
+       CASE WHEN action = 'StopTransaction' OR (action = 'StartTransaction' AND has_res) THEN txid END AS TRANSACTION_ID,
+       'SN-' || lpad(CAST(uid AS VARCHAR), 6, '0') AS SERIAL_NUMBER,
+       CASE WHEN 2 * eid % 20 = 2 THEN 'no id' WHEN 2 * eid % 20 = 4 THEN 'no frame' WHEN 2 * eid % 20 = 6 THEN 'impossible time'
+            WHEN 2 * eid % 20 = 8 THEN 'broken row' END AS reason, CAST(0 AS BIGINT) AS left_in_quarantine FROM sv""")
+    o["master_reload_per_load"] = with_events(f"""
+SELECT source_id AS SOURCE_ID, station AS CHARGE_STATION_ID,
+       CASE WHEN uid % 2 = 0 AND (uid % 5 = 0 OR t >= TIMESTAMP '{RELOAD_FROM}') THEN 'new-' ELSE '' END || manufacturer AS MANUFACTURER, country_code AS COUNTRY_CODE
+FROM sv""")
+    o["master_reload_batch"] = o["master_reload_per_load"]
     o["gold_merge_empty_load"] = with_events("SELECT source_id AS SOURCE_ID, action AS OCPP_ACTION FROM sv")
     o["land_late_rows"] = with_events(f""",
 lines AS (SELECT 2 * eid AS id, t AS created FROM ev

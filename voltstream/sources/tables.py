@@ -27,6 +27,21 @@ def _quiet_probe():
             lg.disabled = old
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool | None:
+    """If there is something at ``path`` on whatever file system it names; None where the session can't tell."""
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
+    except Exception:  # noqa: BLE001 - no JVM at hand (remote session)
+        return None
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_parquet_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The parquet table at ``path``, or None when nothing has been written there yet.
 
@@ -35,6 +50,8 @@ def read_parquet_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     "nothing written"; any other error is raised, so that an unreadable table
     never passes for an empty one.
     """
+    if folder_exists(spark, path) is False:
+        return None
     with _quiet_probe():
         try:
             return spark.read.parquet(path)

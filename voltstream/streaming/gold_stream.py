@@ -1,21 +1,23 @@
 """Incremental bronze → silver → gold with Structured Streaming.
 
-The landed files are streamed once. Each micro-batch is written to the bronze
-table as a load of its own (a partition overwrite, so that a repeated batch
-replaces itself) and ``medallion.silver_increment`` of that load is merged
-into day-partitioned gold: a request is in gold as soon as its batch is, and
-its result fills it in whenever it lands, hours or months later. There is no
-watermark and no time bound, and no pairing state beside bronze itself; the
-result equals the batch plan after every batch.
+The landed files are streamed once. Each micro-batch becomes a load of the
+load tables (``plans.load_tables``: lines, frames parsed once, keys; a
+repeated batch replaces itself) and that load's silver, with the earlier
+requests whose answer it changes, is merged into day-partitioned gold: a
+request is in gold as soon as its batch is, and its result fills it in
+whenever it lands, hours or months later. There is no watermark and no time
+bound, and no pairing state beside the key table; the result equals the batch
+plan after every batch. Days that are over are folded, so a batch lists the
+loads of open days only.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from voltstream.operators import bronze
 from voltstream.streaming.ingest import foreach_batch_stream, stream_ocpp_csv
 
 
@@ -31,21 +33,25 @@ def run_gold_stream(
     available_now: bool = True,
     timeout: float | None = None,
     max_files_per_trigger: int | None = None,
+    key_buckets: int = 64,
 ) -> StreamingQuery:
-    """Stream landed OCPP CSV into the bronze and gold tables."""
-    from voltstream.plans.medallion import merge_into_gold_table, silver_increment
+    """Stream landed OCPP CSV into the load tables at ``bronze_path`` and the gold table."""
+    from voltstream.plans import load_tables
+    from voltstream.plans.medallion import merge_into_gold_table
 
     lines = stream_ocpp_csv(spark, landing_glob, max_files_per_trigger, with_keys=False)
+    tables = load_tables.LoadTables(bronze_path, buckets=key_buckets)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        load = f"batch-{batch_id:09d}"
-        rows = lines.rows(batch)
+        rows, session = lines.rows(batch), batch.sparkSession
         if rows is None:
             return
-        rows = bronze.add_frame_keys(rows, load=F.lit(load))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*bronze.PARTITIONS).parquet(bronze_path))
-        session = batch.sparkSession
-        increment = silver_increment(session.read.parquet(bronze_path), load, master, stage_time=stamp)
+        load = f"batch-{batch_id:09d}"
+        today = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d")
+        day = load_tables.day_of_load(session, tables, load) or today  # a repeated batch keeps its day
+        load_tables.close_days(session, tables, min(day, today))
+        load_tables.ingest_load(session, tables, rows, load, day)
+        increment = load_tables.silver_of_load(session, tables, load, day, master, stage_time=stamp)
         merge_into_gold_table(gold_path, increment, f"{stage_root}/{load}", stamp=stamp)
 
     return foreach_batch_stream(lines.files, checkpoint, merge_batch, available_now=available_now, timeout=timeout)
