@@ -230,7 +230,7 @@ def parse_payloads(paired: DataFrame, mode: str = "fixed") -> DataFrame:
     req, res = F.col("_req"), F.col("_res")
 
     if mode == "fixed":
-        hb_time = res["currentTime"]
+        hb_time = F.coalesce(res["currentTime"], req["timestamp"])  # a Heartbeat may bring a time of its own
         hb_has_payload = hb_time.isNotNull()
         start_status = res["idTagInfo"]["status"]
         stop_status = res["idTagInfo"]["status"]

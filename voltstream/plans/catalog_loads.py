@@ -13,7 +13,7 @@ from voltstream.functions.frames import CREATED_FORMAT
 from voltstream.operators import bronze as bronze_ops
 from voltstream.operators import silver as silver_ops
 from voltstream.operators.incremental import land_increment
-from voltstream.plans import fixtures, load_tables, master_reload, medallion, views
+from voltstream.plans import fixtures, load_tables, master_reload, medallion, view_tables, views
 from voltstream.plans.load_tables import LoadTables
 from voltstream.session import ensure_utc, run_dir
 from voltstream.sources.csv import CORRUPT_COLUMN, read_ocpp_csv, write_csv, write_snapshot_csv
@@ -342,6 +342,114 @@ def q_views_by_name(spark, sf_dir):
     return spark.sql(f"SELECT CHARGE_STATION_ID, date, heartbeat_count, was_down FROM charger_heartbeats_{tag}")
 
 
+#: keys and values of each view in the long form that one query returns
+_LONG = {
+    "charger_heartbeats": (["CHARGE_STATION_ID", "date"], ["heartbeat_count", "was_down"]),
+    "charging_session_errors": (["MANUFACTURER", "OCPP_ERROR_CODE", "VENDOR_ERROR_CODE"], ["error_count"]),
+    "ev_transaction_units": (["ID_TAG", "CHARGE_STATION_ID", "stop_time", "start_time"], ["METER_START", "units_consumed"]),
+    "charging_session_duration": (["TRANSACTION_ID", "CHARGE_STATION_ID", "session_start", "session_end"], []),
+    "energy_consumption_by_charger": (["CHARGE_STATION_ID"], ["total_energy_consumed"]),
+    "daily_energy_consumption": (["CHARGE_STATION_ID", "date"], ["total_energy_consumed"]),
+}
+
+
+def _long(name: str, view: DataFrame) -> DataFrame:
+    """A view as rows (view, key as text, v1, v2)."""
+    keys, values = _LONG[name]
+    text = [F.coalesce(F.date_format(c, TS_TEXT) if view.schema[c].dataType.simpleString() == "timestamp" else F.col(c).cast("string"), F.lit("-")) for c in keys]
+    numbers = [F.col(c).cast("double") for c in values] + [F.lit(None).cast("double")] * (2 - len(values))
+    return view.select(F.lit(name).alias("view"), F.concat_ws("|", *text).alias("key"), numbers[0].alias("v1"), numbers[1].alias("v2"))
+
+
+def _all_long(read) -> DataFrame:
+    out = None
+    for name in _LONG:
+        one = read(name)
+        if one is not None:
+            out = _long(name, one) if out is None else out.unionByName(_long(name, one))
+    return out
+
+
+def q_six_views_by_name(spark, sf_dir):
+    """Gold as a catalog table made from DDL, all six views as catalog views, each queried by name."""
+    from voltstream.sources.tables import append_table, ensure_table
+
+    ensure_utc(spark)
+    base = run_dir(spark, "six")
+    tag = base.rsplit("-", 1)[-1]
+    gold = f"gold_{tag}"
+    ensure_table(spark, gold, schemas.GOLD_DDL, f"{base}/gold")
+    append_table(medallion.gold_from_tables(spark, sf_dir, stamp=medallion.fixed_stamp()), f"{base}/gold")
+    spark.catalog.refreshTable(gold)
+    views.create_views(spark, gold, suffix=f"_{tag}")
+    return _all_long(lambda name: spark.sql(f"SELECT * FROM {name}_{tag}"))
+
+
+def q_views_incremental(spark, sf_dir):
+    """View tables after three merges: early rows with other values, rows that correct and add, the rest; touched days only."""
+    ensure_utc(spark)
+    base, stamp = run_dir(spark, "view-tables"), medallion.fixed_stamp()
+    silver = medallion.silver_from_tables(spark, sf_dir, stage_time=stamp)
+    at = F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED")
+    before = lambda d: at < F.lit(d).cast("timestamp")
+    other = silver.withColumns({"OCPP_ACTION": F.when(F.col("OCPP_ACTION") == "StatusNotification", "Heartbeat").otherwise(F.col("OCPP_ACTION")),
+                                "TRANSACTION_ID": F.lit(7), "METERVALUE_ENERGY_KWH": F.lit(1).cast("float"), "VENDOR_ERROR_CODE": F.lit("?")})
+    for part in (other.where(before("2024-01-16")), silver.where(~before("2024-01-10")), silver.where(before("2024-01-10"))):
+        told = medallion.merge_into_gold_table(f"{base}/gold", part, f"{base}/_stage", stamp=stamp)
+        view_tables.refresh(spark, f"{base}/gold", f"{base}/views", told["touched"])
+    return _all_long(lambda name: None if name == "ev_transaction_units" else view_tables.view(spark, f"{base}/views", name))
+
+
+def _register_lines(spark, sf_dir) -> DataFrame:
+    """A StopTransaction for every event with four readings, not in time order: an import register in Wh (which starts
+    over in every fourth event), an export register in kWh, one in the protocol's defaults, and a state of charge."""
+    ev = fixtures.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    eid, at = F.col("event_id"), F.date_format("ts", CREATED_FORMAT)
+    text = lambda c: c.cast("string")
+
+    def reading(r: int):
+        value = (eid % 50) * 1000 + (eid % 7) * 100 * r
+        if r >= 2:
+            value = F.when(eid % 4 == 0, 30 + (eid % 7) * 100 * (r - 2)).otherwise(value)
+        time = F.date_format(F.col("ts") + F.expr(f"INTERVAL {r} MINUTES"), fixtures.ISO_MS)
+        return F.concat(F.lit('{"timestamp":"'), time, F.lit('","sampledValue":[{"value":"'), text(value), F.lit('","measurand":"Energy.Active.Import.Register","unit":"Wh","context":"Sample.Periodic"},'
+                        f'{{"value":"{2 * r}","measurand":"Energy.Active.Export.Register","unit":"kWh"}},{{"value":"'), text(eid % 9 * r), F.lit('"},{"value":"55","measurand":"SoC","unit":"Percent"}]}'))
+
+    body = F.concat(F.lit('{"idTag":"T","transactionId":'), text(eid), F.lit(',"transactionData":['), F.concat_ws(",", *[reading(r) for r in (2, 0, 3, 1)]), F.lit("]}"))
+    return _reader_rows(ev.withColumn("load", F.lit("1")), eid * 2, at, F.concat(at, F.lit(' [2,"'), text(eid), F.lit('","StopTransaction",'), body, F.lit("]@@EOM@@")))
+
+
+def _register_gold(spark, sf_dir) -> DataFrame:
+    ensure_utc(spark)
+    silver = silver_ops.to_silver(_as_bronze(_register_lines(spark, sf_dir)), fixtures.master_from_tables(spark, sf_dir), stage_time=medallion.fixed_stamp())
+    return medallion.first_gold(silver, stamp=medallion.fixed_stamp())
+
+
+def q_energy_by_register(spark, sf_dir):
+    r = views.register_energy(_register_gold(spark, sf_dir))
+    return r.select("SOURCE_ID", "CHARGE_STATION_ID", "TRANSACTION_ID", "measurand", "unit", "context", F.round("first_kwh", 6).alias("first_kwh"),
+                    F.round("last_kwh", 6).alias("last_kwh"), F.round("energy_kwh", 6).alias("energy_kwh"), "n_readings", "n_resets")
+
+
+def q_energy_by_transaction(spark, sf_dir):
+    t = views.energy_by_transaction(_register_gold(spark, sf_dir))
+    return t.select("CHARGE_STATION_ID", "TRANSACTION_ID", "stops", F.round("imported_kwh", 6).alias("imported_kwh"), F.round("exported_kwh", 6).alias("exported_kwh"), "n_resets")
+
+
+def q_heartbeat_body_time(spark, sf_dir):
+    """Heartbeats with a time in their body; every third has a result with a time, every third one without."""
+    ensure_utc(spark)
+    ev = fixtures.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    eid, at = F.col("event_id"), F.date_format("ts", CREATED_FORMAT)
+    body = lambda m: F.date_format(F.col("ts") + F.expr(f"INTERVAL {m} MINUTES"), fixtures.ISO_MS)
+    ev = ev.withColumn("load", F.lit("1"))
+    calls = _reader_rows(ev, eid * 2, at, F.concat(at, F.lit(' [2,"'), eid.cast("string"), F.lit('","Heartbeat",{"timestamp":"'), body(3), F.lit('"}]@@EOM@@')))
+    answer = F.when(eid % 3 == 0, F.concat(F.lit('{"currentTime":"'), body(5), F.lit('"}'))).otherwise("{}")
+    results = _reader_rows(ev.where("event_id % 3 < 2"), eid * 2 + 1, at, F.concat(at, F.lit(' [3,"'), eid.cast("string"), F.lit('",'), answer, F.lit("]@@EOM@@")))
+    silver = silver_ops.to_silver(_as_bronze(calls.unionByName(results)), fixtures.master_from_tables(spark, sf_dir), stage_time=medallion.fixed_stamp())
+    return silver.select("SOURCE_ID", F.date_format("PAYLOAD_TIMESTAMP", TS_TEXT).alias("PAYLOAD_TIMESTAMP"), "UNIFIED_TIMESTAMP_SOURCE")
+
+
 def q_tables_from_ddl(spark, sf_dir):
     """Bronze and master tables made from DDL, filled, read by name."""
     from voltstream.sources.tables import append_table, ensure_table, read_table
@@ -380,6 +488,11 @@ QUERIES = {
     "energy_from_readings": q_energy_from_readings,
     "heartbeats_with_down": q_heartbeats_with_down,
     "views_by_name": q_views_by_name,
+    "six_views_by_name": q_six_views_by_name,
+    "views_incremental": q_views_incremental,
+    "energy_by_register": q_energy_by_register,
+    "energy_by_transaction": q_energy_by_transaction,
+    "heartbeat_body_time": q_heartbeat_body_time,
     "tables_from_ddl": q_tables_from_ddl,
 }
 
@@ -484,6 +597,48 @@ FROM sv WHERE action = 'Heartbeat' GROUP BY 1, 2""")
     o["views_by_name"] = with_events("""
 SELECT station AS CHARGE_STATION_ID, CAST(unified AS DATE) AS date, COUNT(*) AS heartbeat_count, MAX(0) AS was_down
 FROM sv WHERE action = 'Heartbeat' GROUP BY 1, 2""")
+    plain = f"""
+SELECT 'charger_heartbeats' AS view, station || '|' || CAST(unified AS DATE) AS key, CAST(COUNT(*) AS DOUBLE) AS v1, CAST(MAX(0) AS DOUBLE) AS v2
+FROM sv WHERE action = 'Heartbeat' GROUP BY station, CAST(unified AS DATE)
+UNION ALL SELECT 'charging_session_errors', manufacturer || '|' || err || '|' || vend, COUNT(*), NULL
+FROM sv WHERE action = 'StatusNotification' AND (err = 'Error' OR vend <> '0') GROUP BY manufacturer, err, vend
+UNION ALL SELECT 'charging_session_duration', txid || '|' || station || '|' || {ts_text('MIN(unified)')} || '|' || {ts_text('MAX(unified)')}, NULL, NULL
+FROM sv WHERE action = 'StopTransaction' OR (action = 'StartTransaction' AND has_res) GROUP BY txid, station
+UNION ALL SELECT 'energy_consumption_by_charger', station, 43099.0 * COUNT(*), NULL FROM sv GROUP BY station
+UNION ALL SELECT 'daily_energy_consumption', station || '|' || CAST(unified AS DATE), 43099.0 * COUNT(*), NULL FROM sv GROUP BY station, CAST(unified AS DATE)"""
+    o["views_incremental"] = with_events(plain)
+    o["six_views_by_name"] = with_events(f""",
+starts AS (SELECT tag, station, CAST(100 * k AS DOUBLE) AS meter_start, unified AS start_time, source_id FROM sv WHERE action = 'StartTransaction'),
+stops AS (SELECT eid, tag, station, CAST(100 * (k + eid % 7) AS DOUBLE) AS meter_stop, unified AS stop_time FROM sv WHERE action = 'StopTransaction'),
+units AS (SELECT p.*, s.*, row_number() OVER (PARTITION BY p.eid ORDER BY s.start_time DESC, s.source_id DESC) AS back
+          FROM stops p JOIN starts s ON p.tag = s.tag AND p.station = s.station AND s.start_time <= p.stop_time)
+{plain}
+UNION ALL SELECT 'ev_transaction_units', tag || '|' || station || '|' || {ts_text('stop_time')} || '|' || {ts_text('start_time')}, meter_start, meter_stop - meter_start
+FROM units WHERE back = 1""")
+    registers = """
+WITH e AS (SELECT event_id AS eid, CAST(2 * event_id AS VARCHAR) AS source_id, 'CS-' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS station
+           FROM events JOIN customer ON c_custkey = user_id JOIN nation ON c_nationkey = n_nationkey),
+r AS (SELECT *, range AS r FROM e, range(4)),
+v AS (SELECT *, CASE WHEN eid % 4 = 0 AND r >= 2 THEN 30 + eid % 7 * 100 * (r - 2) ELSE eid % 50 * 1000 + eid % 7 * 100 * r END AS wh FROM r),
+s AS (SELECT eid, source_id, station, r, 'Energy.Active.Import.Register' AS measurand, 'Wh' AS unit, 'Sample.Periodic' AS context, wh / 1000.0 AS kwh FROM v
+      UNION ALL SELECT eid, source_id, station, r, 'Energy.Active.Export.Register', 'kWh', NULL, 2.0 * r FROM v
+      UNION ALL SELECT eid, source_id, station, r, 'Energy.Active.Import.Register', 'Wh', NULL, eid % 9 * r / 1000.0 FROM v),
+g AS (SELECT *, lag(kwh) OVER (PARTITION BY eid, measurand, unit, context ORDER BY r) AS was FROM s),
+t AS (SELECT source_id AS SOURCE_ID, station AS CHARGE_STATION_ID, CAST(eid AS INTEGER) AS TRANSACTION_ID, measurand, unit, context,
+             CAST(round(arg_min(kwh, r), 6) AS DOUBLE) AS first_kwh, CAST(round(arg_max(kwh, r), 6) AS DOUBLE) AS last_kwh,
+             CAST(round(SUM(CASE WHEN was IS NULL THEN 0 WHEN kwh < was THEN kwh ELSE kwh - was END), 6) AS DOUBLE) AS energy_kwh,
+             CAST(COUNT(*) AS INTEGER) AS n_readings, CAST(COUNT(*) FILTER (WHERE kwh < was) AS INTEGER) AS n_resets
+      FROM g GROUP BY eid, source_id, station, measurand, unit, context)"""
+    o["energy_by_register"] = registers + "\nSELECT * FROM t"
+    o["energy_by_transaction"] = registers + """
+SELECT CHARGE_STATION_ID, TRANSACTION_ID, COUNT(DISTINCT SOURCE_ID) AS stops,
+       CAST(round(SUM(energy_kwh) FILTER (WHERE measurand LIKE '%Import%'), 6) AS DOUBLE) AS imported_kwh,
+       CAST(round(SUM(energy_kwh) FILTER (WHERE measurand LIKE '%Export%'), 6) AS DOUBLE) AS exported_kwh, CAST(SUM(n_resets) AS BIGINT) AS n_resets
+FROM t GROUP BY 1, 2"""
+    o["heartbeat_body_time"] = f"""
+SELECT CAST(2 * event_id AS VARCHAR) AS SOURCE_ID, {ts_text("date_trunc('millisecond', ts) + to_minutes(CASE WHEN event_id % 3 = 0 THEN 5 ELSE 3 END)")} AS PAYLOAD_TIMESTAMP,
+       'payload' AS UNIFIED_TIMESTAMP_SOURCE
+FROM events JOIN customer ON c_custkey = user_id JOIN nation ON c_nationkey = n_nationkey"""
     o["tables_from_ddl"] = with_events("""
 SELECT 'bronze' AS name, (SELECT COUNT(*) FROM ev) + (SELECT COUNT(*) FROM ev WHERE has_res) AS n, CAST(11 AS BIGINT) AS n_columns
 UNION ALL SELECT 'master', (SELECT 2 * COUNT(*) FROM st), CAST(22 AS BIGINT)""")

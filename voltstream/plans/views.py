@@ -187,8 +187,76 @@ def energy_from_readings(gold: DataFrame) -> DataFrame:
         F.max("value").alias("highest_reading"), F.sum("value").alias("total_reading"))
 
 
-#: the linear views as SQL over a gold table (``ev_transaction_units`` is a DataFrame plan, see ``register_views``)
+#: an energy register's default measurand and unit where a sample names none, and the units that are energy (in kWh)
+ENERGY_MEASURAND, ENERGY_UNIT = "Energy.Active.Import.Register", "Wh"
+UNIT_KWH = {"Wh": 0.001, "kWh": 1.0}
+
+
+def register_energy(gold: DataFrame) -> DataFrame:
+    """Energy by meter register and transaction: what a register gained over a stop's readings, in kWh.
+
+    One row per stop (SOURCE_ID), measurand, unit and context, over its readings in time order: ``first_kwh``,
+    ``last_kwh``, ``energy_kwh`` (the sum of gains; a value below the one before is a register that started over, and
+    counts from zero), ``n_readings``, ``n_resets``. Only energy registers (units Wh and kWh, the protocol's defaults
+    where a sample names none). A group is the readings of one message.
+    """
+    samples = meter_readings(gold).select(
+        "SOURCE_ID", "CHARGE_STATION_ID", "TRANSACTION_ID", F.coalesce("measurand", F.lit(ENERGY_MEASURAND)).alias("measurand"),
+        F.coalesce("unit", F.when(F.coalesce("measurand", F.lit(ENERGY_MEASURAND)).startswith("Energy."), ENERGY_UNIT)).alias("unit"), "context",
+        "reading_time", "reading_no", "sample_no", "value")
+    factor = F.lit(None).cast("double")
+    for unit, kwh in UNIT_KWH.items():
+        factor = F.when(F.col("unit") == unit, kwh).otherwise(factor)
+    energy = samples.withColumn("kwh", F.col("value") * factor).filter(F.col("kwh").isNotNull() & F.col("measurand").endswith(".Register"))
+    by = ["SOURCE_ID", "CHARGE_STATION_ID", "TRANSACTION_ID", "measurand", "unit", "context"]
+    rows = energy.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("reading_time", "reading_no", "sample_no", "kwh"))).alias("r"))
+    values = F.transform("r", lambda x: x["kwh"])
+    before = F.concat(F.array(values[0]), F.slice(values, 1, F.size(values) - 1))
+    gains = F.zip_with(values, before, lambda v, b: F.when(v >= b, v - b).otherwise(v))
+    resets = F.size(F.filter(F.zip_with(values, before, lambda v, b: v < b), lambda x: x))
+    return rows.select(*by, values[0].alias("first_kwh"), F.element_at(values, -1).alias("last_kwh"),
+                       F.aggregate(gains, F.lit(0.0), lambda a, x: a + x).alias("energy_kwh"), F.size(values).alias("n_readings"), resets.alias("n_resets"))
+
+
+def energy_by_transaction(gold: DataFrame) -> DataFrame:
+    """kWh imported and exported per transaction, from its active energy registers (contexts and units put together)."""
+    direction = lambda d: F.sum(F.when(F.col("measurand") == f"Energy.Active.{d}.Register", F.col("energy_kwh")))
+    return register_energy(gold).filter(F.col("TRANSACTION_ID").isNotNull()).groupBy("CHARGE_STATION_ID", "TRANSACTION_ID").agg(
+        F.count_distinct("SOURCE_ID").alias("stops"), direction("Import").alias("imported_kwh"), direction("Export").alias("exported_kwh"), F.sum("n_resets").alias("n_resets"))
+
+
+#: the six views as SQL over a gold table; ``ev_transaction_units`` is the as-of pairing of ``operators.asof`` in SQL
 VIEW_SQL = {
+    "ev_transaction_units": """
+WITH parts AS (
+  SELECT ID_TAG, CHARGE_STATION_ID, UNIFIED_TIMESTAMP AS t, OCPP_ACTION = 'StopTransaction' AS is_stop, METER_STOP,
+         CASE WHEN OCPP_ACTION = 'StartTransaction' THEN STRUCT(METER_START, UNIFIED_TIMESTAMP AS start_time) END AS start,
+         CASE WHEN OCPP_ACTION = 'StartTransaction' THEN SOURCE_ID END AS start_id, FLOOR(UNIX_MICROS(UNIFIED_TIMESTAMP) / 3600000000) AS hour
+  FROM {gold}
+  WHERE OCPP_ACTION IN ('StartTransaction', 'StopTransaction') AND ID_TAG IS NOT NULL AND CHARGE_STATION_ID IS NOT NULL AND UNIFIED_TIMESTAMP IS NOT NULL
+),
+scanned AS (
+  SELECT *, LAST(start, TRUE) OVER (PARTITION BY ID_TAG, CHARGE_STATION_ID, hour ORDER BY t, is_stop, start_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS within,
+         LAST(start, TRUE) OVER (PARTITION BY ID_TAG, CHARGE_STATION_ID, hour ORDER BY t, is_stop, start_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_of_hour
+  FROM parts
+),
+hours AS (
+  SELECT ID_TAG, CHARGE_STATION_ID, hour, FIRST(last_of_hour, TRUE) AS last_of_hour, BOOL_OR(is_stop) AS has_stop
+  FROM scanned GROUP BY ID_TAG, CHARGE_STATION_ID, hour
+),
+carried AS (
+  SELECT ID_TAG, CHARGE_STATION_ID, hour, has_stop,
+         LAST(last_of_hour, TRUE) OVER (PARTITION BY ID_TAG, CHARGE_STATION_ID ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS carry
+  FROM hours
+),
+paired AS (
+  SELECT s.ID_TAG, s.CHARGE_STATION_ID, s.METER_STOP, s.t, COALESCE(s.within, c.carry) AS start
+  FROM scanned s JOIN carried c ON s.ID_TAG = c.ID_TAG AND s.CHARGE_STATION_ID = c.CHARGE_STATION_ID AND s.hour = c.hour
+  WHERE s.is_stop AND c.has_stop
+)
+SELECT ID_TAG, CHARGE_STATION_ID, start.METER_START AS METER_START, METER_STOP, METER_STOP - start.METER_START AS units_consumed,
+       start.start_time AS start_time, t AS stop_time
+FROM paired WHERE start IS NOT NULL""",
     "charger_heartbeats": f"""
 SELECT CHARGE_STATION_ID, DATE(UNIFIED_TIMESTAMP) AS date, COUNT(*) AS heartbeat_count,
        MAX(CASE WHEN STATUS = '{DOWN_STATUS}' THEN 1 ELSE 0 END) AS was_down
@@ -210,7 +278,7 @@ FROM {gold} GROUP BY CHARGE_STATION_ID, DATE(UNIFIED_TIMESTAMP)""",
 
 
 def create_views(spark: SparkSession, gold_table: str, suffix: str = "") -> list[str]:
-    """``CREATE OR REPLACE VIEW`` for the linear views over a catalog table; they outlive the DataFrames (and, with a
+    """``CREATE OR REPLACE VIEW`` for the six views over a catalog table; they outlive the DataFrames (and, with a
     persistent catalog, the session) and are queried by name."""
     for name, sql in VIEW_SQL.items():
         spark.sql(f"CREATE OR REPLACE VIEW {name}{suffix} AS {sql.format(gold=gold_table)}")
