@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from voltstream.llm.common import Words, ranges, worker_memo
 
 #: Entries of a generation of a worker's memo (about 200 bytes each); it holds two.
-GENERATION = 250_000
+GENERATION = 120_000
 
 # A word of ASCII signs and Latin-1 letters without the apostrophe normalises to lower case, and the file's split
 # pattern cuts it into these runs: letters, single digits, other signs.

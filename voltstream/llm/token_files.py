@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import filled, stage, text_slices
+from voltstream.llm.common import filled, small_batches, stage, text_slices
 from voltstream.llm.encode import WordEncoder, default_path
 from voltstream.session import run_dir
 
@@ -92,7 +92,8 @@ def write_token_files(spark: SparkSession, docs: DataFrame, folder: str, id_col:
         if out:
             yield pa.RecordBatch.from_pydict({"shard": [shard], "name": [name], "id_type": [id_type], "n_docs": [n_docs], "n_ids": [n_ids]})
 
-    written = stage(spark, rows.mapInArrow(write, "shard long, name string, id_type string, n_docs long, n_ids long"), "token-shards")
+    with small_batches(spark, 2500):
+        written = stage(spark, rows.mapInArrow(write, "shard long, name string, id_type string, n_docs long, n_ids long"), "token-shards")
     # one row per partition: small whatever the corpus
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     based = written.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long"))
