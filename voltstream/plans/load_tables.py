@@ -159,13 +159,12 @@ def read(spark: SparkSession, tables: LoadTables, table: str, days: list[str] |
             parts.append(spark.read.schema(ddl).option("basePath", base).parquet(*paths))
 
     base = tables.closed(table)
-    if buckets is not None:
-        if done:
-            add(base, [f"{base}/{BUCKET}={b}" for b in buckets])
-            if parts:
-                parts[0] = parts[0].filter(F.col(DAY).isin([_dt.date.fromisoformat(d) for d in done]))
-    else:
-        add(base, [f"{base}/{DAY}={d}" for d in done if days is None or d in days])
+    wanted = [d for d in done if days is None or d in days]
+    if _CLOSED_LAYOUT[table][0] == DAY:
+        add(base, [f"{base}/{DAY}={d}" for d in wanted])
+    elif wanted:
+        add(base, [base] if buckets is None else [f"{base}/{BUCKET}={b}" for b in buckets])
+        parts = [p.filter(F.col(DAY).isin([_dt.date.fromisoformat(d) for d in wanted])) for p in parts]
     base = tables.open(table)
     if loads is not None:
         add(base, [tables.open(table, d, n) for d, n in loads if d not in done])
