@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from voltstream.llm.common import Words, ranges, worker_memo
 
 #: Entries of a generation of a worker's memo (about 200 bytes each); it holds two.
-GENERATION = 120_000
+GENERATION = 250_000
 
 # A word of ASCII signs and Latin-1 letters without the apostrophe normalises to lower case, and the file's split
 # pattern cuts it into these runs: letters, single digits, other signs.
@@ -39,19 +39,23 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        self.memo = worker_memo(f"ids {path}")
+        if "lib" not in self.memo:  # once per worker process, not per task
+            self.memo |= {"lib": self._load(path), "new": {}, "old": {}}
+        #: The tokenizer, the numbers of its ids (16 bits where the vocabulary fits), and which ids end a word.
+        self.lib, self.dtype, self.ends = self.memo["lib"]
+        self.size = len(self.ends)
+
+    @staticmethod
+    def _load(path: str) -> tuple:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.lib = Tokenizer.from_file(path)
-        self.size = self.lib.get_vocab_size(with_added_tokens=True)
-        #: Numbers of the ids: 16 bits where the vocabulary fits.
-        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        #: Ids that end a word.
-        self.ends = np.zeros(self.size, bool)
-        self.ends[[i for token, i in self.lib.get_vocab(with_added_tokens=True).items() if token.endswith(_END)]] = True
-        self.memo = worker_memo(f"ids {path}")
-        self.memo.setdefault("new", {})
-        self.memo.setdefault("old", {})
+        lib = Tokenizer.from_file(path)
+        vocabulary = lib.get_vocab(with_added_tokens=True)
+        ends = np.zeros(lib.get_vocab_size(with_added_tokens=True), bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(_END)]] = True
+        return lib, np.dtype("<u2" if len(ends) <= 1 << 16 else "<u4"), ends
 
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, self.dtype).tobytes()
