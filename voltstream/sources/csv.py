@@ -124,7 +124,9 @@ def read_csv_by_header(spark: SparkSession, path: str | list[str], ddl: str, opt
     groups = file_headers(spark, path)
     opts = {**options, "columnNameOfCorruptRecord": WHOLE_ROW}
     parts = []
-    for header, files in groups.items() or [((), None)]:
+    if not groups:  # files without any line
+        return spark.createDataFrame([], schemas.ddl(ddl) + (", source_file STRING, file_time TIMESTAMP" if with_file else ""))
+    for header, files in groups.items():
         columns = ", ".join([*(f"c{i} STRING" for i in range(len(header))), f"{WHOLE_ROW} STRING"])
         raw = spark.read.options(**opts).schema(columns).csv(path if len(groups) < 2 else [escaped(f) for f in files])
         of_file = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("file_time")] if with_file else []
