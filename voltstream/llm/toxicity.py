@@ -30,15 +30,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltstream.llm.common import Words, filled, ranges, text_slices
 
-WIDTH, STRIDE = 32, 24
+#: Words of a window; training windows begin every STRIDE words. Chosen with TELLING on folds of training rows (README).
+WIDTH, STRIDE = 16, 12
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION, CHAR_ROWS = 8, 12, 8, 8, 1 << 15
 BEGINNINGS = range(3, 9)
-TELLING, LEAST_DOCS = 4.5, 5
+TELLING, LEAST_DOCS = 2.5, 5
 THRESHOLD = 0.3
 _EDGES = " \t.,;:!?\"'()[]{}<>*_~`#$%&|/\\-"
 
@@ -47,8 +49,12 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-x))
 
 
-def _normal(word: str) -> str:
-    return word.strip(_EDGES).lower()
+def _normal(words: pa.Array) -> tuple[list[str], np.ndarray]:
+    """The different normal forms of words (no signs at the edges, lower case), and each word's."""
+    coded = pc.utf8_lower(pc.utf8_trim(words, characters=_EDGES)).dictionary_encode()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
 
 
 def _pieces(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -80,8 +86,8 @@ class Texts:
 
     def __init__(self, texts: pa.Array, vocabulary: dict[str, int], known: np.ndarray | None = None):
         words = Words(texts)
-        normal = [_normal(w) for w in words.unique]
-        self.code, self.words = words.code, normal
+        normal, form = _normal(words.dictionary)
+        self.code, self.words = form[words.code], normal
         self.word = np.fromiter((vocabulary.get(w, 0) for w in normal), np.int64, len(normal))
         self.pieces = [(rows if known is None else known[rows], at) for rows, at in _pieces(normal)]
         self.word_start = words.start
@@ -157,30 +163,45 @@ class Network:
     def start_scores(self, texts: Texts, batch: int = 1024) -> np.ndarray:
         """The score of the window of WIDTH words from each position on, over the words of all texts in a row.
 
-        Neighbouring windows share their inputs, so a step's are a stretch of the positions'; states are held
-        with one row per unit.
+        Neighbouring windows share their inputs, so a step's are a stretch of the positions'; states are held with one
+        row per unit, and both directions take a step at a time in the same buffers. A sigmoid is half of one and
+        the hyperbolic tangent of half its argument, so its weights are halved first.
         """
-        x = self.inputs(texts)
-        gates = {way: np.ascontiguousarray((x @ self.p[f"w{way}"] + self.p[f"c{way}"]).T) for way in "fb"}
-        u, a = {way: np.ascontiguousarray(self.p[f"u{way}"].T) for way in "fb"}, np.ascontiguousarray(self.p["a"].T)
+        x, two = self.inputs(texts), 2 * HIDDEN
+        half = np.repeat(np.float32([0.5, 1]), [two, HIDDEN])
+        gates = np.concatenate([(x @ self.p[f"w{way}"] + self.p[f"c{way}"]) * half for way in "fb"], axis=1)
+        u = [np.ascontiguousarray((self.p[f"u{way}"] * half).T) for way in "fb"]
+        a = np.ascontiguousarray(self.p["a"].T)
         out = np.empty(max(0, len(texts.code) - WIDTH + 1), np.float32)
         for begin in range(0, len(out), batch):
             n = min(batch, len(out) - begin)
-            code = texts.code[begin:begin + n + WIDTH - 1]
-            states = np.empty((WIDTH, 2 * HIDDEN, n), np.float32)
-            for way, steps, side in (("f", range(WIDTH), slice(0, HIDDEN)), ("b", range(WIDTH - 1, -1, -1), slice(HIDDEN, None))):
-                h, at = np.zeros((HIDDEN, n), np.float32), gates[way][:, code]
-                for t in steps:
-                    g, hu = at[:, t:t + n], u[way] @ h
-                    zr = _sigmoid(g[:2 * HIDDEN] + hu[:2 * HIDDEN])
-                    new = np.tanh(g[2 * HIDDEN:] + zr[HIDDEN:] * hu[2 * HIDDEN:])
-                    h = new + zr[:HIDDEN] * (h - new)
-                    states[t, side] = h
-            e = np.stack([self.p["v"] @ np.tanh(a @ states[t] + self.p["a0"][:, None]) for t in range(WIDTH)])
-            weight = np.exp(e - e.max(axis=0))
-            weight /= weight.sum(axis=0)
+            at = np.ascontiguousarray(gates[texts.code[begin:begin + n + WIDTH - 1]].T)
+            states, h, g = np.empty((WIDTH, two, n), np.float32), np.zeros((2, HIDDEN, n), np.float32), np.empty((2, 3 * HIDDEN, n), np.float32)
+            zr, q = g[:, :two], g[:, two:]
+            for t in range(WIDTH):
+                back = WIDTH - 1 - t
+                for way, x_t in enumerate((at[:3 * HIDDEN, t:t + n], at[3 * HIDDEN:, back:back + n])):
+                    np.matmul(u[way], h[way], out=g[way])
+                    zr[way] += x_t[:two]
+                np.tanh(zr, out=zr)
+                zr *= np.float32(0.5)
+                zr += np.float32(0.5)
+                q *= zr[:, HIDDEN:]
+                q[0] += at[two:3 * HIDDEN, t:t + n]
+                q[1] += at[3 * HIDDEN + two:, back:back + n]
+                np.tanh(q, out=q)
+                h -= q
+                h *= zr[:, :HIDDEN]
+                h += q
+                states[t, :HIDDEN], states[back, HIDDEN:] = h[0], h[1]
+            k = np.matmul(a, states)
+            k += self.p["a0"][:, None]
+            e = np.matmul(self.p["v"], np.tanh(k, out=k))
+            e -= e.max(axis=0)
+            weight = np.exp(e, out=e)
             # the pooled vector enters one sum only, so states are reduced to it first
-            out[begin:begin + n] = _sigmoid((weight * np.stack([self.p["o"] @ states[t] for t in range(WIDTH)])).sum(axis=0) + self.p["o0"])
+            pooled = (weight * np.matmul(self.p["o"], states)).sum(axis=0) / weight.sum(axis=0)
+            out[begin:begin + n] = _sigmoid(pooled + self.p["o0"])
         return out
 
     def evidence(self, found: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -282,33 +303,53 @@ class Network:
         return grad, float(loss)
 
 
-def _telling(doc: np.ndarray, feature: np.ndarray, label: np.ndarray, n: int) -> np.ndarray:
-    """For each of n features, by how many standard deviations its documents have label 1 more often than usual."""
-    seen = np.unique(doc * n + feature)
-    doc, feature = seen // n, seen % n
-    total, ones, rate = np.bincount(feature, minlength=n), np.bincount(feature, weights=label[doc], minlength=n), label.mean()
-    z = (ones - total * rate) / np.sqrt(np.maximum(total, 1) * rate * (1 - rate))
-    return np.where(total >= LEAST_DOCS, z, 0.0)
+class _Telling:
+    """For each of n features, by how many standard deviations its documents have label 1 more often than usual.
+
+    Fed block by block of documents, so that only a block's features are held at once.
+    """
+
+    def __init__(self, n: int, label: np.ndarray):
+        self.n, self.label, self.total, self.ones = n, label, np.zeros(n), np.zeros(n)
+
+    def feed(self, doc: np.ndarray, feature: np.ndarray) -> None:
+        seen = np.unique(doc * self.n + feature)
+        doc, feature = seen // self.n, seen % self.n
+        self.total += np.bincount(feature, minlength=self.n)
+        self.ones += np.bincount(feature, weights=self.label[doc], minlength=self.n)
+
+    def values(self) -> np.ndarray:
+        """NaN for features in fewer than LEAST_DOCS documents."""
+        rate = self.label.mean()
+        z = (self.ones - self.total * rate) / np.sqrt(np.maximum(self.total, 1) * rate * (1 - rate))
+        return np.where(self.total >= LEAST_DOCS, z, np.nan)
 
 
 def _features(sample: Texts, n_docs: np.ndarray, label: np.ndarray) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
     """The telling words, the telling rows of the character table (numbered from 1), and how telling each distinct word is."""
-    number = {w: i for i, w in enumerate(dict.fromkeys(sample.words))}
-    word = np.fromiter((number[w] for w in sample.words), np.int64, len(sample.words))
-    doc = np.repeat(np.arange(len(n_docs)), n_docs)
-    by_word = _telling(doc, word[sample.code], label, len(number))
-    vocabulary = {w: 0 for w, i in number.items() if w and abs(by_word[i]) >= TELLING}
-    by_piece = np.zeros(CHAR_ROWS)
-    best = by_word[word]
-    for rows, at in sample.pieces:
-        size = np.diff(at)[sample.code]
-        z = _telling(np.repeat(doc, size), rows[ranges(at[:-1][sample.code], size)], label, CHAR_ROWS)
-        by_piece = np.where(np.abs(z) > np.abs(by_piece), z, by_piece)
-        best = np.maximum(best, np.maximum.reduceat(z[rows], at[:-1]))
+    words = _Telling(len(sample.words), label)
+    kinds = [_Telling(CHAR_ROWS, label) for _ in sample.pieces]
+    start = np.concatenate([[0], np.cumsum(n_docs)])
+    for k in range(0, len(n_docs), 64):
+        end = min(k + 64, len(n_docs))
+        code = sample.code[start[k]:start[end]]
+        pair = np.unique(np.repeat(np.arange(k, end), n_docs[k:end]) * len(sample.words) + code)
+        doc, code = pair // len(sample.words), pair % len(sample.words)
+        words.feed(doc, code)
+        for kind, (rows, at) in zip(kinds, sample.pieces):
+            size = np.diff(at)[code]
+            kind.feed(np.repeat(doc, size), rows[ranges(at[:-1][code], size)])
+    by_word = words.values()
+    vocabulary = sorted(w for w, z in zip(sample.words, by_word) if w and abs(z) >= TELLING)
+    best, by_piece = np.nan_to_num(by_word), np.full(CHAR_ROWS, np.nan)
+    for kind, (rows, at) in zip(kinds, sample.pieces):
+        z = kind.values()
+        by_piece = np.fmax(by_piece, np.abs(z))
+        best = np.maximum(best, np.maximum.reduceat(np.nan_to_num(z[rows]), at[:-1]))
     known = np.zeros(CHAR_ROWS, np.int64)
-    often = np.flatnonzero(np.abs(by_piece) >= TELLING)
+    often = np.flatnonzero(by_piece >= TELLING)
     known[often] = 1 + np.arange(len(often))
-    return {w: i + 1 for i, w in enumerate(sorted(vocabulary))}, known, best
+    return {w: i + 1 for i, w in enumerate(vocabulary)}, known, best
 
 
 def _highest(texts: Texts, value: np.ndarray) -> np.ndarray:
