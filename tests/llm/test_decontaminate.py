@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from voltstream.llm import decontaminate
@@ -15,10 +17,13 @@ def run(spark, texts, items=(ITEM,), **options):
 
 def test_reparameterised_and_plain_copies(spark):
     other = ITEM.replace("Tom", "Bob").replace("Anna", "Eve").replace("12", "45").replace(" 3 kg", " 7 lb").replace(" 5 ", " 6 ")
-    mixed_up = ITEM.replace("How many days can Tom", "How many days can Bob")  # Tom is Tom and Bob
+    mixed_up = ITEM.replace("How many days can Tom", "How many days can Bob")  # 20 of 25 windows are the item's word for word
+    muddled = other.replace("How many days can Bob", "How many days can Jim").replace("if Bob", "if Sam")  # Tom is Bob, Jim and Sam
     noise = "completely different words about nothing in particular, going on and on without any end in sight"
-    texts = [ITEM, f"{noise} {ITEM} {noise}", f"{noise} {other} {noise}", mixed_up, ITEM.lower(), noise, "", None, " ".join(ITEM.split()[:12]), f"Indeed {ITEM}"]
-    assert set(run(spark, texts)) == {(0, 0), (1, 0), (2, 0), (4, 0), (9, 0)}
+    texts = [ITEM, f"{noise} {ITEM} {noise}", f"{noise} {other} {noise}", mixed_up, ITEM.lower(), noise, "", None, " ".join(ITEM.split()[:12]), f"Indeed {ITEM}", muddled]
+    found = run(spark, texts)
+    assert set(found) == {(0, 0), (1, 0), (2, 0), (3, 0), (4, 0), (9, 0)} and found[3, 0] == 0.8
+    assert run(spark, [mixed_up.replace("apples", "plums", 1)]) == {}  # 16 of 25
 
 
 def test_equal_numbers_may_be_independent(spark):
@@ -29,7 +34,20 @@ def test_equal_numbers_may_be_independent(spark):
 
 def test_numbers_units_and_short_items(spark):
     items = ["12 km", "", "x y z w", ITEM]
-    assert set(run(spark, ["12 km", "it is 12 km from here to there", "99 km", "x y z w", "X y z w.", "x y z w v", ITEM], items)) == {(0, 0), (2, 0), (3, 2), (4, 2), (6, 3)}
+    texts = ["12 km", "it is 12 km from here to there", "99 km", "x y z w", "X y z w.", "x y z w v", ITEM, "it is 99 km from here to there", "w z y x and x y z", "so x, y z w!"]
+    assert set(run(spark, texts, items)) == {(0, 0), (1, 0), (2, 0), (3, 2), (4, 2), (5, 2), (6, 3), (9, 2)}
+
+
+def test_lists_of_numbers_match_by_value(spark):
+    """Very long texts of numbers alone against items of numbers: held only where the numbers are, and nothing grows with the square."""
+    rnd = random.Random(4)
+    numbers = [str(rnd.randint(0, 10 ** 6)) for _ in range(10_000)]
+    items = [" ".join(numbers[500:530]), " ".join(str(i) for i in range(40)), "7 " * 12]
+    texts = [" ".join(numbers), " ".join(numbers[:510] + numbers[520:]), " ".join(reversed(numbers)), "7 " * 3000, " ".join(map(str, range(1000, 3000)))]
+    windows = lambda t: [tuple(w) for w in zip(*(t.split()[k:] for k in range(5)))]
+    own = [set(windows(t)) for t in texts]
+    want = {(d, i) for d in range(len(texts)) for i, x in enumerate(items) if sum(w in own[d] for w in windows(x)) >= 0.8 * len(windows(x))}
+    assert set(run(spark, texts, items)) == want == {(0, 0), (3, 2)}
 
 
 def brute(docs, items):
