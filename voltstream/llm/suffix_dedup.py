@@ -7,17 +7,18 @@ A suffix array over the corpus would hold a row for each byte. Here only *anchor
    strings share anchors: there is about one for every 35 bytes. The strings of one anchor occurrence form a
    stretch: offsets lo .. hi from string start to anchor, bytes anchor - hi .. anchor - lo + LENGTH.
 2. Anchors seen once are done (counted with map-side sums); only stretches with a repeated anchor go on.
-3. Tasks collapse their own equal stretches (128-bit digests of their bytes): all but the first are removed whole, so
-   copies never pile up on one key. The rest meets by anchor.
-4. Anchors with up to ``GROUP`` stretches go to hash-compared suffix sorting: prefix polynomial hashes give a
+3. Tasks collapse their own equal stretches (128-bit digests of their bytes): all but the first are removed whole. The
+   rest meets by anchor without its bytes: in order of digest and place the first of each digest stays, the others
+   are removed whole, over all tasks. Anchors with one digest left are done.
+4. Only the first stretches of anchors that have several go on with their bytes. Anchors with up to ``GROUP`` of them
+   go to hash-compared suffix sorting: prefix polynomial hashes give a
    substring's hash in O(1), binary search on them the common extension of two suffixes, so a comparison takes
    O(log LENGTH) in a mergesort of the anchored suffixes. The LCP array gives the right extension of any two of a
    group, a hash search the left one, both the strings that they share; the later one's go. Matches are verified on
    the bytes; after a collision the extensions are measured on the bytes.
-5. Anchors with more stretches (a passage pasted in very many contexts) are collapsed by digest over all tasks, then
-   dealt anew by content: offsets are cut into quarters, and a stretch's quarter is keyed by the bytes that all strings
-   of that quarter contain. Quarters with a key of their own share nothing, groups that are small by now go to 4,
-   others are collapsed and cut again, 4 times at most; a single offset's key is the string itself.
+5. Anchors with more different stretches (a passage pasted in very many contexts) are dealt anew by content: offsets are
+   cut into quarters, and a stretch's quarter is keyed by the bytes that all strings of that quarter contain. Quarters
+   take steps 3 and 4 again, 4 times at most; a single offset's key is the string itself.
 6. Removed ranges are joined to the documents by document.
 
 Up to ``AMONG`` repeated anchors (4 bytes of each) are sent to the tasks that cut out stretches; with more of them
@@ -47,8 +48,10 @@ PIECE = 1 << 18
 CHUNK = 1 << 14
 #: Repeated anchors that are sent to every task (4 bytes of each; another anchor with these 4 bytes does no harm).
 AMONG = 4 << 20
-#: Stretches of an anchor that are compared within a task.
+#: Different stretches of an anchor that are compared within a task.
 GROUP = 256
+#: Digests that a task remembers for collapsing.
+SEEN = 1 << 16
 
 _BASE = 0x5DEECE66D2B79F91
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -183,13 +186,19 @@ def _merged_ranges(ord_: list[int], begin: list[int], end: list[int]) -> tuple[n
     return o[new], b[new], reach[last]
 
 
-def _collapsed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Stretches (key, ord, p, lo, hi, body); of equal ones the first, the others' ranges as rows with a NULL key."""
+def _collapsed(rows: list[tuple], seen: dict[bytes, tuple]) -> Iterator[pa.RecordBatch]:
+    """Stretches (key, ord, p, lo, hi, body); of equal ones the first, the others' ranges as rows with a NULL key.
+
+    ``seen``: where the task had a digest first, kept from call to call.
+    """
     best: dict[bytes, int] = {}
     digests, gone = [], []
     for i, (_, ord_, p, lo, hi, body) in enumerate(rows):
         d = _digest(body, lo, hi)
         digests.append(d)
+        if d in seen and seen[d] < (ord_, p):
+            gone.append(i)
+            continue
         j = best.setdefault(d, i)
         if j != i:
             if (ord_, p) < rows[j][1:3]:
@@ -197,6 +206,10 @@ def _collapsed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
                 gone.append(j)
             else:
                 gone.append(i)
+    if len(seen) + len(best) > SEEN:
+        seen.clear()
+    for d, i in best.items():
+        seen[d] = rows[i][1:3]
     at = sorted(best.values())
     if at:
         column = lambda k, kind: pa.array([rows[i][k] for i in at], kind)
@@ -216,6 +229,7 @@ def _cut(docs: DataFrame, among: np.ndarray) -> DataFrame:
     """The stretches with an anchor whose upper 4 bytes are in ``among`` (sorted)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, tuple] = {}
         for part in text_slices(batches, "text", 2 << 20):
             ords, rows = part.column("ord").to_numpy(), []
             for text, key, p, lo, hi, first, data in _found(filled(part, "text")) if len(among) else ():
@@ -224,7 +238,7 @@ def _cut(docs: DataFrame, among: np.ndarray) -> DataFrame:
                 last = first + hi - lo + LENGTH
                 for k, o, x, a, b, f, e in zip(*(v[hit].tolist() for v in (key.view(np.int64), ords[text], p, lo, hi, first, last))):
                     rows.append((k, o, x, a, b, data[f:e].tobytes()))
-            yield from _collapsed(rows)
+            yield from _collapsed(rows, seen)
 
     return docs.select("ord", "text").mapInArrow(run, _STRETCH)
 
@@ -241,12 +255,13 @@ def _cut_joined(docs: DataFrame, repeated: DataFrame) -> DataFrame:
                     ["key", "ord", "p", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, tuple] = {}
         for part in text_slices(batches, "text"):
             rows = []
             for o, text, places in zip(*(part.column(c).to_pylist() for c in ("ord", "text", "places"))):
                 data = (text or "").encode("utf-8", "surrogatepass")
                 rows += [(x["key"], o, x["p"], x["lo"], x["hi"], data[x["p"] - x["hi"]:x["p"] - x["lo"] + LENGTH]) for x in places]
-            yield from _collapsed(rows)
+            yield from _collapsed(rows, seen)
 
     every = docs.select("ord", "text").mapInArrow(places, "key long, ord long, p long, lo int, hi int")
     wanted = every.join(repeated.select(F.col("key").alias("_key")), F.col("key") == F.col("_key"), "left_semi")
@@ -384,6 +399,7 @@ def _quarters(groups: DataFrame, cell: int) -> DataFrame:
     """Stretches within cells of ``cell`` offsets, keyed by the bytes that all strings of a cell contain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, tuple] = {}
         for batch in batches:
             rows = []
             for o, p, lo, hi, body in zip(*(batch.column(c).to_pylist() for c in ("ord", "p", "lo", "hi", "body"))):
@@ -392,41 +408,83 @@ def _quarters(groups: DataFrame, cell: int) -> DataFrame:
                     core = body[hi - c * cell:hi - ((c + 1) * cell - 1) + LENGTH]
                     key = int.from_bytes(hashlib.blake2b(core, digest_size=8, salt=bytes((c, cell))).digest(), "little", signed=True)
                     rows.append((key, o, p, a, b, body[hi - b:hi - a + LENGTH]))
-            yield from _collapsed(rows)
+            yield from _collapsed(rows, seen)
 
     return groups.select("ord", "p", "lo", "hi", "body").mapInArrow(run, _STRETCH)
 
 
-def _resolve(spark: SparkSession, cut: DataFrame, cell: int, group: int) -> list[DataFrame]:
+def _firsts(rows: DataFrame) -> DataFrame:
+    """Stretches (without bytes) with ``first``: if it is the first of its key and digest, over all tasks. Copies lose their key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            digest = batch.column("digest").cast(pa.binary(16))
+            told = np.empty((batch.num_rows, 3), np.uint64)
+            told[:, 0] = batch.column("key").to_numpy().view(np.uint64)
+            told[:, 1:] = np.frombuffer(digest.buffers()[1], np.uint64)[2 * digest.offset:2 * (digest.offset + len(digest))].reshape(-1, 2)
+            new = np.ones(len(told), bool)
+            new[1:] = (told[1:] != told[:-1]).any(axis=1)
+            new[0] = last is None or (told[0] != last).any()
+            last = told[-1].copy()
+            yield pa.RecordBatch.from_arrays([pa.array(told[:, 0].view(np.int64), mask=~new), *[batch.column(c) for c in ("ord", "p", "lo", "hi")], pa.array(new)],
+                                             ["key", "ord", "p", "lo", "hi", "first"])
+
+    dealt = rows.select("key", "digest", "ord", "p", "lo", "hi").repartition("key").sortWithinPartitions("key", "digest", "ord", "p")
+    return dealt.mapInArrow(run, "key long, ord long, p long, lo int, hi int, first boolean")
+
+
+def _upper(keys: DataFrame) -> np.ndarray:
+    """The upper 4 bytes of keys, sorted: for filters in tasks (another key with these bytes does no harm)."""
+    upper = keys.select(F.shiftrightunsigned("key", 32).alias("u")).distinct().toArrow().column("u").to_numpy()
+    return np.sort(upper.astype(np.uint32))
+
+
+def _of_keys(rows: DataFrame, keys: DataFrame, n: int, among: int) -> DataFrame:
+    """Rows with a key in ``keys(key)``, which has n: filtered in their tasks, or joined where the keys are too many."""
+    if n > among:
+        return rows.join(keys.select(F.col("key").alias("_key")), F.col("key") == F.col("_key"), "left_semi")
+    upper = _upper(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = (batch.column("key").to_numpy().view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+            yield batch.filter(pa.array(upper[np.minimum(np.searchsorted(upper, own), len(upper) - 1)] == own))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _resolve(spark: SparkSession, cut: DataFrame, cell: int, group: int, among: int) -> list[DataFrame]:
     """Removed ranges of stretches whose strings meet only under equal keys."""
     cut = stage(spark, cut, "stretches")
     whole = [F.col("ord"), (F.col("p") - F.col("hi")).alias("begin"), (F.col("p") - F.col("lo") + LENGTH).alias("end")]
-    removed = [cut.where("key is null").select(*whole)]
     rows = cut.where("key is not null")
-    large = stage(spark, rows.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("n")).where(F.col("n") > group).select("_key"), "large")
-    if large.isEmpty():
-        return [*removed, _compared(rows)]
-    of_large = F.col("key") == F.col("_key")
-    removed.append(_compared(rows.join(large, of_large, "left_anti")))
-    same = ["key", "ord", "p", "lo"]  # a stretch is told by these
-    big = rows.join(large, of_large, "left_semi")
-    firsts = stage(spark, big.groupBy("key", "digest").agg(F.min(F.struct("ord", "p", "lo")).alias("f")).select("key", "f.*"), "firsts")
-    removed.append(big.select("key", "ord", "p", "lo", "hi").join(firsts, same, "left_anti").select(*whole))
-    if cell > 1:
-        smaller = -(-cell // 4)
-        removed += _resolve(spark, _quarters(big.join(firsts, same, "left_semi"), smaller), smaller, group)
-    return removed
+    parted = stage(spark, _firsts(rows), "firsts")
+    removed = [cut.where("key is null").select(*whole), parted.where("not first").select(*whole)]
+    firsts = parted.where("first").select(F.col("key").alias("_key"), F.col("ord").alias("_ord"), F.col("p").alias("_p"), F.col("lo").alias("_lo"))
+    several = stage(spark, firsts.groupBy(F.col("_key").alias("key")).agg(F.count("*").alias("n")).where("n > 1"), "several")
+    n = several.count()
+    if not n:
+        return removed
+    same = (F.col("key") == F.col("_key")) & (F.col("ord") == F.col("_ord")) & (F.col("p") == F.col("_p")) & (F.col("lo") == F.col("_lo"))
+    different = _of_keys(rows, several, n, among).join(firsts, same, "left_semi")
+    large = several.where(F.col("n") > group).select(F.col("key").alias("_large"))
+    if cell == 1 or large.isEmpty():
+        return [*removed, _compared(different)]
+    different = stage(spark, different, "different")
+    of_large = F.col("key") == F.col("_large")
+    removed.append(_compared(different.join(large, of_large, "left_anti")))
+    smaller = -(-cell // 4)
+    return removed + _resolve(spark, _quarters(different.join(large, of_large, "left_semi"), smaller), smaller, group, among)
 
 
 def repeated_ranges(spark: SparkSession, docs: DataFrame, among: int = AMONG, group: int = GROUP) -> DataFrame:
     """(ord, begin, end) of byte ranges to remove from ``docs(ord, text)``; ``ord`` is unique and orders documents."""
     repeated = stage(spark, _anchor_counts(docs).where("n > 1").select("key"), "repeated")
-    if repeated.count() <= among:
-        upper = repeated.select(F.shiftrightunsigned("key", 32).alias("u")).distinct().toArrow().column("u").to_numpy()
-        cut = _cut(docs, np.sort(upper.astype(np.uint32)))
-    else:
-        cut = _cut_joined(docs, repeated)
-    out, *more = _resolve(spark, cut, _CELLS, group)
+    cut = _cut(docs, _upper(repeated)) if repeated.count() <= among else _cut_joined(docs, repeated)
+    out, *more = _resolve(spark, cut, _CELLS, group, among)
     for part in more:
         out = out.unionByName(part)
     return out
