@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import stage
+from voltstream.llm.common import free_name, stage
 from voltstream.llm.decontaminate import without_leaks
 from voltstream.llm.mix import mixed_documents
 from voltstream.llm.simhash import keep_one
@@ -43,14 +43,18 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the order of the mix, read back: doc_id, start, n_tokens, ids_crc32.
 
-    The order is that of the rows in docs' Parquet files (file name, row); docs that are not read from
+    The order is that of the rows in docs' Parquet files (part number, file name, row); docs that are not read from
     files are written in ascending doc_id order.
     """
+    file, row = free_name(docs, "_file"), free_name(docs, "_row")
     try:
-        placed = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    except AnalysisException:  # no file columns
-        return encode_documents(spark, docs)
-    return encode_documents(spark, placed, order=[F.col("_file"), F.col("_row")])
+        placed = docs.select("*", F.col("_metadata.file_name").alias(file), F.col("_metadata.row_index").alias(row))
+    except AnalysisException as e:
+        if not (e.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
+        return encode_documents(spark, docs)  # no file columns
+    part = F.regexp_extract(file, r"^part-(\d+)", 1).try_cast("bigint")  # as a number: names of many parts don't sort by it
+    return encode_documents(spark, placed, order=[part, F.col(file), F.col(row)])
 
 
 STAGES = [

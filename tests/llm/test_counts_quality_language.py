@@ -35,6 +35,13 @@ def test_token_counts_of_odd_tables(spark):
     assert none.collect() == [] and [tuple(r) for r in token_counts.totals_at(none, [5]).collect()] == [(5, 0, 0)] and token_counts.quantiles(none, [0.5]).collect() == []
 
 
+def test_token_counts_of_a_very_long_text(spark):
+    text = "It's 12 km, isn't it? " * 60_000
+    n = len(Tokenizer.from_file(default_path()).encode(text, add_special_tokens=False).ids)
+    hist = token_counts.length_histogram(spark.createDataFrame([(text,), ("a",)], "text string"))
+    assert sorted(r.length for r in hist.collect()) == sorted([1, n])
+
+
 def brute_forward(run, table, k):
     text = language.MARK + run
     a = [1.0] + [0.0] * len(text)

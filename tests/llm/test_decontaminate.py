@@ -77,7 +77,7 @@ def test_query_finds_the_pasted_items(spark, monkeypatch, hashes):
 
 def test_stage_keeps_clean_rows(spark):
     rows = [(1, "clean text of some words", "a"), (None, ITEM, "b"), (None, "clean too", "c"), (2, ITEM, "d"), (1, "clean text of some words", "a"), (3, None, "e"), (1, ITEM, "f")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, template string")
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, template string, _leak string")
     bench = spark.createDataFrame([(0, ITEM), (None, "clean text of some words"), (1, None)], "item_id long, text string")
     kept = without_leaks(spark, docs, bench)
     assert kept.columns == docs.columns

@@ -88,6 +88,13 @@ def test_links_have_the_components_of_all_pairs(spark):
     assert groups(lambda i: find(by[i])) == groups(lambda i: want[i])
 
 
+def test_very_long_texts_and_clashing_names(spark):
+    long = " ".join(f"w{i % 977} x{i % 1009}" for i in range(200_000))
+    docs = spark.createDataFrame([(1, long, "a"), (2, long + " end", "b"), (3, "w1 x1 w2", "c"), (0, long, "d")], "doc_id long, text string, _key string")
+    assert {r.doc_id: r.component_id for r in simhash_classes(spark, docs).collect()} == {0: 0, 1: 0, 2: 0, 3: 3}
+    assert sorted(r._key for r in keep_one(spark, docs).collect()) == ["c", "d"]
+
+
 def test_nulls_ties_and_empty(spark):
     rows = [(4, None, "a"), (2, "", "b"), (None, " \t", "c"), (7, "one two three four", "d"), (6, "ONE  two\nthree four", "e"), (7, "one two three four", "d"),
             (None, "only null ids here", "f"), (None, "only null ids here", "g"), (9, "two words", "h")]

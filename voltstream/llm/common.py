@@ -49,6 +49,14 @@ def worker_memo(name: str) -> dict:
     return home.__dict__.setdefault(name, {})
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it until ``df`` has no such column (names compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """``<id>:<hash of the text>``, 'n' for a NULL id: tells rows apart by content where ids repeat or are missing."""
     return F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("n")), F.lit(":"), F.hex(F.xxhash64(F.col(text_col).cast("string"))))

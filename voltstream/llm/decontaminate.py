@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import Words, filled, ranges, row_key, stage, text_slices
+from voltstream.llm.common import Words, filled, free_name, ranges, row_key, stage, text_slices
 
 #: Window hashes of the benchmark that are sent to every task (8 bytes each).
 FILTER_HASHES = 1 << 20
@@ -224,8 +224,9 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: st
 
 def without_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    found = stage(spark, leaks(spark, docs, benchmark, id_col, text_col, **options).select(F.col("key").alias("_leak")).distinct(), "leaks")
-    return docs.join(found, row_key(id_col, text_col) == F.col("_leak"), "left_anti")
+    leak = free_name(docs, "_leak")
+    found = stage(spark, leaks(spark, docs, benchmark, id_col, text_col, **options).select(F.col("key").alias(leak)).distinct(), "leaks")
+    return docs.join(found, row_key(id_col, text_col) == F.col(leak), "left_anti")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

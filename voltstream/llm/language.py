@@ -11,7 +11,7 @@ Scale: two maps over the documents. Counts leave tasks as sums by (language, pie
 languages rows a task; the model is that table. Runs are scored once per distinct run of a slice and kept in a
 bounded memo of the worker.
 
-Cases: NULL texts and texts without a letter are ``und`` with score 0, and so is everything if nothing was learned; NULL
+Cases: very long texts are read whole; NULL texts and texts without a letter are ``und`` with score 0, and so is everything if nothing was learned; NULL
 languages and ids are never learned from; repeated rows count and are predicted each; empty tables give empty
 results; other columns are ignored.
 """

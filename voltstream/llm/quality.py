@@ -12,7 +12,7 @@
 Scale: one map over the documents; sums of evidence by path, then by host from those (partial aggregates, so a hot
 host is summed up in its tasks); two moment sums; joins of documents with one row per path.
 
-Cases: NULL hosts and paths are groups of their own; NULL and empty texts have the evidence of an empty text; without
+Cases: very long texts are read whole; NULL hosts and paths are groups of their own; NULL and empty texts have the evidence of an empty text; without
 labels of both classes evidence is the labelled share (0.5 without labels); NULL labels and ids are not learned from;
 repeated rows count each; an empty table gives an empty result; other columns are ignored.
 """

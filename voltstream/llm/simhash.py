@@ -12,7 +12,7 @@
 4. Each shard is searched with a local tree of the same kind and gives a spanning forest of its links.
 5. Links are joined up (``common.components``); each document gets the smallest id of its component.
 
-Cases: NULL and empty texts have fingerprint 0 and link with each other; NULL ids never become a
+Cases: very long texts are read whole, one slice of a task each; NULL and empty texts have fingerprint 0 and link with each other; NULL ids never become a
 component id unless all ids of a component are NULL; repeated rows stay, one result row each; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltstream.llm.common import components, filled, local_roots, row_key, segment_sums, stage, text_slices, u64
+from voltstream.llm.common import components, filled, free_name, local_roots, row_key, segment_sums, stage, text_slices, u64
 
 #: Fingerprints the shard tree is fitted on; more only make shards more even.
 SAMPLE = 16_384
@@ -180,13 +180,14 @@ def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     found = stage(spark, simhash_classes(spark, docs, id_col, text_col, **options).select("doc_id", "text_hash", "root"), "classes")
     key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("n")), F.lit(":"), F.hex("text_hash"))  # as row_key
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("best")).select("best.*")
-    kept = stage(spark, best.select(key.alias("_kept")), "kept")
-    again = stage(spark, found.groupBy("doc_id", "text_hash").count().where("count > 1").select(key.alias("_again")), "again")
-    rows = docs.join(kept, row_key(id_col, text_col) == F.col("_kept"), "left_semi")
+    name = free_name(docs, "_key")
+    kept = stage(spark, best.select(key.alias(name)), "kept")
+    again = stage(spark, found.groupBy("doc_id", "text_hash").count().where("count > 1").select(key.alias(name)), "again")
+    rows = docs.join(kept, row_key(id_col, text_col) == F.col(name), "left_semi")
     if again.isEmpty():
         return rows
-    once = rows.join(again, row_key(id_col, text_col) == F.col("_again"), "left_anti")
-    more = rows.join(again, row_key(id_col, text_col) == F.col("_again"), "left_semi")
+    once = rows.join(again, row_key(id_col, text_col) == F.col(name), "left_anti")
+    more = rows.join(again, row_key(id_col, text_col) == F.col(name), "left_semi")
     whole = F.struct(*[F.col(c) for c in docs.columns])
     first = more.groupBy(row_key(id_col, text_col)).agg(F.min_by(whole, F.struct(F.xxhash64(whole), F.hash(whole))).alias("row"))
     return once.union(first.select("row.*"))

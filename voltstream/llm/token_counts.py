@@ -6,7 +6,7 @@ are that long or longer, what is left if texts are cut at the limit, which lengt
 are taken within blocks of ``BLOCK`` lengths and over the blocks, so no window holds more than ``BLOCK`` rows of
 lengths or one row for each block.
 
-Cases: NULL and empty texts have length 0; repeated rows count each; an empty table gives an empty histogram, totals
+Cases: very long texts are encoded whole; NULL and empty texts have length 0; repeated rows count each; an empty table gives an empty histogram, totals
 and cut totals of 0 and no quantiles; other columns are ignored.
 """
 

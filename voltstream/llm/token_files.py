@@ -15,7 +15,7 @@ to the task attempt and only attempts that Spark committed reach the manifest, s
 executor leaves at worst unlisted files. Folders are reached through ``pyarrow.fs`` (local or shared
 mounts, HDFS, S3, GCS); on a mount the files are memory-mapped.
 
-Cases: a NULL or empty text is a document of the end id alone; NULL document ids sort first and are
+Cases: a very long text is encoded whole, a slice of its own; a NULL or empty text is a document of the end id alone; NULL document ids sort first and are
 stored as the smallest int64 (read back as NULL); repeated ids stay separate documents, ordered by the
 further ``order`` columns, then by a hash of the text and the text; an empty table gives an empty manifest and no files; other
 columns are ignored.

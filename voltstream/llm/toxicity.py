@@ -18,7 +18,7 @@ labelled rows: at most ``train_docs`` documents a class, those of smallest xxhas
 Scale: scoring is a map over scan partitions (no shuffle); a word's inputs to the GRUs are computed once per
 distinct word of a slice. The model is under 2 MB.
 
-Cases: texts that are NULL, empty or have no words get the labelled share of toxic documents as score; without
+Cases: very long texts are scored whole, window by window; texts that are NULL, empty or have no words get the labelled share of toxic documents as score; without
 labels of both classes every text gets that share (0 without labels); labels with NULL values are ignored and of
 repeated ones the highest counts; NULL ids are scored and never trained on; repeated rows are scored each;
 empty tables give empty results; other columns are ignored, or passed through by ``without_toxic``.
