@@ -15,6 +15,7 @@ from voltstream import schemas
 from voltstream.operators import merge, silver
 from voltstream.operators.dedup import latest_by_key
 from voltstream.plans import fixtures
+from voltstream.session import run_dir
 
 #: which silver row survives per key: the latest load, then the latest gateway time
 SILVER_ORDER = ("STAGE_LOAD_TIMESTAMP", "INGEST_LOAD_TIMESTAMP", "SOURCE_MESSAGE_TIMESTAMP_CREATED", "CORE_MESSAGE_UNIQUE_ID")
@@ -106,12 +107,22 @@ def silver_increment(
     (``identity_key``, ``message_ids``, ``id``, the partition columns); whole
     rows are read only from the loads that hold some (a list of loads is
     collected), so for the usual load that is the load itself and the one before.
+
+    This works on any bronze DataFrame. ``plans.load_tables`` keeps frames and keys as tables, reads the touched key
+    buckets only and emits only the earlier requests whose answer changes.
     """
     key = ["identity_key", "_mid"]
     narrow = bronze.select("load", "id", "identity_key", F.explode("message_ids").alias("_mid")).filter(F.col("identity_key").isNotNull())
-    keys = narrow.filter(F.col("load") == load).select(*key).distinct()
-    partners = narrow.filter(F.col("load") != load).join(keys, key, "left_semi").select(
-        F.col("load").alias("_load"), F.col("id").alias("_id"), F.col("identity_key").alias("_station")).distinct()
+    spark, base = bronze.sparkSession, run_dir(bronze.sparkSession, "increment")
+
+    def once(df: DataFrame, name: str) -> DataFrame:
+        """Written, as several branches of the plan read it."""
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    keys = once(narrow.filter(F.col("load") == load).select(*key).distinct(), "keys")
+    partners = once(narrow.filter(F.col("load") != load).join(keys, key, "left_semi").select(
+        F.col("load").alias("_load"), F.col("id").alias("_id"), F.col("identity_key").alias("_station")).distinct(), "partners")
     loads = [r[0] for r in partners.select("_load").distinct().collect()]
     rows = bronze.filter(F.col("load") == load)
     if not loads:

@@ -18,7 +18,42 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from voltstream.streaming.ingest import foreach_batch_stream, stream_ocpp_csv
+from voltstream.plans import load_tables
+from voltstream.plans.medallion import merge_into_gold_table
+from voltstream.streaming.ingest import CsvStream, foreach_batch_stream, stream_ocpp_csv
+
+
+def _ingest(batch: DataFrame, batch_id: int, lines: CsvStream, tables: load_tables.LoadTables) -> tuple[str, str] | None:
+    """Write a micro-batch's lines as a load; (load, day), or None for an empty batch."""
+    rows, session = lines.rows(batch), batch.sparkSession
+    if rows is None:
+        return None
+    load = f"batch-{batch_id:09d}"
+    today = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d")
+    day = load_tables.day_of_load(session, tables, load) or today  # a repeated batch keeps its day
+    load_tables.close_days(session, tables, min(day, today))
+    load_tables.ingest_load(session, tables, rows, load, day)
+    return load, day
+
+
+def run_load_stream(
+    spark: SparkSession,
+    landing_glob: str,
+    bronze_path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    timeout: float | None = None,
+    max_files_per_trigger: int | None = None,
+    key_buckets: int = 64,
+) -> StreamingQuery:
+    """Stream landed OCPP CSV into the load tables at ``bronze_path``."""
+    lines = stream_ocpp_csv(spark, landing_glob, max_files_per_trigger, with_keys=False)
+    tables = load_tables.LoadTables(bronze_path, buckets=key_buckets)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _ingest(batch, batch_id, lines, tables)
+
+    return foreach_batch_stream(lines.files, checkpoint, write, available_now=available_now, timeout=timeout)
 
 
 def run_gold_stream(
@@ -36,22 +71,13 @@ def run_gold_stream(
     key_buckets: int = 64,
 ) -> StreamingQuery:
     """Stream landed OCPP CSV into the load tables at ``bronze_path`` and the gold table."""
-    from voltstream.plans import load_tables
-    from voltstream.plans.medallion import merge_into_gold_table
-
     lines = stream_ocpp_csv(spark, landing_glob, max_files_per_trigger, with_keys=False)
     tables = load_tables.LoadTables(bronze_path, buckets=key_buckets)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        rows, session = lines.rows(batch), batch.sparkSession
-        if rows is None:
-            return
-        load = f"batch-{batch_id:09d}"
-        today = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d")
-        day = load_tables.day_of_load(session, tables, load) or today  # a repeated batch keeps its day
-        load_tables.close_days(session, tables, min(day, today))
-        load_tables.ingest_load(session, tables, rows, load, day)
-        increment = load_tables.silver_of_load(session, tables, load, day, master, stage_time=stamp)
-        merge_into_gold_table(gold_path, increment, f"{stage_root}/{load}", stamp=stamp)
+        written = _ingest(batch, batch_id, lines, tables)
+        if written:
+            increment = load_tables.silver_of_load(batch.sparkSession, tables, *written, master, stage_time=stamp)
+            merge_into_gold_table(gold_path, increment, f"{stage_root}/{written[0]}", stamp=stamp)
 
     return foreach_batch_stream(lines.files, checkpoint, merge_batch, available_now=available_now, timeout=timeout)
