@@ -13,13 +13,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from voltstream.operators.bronze import PARTITIONS  # noqa: E402
-from voltstream.operators.incremental import land_increment  # noqa: E402
 from voltstream.operators.silver import to_silver  # noqa: E402
-from voltstream.plans import fixtures, medallion, views  # noqa: E402
+from voltstream.plans import fixtures, load_tables, medallion, views  # noqa: E402
 from voltstream.plans.inspect import plan_text  # noqa: E402
 from voltstream.session import local_session, run_dir  # noqa: E402
-from voltstream.streaming.ingest import append_stream, stream_ocpp_csv  # noqa: E402
 
 
 def tree(df) -> str:
@@ -46,20 +43,22 @@ def main() -> None:
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     base = run_dir(spark, "plans")
     stamp = medallion.fixed_stamp()
-    lines = fixtures.ocpp_from_events(fixtures.table(spark, sf, "events"))
-    land_increment(spark, lines, f"{base}/landing", f"{base}/marks", load_id="1")
-    append_stream(stream_ocpp_csv(spark, f"{base}/landing/load=*/dt=*/"), f"{base}/bronze", f"{base}/ckpt",
-                  partition_by=PARTITIONS)
-    bronze = spark.read.parquet(f"{base}/bronze")
-    master = fixtures.master_from_tables(spark, sf)
-    silver = to_silver(bronze, master, stage_time=stamp)
+    tables = load_tables.LoadTables(f"{base}/bronze", buckets=8)
+    load_tables.ingest_load(spark, tables, fixtures.bronze_from_events(spark, sf, ingest_time=stamp).where("id % 4 < 3"), "1", "2024-02-01")
+    load_tables.ingest_load(spark, tables, fixtures.bronze_from_events(spark, sf, ingest_time=stamp).where("id % 4 = 3"), "2", "2024-02-02")
+    bronze = load_tables.read(spark, tables, "lines")
+    fixtures.master_from_tables(spark, sf).write.parquet(f"{base}/master")
+    master = spark.read.parquet(f"{base}/master")
+    silver = load_tables.silver_of_all(spark, tables, master, stage_time=stamp)
     silver.write.parquet(f"{base}/silver")
     s = spark.read.parquet(f"{base}/silver")
     medallion.merge_into_gold_table(f"{base}/gold", s, f"{base}/stage0", stamp=stamp)
     gold = spark.read.parquet(f"{base}/gold")
     inc = s.filter(F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED") >= F.lit("2024-01-25").cast("timestamp"))
 
-    sections = [("silver: bronze (partitioned by load and frame_kind) → silver", silver),
+    sections = [("silver of all loads: stored frames → silver", silver),
+                ("silver of one load: changed calls and their results → silver", load_tables.silver_of_load(spark, tables, "2", "2024-02-02", master, stage_time=stamp)),
+                ("silver from log lines (frames parsed in the query)", to_silver(bronze, master, stage_time=stamp)),
                 ("gold first load: latest row per key", medallion.first_gold(s, stamp=stamp)),
                 ("gold MERGE: target left-anti source keys, union source",
                  medallion.merge_into_gold(gold.drop("dt"), inc, stamp=stamp))]

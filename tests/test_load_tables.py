@@ -149,6 +149,8 @@ def test_a_fold_that_died_is_not_seen(spark, tmp_base):
     load_tables.sweep(spark, died)
     assert [load_tables.read(spark, died, t).count() for t in ("lines", "frames", "keys")] == [10, 10, 10]
     assert load_tables.close_days(spark, died, "2024-02-02") == []
+    with pytest.raises(ValueError, match="closed"):
+        load_tables.ingest_load(spark, died, bronze_rows(spark, []), "late", "2024-02-01")
 
 
 def test_reasons_and_replay(spark, tmp_base):

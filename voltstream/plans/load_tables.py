@@ -113,7 +113,12 @@ def key_bucket(buckets: int) -> Column:
 
 
 def ingest_load(spark: SparkSession, tables: LoadTables, rows: DataFrame, load: str, day: str, log_tz: str | None = None) -> dict:
-    """Write a load's tables; a repeated load replaces itself. Returns the rows of lines, frames and quarantine."""
+    """Write a load's tables; a repeated load replaces itself. Returns the rows of lines and of the quarantine.
+
+    A load can't be added to a day that is folded: readers take such a day from its folded copy.
+    """
+    if day in closed_days(spark, tables):
+        raise ValueError(f"day {day} is closed; ingest load {load!r} under a later day")
     lines_ddl = TABLES["lines"]
     path = tables.open("lines", day, load)
     rows.write.mode("overwrite").parquet(path)

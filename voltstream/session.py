@@ -29,7 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Log times carry no zone; pin the session zone so parse and render agree."""
+    """Log times carry no zone; pin the session zone so parse and render agree. The setting stays on the session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
@@ -90,8 +90,8 @@ def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: i
       the size of the input: requests + results, parsed) at
       ``target_partition_bytes`` each, never below 2 × cores; AQE then
       coalesces to the advisory size and splits skewed partitions;
-    * broadcasts stay explicit (size-checked in code), so the automatic
-      threshold is left at its default.
+    * broadcasts: the log pipeline forces none, so the automatic threshold is
+      left at its default.
     """
     shuffle_parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
