@@ -11,7 +11,8 @@ doesn't see, weighted to the classes' shares among all labels.
 
 Training (driver, numpy, Adam): labels belong to documents, not windows, so the network learns from one window
 (of those that begin every ``STRIDE`` words) of each document at a time - first the one whose words are most telling by document counts, then, twice, the one
-that the network itself scores highest (with random ones of clean documents). Fitting uses a bounded sample of
+that the network itself scores highest (with random ones of clean documents). Of ``TRIES`` networks from different
+starts the one with the least loss on the documents set aside is kept (with few labels a start can go astray). Fitting uses a bounded sample of
 labelled rows: at most ``train_docs`` documents a class, those of smallest xxhash64(doc_id), with at most
 ``train_chars`` characters. Scoring covers every document.
 
@@ -36,11 +37,13 @@ from pyspark.sql import functions as F
 
 from voltstream.llm.common import Words, filled, ranges, text_slices
 
-#: Words of a window; training windows begin every STRIDE words. Chosen with TELLING on folds of training rows (README).
+#: Words of a window; training windows begin every STRIDE words. Chosen on folds of training rows (README).
 WIDTH, STRIDE = 16, 12
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION, CHAR_ROWS = 8, 12, 8, 8, 1 << 15
 BEGINNINGS = range(3, 9)
-TELLING, LEAST_DOCS = 2.5, 5
+TELLING, LEAST_DOCS = 4.5, 5
+#: Networks trained from different starts; the one that fits the documents set aside best is kept.
+TRIES = 3
 THRESHOLD = 0.3
 _EDGES = " \t.,;:!?\"'()[]{}<>*_~`#$%&|/\\-"
 
@@ -227,12 +230,12 @@ class Network:
             out[full] = _sigmoid(evidence @ self.scale)
         return out
 
-    def calibrate(self, texts: pa.Array, label: np.ndarray, share: float) -> None:
-        """Fit the logistic function of a document's evidence (Newton's method, slightly drawn to plain logits)."""
+    def calibrate(self, texts: pa.Array, label: np.ndarray, share: float) -> float:
+        """Fit the logistic function of a document's evidence (Newton's method, slightly drawn to plain logits); its mean log loss."""
         full, x = self.evidence(Texts(texts, self.vocabulary, self.known))
         y = label[full]
         if not len(y) or y.min() == y.max():
-            return
+            return 0.0
         weight = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
         plain = self.scale.copy()
         for _ in range(50):
@@ -241,6 +244,8 @@ class Network:
             bend = (x * (weight * p * (1 - p))[:, None]).T @ x + np.eye(3)
             step = np.linalg.solve(bend, slope)
             self.scale -= step * min(1, 2 / max(np.abs(step).max(), 1e-9))
+        p = np.clip(_sigmoid(x @ self.scale), 1e-6, 1 - 1e-6)
+        return float(-np.average(np.where(y > 0, np.log(p), np.log(1 - p)), weights=weight))
 
     def gradients(self, word, pieces, codes, length, label) -> tuple[dict, float]:
         """Gradients of the mean log loss over some windows; ``codes`` index the distinct words."""
@@ -360,6 +365,12 @@ def _highest(texts: Texts, value: np.ndarray) -> np.ndarray:
 
 def train(texts: list[str], label: list[int], share: float | None = None, steps: int = 150, batch: int = 128, rate: float = 0.01, seed: int = 7) -> Network:
     """Fit the network to texts with labels 0 / 1; ``share``: of label 1 among all rows, if the texts are chosen by class."""
+    found = [_train(texts, label, share, steps, batch, rate, seed + k) for k in range(TRIES)]
+    return min(found, key=lambda f: f[1])[0]
+
+
+def _train(texts: list[str], label: list[int], share: float | None, steps: int, batch: int, rate: float, seed: int) -> tuple[Network, float]:
+    """A network from one start, and its loss on the documents set aside."""
     label = np.array(label, np.float32)
     prior = (float(label.mean()) if len(label) else 0.0) if share is None else share
     aside = np.zeros(len(label), bool)
@@ -371,7 +382,7 @@ def train(texts: list[str], label: list[int], share: float | None = None, steps:
     if not len(sample.doc) or label[sample.doc].min() == label[sample.doc].max():
         net = Network({}, np.zeros(CHAR_ROWS, np.int64), seed)
         net.p, net.prior = {}, prior
-        return net
+        return net, 0.0
     vocabulary, known, tell = _features(sample, np.diff(sample.word_start), label)
     net = Network(vocabulary, known, seed)
     net.prior = prior
@@ -403,8 +414,7 @@ def train(texts: list[str], label: list[int], share: float | None = None, steps:
                 net.p[k] -= (rate / (1 + phase) * (first[k] / (1 - 0.9 ** done)) / (np.sqrt(second[k] / (1 - 0.99 ** done)) + 1e-6)).astype(np.float32)
         if phase < 2:
             value = net.window_scores(sample)
-    net.calibrate(rest_texts, rest_label, min(max(prior, 0.01), 0.99))
-    return net
+    return net, net.calibrate(rest_texts, rest_label, min(max(prior, 0.01), 0.99))
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
