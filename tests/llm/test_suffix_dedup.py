@@ -79,6 +79,17 @@ def test_repeated_and_null_ids_and_empty(spark):
     assert b and without_repeats(spark, docs.where("doc_id > 5")).collect() == []
 
 
+def test_rows_of_one_id_and_text_are_no_earlier_than_each_other(spark, tmp_path):
+    """By the query's contract a string goes if it starts earlier: in a smaller doc_id, or at an earlier start of its own."""
+    a, b = "alpha " * 40, "".join(f"{i} beta " for i in range(40))
+    rows = [(1, a), (1, a), (2, b), (2, b), (2, b), (3, None), (3, None), (4, b + "x"), (5, a[:120])]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    alone = {r[0]: r for r in brute([rows[0], rows[2], rows[5], rows[7], rows[8]])}
+    got = sorted(tuple(r) for r in op10_suffix_dedup(spark, str(tmp_path)).collect())
+    assert got == [alone[i] for i, _ in rows]
+    assert [r[2] for r in got] == [234, 234, 0, 0, 0, 0, 0, len(b), 120]
+
+
 def test_ranges_are_merged():
     from voltstream.llm.suffix_dedup import _merged_ranges
 
