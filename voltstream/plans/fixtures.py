@@ -61,7 +61,8 @@ def _q(c: Column) -> Column:
 def ocpp_from_events(events: DataFrame) -> DataFrame:
     """Bronze reader rows (request and result lines) rendered from ``events``.
 
-    One scan: each event yields an array of its one or two lines, inlined.
+    One scan: each event yields an array of its one or two lines, inlined. An event's lines are many times its size in
+    the table, so the narrow rows are dealt out first: a table of few row groups would be rendered and parsed by as few tasks.
     """
     eid = F.col("event_id")
     ev = events.filter(F.col("event_type").isin(*EVENT_TYPES)).select(
@@ -70,7 +71,7 @@ def ocpp_from_events(events: DataFrame) -> DataFrame:
         "event_type",
         "ts",
         F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
-    )
+    ).repartition("event_id", "user_id", "ts")
     k, uid, et, ts = F.col("k"), F.col("user_id"), F.col("event_type"), F.col("ts")
     ts_res = ts + F.expr("INTERVAL 1 SECOND")
     station = F.concat(F.lit("CS-"), F.lpad(_s(uid), 6, "0"))

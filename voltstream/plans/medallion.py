@@ -1,6 +1,7 @@
 """End-to-end plans: bronze → silver → gold, on the driver's tables.
 
-The ``*_from_tables`` plans stay lazy. ``gold_from_tables`` is what a first
+``silver_from_tables`` writes the parsed frames once (three branches of its plan read them), the rest of the
+``*_from_tables`` plans stays lazy. ``gold_from_tables`` is what a first
 MERGE into an empty gold table yields: the latest silver row per (SOURCE,
 SOURCE_ID), stamped. The per-load steps write: a merge stages and swaps, and
 ``silver_increment`` collects the loads that hold partners of the new rows.
@@ -8,13 +9,15 @@ SOURCE_ID), stamped. The per-load steps write: a merge stages and swaps, and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltstream import schemas
 from voltstream.operators import merge, silver
 from voltstream.operators.dedup import latest_by_key
-from voltstream.plans import fixtures
+from voltstream.plans import fixtures, load_tables
 from voltstream.session import run_dir
 
 #: which silver row survives per key: the latest load, then the latest gateway time
@@ -32,7 +35,32 @@ def silver_from_tables(
 ) -> DataFrame:
     bronze = fixtures.bronze_from_events(spark, sf_dir, ingest_time=stage_time)
     master = fixtures.master_from_tables(spark, sf_dir)
-    return silver.to_silver(bronze, master, mode=mode, stage_time=stage_time)
+    return stored_silver(bronze, master, mode=mode, stage_time=stage_time)
+
+
+def stored_silver(
+    bronze: DataFrame,
+    master: DataFrame,
+    mode: str = "fixed",
+    stage_time: Column | None = None,
+    wanted: Callable[[DataFrame], DataFrame] | None = None,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """``silver.to_silver`` over stored frames: parsed and written once by kind, then requests, calls and results each
+    read their part. ``keep`` names bronze columns that ``wanted`` needs. ``faithful`` parses lines, not frames."""
+    if mode != "fixed":
+        return silver.to_silver(bronze, master, mode=mode, stage_time=stage_time, wanted=wanted)
+    path, spark = run_dir(bronze.sparkSession, "frames"), bronze.sparkSession
+    rows = load_tables.frame_rows(bronze, keep=keep)
+    rows.write.partitionBy(load_tables.KIND).parquet(path)
+    return silver.silver_from_frames(spark.read.schema(rows.schema).parquet(path), master, mode, stage_time=stage_time, wanted=wanted)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once, for plans that read it several times."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def first_gold(silver_df: DataFrame, stamp: Column | None = None, dedup: bool = True) -> DataFrame:
@@ -126,7 +154,7 @@ def silver_increment(
     loads = [r[0] for r in partners.select("_load").distinct().collect()]
     rows = bronze.filter(F.col("load") == load)
     if not loads:
-        return silver.to_silver(rows, master, mode=mode, stage_time=stage_time)
+        return stored_silver(rows, master, mode=mode, stage_time=stage_time)
     # a line without an id stands for all such lines of its load and station
     rows = rows.unionByName(bronze.filter(F.col("load").isin(loads)).join(
         partners, (F.col("load") == F.col("_load")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("identity_key") == F.col("_station")), "left_semi"))
@@ -136,4 +164,4 @@ def silver_increment(
         reqs = reqs.join(known, (F.col("identity_key") == F.col("_station")) & (F.col("OCPP_MESSAGE_UNIQUE_ID") == F.col("_mid")), "left")
         return reqs.filter((F.col("load") == load) | F.col("_known")).drop("_station", "_mid", "_known")
 
-    return silver.to_silver(rows, master, mode=mode, stage_time=stage_time, wanted=wanted)
+    return stored_silver(rows, master, mode=mode, stage_time=stage_time, wanted=wanted, keep=("load",))
