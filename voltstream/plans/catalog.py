@@ -327,7 +327,7 @@ def q_gold_snapshots(spark, sf_dir):
     """Gold kept as two snapshot folders: the first load, then the MERGE of the newer rows into a new folder."""
     from voltstream.session import run_dir
 
-    s1 = _silver(spark, sf_dir)
+    s1 = medallion.stored(_silver(spark, sf_dir), "silver")
     base = run_dir(spark, "gold")
     created = F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED")
     first = medallion.first_gold(s1.filter(created < F.lit(GOLD_SPLIT_TARGET_BEFORE).cast("timestamp")),
