@@ -192,7 +192,7 @@ def q_master_reload_batch(spark, sf_dir):
 def q_gold_merge_empty_load(spark, sf_dir):
     """A load of results alone (no row for silver), a load of unknown stations, then a load with rows."""
     base, stamp = run_dir(spark, "empty-load"), medallion.fixed_stamp()
-    silver = medallion.silver_from_tables(spark, sf_dir, stage_time=stamp)
+    silver = medallion.stored(medallion.silver_from_tables(spark, sf_dir, stage_time=stamp), "silver")
     created = F.col("SOURCE_MESSAGE_TIMESTAMP_CREATED")
     early = created < F.lit(LATE_FROM).cast("timestamp")
     for part in (silver.where("1 = 0"), silver.where(early), silver.where("CHARGE_STATION_ID = 'unknown'"), silver.where(~early)):
