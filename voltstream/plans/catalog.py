@@ -310,7 +310,7 @@ def q_table_roundtrip(spark, sf_dir):
     from voltstream.session import run_dir
     from voltstream.sources.tables import append_table, ensure_table, read_table
 
-    s = _silver(spark, sf_dir)
+    s = medallion.stored(_silver(spark, sf_dir), "silver")
     path = run_dir(spark, "silver-table")
     name = "silver_" + path.rsplit("-", 1)[-1]
     ensure_table(spark, name, schemas.SILVER_DDL, path)
