@@ -421,7 +421,7 @@ def _register_lines(spark, sf_dir) -> DataFrame:
 
 def _register_gold(spark, sf_dir) -> DataFrame:
     ensure_utc(spark)
-    silver = silver_ops.to_silver(_as_bronze(_register_lines(spark, sf_dir)), fixtures.master_from_tables(spark, sf_dir), stage_time=medallion.fixed_stamp())
+    silver = medallion.stored_silver(_as_bronze(_register_lines(spark, sf_dir)), fixtures.master_from_tables(spark, sf_dir), stage_time=medallion.fixed_stamp())
     return medallion.first_gold(silver, stamp=medallion.fixed_stamp())
 
 
