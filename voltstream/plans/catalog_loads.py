@@ -186,7 +186,7 @@ def q_master_reload_batch(spark, sf_dir):
     ensure_utc(spark)
     first, again = _two_masters(spark, sf_dir)
     rows = fixtures.bronze_from_events(spark, sf_dir, ingest_time=medallion.fixed_stamp())
-    return silver_ops.to_silver(rows, first.unionByName(again), stage_time=medallion.fixed_stamp()).select("SOURCE_ID", "CHARGE_STATION_ID", "MANUFACTURER", "COUNTRY_CODE")
+    return medallion.stored_silver(rows, first.unionByName(again), stage_time=medallion.fixed_stamp()).select("SOURCE_ID", "CHARGE_STATION_ID", "MANUFACTURER", "COUNTRY_CODE")
 
 
 def q_gold_merge_empty_load(spark, sf_dir):
