@@ -105,3 +105,17 @@ def test_gold_merge_idempotent(spark, tmp_base):
     assert sorted(map(str, first)) == sorted(map(str, again))
     n_hb = inc.count()
     assert g.filter(F.col("STAGE_PROCESSED_TIMESTAMP") == F.lit("2030-01-01").cast("timestamp")).count() == n_hb
+
+
+def test_silver_reads_frames_that_are_parsed_once(spark):
+    """Requests, calls and results read stored frames: no branch renders and parses the events again."""
+    p = plan_text(medallion.silver_from_tables(spark, SF_SMALL, stage_time=medallion.fixed_stamp()))
+    assert "events.parquet" not in p and "get_json_object" not in p
+    assert "frames-" in p
+
+
+def test_events_are_dealt_out_before_rendering(spark):
+    from voltstream.plans import fixtures
+
+    p = plan_text(fixtures.ocpp_from_events(fixtures.table(spark, SF_SMALL, "events")))
+    assert "REPARTITION_BY_COL" in p
