@@ -175,3 +175,16 @@ def test_composite_key_with_one_null_part(spark):
     out = upsert(t, s, ["k1", "k2"], stamp_column="stamp", stamp=F.lit("new"), order=["seq"])
     rows = sorted(((r.k1, r.k2 or "", r.v, r.stamp) for r in out.collect()))
     assert rows == [("a", "", 1, "old"), ("a", "", 10, "new"), ("a", "x", 20, "new")]
+
+
+def test_whole_rows_are_moved_for_keys_that_come_twice_or_are_there_only(spark, tmp_base, monkeypatch):
+    """Rows of other keys pass without a search for the latest; what is searched are the rows of the repeated keys."""
+    from voltstream.operators import merge as m
+
+    searched = []
+    monkeypatch.setattr(m, "latest_by_key", lambda rows, *a: (searched.append(rows.count()), latest_by_key(rows, *a))[1])
+    merge(spark, tmp_base, [("a", 1, "d1", 1), ("b", 2, "d1", 1), (None, 3, "d1", 1), (None, 4, "d1", 1)])
+    assert searched == []
+    merge(spark, tmp_base, [("a", 10, "d1", 2), ("a", 11, "d1", 3), ("c", 5, "d1", 1), ("d", 6, "d1", 2), ("d", 7, "d1", 1), (None, 8, "d1", 1)])
+    assert searched == [4]
+    assert contents(spark, tmp_base) == sorted([("", 3, "d1"), ("", 4, "d1"), ("", 8, "d1"), ("a", 11, "d1"), ("b", 2, "d1"), ("c", 5, "d1"), ("d", 6, "d1")])

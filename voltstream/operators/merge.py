@@ -46,6 +46,8 @@ def upsert(
     order: Sequence[str] | None = None,
     mode: str = "fixed",
     sticky: Sequence[str] = (),
+    single: bool = False,
+    hits: DataFrame | None = None,
 ) -> DataFrame:
     """New contents of ``target`` after merging ``source`` into it by ``keys``.
 
@@ -56,6 +58,7 @@ def upsert(
     (greatest wins; default: all source columns, i.e. an arbitrary but
     deterministic choice). ``sticky`` columns keep the target's value on a
     match (e.g. the partition column, so a row never moves partition).
+    ``single``: the source has one row per key already. ``hits``: the keys that both have, where they are known.
     """
     check_mode(mode)
     keys = list(keys)
@@ -66,7 +69,7 @@ def upsert(
     order = list(order) if order else [c for c in source.columns if c in cols and c not in keys]
     keep = [c for c in source.columns if c in cols or c in order]
     src = source.select(*keep)
-    if mode == "fixed":
+    if mode == "fixed" and not single:
         src = latest_by_key(src, keys, order)
     src = src.select(*[c for c in src.columns if c in cols])
     if mode == "faithful":
@@ -75,11 +78,7 @@ def upsert(
     if all(c in src.columns or c == stamp_column or c in keys for c in cols) and not sticky:
         types = {f.name: f.dataType for f in target.schema}
         new = src.select(*[(stamp if c == stamp_column else F.col(c)).cast(types[c]).alias(c) for c in cols])
-        found = src.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        cond = F.lit(True)
-        for i, k in enumerate(keys):
-            cond = cond & (target[k] == F.col(f"_k{i}"))
-        return target.join(found, cond, "left_anti").select(*cols).union(new)
+        return _matching(target, src if hits is None else hits, keys, "left_anti").select(*cols).union(new)
 
     def value_for_insert(c: str) -> Column:
         if c == stamp_column:
@@ -110,6 +109,27 @@ def upsert(
     return joined.select(*out)
 
 
+def _matching(rows: DataFrame, found: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Rows whose key is in ``found`` (``left_semi``) or isn't (``left_anti``)."""
+    found = found.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & (rows[k] == F.col(f"_k{i}"))
+    return rows.join(found, cond, how)
+
+
+def _single(stored: DataFrame, keys: Sequence[str], order: Sequence[str], path: str) -> DataFrame:
+    """``latest_by_key`` of stored rows. Keys that come more than once are looked for in the key columns and written to
+    ``path``, so that only their rows are moved whole."""
+    twice = stored.filter(all_not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys)
+    twice.write.parquet(path)
+    twice = stored.sparkSession.read.schema(twice.schema).parquet(path)
+    if twice.isEmpty():
+        return stored
+    rest = _matching(stored, twice, keys, "left_anti")
+    return rest.unionByName(latest_by_key(_matching(stored, twice, keys, "left_semi"), keys, order))
+
+
 def _check_unambiguous(target: DataFrame, src: DataFrame, keys: list[str]) -> None:
     """Raise when one target row would be matched by several source rows."""
     dup = src.filter(all_not_null(keys)).groupBy(*keys).count().filter(F.col("count") > 1).select(*keys)
@@ -211,14 +231,19 @@ def merge_partitions(
     touched = [r[0] for r in inc_parts.distinct().collect()]
     if not touched:
         return {"touched": [], "first_load": first_load, "quarantined": quarantined}
+    # whole rows are moved for keys that come twice, or that the table has, only
+    inc = _single(inc, keys, list(order) if order else [c for c in inc.columns if c not in keys], f"{attempt}/twice")
     if table is None:
-        merged = latest_by_key(inc, keys, list(order) if order else [c for c in inc.columns if c not in keys])
+        merged = inc
         if stamp_column is not None:
             merged = merged.withColumn(stamp_column, stamp if stamp is not None else F.current_timestamp())
     else:
         target = table.filter(F.col(partition_col).isin([t for t in touched if t is not None]) | (F.lit(None in touched) & F.col(partition_col).isNull()))
+        hits = target.select(*keys).join(inc.select(*keys).filter(all_not_null(keys)), keys, "left_semi").distinct()
+        hits.write.parquet(f"{attempt}/hits")
         merged = upsert(target, inc.select(*[c for c in inc.columns if c in table.columns or c in (order or [])]),
-                        keys, stamp_column=stamp_column, stamp=stamp, order=order)
+                        keys, stamp_column=stamp_column, stamp=stamp, order=order, single=True,
+                        hits=spark.read.schema(hits.schema).parquet(f"{attempt}/hits"))
     # rebalance by partition value: few, right-sized files per day; AQE splits a hot day
     merged.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(f"{attempt}/merged")
     _note(spark, table_path, f"{attempt}/merged", partition_col, False)
