@@ -108,3 +108,14 @@ def test_rescued_text_goes_along_to_bronze(spark, tmp_base, broken):
     append_stream(stream_ocpp_csv(spark, f"{tmp_base}/landing/load=*/dt=*/"), f"{tmp_base}/bronze", f"{tmp_base}/ckpt")
     rows = spark.read.parquet(f"{tmp_base}/bronze").collect()
     assert len(rows) == 40 and all((r.entity_id is None) == broken and (json.loads(r._rescued_data)["entity_id"].startswith("#") if broken else r._rescued_data is None) for r in rows)
+
+
+def test_a_text_is_converted_once(spark, tmp_base):
+    """A value, whether it has to be rescued, and the rescued text share one conversion."""
+    from voltstream.sources.csv import read_ocpp_csv, write_csv
+
+    write_csv(spark.createDataFrame([("1", "nonsense"), ("x", "2024-01-01T00:00:00.000Z")], "id string, request_date string"), f"{tmp_base}/c")
+    rows = read_ocpp_csv(spark, f"{tmp_base}/c")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") + plan.count("try_to_timestamp(") == 1
+    assert sorted((r.id or 0, r.request_date is None, r._rescued_data) for r in rows.collect()) == [(0, False, '{"id":"x"}'), (1, True, '{"request_date":"nonsense"}')]

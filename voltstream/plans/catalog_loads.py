@@ -270,7 +270,7 @@ def q_master_reload(spark, sf_dir):
 
 def _reordered(spark, sf_dir, base) -> str:
     """The lines as four groups of CSV files: as usual, swapped and in other case, without some columns, with some more."""
-    lines = fixtures.ocpp_from_events(fixtures.table(spark, sf_dir, "events")).drop(CORRUPT_COLUMN)
+    lines = medallion.stored(fixtures.ocpp_from_events(fixtures.table(spark, sf_dir, "events")), "lines").drop(CORRUPT_COLUMN)
     names = lines.columns
     part = [lines.where(F.col("id") % 4 == n) for n in range(4)]
     write_csv(part[0], f"{base}/source/a")

@@ -80,13 +80,17 @@ def _typed(text: Column, kind: str) -> Column:
     return text.try_cast(kind)
 
 
-def _aligned(raw: DataFrame, header: Sequence[str], ddl: str) -> list[Column]:
-    """The table's columns out of ``raw``, whose columns c0, c1, ... are the header's, and ``_row``."""
+def _aligned(raw: DataFrame, header: Sequence[str], ddl: str, kept_too: Sequence[str] = ()) -> DataFrame:
+    """The table's columns (and those in ``kept_too``) out of ``raw``, whose columns c0, c1, ... are the header's, and ``_row``.
+
+    Values, what is rescued, and its text are three projections, as each is needed twice by the next: a text is
+    converted once.
+    """
     fields = [part.split() for part in schemas.ddl(ddl).split(",")]
     place: dict[str, int] = {}
     for i, name in enumerate(header):
         place.setdefault(name.lower(), i)
-    out, rescued, taken = [], [], set()
+    out, rescued, taken, values = [], [], set(), []
     for name, kind in fields:
         i = place.get(name.lower())
         if name == CORRUPT_COLUMN or i is None:
@@ -94,10 +98,12 @@ def _aligned(raw: DataFrame, header: Sequence[str], ddl: str) -> list[Column]:
             continue
         taken.add(i)
         text = F.col(f"c{i}")
-        value = _typed(text, kind)
-        out.append(value.alias(name))
-        if kind != "STRING":
-            rescued.append((name, F.when(value.isNull(), text)))
+        if kind == "STRING":
+            out.append(text.alias(name))
+            continue
+        values.append(_typed(text, kind).alias(f"_v{i}"))
+        out.append(F.col(f"_v{i}").alias(name))
+        rescued.append((name, F.when(F.col(f"_v{i}").isNull(), text)))
     keys = {name for name, _ in rescued}
     earlier = place.get(CORRUPT_COLUMN)
     for i, name in enumerate(header):
@@ -109,10 +115,11 @@ def _aligned(raw: DataFrame, header: Sequence[str], ddl: str) -> list[Column]:
             rescued.append((key, F.col(f"c{i}")))
     rescued.append((WHOLE_ROW, F.col(WHOLE_ROW)))
     kept = F.map_filter(F.create_map(*[x for key, value in rescued for x in (F.lit(key), value)]), lambda k, v: v.isNotNull())
-    text = F.when(F.size(kept) > 0, F.to_json(kept))
+    text = F.when(F.size("_kept") > 0, F.to_json("_kept"))
     if earlier is not None:  # a landed file brings what was rescued at the source
         text = F.coalesce(F.col(f"c{earlier}"), text)
-    return [text.alias(CORRUPT_COLUMN) if name == CORRUPT_COLUMN else c for c, (name, _) in zip(out, fields)]
+    columns = [text.alias(CORRUPT_COLUMN) if name == CORRUPT_COLUMN else c for c, (name, _) in zip(out, fields)]
+    return raw.select("*", *values).withColumn("_kept", kept).select(*columns, *kept_too)
 
 
 def read_csv_by_header(spark: SparkSession, path: str | list[str], ddl: str, options: dict, with_file: bool = False) -> DataFrame:
@@ -130,7 +137,8 @@ def read_csv_by_header(spark: SparkSession, path: str | list[str], ddl: str, opt
         columns = ", ".join([*(f"c{i} STRING" for i in range(len(header))), f"{WHOLE_ROW} STRING"])
         raw = spark.read.options(**opts).schema(columns).csv(path if len(groups) < 2 else [escaped(f) for f in files])
         of_file = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("file_time")] if with_file else []
-        parts.append(raw.select(*_aligned(raw, header, ddl), *of_file))
+        raw = raw.select(*raw.columns, *of_file)
+        parts.append(_aligned(raw, header, ddl, ["source_file", "file_time"] if with_file else []))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
