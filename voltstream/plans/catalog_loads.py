@@ -37,7 +37,8 @@ def _reader_rows(df: DataFrame, row_id, created, log) -> DataFrame:
 def reused_id_lines(spark, sf_dir) -> DataFrame:
     """A StartTransaction for every event, with one of three message ids a station uses over and over, and
     for most a result up to 60 hours later whose transaction id is its event; rows come in three mixed loads."""
-    ev = fixtures.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    # dealt out before rendering, as in ocpp_from_events: a table of few row groups would be rendered by as few tasks
+    ev = fixtures.table(spark, sf_dir, "events").select("event_id", "user_id", "ts").repartition("event_id", "user_id", "ts")
     eid = F.col("event_id")
     mid = F.concat(F.lit("M"), (eid % 3).cast("string"))
     late = F.col("ts") + F.make_dt_interval(F.lit(0), ((eid % 7) * 10).cast("int"), F.lit(0), F.lit(1).cast("decimal(18,6)"))
