@@ -204,3 +204,33 @@ def test_stored_frames_give_the_same_silver_as_lines(spark, tmp_base):
     rows = [r for load in random_loads(9, loads=1, lines=40) for r in load]
     bronze, master = bronze_rows(spark, rows), master_rows(spark, [("CS1", 1, "ACME"), ("CS2", 1, "OTHER")])
     assert equal(silver_from_frames(load_tables.frame_rows(bronze), master), to_silver(bronze, master))
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_base):
+    from voltstream.session import settings
+
+    tables = LoadTables(f"{tmp_base}/bronze", buckets=1)
+    rows = bronze_rows(spark, [(i, "CS1", f'15-Jan-2024 10:00:00.000 [2,"m{i * 7919 % 100003}","Heartbeat",{{}}]@@EOM@@') for i in range(4000)]).repartition(8)
+    limit = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(limit, None)
+    with settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}):
+        load_tables.ingest_load(spark, tables, rows, "1", "2024-02-01")
+    keys = load_tables.read(spark, tables, "keys")
+    assert len(keys.inputFiles()) > 1 and keys.count() == 4000 and keys.select("id").distinct().count() == 4000
+    assert spark.conf.get(limit, None) == before
+
+
+def test_lines_of_two_loads_are_rendered_once(spark):
+    from voltstream.plans import catalog_loads
+
+    rows, early = catalog_loads._split_lines(spark, SF_SMALL)
+    assert "Generate" not in plan_text(rows.where(early)) and rows.count() == fixtures.bronze_from_events(spark, SF_SMALL).count()
+    assert "hashpartitioning(event_id" in plan_text(catalog_loads.reused_id_lines(spark, SF_SMALL))
+
+
+def test_the_pattern_that_cuts_a_line_runs_once(spark):
+    from voltstream.functions.frames import SEGMENT_PATTERN
+    from voltstream.operators.silver import parse_frames
+
+    plan = parse_frames(bronze_rows(spark, [(1, "CS1", "x")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(SEGMENT_PATTERN[:12]) == 1

@@ -112,9 +112,16 @@ SEGMENT_PATTERN = r'(?s)(.*?\[[234],".*?\]@@EOM@@)'
 FRAME_KIND_PATTERN = r'\[([234]),"'
 
 
-def frame_segments(raw_log: Column) -> Column:
-    """The line cut after each end-of-message marker that closes a frame; a line without a frame is one segment."""
-    found = F.regexp_extract_all(raw_log, F.lit(SEGMENT_PATTERN), F.lit(1))
+def found_segments(raw_log: Column) -> Column:
+    """The line's frames, each with the text before it; empty for a line without a frame."""
+    return F.regexp_extract_all(raw_log, F.lit(SEGMENT_PATTERN), F.lit(1))
+
+
+def frame_segments(raw_log: Column, found: Column | None = None) -> Column:
+    """The line cut after each end-of-message marker that closes a frame; a line without a frame is one segment.
+
+    ``found``: a column with ``found_segments(raw_log)``, so that the pattern runs once."""
+    found = found_segments(raw_log) if found is None else found
     return F.when(F.size(found) > 0, found).otherwise(F.array(raw_log))
 
 

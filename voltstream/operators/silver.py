@@ -85,9 +85,9 @@ def parse_frames(bronze: DataFrame, mode: str = "fixed", log_tz: str | None = No
     line = F.col("raw_log")
     if mode == "fixed":
         kept = [c for c in bronze.columns if c != "raw_log"]
-        # a frame without a time of its own takes the line's first one
-        bronze = bronze.select(*kept, frames.created_text(line).alias("_line_time"),
-                               F.posexplode(frames.frame_segments(line)).alias("_frame_no", "raw_log"))
+        # a frame without a time of its own takes the line's first one; the pattern runs once, before the generator's condition
+        bronze = bronze.select(*kept, "raw_log", frames.created_text(line).alias("_line_time"), frames.found_segments(line).alias("_found"))
+        bronze = bronze.select(*kept, "_line_time", F.posexplode(frames.frame_segments(line, F.col("_found"))).alias("_frame_no", "raw_log"))
         raw = F.col("raw_log")
         created_text = F.coalesce(F.nullif(frames.created_text(raw), F.lit("")), F.col("_line_time"))
     else:

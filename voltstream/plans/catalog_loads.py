@@ -96,8 +96,8 @@ def q_pair_reused_ids_tables(spark, sf_dir):
 
 
 def _split_lines(spark, sf_dir):
-    """Bronze rows of the events' lines in two loads, by day of the log."""
-    rows = fixtures.bronze_from_events(spark, sf_dir, ingest_time=medallion.fixed_stamp())
+    """Bronze rows of the events' lines in two loads, by day of the log; rendered and written once, read for each use."""
+    rows = medallion.stored(fixtures.bronze_from_events(spark, sf_dir, ingest_time=medallion.fixed_stamp()), "lines")
     return rows, F.col("request_date") < F.lit("2024-01-16").cast("timestamp")
 
 

@@ -18,7 +18,7 @@ from voltstream import schemas
 from voltstream.operators import merge, silver
 from voltstream.operators.dedup import latest_by_key
 from voltstream.plans import fixtures, load_tables
-from voltstream.session import run_dir
+from voltstream.session import run_dir, settings
 
 #: which silver row survives per key: the latest load, then the latest gateway time
 SILVER_ORDER = ("STAGE_LOAD_TIMESTAMP", "INGEST_LOAD_TIMESTAMP", "SOURCE_MESSAGE_TIMESTAMP_CREATED", "CORE_MESSAGE_UNIQUE_ID")
@@ -52,7 +52,8 @@ def stored_silver(
         return silver.to_silver(bronze, master, mode=mode, stage_time=stage_time, wanted=wanted)
     path, spark = run_dir(bronze.sparkSession, "frames"), bronze.sparkSession
     rows = load_tables.frame_rows(bronze, keep=keep)
-    rows.write.partitionBy(load_tables.KIND).parquet(path)
+    with settings(spark, load_tables.CONCURRENT_KINDS):
+        rows.write.partitionBy(load_tables.KIND).parquet(path)
     return silver.silver_from_frames(spark.read.schema(rows.schema).parquet(path), master, mode, stage_time=stage_time, wanted=wanted)
 
 
