@@ -58,6 +58,40 @@ def test_every_window_counts():
         assert abs(logit - np.log(best / (1 - best))) < 1e-3 and np.isclose(log_n, np.log(len(windows.doc)))
 
 
+def test_window_scores_of_large_weights_and_many_batches():
+    """Where gates are far beyond the range of exp, and where windows fall into several batches."""
+    rng = np.random.default_rng(3)
+    text = [" ".join(rng.choice(["bad", "good", "fine", "words", "here", "so"], n)) for n in (16, 40, 3, 90)]
+    net = T.train([f"{t} {'bad bad' * (i % 2)}" for i, t in enumerate(text * 8)], [i % 2 for i in range(32)], steps=5)
+    for times in (1, 300):
+        for k in ("wf", "wb", "uf", "ub", "a"):
+            net.p[k] = net.p[k] * np.float32(times)
+        texts = T.Texts(pa.array(text), net.vocabulary, net.known)
+        words = " ".join(text).split()
+        windows = T.Texts(pa.array([" ".join(words[k:k + T.WIDTH]) for k in range(len(words) - T.WIDTH + 1)]), net.vocabulary, net.known)
+        want = net.window_scores(windows)
+        for batch in (7, 1536):
+            got = net.start_scores(texts, batch)
+            assert np.isfinite(got).all() and np.allclose(got, want, atol=1e-5 if times == 1 else 1e-3)
+
+
+def test_first_steps_are_taken_once_per_distinct_word(monkeypatch):
+    """A window needs WIDTH - 1 steps of its own, and exp, which costs half of tanh."""
+    net = T.train([f"some plain text {i} {'bad ' * (i % 2)}" * 9 for i in range(60)], [i % 2 for i in range(60)], steps=2)
+    texts, done = T.Texts(pa.array(["some plain text 1 bad " * 400]), net.vocabulary, net.known), {"exp": 0, "tanh": 0}
+    for name in done:
+        plain = getattr(np, name)
+
+        def counted(x, *args, _plain=plain, _name=name, **kw):
+            done[_name] += np.size(x)
+            return _plain(x, *args, **kw)
+
+        monkeypatch.setattr(T.np, name, counted)
+    n = len(net.start_scores(texts))
+    a_window = (T.WIDTH - 1) * 6 * T.HIDDEN + T.WIDTH * (T.ATTENTION + 1) + 1  # the last: the score's own
+    assert n > 1900 and done["tanh"] == 0 and done["exp"] <= a_window * n + 4 * T.HIDDEN * len(texts.words)
+
+
 def test_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     got = T.op8_toxicity(spark, sf)
