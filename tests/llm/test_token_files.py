@@ -1,3 +1,5 @@
+import random
+import re
 import zlib
 
 import numpy as np
@@ -5,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from voltstream.llm import encode as E
 from voltstream.llm.encode import WordEncoder, default_path
 from voltstream.llm.token_files import op3_token_files, read_token_files, write_token_files
 from voltstream.session import run_dir
@@ -34,6 +37,29 @@ def test_words_encode_as_whole_texts():
     assert WordEncoder(default_path()).lengths(pa.array(ODD)).tolist() == counts.tolist()
 
 
+def test_runs_are_cut_from_bytes(monkeypatch):
+    """Odd words and the runs of the others, against regular expressions, which words() doesn't need."""
+    rng, signs = random.Random(5), "abzAZ09!&'(-<|~ÀÖ×ØÞßàö÷øÿ\x7f\x80Āµ日😀"
+    words = ["", *signs, "<|x", "a<", "|b", "é" * 300, *("".join(rng.choices(signs[rng.choice([0, 0, 9]):rng.choice([11, 13, 25, 34])], k=rng.randrange(1, 9))) for _ in range(3000)), ""]
+    odd = re.compile(r"[^!-&(-~À-ÖØ-öø-ÿ]|<\|")
+    run = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+    for given in (words, words[::-1], [], [""]):
+        for array in (pa.array(given, pa.large_string()), pa.array(["日x", *given, "y"], pa.large_string()).slice(1, len(given))):
+            is_odd = E._odd_words(array)
+            for i, (w, got) in enumerate(zip(given, is_odd)):
+                assert got == bool(odd.search(w)) or got and w[:1] == "|" and given[i - 1][-1:] == "<"
+            plain = [w.lower() for w in given if not odd.search(w)]
+            runs, at = E._simple_runs(pa.array(plain, pa.large_string()))
+            runs = runs.to_pylist()
+            assert [runs[a:b] for a, b in zip(at[:-1], at[1:])] == [run.findall(w) for w in plain]
+    for name in ("match_substring_regex", "replace_substring_regex", "split_pattern"):
+        monkeypatch.delattr(E.pc, name)
+    lib = Tokenizer.from_file(default_path())
+    ids, counts = WordEncoder(default_path()).ids(pa.array(words))
+    want = [lib.encode(w, add_special_tokens=False).ids for w in words]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
 def test_query_against_the_library(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(tuple(r) for r in op3_token_files(spark, SF).select("doc_id", "start", "n_tokens", "ids_crc32").collect())

@@ -8,15 +8,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from voltstream.llm.common import Words, ranges, worker_memo
+from voltstream.llm.common import Words, ranges, strings, worker_memo
 
 #: Entries of a generation of a worker's memo (about 200 bytes each); it holds two.
 GENERATION = 250_000
 
 # A word of ASCII signs and Latin-1 letters without the apostrophe normalises to lower case, and the file's split
-# pattern cuts it into these runs: letters, single digits, other signs.
-_ODD = r"[^!-&(-~À-ÖØ-öø-ÿ]|<\|"
-_RUN = r"([a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+)"
+# pattern cuts it into runs: letters, single digits, other signs. Kinds of the bytes of such words in UTF-8 (letters
+# beyond ASCII are two bytes, the first 0xC3):
+_LETTER, _DIGIT, _SIGN, _ODD = range(4)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[0x21:0x7F] = _SIGN
+_KIND[ord("'")] = _ODD
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _KIND[0x80:0xC0] = _KIND[0xC3] = _LETTER
 #: Runs encoded in one call.
 _JOINED = 512
 #: Mark of word-end tokens in the file.
@@ -29,6 +34,39 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(the bytes of large strings in a row, where each begins and the last one ends)."""
+    if not len(words):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    return (np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8))[at[0]:at[-1]], at - at[0]
+
+
+def _odd_words(words: pa.Array) -> np.ndarray:
+    """Which words have other characters than those of simple runs, or ``<|``, with which special tokens begin."""
+    raw, at = _bytes_of(words)
+    bad = _KIND[raw] == _ODD
+    two = raw[:-1]
+    bad[1:] |= (two == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7))  # × and ÷ are no letters
+    bad[1:] |= (two == ord("<")) & (raw[1:] == ord("|"))  # in two words: the later one counts as odd, with the same ids
+    odd = np.zeros(len(words), bool)
+    odd[np.searchsorted(at, np.flatnonzero(bad), side="right") - 1] = True
+    return odd
+
+
+def _simple_runs(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the runs of lower-case words that aren't odd, one after the other; where each word's begin and the last one's end)."""
+    raw, at = _bytes_of(words)
+    kind = _KIND[raw]
+    first = kind == _DIGIT
+    first[1:] |= kind[1:] != kind[:-1]
+    first[at[at < len(raw)]] = True
+    begin = np.flatnonzero(first)
+    runs = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(np.append(begin, len(raw))), pa.py_buffer(np.ascontiguousarray(raw)))
+    return runs, np.searchsorted(begin, at)
+
+
 class WordEncoder:
     """Ids of texts under a word-end BPE file that drops white space.
 
@@ -79,16 +117,13 @@ class WordEncoder:
         new, old = self.memo["new"], self.memo["old"]
         pieces = runs + odd
         found = list(map(new.get, pieces))
-        unknown = []
-        for i, ids in enumerate(found):
-            if ids is None and not pieces[i]:
-                found[i] = b""
-            elif ids is None:
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        if old:
+            for i in unknown:
                 ids = old.get(pieces[i])
-                if ids is None:
-                    unknown.append(i)
-                else:
+                if ids is not None:
                     found[i] = new[pieces[i]] = ids
+            unknown = [i for i in unknown if found[i] is None]
         first = [i for i in unknown if i < len(runs)]
         rest = [pieces[i] for i in unknown[len(first):]]
         made = self._runs([pieces[i] for i in first])
@@ -101,23 +136,19 @@ class WordEncoder:
 
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, where each word's begin, how many it has)."""
-        odd = pc.match_substring_regex(words, _ODD)
-        plain = pc.utf8_lower(words.filter(pc.invert(odd)))
-        lists = pc.split_pattern(pc.replace_substring_regex(plain, _RUN, "\\1\n"), "\n")
-        if isinstance(lists, pa.ChunkedArray):
-            lists = lists.combine_chunks()
-        odd = odd.to_numpy(zero_copy_only=False).astype(bool)
-        coded = lists.flatten().dictionary_encode()
-        runs, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        words = pc.cast(words, pa.large_string())
+        odd = _odd_words(words)
+        runs, at = _simple_runs(pc.utf8_lower(words.filter(pa.array(~odd))))
+        coded = runs.dictionary_encode()
+        runs, code = strings(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False)
         found = self._pieces(runs, words.filter(pa.array(odd)).to_pylist())
         each = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
         begin = np.cumsum(each) - each
         pieces = np.frombuffer(b"".join(found), self.dtype)
-        # plain words' ids are put together from their runs' (an empty run after the last one has none)
+        # plain words' ids are put together from their runs'
         n = each[code]
         flat = pieces[ranges(begin[code], n)]
         total = np.concatenate([[0], np.cumsum(n)])
-        at = lists.offsets.to_numpy().astype(np.int64) - (lists.offsets[0].as_py() if len(lists) else 0)
         start, count = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
         start[~odd], count[~odd] = total[at[:-1]], total[at[1:]] - total[at[:-1]]
         start[odd], count[odd] = len(flat) + begin[len(runs):] - (begin[len(runs)] if odd.any() else 0), each[len(runs):]
