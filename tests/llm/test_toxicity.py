@@ -70,7 +70,7 @@ def test_window_scores_of_large_weights_and_many_batches():
         words = " ".join(text).split()
         windows = T.Texts(pa.array([" ".join(words[k:k + T.WIDTH]) for k in range(len(words) - T.WIDTH + 1)]), net.vocabulary, net.known)
         want = net.window_scores(windows)
-        for batch in (7, 1536):
+        for batch in (7, 1920):
             got = net.start_scores(texts, batch)
             assert np.isfinite(got).all() and np.allclose(got, want, atol=1e-5 if times == 1 else 1e-3)
 
