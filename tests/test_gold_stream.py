@@ -84,3 +84,16 @@ def test_whole_rows_are_read_only_from_loads_with_partners(spark, tmp_base):
     plan = plan_text(medallion.silver_increment(bronze.withColumn("load", F.col("load").cast("string")), "1", fixtures.master_from_tables(spark, SF_SMALL)))
     scans = [s for s in plan.split("Scan parquet")[1:] if "raw_log" in s.split("ReadSchema")[-1].splitlines()[0]]
     assert scans and all("load" in line for s in scans for line in s.splitlines() if line.startswith("PartitionFilters"))
+
+
+def test_a_stream_leaves_no_scratch_files(spark, tmp_base):
+    """What a batch stages, and what its silver is read from, is gone once gold has it."""
+    from voltstream.sources.tables import folder_exists
+
+    lines = fixtures.ocpp_from_events(fixtures.table(spark, SF_SMALL, "events").limit(50))
+    land_increment(spark, lines, f"{tmp_base}/landing", f"{tmp_base}/marks", load_id="1")
+    run_gold_stream(spark, f"{tmp_base}/landing/load=*/dt=*/", fixtures.master_from_tables(spark, SF_SMALL), f"{tmp_base}/bronze", f"{tmp_base}/gold",
+                    f"{tmp_base}/ckpt", f"{tmp_base}/stage", stamp=medallion.fixed_stamp())
+    assert folder_exists(spark, f"{tmp_base}/gold")
+    assert spark._jvm.org.apache.hadoop.fs.Path(f"{tmp_base}/stage").getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(
+        spark._jvm.org.apache.hadoop.fs.Path(f"{tmp_base}/stage")).getFileCount() == 0

@@ -119,3 +119,24 @@ def test_a_text_is_converted_once(spark, tmp_base):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("gettimestamp(") + plan.count("try_to_timestamp(") == 1
     assert sorted((r.id or 0, r.request_date is None, r._rescued_data) for r in rows.collect()) == [(0, False, '{"id":"x"}'), (1, True, '{"request_date":"nonsense"}')]
+
+
+def test_landing_keeps_no_second_copy_of_the_rows(spark, tmp_base):
+    """Staged rows go once they are landed, as gzip files; known days are searched by id, others not, rows without a day too."""
+    from voltstream.session import FRUGAL
+    from voltstream.sources.tables import folder_exists
+
+    args = (f"{tmp_base}/landing", f"{tmp_base}/marks")
+    before = {k: spark.conf.get(k, None) for k in FRUGAL}
+    rows = [(1, None, "no time"), (2, None, "no time")]
+    assert land_increment(spark, source(spark, rows), *args, load_id="1")["rows"] == 2
+    rows += [(3, "2024-01-10T10:00:00", "a"), (4, None, "late")]
+    assert land_increment(spark, source(spark, rows), *args, load_id="2")["rows"] == 2
+    rows += [(5, "2024-01-10T11:00:00", "known day"), (6, "2024-01-11T10:00:00", "new day"), (6, "2024-01-11T10:00:00", "twice")]
+    assert land_increment(spark, source(spark, rows), *args, load_id="3")["rows"] == 3
+    assert land_increment(spark, source(spark, rows), *args, load_id="4")["rows"] == 0
+    assert landed(spark, tmp_base) == sorted([("1", 1, "no time"), ("1", 2, "no time"), ("2", 3, "a"), ("2", 4, "late"), ("3", 5, "known day"), ("3", 6, "new day"), ("3", 6, "twice")], key=str)
+    assert all(f.endswith(".csv.gz") for f in spark.read.text(f"{tmp_base}/landing/load=*/dt=*/").inputFiles())
+    for n in "1234":
+        assert not [x for x in os.listdir(f"{tmp_base}/marks__increment".removeprefix("file://").removeprefix("file:")) if x.startswith(f"{n}-")]
+    assert folder_exists(spark, f"{tmp_base}/marks__ids") and {k: spark.conf.get(k, None) for k in FRUGAL} == before

@@ -234,3 +234,24 @@ def test_the_pattern_that_cuts_a_line_runs_once(spark):
 
     plan = parse_frames(bronze_rows(spark, [(1, "CS1", "x")]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(SEGMENT_PATTERN[:12]) == 1
+
+
+def test_only_reused_message_ids_are_searched(spark, tmp_base, monkeypatch):
+    """A message id with one call and one result of the load is answered without its history; others take the search."""
+    master, tables, searched = master_rows(spark, [("CS1", 1, "ACME")]), LoadTables(f"{tmp_base}/bronze", buckets=2), []
+    real = load_tables.changed_answers
+    monkeypatch.setattr(load_tables, "changed_answers", lambda rows, *a: (searched.extend(sorted({r.OCPP_MESSAGE_UNIQUE_ID for r in rows.collect()})), real(rows, *a))[1])
+    call = lambda i, t, mid: (i, "CS1", f'{t} [2,"{mid}","StartTransaction",{{}}]@@EOM@@')
+    res = lambda i, t, mid: (i, "CS1", f'{t} [3,"{mid}",{{"transactionId":"{i}"}}]@@EOM@@')
+    at = lambda s: f"15-Jan-2024 10:00:{s:02d}.000"
+    loads = [([call(1, at(0), "A"), res(2, at(0), "A"), call(3, at(5), "B"), res(4, at(4), "B"), call(5, "", "C"), res(6, at(1), "C"),
+               call(7, at(1), "D"), res(8, "", "D"), call(9, at(1), "E"), res(10, at(1), "F")], [], [("1", 2), ("3", None), ("5", None), ("7", None), ("9", None)]),
+             ([res(11, at(2), "E"), call(12, at(0), "F"), call(13, at(6), "G")], ["E", "F"], [("12", 10), ("13", None), ("9", 11)]),
+             # a bronze id that two message ids share: each call has its own result
+             ([call(14, at(7), "H"), res(15, at(8), "H"), call(14, at(7), "I"), res(16, at(9), "I")], [], [("14", 15), ("14", 16)])]
+    for n, (rows, hard, want) in enumerate(loads):
+        load_tables.ingest_load(spark, tables, bronze_rows(spark, rows), f"l{n}", "2024-02-01")
+        got = load_tables.silver_of_load(spark, tables, f"l{n}", "2024-02-01", master, arrange=medallion.gold_partition_value(), work=f"{tmp_base}/work{n}")
+        assert sorted(((r.SOURCE_ID, r.TRANSACTION_ID) for r in got.collect()), key=str) == want
+        assert searched == hard
+        searched.clear()

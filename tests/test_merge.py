@@ -188,3 +188,29 @@ def test_whole_rows_are_moved_for_keys_that_come_twice_or_are_there_only(spark,
     merge(spark, tmp_base, [("a", 10, "d1", 2), ("a", 11, "d1", 3), ("c", 5, "d1", 1), ("d", 6, "d1", 2), ("d", 7, "d1", 1), (None, 8, "d1", 1)])
     assert searched == [4]
     assert contents(spark, tmp_base) == sorted([("", 3, "d1"), ("", 4, "d1"), ("", 8, "d1"), ("a", 11, "d1"), ("b", 2, "d1"), ("c", 5, "d1"), ("d", 6, "d1")])
+
+
+def test_new_partitions_are_staged_once_and_nothing_staged_stays(spark, tmp_base, monkeypatch):
+    """An arranged increment is written again for the partitions that the table has only; a died swap of both parts is finished."""
+    from voltstream.operators import merge as m
+
+    def files():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{tmp_base}/s")
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getFileCount()
+
+    merged = []
+    monkeypatch.setattr(m, "upsert", lambda t, s, *a, **o: (merged.append(s.count()), upsert(t, s, *a, **o))[1])
+    merge(spark, tmp_base, [("a", 1, "d1", 1), ("b", 2, "d2", 1), (None, 9, "d2", 1)], quarantine_path=f"{tmp_base}/q")
+    merge(spark, tmp_base, [("a", 10, "d1", 2), ("c", 3, "d3", 1), ("d", 4, None, 1)], locate="same_partition", arranged=True)
+    assert merged == [1] and files() == 0
+    assert sorted(contents(spark, tmp_base), key=str) == [("a", 10, "d1"), ("b", 2, "d2"), ("c", 3, "d3"), ("d", 4, None)]
+    merge(spark, tmp_base, [("e", 5, "d4", 1), ("e", 6, "d4", 2), ("d", 7, None, 2)], locate="same_partition", arranged=True)  # a key that comes twice
+    assert merged == [1, 2]
+    swap = m._swap_in
+    monkeypatch.setattr(m, "_swap_in", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+    with pytest.raises(RuntimeError):
+        merge(spark, tmp_base, [("b", 20, "d2", 2), ("f", 8, "d5", 1)], locate="same_partition", arranged=True)
+    monkeypatch.setattr(m, "_swap_in", swap)
+    assert m.recover(spark, f"{tmp_base}/t") == 2
+    assert sorted(contents(spark, tmp_base), key=str) == [
+        ("a", 10, "d1"), ("b", 20, "d2"), ("c", 3, "d3"), ("d", 7, None), ("e", 6, "d4"), ("f", 8, "d5")]

@@ -2,7 +2,7 @@
 
 ``land_increment`` writes the source's new rows to a new
 ``load=<id>/dt=<date>/`` folder of the landing zone (one Spark-committed
-write, many files, no driver-side renames), keeps their ids, and appends the
+write, many gzip files, no driver-side renames), keeps their ids, and appends the
 new high-water mark. Row count and the new maximum are gathered *during* the
 write with ``DataFrame.observe``, so the increment is computed once, not
 three times. An empty increment writes nothing to the landing zone.
@@ -25,8 +25,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from voltstream.functions.frames import check_mode
+from voltstream.session import FRUGAL, settings
 from voltstream.sources.csv import CORRUPT_COLUMN, write_csv
-from voltstream.sources.tables import read_parquet_if_exists
+from voltstream.sources.tables import discard, read_parquet_if_exists
 
 
 def read_high_water_mark(spark: SparkSession, mark_path: str):
@@ -94,6 +95,27 @@ def not_landed(source: DataFrame, known: DataFrame | None, mark, column: str = "
     return rows.join(known, (F.col("_row_id") == F.col("_known")) & F.col(ID_DAY).eqNullSafe(F.col("_day")), "left_anti")
 
 
+def _increment(spark: SparkSession, source: DataFrame, known: DataFrame | None, mark, column: str, overlap: str | None, path: str) -> DataFrame:
+    """``not_landed`` without moving whole rows that are known or can't be: rows of days without any known id are new as
+    they are; of the other days the new ids are found first, written to ``path``, and only if there are some, their rows."""
+    rows = not_landed(source, None, mark, column, overlap)
+    if known is None:
+        return rows
+    with settings(spark, {"spark.sql.optimizer.metadataOnly": "true"}):
+        days = [r[0] for r in known.select(ID_DAY).distinct().collect()]  # one value per day
+
+    def there(day: Column) -> Column:
+        return F.when(day.isNull(), F.lit(None in days)).otherwise(day.isin([d for d in days if d is not None]))
+
+    ids = not_landed(source.filter(there(F.to_date(F.col(column)))), known, mark, column, overlap).select("_row_id", ID_DAY).distinct()
+    ids.write.parquet(path)
+    ids = spark.read.schema(ids.schema).parquet(path).select(F.col("_row_id").alias("_new"), F.col(ID_DAY).alias("_day"))
+    if ids.isEmpty():
+        return rows.filter(~there(F.col(ID_DAY)))
+    late = rows.filter(there(F.col(ID_DAY))).join(ids, (F.col("_row_id") == F.col("_new")) & F.col(ID_DAY).eqNullSafe(F.col("_day")), "left_semi")
+    return rows.filter(~there(F.col(ID_DAY))).unionByName(late)
+
+
 def land_increment(
     spark: SparkSession,
     source: DataFrame,
@@ -119,27 +141,37 @@ def land_increment(
     Returns ``{"load_id", "rows", "rescued", "mark"}``. When no row is new
     nothing is written and the mark is unchanged.
     """
+    with settings(spark, FRUGAL):
+        return _land(spark, source, landing_path, mark_path, load_id or new_load_id(), column, check_mode(mode), overlap,
+                     landed_ids or f"{mark_path.rstrip('/')}__ids")
+
+
+def _land(
+    spark: SparkSession, source: DataFrame, landing_path: str, mark_path: str, load_id: str, column: str, mode: str,
+    overlap: str | None, landed_ids: str,
+) -> dict:
     mark = read_high_water_mark(spark, mark_path)
-    load_id = load_id or new_load_id()
-    landed_ids = landed_ids or f"{mark_path.rstrip('/')}__ids"
-    if check_mode(mode) == "fixed":
-        inc = not_landed(source, read_parquet_if_exists(spark, landed_ids), mark, column, overlap)
+    # computed once: written to a staging folder, then read for each of its uses
+    work = f"{mark_path.rstrip('/')}__increment/{load_id}-{uuid.uuid4().hex[:8]}"
+    staged = f"{work}/rows"
+    if mode == "fixed":
+        inc = _increment(spark, source, read_parquet_if_exists(spark, landed_ids), mark, column, overlap, f"{work}/ids")
     else:
         inc = since(source, mark, column, mode).withColumn(ID_DAY, F.to_date(F.col(column)))
-    # computed once: written to a staging folder, then read for each of its uses
-    staged = f"{mark_path.rstrip('/')}__increment/{load_id}-{uuid.uuid4().hex[:8]}"
     obs = Observation(f"land_{load_id.replace('-', '_')}_{uuid.uuid4().hex[:8]}")
     rescued = F.count(CORRUPT_COLUMN if CORRUPT_COLUMN in source.columns else F.lit(None))
     inc.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(column).alias("mark"), rescued.alias("rescued")).write.parquet(staged)
     found = obs.get
     rows, new_mark = found.get("rows", 0), found.get("mark")
     if not rows:
+        discard(spark, work)
         return {"load_id": load_id, "rows": 0, "rescued": 0, "mark": None}
     out = spark.read.schema(inc.schema).parquet(staged)
-    write_csv(out.drop("_row_id"), f"{landing_path}/load={load_id}", mode="errorifexists", partition_by=[ID_DAY])
+    write_csv(out.drop("_row_id"), f"{landing_path}/load={load_id}", mode="errorifexists", partition_by=[ID_DAY], compression="gzip")
     if mode == "fixed":
         ids = out.select("_row_id", F.lit(load_id).alias("load_id"), ID_DAY)
         ids.hint("rebalance", ID_DAY).write.mode("append").partitionBy(ID_DAY).parquet(landed_ids)
     if new_mark is not None:
         append_high_water_mark(spark, mark_path, new_mark)
+    discard(spark, work)
     return {"load_id": load_id, "rows": rows, "rescued": found.get("rescued", 0), "mark": new_mark}

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from voltstream.functions.frames import check_mode
 from voltstream.operators.dedup import latest_by_key
 from voltstream.operators.joins import all_not_null, any_null, null_key_salt
+from voltstream.session import settings
 
 
 class AmbiguousMergeError(ValueError):
@@ -138,34 +139,59 @@ def _check_unambiguous(target: DataFrame, src: DataFrame, keys: list[str]) -> No
         raise AmbiguousMergeError("several source rows match the same target row")
 
 
+#: where a stored increment's rows belong: the first partition column of its folder
+_PLACE, _NO_KEY, _ALONE, _THERE = "merge_place", "no_key", "alone", "there"
+
+
+def _partitions(spark: SparkSession, table: DataFrame, partition_col: str) -> list:
+    """The table's partition values, from the listing of its files."""
+    with settings(spark, {"spark.sql.optimizer.metadataOnly": "true"}):
+        return [r[0] for r in table.select(partition_col).distinct().collect()]
+
+
+def _is_in(partition_col: str, values: Sequence, kind=None) -> Column:
+    """If a partition value (as ``kind``, where given) is one of ``values``, NULL being a value too."""
+    value = F.col(partition_col)
+    found = (value if kind is None else value.try_cast(kind)).isin([v for v in values if v is not None])
+    return F.when(value.isNull(), F.lit(None in values)).otherwise(F.coalesce(found, F.lit(False)))
+
+
+def _types(df: DataFrame, partition_col: str) -> dict:
+    return {f.name: f.dataType for f in df.schema if f.name != partition_col}
+
+
 def _log(table_path: str) -> str:
     return f"{table_path.rstrip('/')}__swaps"
 
 
-def _note(spark: SparkSession, table_path: str, staged: str, partition_col: str, done: bool) -> None:
-    row = spark.range(1).select(F.lit(staged).alias("staged"), F.lit(partition_col).alias("partition_col"), F.lit(done).alias("done"),
-                                F.current_timestamp().alias("at"))
-    row.coalesce(1).write.mode("append").parquet(_log(table_path))
+def _note(spark: SparkSession, table_path: str, staged: Sequence[str], partition_col: str, done: bool) -> None:
+    """One file for all staged folders of a merge, so that they are noted together."""
+    folders = F.explode(F.array(*[F.lit(s) for s in staged]))
+    rows = spark.range(1).select(folders.alias("staged"), F.lit(partition_col).alias("partition_col"), F.lit(done).alias("done"),
+                                 F.current_timestamp().alias("at"))
+    rows.coalesce(1).write.mode("append").parquet(_log(table_path))
 
 
-def _swap_in(spark: SparkSession, table_path: str, staged: str, partition_col: str) -> None:
-    """Replace the partitions that ``staged`` has; the others are not touched."""
-    (spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(table_path))
+def _swap_in(spark: SparkSession, table_path: str, staged: Sequence[str], partition_col: str) -> None:
+    """Replace the partitions that the ``staged`` folders have (each has others); the rest is not touched."""
+    for folder in staged:
+        (spark.read.parquet(folder).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(table_path))
     _note(spark, table_path, staged, partition_col, True)
 
 
 def recover(spark: SparkSession, table_path: str) -> int:
-    """Finish swaps that died half-way, before anything reads the table. Returns how many."""
-    from voltstream.sources.tables import read_parquet_if_exists
+    """Finish swaps that died half-way, before anything reads the table. Returns how many folders were swapped in."""
+    from voltstream.sources.tables import discard, read_parquet_if_exists
 
     notes = read_parquet_if_exists(spark, _log(table_path))
     if notes is None:
         return 0
-    # one row per merge, a handful open at most
+    # a row per staged folder, two at most of a merge, a handful open at most
     open_ = notes.groupBy("staged", "partition_col").agg(F.max("done").alias("done"), F.min("at").alias("at")).where("not done").orderBy("at").collect()
     for r in open_:
-        _swap_in(spark, table_path, r["staged"], r["partition_col"])
+        _swap_in(spark, table_path, [r["staged"]], r["partition_col"])
+        discard(spark, r["staged"])
     return len(open_)
 
 
@@ -181,13 +207,15 @@ def merge_partitions(
     order: Sequence[str] | None = None,
     locate: str = "scan",
     quarantine_path: str | None = None,
+    arranged: bool = False,
 ) -> dict:
     """Upsert ``increment`` into a partitioned parquet table, rewriting only touched partitions.
 
     0. A swap that died half-way is finished first (``recover``).
     1. The increment is written once under ``stage_path``; rows with a NULL key
        part go to ``quarantine_path`` if given (they match nothing, so each
-       repeated merge would insert them again).
+       repeated merge would insert them again). ``arranged``: its tasks hold
+       few partitions each, so its files are right-sized as they are written.
     2. A row that already exists keeps its partition. ``locate="scan"`` finds
        it with a join on the key columns of the table only. With
        ``locate="same_partition"`` the partition value must be a fixed
@@ -197,55 +225,93 @@ def merge_partitions(
        staged, then swapped in with a dynamic partition overwrite and noted as
        done. If the job dies in between, the staged copy is complete and the
        next merge (or ``recover``) swaps it in again; nothing overwrites it.
+       In partitions that the table hasn't got yet (all, at the first load) the
+       written increment is the new contents, if it is arranged and each key
+       comes once: it is staged as it is, not written again.
+
+    What was staged is removed after the swap.
 
     An empty increment changes nothing. Returns the touched partitions, if
     this was the first load, and how many rows were quarantined.
     """
-    from voltstream.sources.tables import read_parquet_if_exists
+    from voltstream.sources.tables import discard, read_parquet_if_exists
 
+    if locate not in ("scan", "same_partition"):
+        raise ValueError("locate must be 'scan' or 'same_partition'")
     keys = list(keys)
     spark = increment.sparkSession
     recover(spark, table_path)
     attempt = f"{stage_path.rstrip('/')}/{uuid.uuid4().hex[:12]}"
-    increment.withColumn(partition_col, partition_value).write.parquet(f"{attempt}/increment")
-    inc = spark.read.schema(increment.withColumn(partition_col, partition_value).schema).parquet(f"{attempt}/increment")
+    table = read_parquet_if_exists(spark, table_path)
+    first_load = table is None
+    if stamp_column is not None and stamp is None:
+        stamp = F.current_timestamp()
+    rows = increment.withColumn(partition_col, partition_value)
+    order = list(order) if order else [c for c in rows.columns if c not in keys]
+    stamped = stamp_column is not None and stamp_column not in rows.columns
+    whole = rows.withColumn(stamp_column, stamp) if stamped else rows
+    # partitions that the increment alone makes up, unless a key comes twice
+    alone = None
+    if first_load:
+        if stamped or stamp_column is None:
+            alone, whole = F.lit(True), whole if arranged else whole.hint("rebalance", partition_col)
+    elif arranged and locate == "same_partition" and _types(whole, partition_col) == _types(table, partition_col):
+        alone = ~_is_in(partition_col, _partitions(spark, table, partition_col), table.schema[partition_col].dataType)
+    place = F.lit(_THERE) if alone is None else F.when(alone, _ALONE).otherwise(_THERE)
+    if quarantine_path is not None:
+        place = F.when(any_null(keys), _NO_KEY).otherwise(place)
+    whole = whole.withColumn(_PLACE, place)
+    writer = whole.write if alone is None else whole.write.partitionBy(_PLACE, partition_col)
+    writer.parquet(f"{attempt}/increment")
+    stored = spark.read.schema(whole.schema).parquet(f"{attempt}/increment")
     quarantined = 0
     if quarantine_path is not None:
-        bad = inc.filter(any_null(keys))
+        bad = stored.filter(F.col(_PLACE) == _NO_KEY).select(*rows.columns)
         quarantined = bad.count()
         if quarantined:
             bad.write.mode("append").parquet(quarantine_path)
-        inc = inc.filter(all_not_null(keys))
+        stored = stored.filter(F.col(_PLACE) != _NO_KEY)
 
-    table = read_parquet_if_exists(spark, table_path)
-    first_load = table is None
+    inc = stored
     inc_parts = inc.select(partition_col)
     if table is not None and locate == "scan":
         old = table.select(*keys, F.col(partition_col).alias("_old_part"))
         located = inc.join(old, keys, "left")
         inc_parts = inc_parts.union(located.filter(F.col("_old_part").isNotNull()).select("_old_part"))
         inc = located.withColumn(partition_col, F.coalesce("_old_part", partition_col)).drop("_old_part")
-    elif locate not in ("scan", "same_partition"):
-        raise ValueError("locate must be 'scan' or 'same_partition'")
     # one value per touched partition (days), bounded by the time span, not by rows
     touched = [r[0] for r in inc_parts.distinct().collect()]
     if not touched:
+        discard(spark, attempt)
         return {"touched": [], "first_load": first_load, "quarantined": quarantined}
+    staged = []
     # whole rows are moved for keys that come twice, or that the table has, only
-    inc = _single(inc, keys, list(order) if order else [c for c in inc.columns if c not in keys], f"{attempt}/twice")
-    if table is None:
-        merged = inc
-        if stamp_column is not None:
-            merged = merged.withColumn(stamp_column, stamp if stamp is not None else F.current_timestamp())
+    single = _single(inc, keys, order, f"{attempt}/twice")
+    if alone is not None and single is inc and not inc.filter(F.col(_PLACE) == _ALONE).isEmpty():
+        staged.append(f"{attempt}/increment/{_PLACE}={_ALONE}")
+        inc = inc.filter(F.col(_PLACE) == _THERE)
+        rest = [r[0] for r in inc.select(partition_col).distinct().collect()]
     else:
-        target = table.filter(F.col(partition_col).isin([t for t in touched if t is not None]) | (F.lit(None in touched) & F.col(partition_col).isNull()))
-        hits = target.select(*keys).join(inc.select(*keys).filter(all_not_null(keys)), keys, "left_semi").distinct()
-        hits.write.parquet(f"{attempt}/hits")
-        merged = upsert(target, inc.select(*[c for c in inc.columns if c in table.columns or c in (order or [])]),
-                        keys, stamp_column=stamp_column, stamp=stamp, order=order, single=True,
-                        hits=spark.read.schema(hits.schema).parquet(f"{attempt}/hits"))
-    # rebalance by partition value: few, right-sized files per day; AQE splits a hot day
-    merged.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(f"{attempt}/merged")
-    _note(spark, table_path, f"{attempt}/merged", partition_col, False)
-    _swap_in(spark, table_path, f"{attempt}/merged", partition_col)
+        inc, rest = single, touched
+    inc = inc.select(*rows.columns)
+    if rest:
+        if table is None:
+            merged = inc
+            if stamp_column is not None:
+                merged = merged.withColumn(stamp_column, stamp)
+        else:
+            target = table.filter(_is_in(partition_col, rest))
+            hits = target.select(*keys).join(inc.select(*keys).filter(all_not_null(keys)), keys, "left_semi").distinct()
+            hits.write.parquet(f"{attempt}/hits")
+            merged = upsert(target, inc.select(*[c for c in inc.columns if c in table.columns or c in order]),
+                            keys, stamp_column=stamp_column, stamp=stamp, order=order, single=True,
+                            hits=spark.read.schema(hits.schema).parquet(f"{attempt}/hits"))
+        # rebalance by partition value: few, right-sized files per day; AQE splits a hot day
+        merged.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(f"{attempt}/merged")
+        staged.append(f"{attempt}/merged")
+    _note(spark, table_path, staged, partition_col, False)
+    if staged == [f"{attempt}/merged"]:
+        discard(spark, f"{attempt}/increment")
+    _swap_in(spark, table_path, staged, partition_col)
+    discard(spark, attempt)
     return {"touched": None if first_load else touched, "first_load": first_load, "quarantined": quarantined}

@@ -423,16 +423,9 @@ def silver_from_frames(
     return conform(parse_payloads(paired, mode), defaults, stage_time)
 
 
-def silver_of_calls(
-    reqs: DataFrame,
-    best: DataFrame,
-    master: DataFrame,
-    defaults: Mapping[str, object] | None = None,
-    stage_time: Column | None = None,
-) -> DataFrame:
-    """Silver rows of some call frames whose results are known: ``best(_c_id, _c_no, OCPP_RESPONSE_MESSAGE[, _res_at])``."""
-    reqs = parse_request_payload(enrich_with_master(reqs, master)).drop("OCPP_RESPONSE_MESSAGE", "_response_body")
-    return conform(parse_payloads(with_answers(reqs, best)), defaults, stage_time)
+def silver_of_calls(paired: DataFrame, defaults: Mapping[str, object] | None = None, stage_time: Column | None = None) -> DataFrame:
+    """Silver rows of call frames that have their master columns and their result (``OCPP_RESPONSE_MESSAGE``, ``_res_at``)."""
+    return conform(parse_payloads(paired), defaults, stage_time)
 
 
 def to_silver_by_action(

@@ -95,21 +95,23 @@ def gold_partition_value() -> Column:
 
 
 def merge_into_gold_table(
-    gold_path: str, silver_df: DataFrame, stage_path: str, stamp: Column | None = None, locate: str = "same_partition"
+    gold_path: str, silver_df: DataFrame, stage_path: str, stamp: Column | None = None, locate: str = "same_partition",
+    arranged: bool = False,
 ) -> dict:
     """MERGE a silver increment into the day-partitioned gold table, rewriting touched days only.
 
     A gold row's day is the day of its gateway time, which is part of the
     immutable log line behind its key, so by default only the increment's
     days are read and rewritten (no table-wide key scan). Rows without a key
-    go to ``<gold_path>__quarantine``.
+    go to ``<gold_path>__quarantine``. ``arranged``: ``silver_df`` is arranged by
+    ``gold_partition_value`` (see ``merge_partitions``).
     """
     from voltstream.operators.merge import merge_partitions
 
     return merge_partitions(
         gold_path, silver_df, schemas.GOLD_KEY, GOLD_PARTITION, gold_partition_value(), stage_path,
         stamp_column="STAGE_PROCESSED_TIMESTAMP", stamp=stamp, order=SILVER_ORDER, locate=locate,
-        quarantine_path=f"{gold_path.rstrip('/')}__quarantine",
+        quarantine_path=f"{gold_path.rstrip('/')}__quarantine", arranged=arranged,
     )
 
 

@@ -42,6 +42,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch folders that nothing reads any more, where the session can."""
+    for path in paths:
+        if folder_exists(spark, path):
+            delete_folder(spark, path)
+
+
 def read_parquet_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The parquet table at ``path``, or None when nothing has been written there yet.
 

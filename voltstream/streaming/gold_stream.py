@@ -14,12 +14,15 @@ loads of open days only.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from voltstream.plans import load_tables
-from voltstream.plans.medallion import merge_into_gold_table
+from voltstream.plans.medallion import gold_partition_value, merge_into_gold_table
+from voltstream.session import FRUGAL, settings
+from voltstream.sources.tables import discard
 from voltstream.streaming.ingest import CsvStream, foreach_batch_stream, stream_ocpp_csv
 
 
@@ -51,7 +54,8 @@ def run_load_stream(
     tables = load_tables.LoadTables(bronze_path, buckets=key_buckets)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _ingest(batch, batch_id, lines, tables)
+        with settings(batch.sparkSession, FRUGAL):
+            _ingest(batch, batch_id, lines, tables)
 
     return foreach_batch_stream(lines.files, checkpoint, write, available_now=available_now, timeout=timeout)
 
@@ -75,9 +79,12 @@ def run_gold_stream(
     tables = load_tables.LoadTables(bronze_path, buckets=key_buckets)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        written = _ingest(batch, batch_id, lines, tables)
-        if written:
-            increment = load_tables.silver_of_load(batch.sparkSession, tables, *written, master, stage_time=stamp)
-            merge_into_gold_table(gold_path, increment, f"{stage_root}/{written[0]}", stamp=stamp)
+        session, work = batch.sparkSession, f"{stage_root}/work-{batch_id:09d}-{uuid.uuid4().hex[:8]}"
+        with settings(session, FRUGAL):
+            written = _ingest(batch, batch_id, lines, tables)
+            if written:
+                increment = load_tables.silver_of_load(session, tables, *written, master, stage_time=stamp, arrange=gold_partition_value(), work=work)
+                merge_into_gold_table(gold_path, increment, f"{stage_root}/{written[0]}", stamp=stamp, arranged=True)
+                discard(session, work)
 
     return foreach_batch_stream(lines.files, checkpoint, merge_batch, available_now=available_now, timeout=timeout)
